@@ -97,3 +97,30 @@ class Chain:
     @cached_property
     def panel_evc(self) -> DataFrame:
         return panel.daily_channel_panel_evc(self.panel, self.fact_evc)
+
+    # -- analytics -----------------------------------------------------------
+    @cached_property
+    def scan(self) -> DataFrame:
+        from ..operators import metrics
+        src = self.panel_evc if self.p.evc else self.panel
+        return metrics.scan_panel(src, self.taxonomy, self.p)
+
+    @cached_property
+    def filtered(self) -> DataFrame:
+        from ..operators import metrics
+        return metrics.filter_range(self.scan, self.p)
+
+    @cached_property
+    def deltas(self) -> DataFrame:
+        from ..operators import metrics
+        return metrics.channel_deltas(self.scan, self.taxonomy, self.p)
+
+    @cached_property
+    def levels(self) -> DataFrame:
+        from ..operators import metrics
+        return metrics.anomaly_level(self.deltas, self.p)
+
+    @cached_property
+    def mkt_deltas(self) -> DataFrame:
+        from ..operators import metrics
+        return metrics.market_deltas(self.scan, self.dim_market, self.p)

@@ -193,3 +193,7 @@ EVC_MONEY = PANEL_MONEY | {"reported_gmv_usd", "evc_gmv_usd", "all_gmv_usd", "re
     _r4(c) if c in EVC_MONEY else c for c in EVC_OUT) + " FROM panel_evc", "panel_evc"))
 def q_panel_evc(c: Chain) -> DataFrame:
     return c.panel_evc.select(*[r4(x) if x in EVC_MONEY else x for x in EVC_OUT])
+
+
+# Analytics registrations live in their own module.
+from . import registry_analytics  # noqa: E402,F401
