@@ -124,3 +124,20 @@ class Chain:
     def mkt_deltas(self) -> DataFrame:
         from ..operators import metrics
         return metrics.market_deltas(self.scan, self.dim_market, self.p)
+
+    @cached_property
+    def blended(self) -> DataFrame:
+        from ..operators import metrics
+        return metrics.weekly_blended(self.scan, self.p)
+
+    @cached_property
+    def event_uplifts(self) -> DataFrame:
+        rows = [(n, k, s, e, m, u) for (n, k, s, e, m, u) in bind.TEST_EVENTS]
+        return self.spark.createDataFrame(
+            rows, "event_name string, event_kind string, start date, end date, markets array<string>, "
+                  "uplift_mult double")
+
+    @cached_property
+    def seasonality(self) -> DataFrame:
+        from ..operators import response
+        return response.seasonality_multiplier(self.panel, self.event_uplifts)

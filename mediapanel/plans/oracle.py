@@ -482,7 +482,10 @@ def sql(final: str, *names: str) -> str:
 
     for n in names:
         visit(n)
+    final = final.strip()
     if not order:
-        return final.strip()
+        return final
     ctes = ",\n".join(f"{n} AS (\n{F[n][1].strip()}\n)" for n in order)
-    return f"WITH {ctes}\n{final.strip()}"
+    if final[:5].upper() == "WITH ":
+        return f"WITH {ctes},\n{final[5:]}"
+    return f"WITH {ctes}\n{final}"

@@ -197,3 +197,5 @@ def q_panel_evc(c: Chain) -> DataFrame:
 
 # Analytics registrations live in their own module.
 from . import registry_analytics  # noqa: E402,F401
+from . import registry_decisions  # noqa: E402,F401
+from . import registry_response  # noqa: E402,F401
