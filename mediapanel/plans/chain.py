@@ -10,6 +10,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Params
 from ..operators import conform, facts, panel
@@ -47,28 +48,40 @@ class Chain:
         return seeds.channel_priors(self.spark)
 
     # -- staging -------------------------------------------------------------
+    def bronze(self, name: str) -> DataFrame:
+        """A raw feed; with a refresh window and a landed (ingest-day
+        partitioned) table, only partitions that can hold a version of a
+        refreshed row are read: a row is never ingested before its event day,
+        so ingest_date >= as_of - (refresh_days + 1) loses nothing."""
+        df = self.raw[name]
+        if self.p.refresh_days is not None and "ingest_date" in df.columns:
+            import datetime as dt
+            lo = self.p.as_of - dt.timedelta(days=self.p.refresh_days + 1)
+            df = df.where(F.col("ingest_date") >= F.lit(lo))
+        return df
+
     @cached_property
     def stg_platform_sales(self) -> DataFrame:
         since = None
         if self.p.refresh_days is not None:
             import datetime as dt
             since = self.p.as_of - dt.timedelta(days=self.p.refresh_days)
-        return conform.stg_platform_sales(self.raw["shopee_orders"], self.raw["tiktok_shop_orders"],
+        return conform.stg_platform_sales(self.bronze("shopee_orders"), self.bronze("tiktok_shop_orders"),
                                           self.dim_market, self.traffic_map, since=since)
 
     @cached_property
     def stg_onplatform_ads(self) -> DataFrame:
-        return conform.stg_onplatform_ads(self.raw["tiktok_ads_daily"], self.raw["shopee_ads_daily"],
+        return conform.stg_onplatform_ads(self.bronze("tiktok_ads_daily"), self.bronze("shopee_ads_daily"),
                                           self.fx, compat=self.p.compat)
 
     @cached_property
     def stg_offplatform_ads(self) -> DataFrame:
-        return conform.stg_offplatform_ads(self.raw["meta_cpas_daily"], self.raw["google_ads_shopee_daily"],
+        return conform.stg_offplatform_ads(self.bronze("meta_cpas_daily"), self.bronze("google_ads_shopee_daily"),
                                            self.fx, compat=self.p.compat)
 
     @cached_property
     def stg_evc(self) -> DataFrame:
-        return conform.stg_evc(self.raw["evc_google"], self.raw["evc_meta"], self.raw["evc_tiktok"],
+        return conform.stg_evc(self.bronze("evc_google"), self.bronze("evc_meta"), self.bronze("evc_tiktok"),
                                compat=self.p.compat)
 
     # -- facts ---------------------------------------------------------------
@@ -141,3 +154,52 @@ class Chain:
     def seasonality(self) -> DataFrame:
         from ..operators import response
         return response.seasonality_multiplier(self.panel, self.event_uplifts)
+
+    # -- persistence ---------------------------------------------------------
+    def land_bronze(self, base_path: str, salt_buckets: int = 4) -> dict[str, str]:
+        """IO2: write the nine raw feeds as append-only bronze tables
+        partitioned by ingest day and read them back, as the daily load does;
+        the transform chain then starts from tables."""
+        paths = {}
+        for name in bind.RAW_BUILDERS:
+            df = self.raw[name].withColumn("ingest_date", F.to_date("ingested_at"))
+            path = f"{base_path.rstrip('/')}/bronze/{name}"
+            # Cluster rows by ingest day with a salt so a hot day is written
+            # by several tasks and each task writes few files.
+            salt = F.pmod(F.xxhash64("ingested_at"), F.lit(salt_buckets))
+            (df.repartition(F.col("ingest_date"), salt).write.mode("overwrite")
+             .partitionBy("ingest_date").parquet(path))
+            self.raw._cache[name] = self.spark.read.parquet(path)
+            paths[name] = path
+        for k in list(self.__dict__):
+            if k.startswith(("stg_", "fact_", "panel", "scan", "filtered", "deltas", "levels", "mkt_",
+                             "blended", "seasonality")):
+                self.__dict__.pop(k)
+        return paths
+
+    MATERIALIZED = ("fact_platform_sales", "fact_onplatform_ads", "fact_offplatform_ads", "fact_evc",
+                    "panel", "panel_evc")
+
+    def materialize(self, base_path: str, names=MATERIALIZED) -> dict[str, str]:
+        """Write facts and marts as parquet partitioned by ``date_local`` under
+        ``base_path`` (a folder in the shared checkpoint location on a
+        cluster) and read them back, so downstream stages start from the
+        written tables instead of re-deriving them: this cuts the lineage,
+        and a lost executor only recomputes from the last written table."""
+        from ..operators.upsert import write_partitions
+        paths = {}
+        for k in self.MATERIALIZED + ("scan", "filtered", "deltas", "levels", "mkt_deltas", "blended",
+                                      "seasonality"):
+            if k in names or k not in self.MATERIALIZED:
+                self.__dict__.pop(k, None)
+        for n in names:
+            path = f"{base_path.rstrip('/')}/{n}"
+            df = getattr(self, n)
+            sort = [c for c in ("market", "platform", "channel") if c in df.columns]
+            write_partitions(df, path, "date_local", sort)
+            self.__dict__[n] = self.spark.read.parquet(path).select(*df.columns)
+            paths[n] = path
+        # Derived analytics frames must be rebuilt on top of the written tables.
+        for k in ("scan", "filtered", "deltas", "levels", "mkt_deltas", "blended", "seasonality"):
+            self.__dict__.pop(k, None)
+        return paths

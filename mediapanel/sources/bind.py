@@ -102,8 +102,8 @@ def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def shopee_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = order_base(spark, sf_dir).where("o_orderkey % 2 = 0")
+def shopee_orders(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    b = (base if base is not None else order_base(spark, sf_dir)).where("o_orderkey % 2 = 0")
     return b.selectExpr(
         "cast(create_ts AS date) AS Date",
         "concat('SO', cast(o_orderkey AS string)) AS Order_sn",
@@ -130,8 +130,8 @@ def shopee_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select([f.name for f in RAW_SCHEMAS["shopee_orders"].fields])
 
 
-def tiktok_shop_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = order_base(spark, sf_dir).where("o_orderkey % 2 = 1")
+def tiktok_shop_orders(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    b = (base if base is not None else order_base(spark, sf_dir)).where("o_orderkey % 2 = 1")
     return b.selectExpr(
         "cast(create_ts AS date) AS Date",
         "concat('TT', cast(o_orderkey AS string)) AS Order_id",
@@ -191,8 +191,8 @@ def event_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tiktok_ads_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = event_base(spark, sf_dir).where("slot = 5")
+def tiktok_ads_daily(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    b = (base if base is not None else event_base(spark, sf_dir)).where("slot = 5")
     return b.selectExpr(
         "d AS Date",
         "concat('adv-', market) AS Advertiser_id",
@@ -222,8 +222,8 @@ def tiktok_ads_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select([f.name for f in RAW_SCHEMAS["tiktok_ads_daily"].fields])
 
 
-def shopee_ads_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = event_base(spark, sf_dir).where("slot < 5")
+def shopee_ads_daily(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    b = (base if base is not None else event_base(spark, sf_dir)).where("slot < 5")
     return b.selectExpr(
         "d AS Date",
         "concat('shop-', market) AS Shop_id",
@@ -251,8 +251,8 @@ def shopee_ads_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select([f.name for f in RAW_SCHEMAS["shopee_ads_daily"].fields])
 
 
-def meta_cpas_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = event_base(spark, sf_dir).where("slot = 6")
+def meta_cpas_daily(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    b = (base if base is not None else event_base(spark, sf_dir)).where("slot = 6")
     return b.selectExpr(
         "d AS Date",
         "concat('act-', market) AS Account_id",
@@ -280,8 +280,8 @@ def meta_cpas_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select([f.name for f in RAW_SCHEMAS["meta_cpas_daily"].fields])
 
 
-def google_ads_shopee_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = event_base(spark, sf_dir).where("slot = 7")
+def google_ads_shopee_daily(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    b = (base if base is not None else event_base(spark, sf_dir)).where("slot = 7")
     return b.selectExpr(
         "d AS Date",
         "concat('cus-', market) AS Customer_id",
@@ -313,13 +313,14 @@ def google_ads_shopee_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select([f.name for f in RAW_SCHEMAS["google_ads_shopee_daily"].fields])
 
 
-def _evc_base(spark, sf_dir, slot):
+def _evc_base(spark, sf_dir, slot, base=None):
     # Conversion APIs report one version per row (no restatements).
-    return event_base(spark, sf_dir).where(f"slot = {slot} AND mult = 1")
+    b = base if base is not None else event_base(spark, sf_dir)
+    return b.where(f"slot = {slot} AND mult = 1")
 
 
-def evc_google(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _evc_base(spark, sf_dir, 7).where("event_type = 'purchase'")
+def evc_google(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    b = _evc_base(spark, sf_dir, 7, base).where("event_type = 'purchase'")
     return b.selectExpr(
         "d AS date",
         "concat('cus-', market) AS customer_id",
@@ -342,8 +343,8 @@ def evc_google(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select([f.name for f in RAW_SCHEMAS["evc_google"].fields])
 
 
-def evc_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _evc_base(spark, sf_dir, 6).where("event_type IN ('purchase', 'signup')")
+def evc_meta(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    b = _evc_base(spark, sf_dir, 6, base).where("event_type IN ('purchase', 'signup')")
     return b.selectExpr(
         "d AS date",
         "concat('act-', market) AS account_id",
@@ -364,8 +365,8 @@ def evc_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select([f.name for f in RAW_SCHEMAS["evc_meta"].fields])
 
 
-def evc_tiktok(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _evc_base(spark, sf_dir, 5).where("event_type = 'purchase'")
+def evc_tiktok(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    b = _evc_base(spark, sf_dir, 5, base).where("event_type = 'purchase'")
     return b.selectExpr(
         "d AS date",
         "concat('adv-', market) AS advertiser_id",
@@ -411,6 +412,14 @@ class Bronze:
         return self._cache[name]
 
 
+# Feeds that share one derived base (written together when landing).
+FEED_GROUPS = {
+    "orders": (order_base, ["shopee_orders", "tiktok_shop_orders"]),
+    "events": (event_base, ["tiktok_ads_daily", "shopee_ads_daily", "meta_cpas_daily",
+                            "google_ads_shopee_daily", "evc_google", "evc_meta", "evc_tiktok"]),
+}
+
+
 def test_calendar(spark: SparkSession) -> DataFrame:
     from .seeds import CALENDAR_EVENTS, calendar_events
     return calendar_events(spark, list(CALENDAR_EVENTS) + [e[:5] for e in TEST_EVENTS])

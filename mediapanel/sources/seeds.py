@@ -211,9 +211,11 @@ def fx_rates(spark: SparkSession, start: dt.date, end: dt.date, rates=None,
     """SD2: flat-rate daily FX spine (date x currency); ``missing`` pairs are
     left out to model gaps in a provider feed."""
     rates = FX_RATES if rates is None else rates
-    cur = spark.createDataFrame([(c, Decimal(r)) for c, r in rates], "currency string, usd_rate decimal(12,6)")
-    days = (spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("date")))
-    fx = days.crossJoin(F.broadcast(cur))
+    cur = F.array(*[F.struct(F.lit(c).alias("currency"), F.lit(Decimal(r)).cast("decimal(12,6)").alias("usd_rate"))
+                    for c, r in rates])
+    # Date spine x currencies as an explode of a literal array: no join.
+    fx = (spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("date"))
+          .select("date", F.inline(cur)))
     if missing:
         gaps = spark.createDataFrame(missing, "date date, currency string")
         fx = fx.join(F.broadcast(gaps), ["date", "currency"], "left_anti")
