@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +19,9 @@ from ..sources import bind, seeds
 
 
 class Chain:
-    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = DEFAULT):
+    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = DEFAULT, cache_marts: bool = True):
         self.spark, self.sf_dir, self.p = spark, sf_dir, params
+        self.cache_marts = cache_marts
         self.raw = bind.Bronze(spark, sf_dir)
 
     # -- seeds ---------------------------------------------------------------
@@ -102,14 +104,20 @@ class Chain:
         return facts.fact_evc(self.stg_evc, self.dim_market, self.fx, self.p.as_of, self.p.evc_refresh_days)
 
     # -- marts ---------------------------------------------------------------
+    # The panel is bounded by days x markets x channels whatever the order
+    # volume behind it, so every analytics reader shares one persisted copy
+    # (memory and disk; blocks lost with an executor are recomputed from
+    # lineage).
     @cached_property
     def panel(self) -> DataFrame:
-        return panel.daily_channel_panel(self.fact_platform_sales, self.fact_onplatform_ads,
-                                         self.fact_offplatform_ads, self.calendar, compat=self.p.compat)
+        df = panel.daily_channel_panel(self.fact_platform_sales, self.fact_onplatform_ads,
+                                       self.fact_offplatform_ads, self.calendar, compat=self.p.compat)
+        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.cache_marts else df
 
     @cached_property
     def panel_evc(self) -> DataFrame:
-        return panel.daily_channel_panel_evc(self.panel, self.fact_evc)
+        df = panel.daily_channel_panel_evc(self.panel, self.fact_evc)
+        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.cache_marts else df
 
     # -- analytics -----------------------------------------------------------
     @cached_property
