@@ -405,3 +405,15 @@ def panel_meta(panel: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("row_count"),
         F.concat_ws(",", F.sort_array(F.collect_set("market"))).alias("markets"),
         F.concat_ws(",", F.sort_array(F.collect_set("channel"))).alias("channels"))
+
+
+def by_priority(df: DataFrame) -> DataFrame:
+    """Channel priority order (unknown channels last, priority 99). Sort
+    at the sink only."""
+    pr = F.coalesce(F.col("priority"), F.lit(99)) if "priority" in df.columns else F.lit(99)
+    return df.orderBy(pr, "channel")
+
+
+def sink_order(rows: DataFrame) -> DataFrame:
+    """The panel scan's order (date, market, channel), applied at the sink."""
+    return rows.orderBy("date_local", "market", "channel")

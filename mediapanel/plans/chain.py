@@ -211,3 +211,12 @@ class Chain:
         for k in ("scan", "filtered", "deltas", "levels", "mkt_deltas", "blended", "seasonality"):
             self.__dict__.pop(k, None)
         return paths
+
+    def register_views(self, names=("stg_platform_sales", "stg_onplatform_ads", "stg_offplatform_ads", "stg_evc",
+                                    "fact_platform_sales", "fact_onplatform_ads", "fact_offplatform_ads",
+                                    "fact_evc", "panel", "panel_evc")) -> list[str]:
+        """IO12 views: expose each stage as a temp view for SQL users
+        (create-or-replace; views stay lazy)."""
+        for n in names:
+            getattr(self, n).createOrReplaceTempView(n)
+        return list(names)
