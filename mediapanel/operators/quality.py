@@ -83,10 +83,9 @@ def q14_unique_grain(df: DataFrame, grain: list[str]) -> DataFrame:
     return df.groupBy(*grain).count().where(F.col("count") > 1)
 
 
-def q15_fx_coverage(stg_sales: DataFrame, fx: DataFrame) -> DataFrame:
-    """Ours: (date, currency) pairs used by the facts without an FX rate."""
-    used = stg_sales.where(F.col("date_local").isNotNull()).select(
-        F.col("date_local").alias("date"), "currency").distinct()
+def q15_fx_coverage(fact_sales: DataFrame, fx: DataFrame) -> DataFrame:
+    """Ours: (date, currency) pairs used by the sales fact without an FX rate."""
+    used = fact_sales.select(F.col("date_local").alias("date"), "currency").distinct()
     return used.join(F.broadcast(fx.select("date", "currency")), ["date", "currency"], "left_anti")
 
 
@@ -110,7 +109,7 @@ def checks(chain) -> dict[str, Callable[[], DataFrame]]:
         "Q14a_unique_grain_fact_platform_sales": lambda: q14_unique_grain(c.fact_platform_sales, SALES_GRAIN),
         "Q14b_unique_grain_fact_onplatform_ads": lambda: q14_unique_grain(c.fact_onplatform_ads, ONPLATFORM_GRAIN),
         "Q14c_unique_grain_panel": lambda: q14_unique_grain(c.panel, ["date_local", "market", "channel"]),
-        "Q15_fx_coverage": lambda: q15_fx_coverage(c.stg_platform_sales, c.fx),
+        "Q15_fx_coverage": lambda: q15_fx_coverage(c.fact_platform_sales, c.fx),
     }
 
 

@@ -56,20 +56,18 @@ def final_flag(df: DataFrame, as_of: dt.date, lag_days: int = 14) -> DataFrame:
     return df.withColumn("is_final", F.col("date_local") < F.date_sub(F.lit(as_of), lag_days - 1))
 
 
-def write_partitions(df: DataFrame, path: str, partition_by: str = "date_local", sort_by: list[str] | None = None,
-                     salt_buckets: int = 8) -> None:
+def write_partitions(df: DataFrame, path: str, partition_by: str = "date_local",
+                     sort_by: list[str] | None = None) -> None:
     """IO12 sink for facts and marts: rewrite only the partitions present in
     ``df`` (dynamic partition overwrite).
 
-    Rows are hash-partitioned on (partition column, salt) where the salt is a
-    hash of the sort keys modulo ``salt_buckets``: a hot day (a mega-sale day
-    may hold a large share of all rows) is written by several tasks instead
-    of one, and each file stays sorted on ``sort_by`` for min/max skipping.
-    Write to a new version directory and swap when the path being rewritten
-    is also being read."""
+    Rows are clustered with AQE's ``rebalance`` on the partition column: small
+    inputs are coalesced into few files per day, and a hot day (a mega-sale day
+    may hold a large share of all rows) is split across several tasks instead
+    of landing in one (``optimizeSkewsInRebalancePartitions``). Files are
+    sorted on ``sort_by`` for min/max skipping. Write to a new version
+    directory and swap when the path being rewritten is also being read."""
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    sort_by = list(sort_by or [])
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in sort_by]), F.lit(salt_buckets)) if sort_by else F.lit(0)
-    out = df.repartition(F.col(partition_by), salt).sortWithinPartitions(partition_by, *sort_by)
+    out = df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *(sort_by or []))
     out.write.mode("overwrite").partitionBy(partition_by).parquet(path)

@@ -18,6 +18,15 @@ from ..operators import conform, facts, panel
 from ..sources import bind, seeds
 
 
+def _run_parallel(fn, items, parallelism: int):
+    """Run independent Spark jobs from a few driver threads; results in order."""
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=parallelism) as ex:
+        return list(ex.map(fn, items))
+
+
 class Chain:
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params = DEFAULT, cache_marts: bool = True):
         self.spark, self.sf_dir, self.p = spark, sf_dir, params
@@ -164,19 +173,24 @@ class Chain:
         return response.seasonality_multiplier(self.panel, self.event_uplifts)
 
     # -- persistence ---------------------------------------------------------
-    def land_bronze(self, base_path: str, salt_buckets: int = 4) -> dict[str, str]:
+    def land_bronze(self, base_path: str, parallelism: int = 4) -> dict[str, str]:
         """IO2: write the nine raw feeds as append-only bronze tables
         partitioned by ingest day and read them back, as the daily load does;
         the transform chain then starts from tables."""
         paths = {}
-        for name in bind.RAW_BUILDERS:
+
+        def land(name):
             df = self.raw[name].withColumn("ingest_date", F.to_date("ingested_at"))
             path = f"{base_path.rstrip('/')}/bronze/{name}"
-            # Cluster rows by ingest day with a salt so a hot day is written
-            # by several tasks and each task writes few files.
-            salt = F.pmod(F.xxhash64("ingested_at"), F.lit(salt_buckets))
-            (df.repartition(F.col("ingest_date"), salt).write.mode("overwrite")
+            # Cluster rows by ingest day (AQE rebalance: few files per day,
+            # a hot day split across tasks).
+            (df.hint("rebalance", "ingest_date").write.mode("overwrite")
              .partitionBy("ingest_date").parquet(path))
+            return name, path
+
+        # The feeds are independent jobs: submit them concurrently so small
+        # jobs share the executors instead of running one after another.
+        for name, path in _run_parallel(land, list(bind.RAW_BUILDERS), parallelism):
             self.raw._cache[name] = self.spark.read.parquet(path)
             paths[name] = path
         for k in list(self.__dict__):
@@ -188,7 +202,7 @@ class Chain:
     MATERIALIZED = ("fact_platform_sales", "fact_onplatform_ads", "fact_offplatform_ads", "fact_evc",
                     "panel", "panel_evc")
 
-    def materialize(self, base_path: str, names=MATERIALIZED) -> dict[str, str]:
+    def materialize(self, base_path: str, names=MATERIALIZED, parallelism: int = 4) -> dict[str, str]:
         """Write facts and marts as parquet partitioned by ``date_local`` under
         ``base_path`` (a folder in the shared checkpoint location on a
         cluster) and read them back, so downstream stages start from the
@@ -200,13 +214,25 @@ class Chain:
                                       "seasonality"):
             if k in names or k not in self.MATERIALIZED:
                 self.__dict__.pop(k, None)
-        for n in names:
+        def write(n):
             path = f"{base_path.rstrip('/')}/{n}"
             df = getattr(self, n)
             sort = [c for c in ("market", "platform", "channel") if c in df.columns]
             write_partitions(df, path, "date_local", sort)
-            self.__dict__[n] = self.spark.read.parquet(path).select(*df.columns)
-            paths[n] = path
+            return n, path, df.columns
+
+        # Facts are independent of each other; the marts read the written facts.
+        for n in ("fx", "calendar", "dim_market", "traffic_map"):
+            getattr(self, n)
+        waves = [[n for n in names if n.startswith("fact_")], [n for n in names if n == "panel"],
+                 [n for n in names if n not in self.MATERIALIZED[:5]]]
+        for wave in waves:
+            for n, path, cols in _run_parallel(write, wave, parallelism):
+                df = self.spark.read.parquet(path).select(*cols)
+                if self.cache_marts and n.startswith("panel"):
+                    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+                self.__dict__[n] = df
+                paths[n] = path
         # Derived analytics frames must be rebuilt on top of the written tables.
         for k in ("scan", "filtered", "deltas", "levels", "mkt_deltas", "blended", "seasonality"):
             self.__dict__.pop(k, None)

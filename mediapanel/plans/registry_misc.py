@@ -139,9 +139,8 @@ DQ_SQL = {
     "Q14c_unique_grain_panel":
         "SELECT count(*) FROM (SELECT count(*) n FROM panel GROUP BY date_local, market, channel) x WHERE n > 1",
     "Q15_fx_coverage":
-        "SELECT count(*) FROM (SELECT DISTINCT date_local AS date, currency FROM stg_platform_sales "
-        "WHERE date_local IS NOT NULL) u WHERE NOT EXISTS (SELECT 1 FROM fx WHERE fx.date = u.date "
-        "AND fx.currency = u.currency)",
+        "SELECT count(*) FROM (SELECT DISTINCT date_local AS date, currency FROM fact_platform_sales) u "
+        "WHERE NOT EXISTS (SELECT 1 FROM fx WHERE fx.date = u.date AND fx.currency = u.currency)",
 }
 
 
@@ -149,7 +148,7 @@ DQ_SQL = {
     "SELECT chk AS \"check\", CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status, cast(n AS bigint) AS \"rows\" "
     "FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS chk, ({v}) AS n" for k, v in DQ_SQL.items()) + ") q",
     "panel", "panel_evc", "raw_shopee_ads", "raw_evc_meta", "dim_market", "taxonomy", "calendar",
-    "fact_platform_sales", "fact_onplatform_ads", "stg_platform_sales", "fx"))
+    "fact_platform_sales", "fact_onplatform_ads", "fx"))
 def q_dq_suite(c: Chain) -> DataFrame:
     return quality.dq_suite(c.spark, quality.checks(c))
 

@@ -55,7 +55,19 @@ _CUR = "array('IDR', 'THB', 'VND', 'MYR', 'SGD', 'PHP')"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. A table stored as fewer splits than the cluster has
+    cores (one file with one row group) would run the whole pre-shuffle
+    pipeline in one task; it is spread round-robin first. With many files
+    (the large-scale case) the scan already has enough splits and nothing is
+    added. The check reads file metadata only."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores and name in _LARGE_TABLES:
+        df = df.repartition(cores)
+    return df
+
+
+_LARGE_TABLES = {"lineitem", "orders", "events"}
 
 
 def _lineage(system: str, market_col: str = "market_field") -> list[str]:
