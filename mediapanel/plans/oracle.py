@@ -74,7 +74,7 @@ SELECT l.*, o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_orderdate, c.c_natio
   {CUR}[c_nationkey % 6 + 1] AS mk_currency,
   {bind.EPOCH_2024} + (datediff('day', DATE '1995-01-01', cast(o_orderdate AS date)) % 30) * 86400
     + (o_orderkey * 7919) % 86400 AS create_secs,
-  datediff('day', cast(o_orderdate AS date), cast(l_shipdate AS date)) * 3600 AS ingest_lag,
+  (abs(datediff('day', cast(o_orderdate AS date), cast(l_shipdate AS date))) % 120) * 3600 AS ingest_lag,
   cast(round(l_extendedprice * 100) AS bigint) AS cents,
   cast(round(l_discount * 100) AS bigint) AS dpct,
   cast(round(l_tax * 100) AS bigint) AS tpct,

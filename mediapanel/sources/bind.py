@@ -13,7 +13,8 @@ Rules (deterministic, integer arithmetic where money is involved):
 * order lines: platform shopee when o_orderkey is even, else tiktok_shop;
   sku = line number, so (order, sku) repeats: a genuine re-ingest dedup case
 * create time = 2024-01-01 + (orderdate - 1995-01-01) % 30 days
-  + (o_orderkey * 7919) % 86400 s; ingested = create + (ship - order) hours
+  + (o_orderkey * 7919) % 86400 s; ingested = create + (|ship - order| % 120)
+  hours, so a row is never ingested before it is created
 * money: cents = round(l_extendedprice * 100); subtotal = cents * (100 -
   discount%) / 10000; TikTok adds a shipping fee of tax% units
 * ads: slot = (event_id div 6) % 8 picks the connector / ad type; view = 100
@@ -61,9 +62,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     (the large-scale case) the scan already has enough splits and nothing is
     added. The check reads file metadata only."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores and name in _LARGE_TABLES:
-        df = df.repartition(cores)
+    if name not in _LARGE_TABLES:
+        return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    except Exception:  # noqa: BLE001 - sessions without RDD access keep the scan as is
+        pass
     return df
 
 
@@ -95,7 +101,7 @@ def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"element_at({_CUR}, cast(c_nationkey % 6 AS int) + 1) AS mk_currency",
         f"{EPOCH_2024} + (datediff(cast(o_orderdate AS date), DATE'1995-01-01') % 30) * 86400"
         " + (o_orderkey * 7919) % 86400 AS create_secs",
-        "datediff(cast(l_shipdate AS date), cast(o_orderdate AS date)) * 3600 AS ingest_lag",
+        "(abs(datediff(cast(l_shipdate AS date), cast(o_orderdate AS date))) % 120) * 3600 AS ingest_lag",
         "cast(round(l_extendedprice * 100) AS bigint) AS cents",
         "cast(round(l_discount * 100) AS bigint) AS dpct",
         "cast(round(l_tax * 100) AS bigint) AS tpct",
