@@ -89,9 +89,13 @@ def week_split(rows: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ KPIs
 def with_scalar(df: DataFrame, scalar: DataFrame) -> DataFrame:
     """Attach the columns of a frame of at most one row (a global aggregate or
-    a flag) through an equi-join on a constant key: no row pairs are formed,
-    and an empty ``scalar`` empties the result."""
-    return df.withColumn("_k", F.lit(1)).join(F.broadcast(scalar.withColumn("_k", F.lit(1))), "_k").drop("_k")
+    a flag) as uncorrelated scalar subqueries: each is evaluated once and used
+    as a value, so no join (and no cross join) is planned. An empty
+    ``scalar`` empties the result (EXISTS filter)."""
+    out = df.where(scalar.select(F.lit(1)).exists())
+    for c in scalar.columns:
+        out = out.withColumn(c, scalar.select(c).scalar())
+    return out
 
 
 def story_flag(rows: DataFrame) -> DataFrame:

@@ -133,7 +133,7 @@ class Chain:
     def scan(self) -> DataFrame:
         from ..operators import metrics
         src = self.panel_evc if self.p.evc else self.panel
-        return metrics.scan_panel(src, self.taxonomy, self.p)
+        return self._small(metrics.scan_panel(src, self.taxonomy, self.p))
 
     @cached_property
     def filtered(self) -> DataFrame:
@@ -143,7 +143,7 @@ class Chain:
     @cached_property
     def deltas(self) -> DataFrame:
         from ..operators import metrics
-        return metrics.channel_deltas(self.scan, self.taxonomy, self.p)
+        return self._small(metrics.channel_deltas(self.scan, self.taxonomy, self.p))
 
     @cached_property
     def levels(self) -> DataFrame:
@@ -153,12 +153,12 @@ class Chain:
     @cached_property
     def mkt_deltas(self) -> DataFrame:
         from ..operators import metrics
-        return metrics.market_deltas(self.scan, self.dim_market, self.p)
+        return self._small(metrics.market_deltas(self.scan, self.dim_market, self.p))
 
     @cached_property
     def blended(self) -> DataFrame:
         from ..operators import metrics
-        return metrics.weekly_blended(self.scan, self.p)
+        return self._small(metrics.weekly_blended(self.scan, self.p))
 
     @cached_property
     def event_uplifts(self) -> DataFrame:
@@ -172,6 +172,11 @@ class Chain:
         from ..operators import response
         return response.seasonality_multiplier(self.panel, self.event_uplifts)
 
+    def _small(self, df: DataFrame) -> DataFrame:
+        """Persist a frame bounded by the calendar x markets x channels (scan,
+        deltas): readers with several branches then share one computation."""
+        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.cache_marts else df
+
     # -- persistence ---------------------------------------------------------
     def land_bronze(self, base_path: str, parallelism: int = 4) -> dict[str, str]:
         """IO2: write the nine raw feeds as append-only bronze tables
