@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import calendar
-import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT as P
 from ..operators import conform, facts, features, quality, upsert
-from ..sources import bind, io, schemas, seeds
+from ..sources import io, schemas, seeds
 from . import oracle as O
 from .chain import Chain
 from .registry import _r4, r4, register
-from .registry_analytics import PAID_SQL
 
 frag = O.frag
 FIRST_LOAD_CUTOFF = dt.datetime(2024, 1, 20)

@@ -32,7 +32,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .schemas import RAW_SCHEMAS
 from .seeds import MARKET_CODES
