@@ -93,9 +93,10 @@ def daily_channel_panel(fact_sales: DataFrame, fact_on: DataFrame, fact_off: Dat
     # platforms; AQE broadcasts them when small and keeps a shuffle join beyond.
     t = totals.withColumnRenamed("platform", "anchor_platform")
     p = u.join(t, ["date_local", "market", "anchor_platform"], "left")
-    # Distinct (date, market) of the calendar seed -> boolean.
-    mega = calendar.select(F.col("date").alias("date_local"), "market").distinct() \
-                   .withColumn("_mega", F.lit(True))
+    # Distinct (date, market) of the calendar seed -> boolean, plus the
+    # sorted event kinds of the day (D15). Bounded by calendar days x markets.
+    mega = calendar.groupBy(F.col("date").alias("date_local"), "market").agg(
+        F.sort_array(F.collect_set("event_kind")).alias("event_kinds")).withColumn("_mega", F.lit(True))
     p = p.join(F.broadcast(mega), ["date_local", "market"], "left")
     return p.select(
         "date_local", "market", "channel", F.col("anchor_platform").alias("platform"),
@@ -106,6 +107,7 @@ def daily_channel_panel(fact_sales: DataFrame, fact_on: DataFrame, fact_off: Dat
         X.is_payday("date_local").alias("is_payday"),
         F.col("_mega").isNotNull().alias("is_mega_sale"),
         X.week_monday("date_local").alias("week_of_year"),
+        "event_kinds",
     )
 
 

@@ -157,10 +157,16 @@ def compile_filters(filters: list[dict]) -> Column:
     return reduce(lambda a, b: a & b, preds, F.lit(True))
 
 
+# Source name -> the account-config field that holds its accounts.
+SOURCE_ACCOUNT_FIELD = {"google_ads_shopee": "google_ads"}
+
+
 def accounts_for(accounts: DataFrame, source: str, market: str | None = None) -> DataFrame:
     """IO9: accounts configured for (source, market), or for all markets.
-    ``accounts`` = (source, market, account_ids array)."""
-    a = accounts.where(F.col("source") == source)
+    ``accounts`` = (source, market, account_ids array); a source whose
+    accounts live under another config name is mapped explicitly (D19)."""
+    field = SOURCE_ACCOUNT_FIELD.get(source, source)
+    a = accounts.where(F.col("source").isin(source, field))
     if market is not None:
         a = a.where(F.col("market") == market)
     return a.select("source", "market", F.explode("account_ids").alias("account_id"))
