@@ -278,3 +278,21 @@ def test_dq_checks_catch_seeded_violations(spark):
         "neg": lambda: quality.q03_no_negative(panel), "ok": lambda: panel.where("false"),
         "broken": lambda: panel.select("no_such_column")}))}
     assert suite == {"neg": ("FAIL", 1), "ok": ("PASS", 0), "broken": ("ERROR", -1)}
+
+
+def test_partition_count_invariance(spark):
+    """Dedup ties and aggregation results do not depend on the partitioning."""
+    from mediapanel.plans.chain import Chain
+    from .conftest import SMALL
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    out = []
+    try:
+        for n in ("3", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            c = Chain(spark, SMALL, cache_marts=False)
+            s = c.stg_platform_sales.drop("create_time_utc", "pay_time_utc", "complete_time_utc")
+            p = c.panel.drop("event_kinds")
+            out.append((sorted(map(tuple, s.collect()), key=str), sorted(map(tuple, p.collect()), key=str)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert out[0] == out[1]
