@@ -137,3 +137,10 @@ def dq_suite(spark, builders: dict[str, Callable[[], DataFrame]]) -> DataFrame:
     rows = F.when(F.col("_err"), F.lit(-1)).otherwise(F.coalesce("rows", F.lit(0))).cast("long")
     status = F.when(F.col("_err"), "ERROR").when(rows == 0, "PASS").otherwise("FAIL")
     return r.select("check", status.alias("status"), rows.alias("rows"))
+
+
+def suite_exit_status(report: DataFrame) -> int:
+    """Q13 exit status: 0 when every check passed, 1 otherwise. Reads only
+    the report (one row per check), never violating rows."""
+    bad = report.where(F.col("status") != "PASS").limit(1).count()
+    return 0 if bad == 0 else 1

@@ -278,6 +278,8 @@ def test_dq_checks_catch_seeded_violations(spark):
         "neg": lambda: quality.q03_no_negative(panel), "ok": lambda: panel.where("false"),
         "broken": lambda: panel.select("no_such_column")}))}
     assert suite == {"neg": ("FAIL", 1), "ok": ("PASS", 0), "broken": ("ERROR", -1)}
+    assert quality.suite_exit_status(quality.dq_suite(spark, {"ok": lambda: panel.where("false")})) == 0
+    assert quality.suite_exit_status(quality.dq_suite(spark, {"neg": lambda: quality.q03_no_negative(panel)})) == 1
 
 
 def test_partition_count_invariance(spark):
