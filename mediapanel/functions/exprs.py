@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..sources.seeds import CANCELLED_STATUSES, COMPLETED_STATUSES
+from ..sources.seeds import AD_TYPE_KEYWORDS, CANCELLED_STATUSES, COMPLETED_STATUSES
 
 
 def col(c) -> Column:
@@ -67,11 +67,10 @@ def completed_flag(status) -> Column:
 def ad_type_from_objective(objective) -> Column:
     """PF4: ordered substring classification, first match wins."""
     o = F.lower(col(objective))
-    return (F.when(o.like("%video%"), "video")
-            .when(o.like("%live%"), "live")
-            .when(o.like("%catalog%"), "catalog")
-            .when(o.like("%search%"), "search")
-            .otherwise("other"))
+    out = None
+    for k in AD_TYPE_KEYWORDS:
+        out = (F.when if out is None else out.when)(o.like(f"%{k}%"), k)
+    return out.otherwise("other")
 
 
 def working_spend(spend, voucher) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..sources import seeds
 
 
 def latest_wins(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -183,8 +184,8 @@ def stg_onplatform_ads(tiktok_ads: DataFrame, shopee_ads: DataFrame, fx: DataFra
     )
 
 
-SHOPEE_URL = r"^https?://([a-z]+\.)?shopee\."
-SHOPEE_CAMPAIGN = r"^SHP[_-]"
+SHOPEE_URL = seeds.SHOPEE_URL_PATTERN
+SHOPEE_CAMPAIGN = seeds.SHOPEE_CAMPAIGN_PATTERN
 
 
 def stg_offplatform_ads(meta: DataFrame, google: DataFrame, fx: DataFrame,
@@ -259,13 +260,8 @@ def stg_offplatform_ads(meta: DataFrame, google: DataFrame, fx: DataFrame,
 
 
 # PF10: conversion-kind -> attribution bucket per platform (default 'click').
-EVC_BUCKETS = {
-    "google_ads_shopee": {"engaged_view": "evc", "view_through": "evc", "click_through": "click"},
-    "meta_cpas": {"1d_ev": "evc", "1d_view": "evc"},
-    "tiktok_ads": {"EVTA": "evc", "VTA": "evc"},
-}
-# The reference's map, where Meta's 1d_view counts as a click conversion.
-EVC_BUCKETS_COMPAT = {**EVC_BUCKETS, "meta_cpas": {"1d_ev": "evc"}}
+EVC_BUCKETS = seeds.EVC_BUCKETS
+EVC_BUCKETS_COMPAT = seeds.EVC_BUCKETS_COMPAT
 
 
 def _bucket(kind: Column, mapping: dict) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import Params
 from ..functions import exprs as X
+from ..sources import seeds as S
 from ..sources.seeds import PAID_CHANNELS
 from .metrics import kpis, last_dates, market_filter, with_scalar
 
@@ -117,7 +118,8 @@ def mix_table(deltas: DataFrame, p: Params) -> DataFrame:
 
 
 def _status(ratio):
-    return F.when(ratio < 0.95, "behind").when(ratio > 1.05, "over").otherwise("on")
+    lo, hi = S.PACING_BAND
+    return F.when(ratio < lo, "behind").when(ratio > hi, "over").otherwise("on")
 
 
 def _month_rows(scan: DataFrame, p: Params) -> DataFrame:
@@ -159,7 +161,7 @@ def pacing(scan: DataFrame, p: Params) -> DataFrame:
 def channel_plan_mult(channel) -> F.Column:
     """Demo per-channel plan factor of the reference dashboard (fixed rule:
     0.85 + (len(channel id) % 5) * 0.07), used until budgets are supplied."""
-    return F.lit(0.85) + (F.length(channel) % 5) * F.lit(0.07)
+    return F.lit(S.CHANNEL_PLAN_BASE) + (F.length(channel) % S.CHANNEL_PLAN_MOD) * F.lit(S.CHANNEL_PLAN_STEP)
 
 
 def channel_pacing(scan: DataFrame, taxonomy: DataFrame, p: Params, budgets: DataFrame | None = None) -> DataFrame:
@@ -197,28 +199,31 @@ def reallocation(deltas: DataFrame, p: Params) -> DataFrame:
     """
     d = deltas
     g = d.where(F.col("channel") == "google_ads_shopee")
-    trim1 = F.col("roas_shift_pct") < -0.08
-    dol1 = X.js_round(F.col("spend_now") * 0.15)
+    g_trig, g_cut, g_scale = S.REALLOC_GOOGLE
+    s_trig, s_cut, s_scale = S.REALLOC_SHOPEE_ADS
+    k = S.REALLOC_TRIM_IMPACT
+    trim1 = F.col("roas_shift_pct") < g_trig
+    dol1 = X.js_round(F.col("spend_now") * F.when(trim1, g_cut).otherwise(g_scale))
     r1 = g.select(
         F.lit(1).alias("rule"), F.when(trim1, "cut").otherwise("scale").alias("action"),
         F.when(trim1, F.col("channel")).alias("from_channel"),
         F.when(~trim1, F.col("channel")).alias("to_channel"),
         dol1.cast("double").alias("dollars"),
-        F.when(trim1, -X.js_round(dol1 * (F.col("roas_now") * 0.4)))
+        F.when(trim1, -X.js_round(dol1 * (F.col("roas_now") * k)))
          .otherwise(X.js_round(dol1 * F.col("roas_now"))).cast("double").alias("impact"),
         F.lit("high").alias("conviction"))
     order = F.array_position(F.array(*[F.lit(c) for c in SHOPEE_AD_ORDER]), F.col("channel"))
     sh = d.where(F.col("channel").isin(*SHOPEE_AD_ORDER)) \
           .withColumn("_r", F.row_number().over(Window.orderBy(F.col("spend_now").desc(), order))) \
           .where("_r = 1")
-    trim2 = F.col("roas_shift_pct") < -0.05
-    dol2 = X.js_round(F.col("spend_now") * F.when(trim2, 0.2).otherwise(0.12))
+    trim2 = F.col("roas_shift_pct") < s_trig
+    dol2 = X.js_round(F.col("spend_now") * F.when(trim2, s_cut).otherwise(s_scale))
     r2 = sh.select(
         F.lit(2).alias("rule"), F.when(trim2, "cut").otherwise("scale").alias("action"),
         F.when(trim2, F.col("channel")).alias("from_channel"),
         F.when(~trim2, F.col("channel")).alias("to_channel"),
         dol2.cast("double").alias("dollars"),
-        F.when(trim2, -X.js_round(dol2 * (F.col("roas_now") * 0.4)))
+        F.when(trim2, -X.js_round(dol2 * (F.col("roas_now") * k)))
          .otherwise(X.js_round(dol2 * F.col("roas_now"))).cast("double").alias("impact"),
         F.lit("medium").alias("conviction"))
     pinned = sh.select(F.col("channel").alias("_pin")).unionByName(
@@ -230,7 +235,7 @@ def reallocation(deltas: DataFrame, p: Params) -> DataFrame:
     meta = d.where(F.col("channel") == "meta_cpas").select(
         F.col("spend_now").alias("m_spend"), F.col("roas_now").alias("m_roas"))
     pm = with_scalar(partner, meta)
-    dol3 = X.js_round(F.least("m_spend", "spend_now") * 0.1)
+    dol3 = X.js_round(F.least("m_spend", "spend_now") * S.REALLOC_SHIFT_SHARE)
     r3 = pm.select(
         F.lit(3).alias("rule"), F.lit("shift").alias("action"), F.lit("meta_cpas").alias("from_channel"),
         F.col("channel").alias("to_channel"), dol3.cast("double").alias("dollars"),

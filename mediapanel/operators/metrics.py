@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..config import Params
 from ..functions import exprs as X
+from ..sources import seeds as S
 from ..sources.seeds import MARKET_CODES, PAID_CHANNELS
 
 
@@ -202,8 +203,9 @@ def anomaly_level(deltas: DataFrame, p: Params) -> DataFrame:
     """First matching rule wins; a NULL spend delta counts as 0."""
     s = F.coalesce(F.col("spend_delta"), F.lit(0.0))
     r = F.coalesce(F.col("roas_shift_pct"), F.lit(0.0))
-    lvl = (F.when((F.abs(r) > 0.25) & (F.col("spend_now") > p.anomaly_spend_floor), "data_issue")
-           .when(s < -0.2, "slump").when(r < -0.15, "slump").when(s > 0.25, "spike").otherwise("healthy"))
+    lvl = (F.when((F.abs(r) > S.ANOMALY_ROAS_SWING) & (F.col("spend_now") > p.anomaly_spend_floor), "data_issue")
+           .when(s < S.ANOMALY_SPEND_SLUMP, "slump").when(r < S.ANOMALY_ROAS_SLUMP, "slump")
+           .when(s > S.ANOMALY_SPEND_SPIKE, "spike").otherwise("healthy"))
     return deltas.withColumn("level", lvl)
 
 

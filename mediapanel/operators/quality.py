@@ -14,17 +14,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.seeds import META_ALLOWED_WINDOWS
+from ..sources.seeds import DQ_EPS, DQ_GMV_BOUND, META_ALLOWED_WINDOWS
 
 
 def q01_evc_bounded(panel_evc: DataFrame) -> DataFrame:
-    return panel_evc.where(F.col("evc_conversions") > F.col("all_conversions") + 1e-6)
+    return panel_evc.where(F.col("evc_conversions") > F.col("all_conversions") + DQ_EPS)
 
 
 def q02_ads_gmv_bounded(panel: DataFrame) -> DataFrame:
     g = panel.where(F.col("platform_total_gmv_usd").isNotNull()).groupBy("date_local", "market", "platform").agg(
         F.sum("ads_attributed_gmv_usd").alias("ads_gmv"), F.max("platform_total_gmv_usd").alias("plat_gmv"))
-    return g.where(F.col("ads_gmv") > 1.05 * F.col("plat_gmv"))
+    return g.where(F.col("ads_gmv") > DQ_GMV_BOUND * F.col("plat_gmv"))
 
 
 def q03_no_negative(panel: DataFrame) -> DataFrame:
@@ -38,7 +38,7 @@ def q04_funnel_monotone(panel: DataFrame) -> DataFrame:
 
 
 def q05_voucher_bounded(shopee_ads_raw: DataFrame) -> DataFrame:
-    return shopee_ads_raw.where(F.col("Voucher_subsidy") > F.col("Spend") + 1e-6)
+    return shopee_ads_raw.where(F.col("Voucher_subsidy") > F.col("Spend") + DQ_EPS)
 
 
 def q06_every_market(panel: DataFrame, dim_market: DataFrame) -> DataFrame:
@@ -75,7 +75,7 @@ def q11_mega_sale_flag(panel: DataFrame, calendar: DataFrame) -> DataFrame:
 
 def q12_direct_leq_broad_gmv(panel: DataFrame) -> DataFrame:
     return panel.where(F.col("direct_gmv_usd").isNotNull() & F.col("broad_gmv_usd").isNotNull()
-                       & (F.col("direct_gmv_usd") > F.col("broad_gmv_usd") + 1e-6))
+                       & (F.col("direct_gmv_usd") > F.col("broad_gmv_usd") + DQ_EPS))
 
 
 def q14_unique_grain(df: DataFrame, grain: list[str]) -> DataFrame:

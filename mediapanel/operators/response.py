@@ -101,7 +101,7 @@ def seasonality_multiplier(days: DataFrame, events: DataFrame, dow=None, payday_
                     (base * F.coalesce("event_mult", F.lit(1.0))).alias("multiplier"))
 
 
-def gmv_cap(panel: DataFrame, share: float = 0.95) -> DataFrame:
+def gmv_cap(panel: DataFrame, share: float = seeds.GMV_CAP_SHARE) -> DataFrame:
     """M5 + J14: per (date, market, anchor platform) scale attributed GMV so
     its sum stays within ``share`` of the platform total; organic GMV = total
     - capped ads. One window sum instead of aggregate + join back."""
@@ -153,9 +153,9 @@ def voucher_share(panel: DataFrame, priors: DataFrame, mult: DataFrame) -> DataF
                                                    ["market", "date_local"], "left")
     m = F.coalesce(F.col("multiplier"), F.lit(1.0))
     s = s.withColumn("_m", m).withColumn("_mean", F.avg("_m").over(Window.partitionBy("market", "channel")))
-    pct = F.col("voucher_pct") * (F.lit(0.7) + 0.3 * F.col("_m") / F.col("_mean")) * \
-        F.when(F.col("_m") > 1.8, F.lit(1.3)).otherwise(F.lit(1.0))
-    pct = F.least(F.greatest(pct, F.lit(0.0)), F.lit(0.45))
+    pct = F.col("voucher_pct") * (F.lit(seeds.VOUCHER_BASE) + seeds.VOUCHER_SLOPE * F.col("_m") / F.col("_mean")) * \
+        F.when(F.col("_m") > seeds.VOUCHER_PEAK_MULT, F.lit(seeds.VOUCHER_PEAK_BOOST)).otherwise(F.lit(1.0))
+    pct = F.least(F.greatest(pct, F.lit(0.0)), F.lit(seeds.VOUCHER_MAX))
     return s.select("date_local", "market", "channel", F.col("_m").alias("multiplier"), pct.alias("voucher_pct"),
                     (F.col("spend_usd") * pct).alias("voucher_usd"))
 
@@ -236,7 +236,7 @@ def what_if(rows: DataFrame, patches: DataFrame, metrics=None) -> DataFrame:
     return out.select(*keep, *cols)
 
 
-def roas_bands(panel: DataFrame, priors: DataFrame, tolerance: float = 0.3) -> DataFrame:
+def roas_bands(panel: DataFrame, priors: DataFrame, tolerance: float = seeds.ROAS_BAND_TOLERANCE) -> DataFrame:
     """Aggregate ROAS per paid channel against its prior band widened by
     +-``tolerance``; ``in_band`` false marks a violation."""
     a = panel.where(F.col("channel").isin(*PAID)).groupBy("channel").agg(

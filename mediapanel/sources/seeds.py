@@ -137,6 +137,50 @@ TIKTOK_SPLITS = [("CTA", "click", 0.95, 0.80), ("VTA", "click_rest", None, 0.05)
 # Meta attribution windows still allowed.
 META_ALLOWED_WINDOWS = ["1d_click", "7d_click", "1d_view", "1d_ev"]
 
+# Anomaly levels (first match wins): |ROAS shift| above 25% with spend above
+# the floor -> data_issue; spend below -20% -> slump; ROAS shift below -15% ->
+# slump; spend above +25% -> spike; else healthy.
+ANOMALY_ROAS_SWING = 0.25
+ANOMALY_SPEND_SLUMP = -0.20
+ANOMALY_ROAS_SLUMP = -0.15
+ANOMALY_SPEND_SPIKE = 0.25
+
+# Reallocation rules: (trigger ROAS shift, cut share, scale share).
+REALLOC_GOOGLE = (-0.08, 0.15, 0.15)
+REALLOC_SHOPEE_ADS = (-0.05, 0.20, 0.12)
+REALLOC_SHIFT_SHARE = 0.10
+REALLOC_TRIM_IMPACT = 0.4
+
+# Pacing status band: forecast / plan below 0.95 behind, above 1.05 over.
+PACING_BAND = (0.95, 1.05)
+# Demo per-channel plan factor: 0.85 + (len(channel id) % 5) x 0.07.
+CHANNEL_PLAN_BASE, CHANNEL_PLAN_STEP, CHANNEL_PLAN_MOD = 0.85, 0.07, 5
+
+# Invariant tolerances: attributed GMV <= 1.05 x platform total; 1e-6 slack.
+DQ_GMV_BOUND = 1.05
+DQ_EPS = 1e-6
+
+# GMV cap share of the platform total; voucher share formula: base x (0.7 +
+# 0.3 x m / mean(m)) x 1.3 when m > 1.8, clipped to [0, 0.45].
+GMV_CAP_SHARE = 0.95
+VOUCHER_BASE, VOUCHER_SLOPE, VOUCHER_PEAK_MULT, VOUCHER_PEAK_BOOST, VOUCHER_MAX = 0.7, 0.3, 1.8, 1.3, 0.45
+# ROAS band tolerance around the prior band.
+ROAS_BAND_TOLERANCE = 0.3
+
+# Ad-type keywords of the objective, in match order.
+AD_TYPE_KEYWORDS = ["video", "live", "catalog", "search"]
+# Shop-landing rules for Google rows: final URL or campaign-name prefix.
+SHOPEE_URL_PATTERN = r"^https?://([a-z]+\.)?shopee\."
+SHOPEE_CAMPAIGN_PATTERN = r"^SHP[_-]"
+# Conversion kind -> attribution bucket per platform (anything else: click);
+# the second map is the reference's, where Meta 1d_view counts as click.
+EVC_BUCKETS = {
+    "google_ads_shopee": {"engaged_view": "evc", "view_through": "evc", "click_through": "click"},
+    "meta_cpas": {"1d_ev": "evc", "1d_view": "evc"},
+    "tiktok_ads": {"EVTA": "evc", "VTA": "evc"},
+}
+EVC_BUCKETS_COMPAT = {**EVC_BUCKETS, "meta_cpas": {"1d_ev": "evc"}}
+
 # What-if scenarios: scenario -> [(channel, metric, op, value)]
 SCENARIOS = {
     "competitor_launch": [
