@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT as P
 from ..operators import metrics as M
+from ..sources import seeds as S
 from ..sources.seeds import MARKET_CODES, PAID_CHANNELS
 from . import oracle as O
 from .chain import Chain
@@ -84,10 +85,11 @@ FROM deltas1
 """)
 frag("levels", ["deltas"], f"""
 SELECT *, CASE
-  WHEN abs(coalesce(roas_shift_pct, 0)) > 0.25 AND spend_now > {P.anomaly_spend_floor} THEN 'data_issue'
-  WHEN coalesce(spend_delta, 0) < -0.2 THEN 'slump'
-  WHEN coalesce(roas_shift_pct, 0) < -0.15 THEN 'slump'
-  WHEN coalesce(spend_delta, 0) > 0.25 THEN 'spike' ELSE 'healthy' END AS level
+  WHEN abs(coalesce(roas_shift_pct, 0)) > {S.ANOMALY_ROAS_SWING} AND spend_now > {P.anomaly_spend_floor}
+    THEN 'data_issue'
+  WHEN coalesce(spend_delta, 0) < {S.ANOMALY_SPEND_SLUMP} THEN 'slump'
+  WHEN coalesce(roas_shift_pct, 0) < {S.ANOMALY_ROAS_SLUMP} THEN 'slump'
+  WHEN coalesce(spend_delta, 0) > {S.ANOMALY_SPEND_SPIKE} THEN 'spike' ELSE 'healthy' END AS level
 FROM deltas
 """)
 frag("mkt_kpi", ["story"], _kpi_sql("story", ["wk", "market"]))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT as P
 from ..operators import decisions as D
+from ..sources import seeds as S
 from . import oracle as O
 from .chain import Chain
 from .registry import _r4, r4, register
@@ -131,8 +132,9 @@ WITH k AS ({_kpi_sql('month_rows', [])}),
 u AS ({_pace_sql()})
 SELECT metric, {_r4('actual')}, {_r4('plan')}, {_r4('forecast')}, {DOM} AS day_of_month, {MD - DOM} AS days_left,
   {_r4('CASE WHEN plan > 0 THEN forecast / plan ELSE 0 END', 'pace_ratio')},
-  CASE WHEN (CASE WHEN plan > 0 THEN forecast / plan ELSE 0 END) < 0.95 THEN 'behind'
-       WHEN (CASE WHEN plan > 0 THEN forecast / plan ELSE 0 END) > 1.05 THEN 'over' ELSE 'on' END AS status
+  CASE WHEN (CASE WHEN plan > 0 THEN forecast / plan ELSE 0 END) < {S.PACING_BAND[0]} THEN 'behind'
+       WHEN (CASE WHEN plan > 0 THEN forecast / plan ELSE 0 END) > {S.PACING_BAND[1]} THEN 'over' ELSE 'on' END
+    AS status
 FROM u""", "month_rows"))
 def q_pacing(c: Chain) -> DataFrame:
     d = D.pacing(c.scan, c.p)
@@ -146,27 +148,32 @@ WITH a AS (
   FROM taxonomy t LEFT JOIN (SELECT channel, sum(spend_usd) AS actual FROM month_rows GROUP BY 1) s
     ON s.channel = t.channel
   WHERE t.grp <> 'organic'),
-b AS (SELECT *, forecast * (0.85 + (length(channel) % 5) * 0.07) AS plan FROM a)
+b AS (SELECT *, forecast * ({S.CHANNEL_PLAN_BASE} + (length(channel) % {S.CHANNEL_PLAN_MOD}) * {S.CHANNEL_PLAN_STEP})
+      AS plan FROM a)
 SELECT channel, label, {_r4('actual')}, {_r4('plan')}, {_r4('forecast')},
   {_r4('forecast / greatest(plan, 1)', 'pace_ratio')},
-  CASE WHEN forecast / greatest(plan, 1) < 0.95 THEN 'behind' WHEN forecast / greatest(plan, 1) > 1.05 THEN 'over'
-       ELSE 'on' END AS status
+  CASE WHEN forecast / greatest(plan, 1) < {S.PACING_BAND[0]} THEN 'behind'
+       WHEN forecast / greatest(plan, 1) > {S.PACING_BAND[1]} THEN 'over' ELSE 'on' END AS status
 FROM b""", "month_rows", "taxonomy"))
 def q_channel_pacing(c: Chain) -> DataFrame:
     d = D.channel_pacing(c.scan, c.taxonomy, c.p)
     return d.select("channel", "label", r4("actual"), r4("plan"), r4("forecast"), r4("pace_ratio"), "status")
 
 
+GT, GC, GS = S.REALLOC_GOOGLE
+ST, SC, SS = S.REALLOC_SHOPEE_ADS
+K, SH = S.REALLOC_TRIM_IMPACT, S.REALLOC_SHIFT_SHARE
 SHOPEE_ORDER_SQL = "list_position(['" + "', '".join(D.SHOPEE_AD_ORDER) + "'], channel)"
 
 
 @register("reallocation", O.sql(f"""
-WITH g AS (SELECT *, roas_shift_pct < -0.08 AS trim, floor(spend_now * 0.15 + 0.5) AS dol
+WITH g AS (SELECT *, roas_shift_pct < {GT} AS trim,
+             floor(spend_now * CASE WHEN roas_shift_pct < {GT} THEN {GC} ELSE {GS} END + 0.5) AS dol
            FROM deltas WHERE channel = 'google_ads_shopee'),
 sh0 AS (SELECT *, row_number() OVER (ORDER BY spend_now DESC, {SHOPEE_ORDER_SQL}) AS r FROM deltas
         WHERE channel IN ('{"', '".join(D.SHOPEE_AD_ORDER)}')),
-sh AS (SELECT *, roas_shift_pct < -0.05 AS trim,
-         floor(spend_now * CASE WHEN roas_shift_pct < -0.05 THEN 0.2 ELSE 0.12 END + 0.5) AS dol
+sh AS (SELECT *, roas_shift_pct < {ST} AS trim,
+         floor(spend_now * CASE WHEN roas_shift_pct < {ST} THEN {SC} ELSE {SS} END + 0.5) AS dol
        FROM sh0 WHERE r = 1),
 cand AS (SELECT * FROM deltas WHERE channel NOT IN ('google_ads_shopee', 'meta_cpas')
            AND channel NOT IN (SELECT channel FROM sh)
@@ -176,15 +183,15 @@ meta AS (SELECT spend_now AS m_spend, roas_now AS m_roas FROM deltas WHERE chann
 u AS (
   SELECT 1 AS rule, CASE WHEN trim THEN 'cut' ELSE 'scale' END AS action,
     CASE WHEN trim THEN channel END AS from_channel, CASE WHEN NOT trim THEN channel END AS to_channel,
-    dol AS dollars, CASE WHEN trim THEN -floor(dol * (roas_now * 0.4) + 0.5) ELSE floor(dol * roas_now + 0.5) END
+    dol AS dollars, CASE WHEN trim THEN -floor(dol * (roas_now * {K}) + 0.5) ELSE floor(dol * roas_now + 0.5) END
       AS impact, 'high' AS conviction FROM g
   UNION ALL
   SELECT 2, CASE WHEN trim THEN 'cut' ELSE 'scale' END, CASE WHEN trim THEN channel END,
     CASE WHEN NOT trim THEN channel END, dol,
-    CASE WHEN trim THEN -floor(dol * (roas_now * 0.4) + 0.5) ELSE floor(dol * roas_now + 0.5) END, 'medium' FROM sh
+    CASE WHEN trim THEN -floor(dol * (roas_now * {K}) + 0.5) ELSE floor(dol * roas_now + 0.5) END, 'medium' FROM sh
   UNION ALL
-  SELECT 3, 'shift', 'meta_cpas', p.channel, floor(least(m_spend, p.spend_now) * 0.1 + 0.5),
-    greatest(floor(floor(least(m_spend, p.spend_now) * 0.1 + 0.5) * (p.roas_now - m_roas) + 0.5), 0), 'medium'
+  SELECT 3, 'shift', 'meta_cpas', p.channel, floor(least(m_spend, p.spend_now) * {SH} + 0.5),
+    greatest(floor(floor(least(m_spend, p.spend_now) * {SH} + 0.5) * (p.roas_now - m_roas) + 0.5), 0), 'medium'
   FROM partner p, meta)
 SELECT cast(rule AS int) AS rule, action, from_channel, to_channel, {_r4('dollars')}, {_r4('impact')}, conviction
 FROM u""", "deltas"))
