@@ -297,7 +297,7 @@ def stg_evc(evc_google: DataFrame, evc_meta: DataFrame, evc_tiktok: DataFrame,
             F.col("conversions").cast("double").alias("c"), F.col("conversion_value").alias("v"),
             "_source_system"))
     # One aggregation over the union: three sources share the output grain.
-    return (g.unionByName(m).unionByName(t).groupBy(*keys).agg(
+    # The source system is constant per channel: grouped on (hash aggregate).
+    return (g.unionByName(m).unionByName(t).groupBy(*keys, "_source_system").agg(
         F.sum("c").alias("conversions"),
-        F.sum("v").alias("conversion_value_local"),
-        F.min("_source_system").alias("_source_system")))
+        F.sum("v").alias("conversion_value_local")))

@@ -51,15 +51,16 @@ def fact_platform_sales(stg: DataFrame, fx: DataFrame, as_of: dt.date,
     a sorted array of (traffic_source, cnt) while summing the measures.
     """
     base = stg.where(refresh_window(stg, as_of, refresh_days))
-    lvl1 = base.groupBy(*SALES_GRAIN, "traffic_source").agg(
-        F.min("currency").alias("currency"),
+    # Currency is constant per grain (it follows the market), so it is a
+    # grouping key rather than a string aggregate: string buffers would force
+    # a sort-based aggregate; grouping keeps both levels hash aggregates.
+    lvl1 = base.groupBy(*SALES_GRAIN, "currency", "traffic_source").agg(
         F.count(F.lit(1)).alias("cnt"),
         F.count_if(F.col("is_cancelled")).alias("n_cancelled"),
         F.sum("gmv_local").alias("gross"),
         F.sum(F.when(F.col("is_cancelled"), F.lit(0)).otherwise(F.col("gmv_local"))).alias("net"),
     )
-    agg = lvl1.groupBy(*SALES_GRAIN).agg(
-        F.min("currency").alias("currency"),
+    agg = lvl1.groupBy(*SALES_GRAIN, "currency").agg(
         F.sum("cnt").alias("orders_gross"),
         F.sum("n_cancelled").alias("orders_cancelled"),
         F.sum("gross").cast("decimal(28,4)").alias("gmv_gross_local"),
@@ -80,28 +81,24 @@ def distinct_orders(stg: DataFrame, as_of: dt.date, refresh_days: int | None = N
 
 
 def fact_onplatform_ads(stg: DataFrame, as_of: dt.date, refresh_days: int | None = None) -> DataFrame:
-    """A3: eleven sums per grain; window and currency by ``min`` (deterministic)."""
+    """A3: eleven sums per grain. Attribution window and currency are constant
+    per grain (per connector / market) and are grouped on, which keeps the
+    aggregate a hash aggregate (no string buffers)."""
     base = stg.where(refresh_window(stg, as_of, refresh_days))
     sums = ["spend_local", "spend_usd", "impressions", "clicks", "video_views_2s_or_6s",
             "direct_orders", "broad_orders", "direct_gmv_local", "broad_gmv_local",
             "direct_gmv_usd", "broad_gmv_usd"]
-    return base.groupBy(*ONPLATFORM_GRAIN).agg(
-        *[F.sum(c).alias(c) for c in sums],
-        F.min("attribution_window").alias("attribution_window"),
-        F.min("currency").alias("currency"),
-    )
+    return base.groupBy(*ONPLATFORM_GRAIN, "attribution_window", "currency").agg(
+        *[F.sum(c).alias(c) for c in sums])
 
 
 def fact_offplatform_ads(stg: DataFrame, as_of: dt.date, refresh_days: int | None = None) -> DataFrame:
-    """A4: eight sums per grain."""
+    """A4: eight sums per grain (window and currency grouped on, see A3)."""
     base = stg.where(refresh_window(stg, as_of, refresh_days))
     sums = ["spend_local", "spend_usd", "impressions", "clicks", "add_to_cart", "purchases_reported",
             "purchase_value_reported_local", "purchase_value_reported_usd"]
-    return base.groupBy(*OFFPLATFORM_GRAIN).agg(
-        *[F.sum(c).alias(c) for c in sums],
-        F.min("attribution_window").alias("attribution_window"),
-        F.min("currency").alias("currency"),
-    )
+    return base.groupBy(*OFFPLATFORM_GRAIN, "attribution_window", "currency").agg(
+        *[F.sum(c).alias(c) for c in sums])
 
 
 def fact_evc(stg: DataFrame, dim_market: DataFrame, fx: DataFrame, as_of: dt.date,
@@ -109,10 +106,9 @@ def fact_evc(stg: DataFrame, dim_market: DataFrame, fx: DataFrame, as_of: dt.dat
     """EVC in USD; currency from the market, rate from (date, currency)."""
     s = stg.join(F.broadcast(dim_market.select("market", "currency")), "market", "left")
     s = _fx(s.where(refresh_window(s, as_of, refresh_days)), fx)
-    return s.groupBy(*EVC_GRAIN).agg(
+    return s.groupBy(*EVC_GRAIN, "currency").agg(
         F.sum("conversions").alias("conversions"),
         F.sum("conversion_value_local").alias("conversion_value_local"),
         F.try_divide(F.sum("conversion_value_local").cast("double"),
                      F.max("usd_rate").cast("double")).alias("conversion_value_usd"),
-        F.min("currency").alias("currency"),
     )

@@ -223,13 +223,15 @@ def what_if(rows: DataFrame, patches: DataFrame, metrics=None) -> DataFrame:
     bad = [r[0] for r in patches.select("metric").distinct().collect() if r[0] not in metrics]
     if bad:
         raise ValueError(f"unknown metric(s): {bad}")
-    pw = patches.groupBy("channel").pivot("metric", metrics).agg(
-        F.first("op").alias("op"), F.first("value").alias("v"))
+    # ops as integer codes keep the pivot a hash aggregate
+    code = F.when(F.col("op") == "set", 1).when(F.col("op") == "mul", 2).when(F.col("op") == "add", 3)
+    pw = patches.withColumn("_op", code).groupBy("channel").pivot("metric", metrics).agg(
+        F.max("_op").alias("op"), F.max("value").alias("v"))
     out = rows.join(F.broadcast(pw), "channel", "left")
     cols = []
     for m in metrics:
         op, v = F.col(f"{m}_op"), F.col(f"{m}_v")
-        new = (F.when(op == "set", v).when(op == "mul", F.col(m) * v).when(op == "add", F.col(m) + v)
+        new = (F.when(op == 1, v).when(op == 2, F.col(m) * v).when(op == 3, F.col(m) + v)
                .when(op.isNull(), F.col(m)))
         cols.append(new.alias(m))
     keep = [c for c in rows.columns if c not in metrics]

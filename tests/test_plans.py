@@ -17,9 +17,10 @@ def _plan(df) -> str:
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_cross_join_or_python_in_plan(spark, name):
+def test_no_cross_join_python_or_sort_aggregate_in_plan(spark, name):
     plan = _plan(QUERIES[name](spark, SMALL))
-    for op in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+    for op in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+               "SortAggregate"):
         assert op not in plan, f"{name}: {op}"
 
 
