@@ -10,13 +10,13 @@ from __future__ import annotations
 import os
 import re
 import sys
-import tempfile
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from mediapanel.plans.chain import Chain  # noqa: E402
 from mediapanel.plans.registry import QUERIES  # noqa: E402
-from mediapanel.session import get_spark  # noqa: E402
+from mediapanel.session import checkpoint_dir, get_spark  # noqa: E402
 
 
 def formatted(df) -> str:
@@ -41,7 +41,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_spark()
     lazy = Chain(spark, sf_dir, cache_marts=False)
-    base = tempfile.mkdtemp(prefix="plans-")
+    base = f"{checkpoint_dir(spark).rstrip('/')}/plans-{uuid.uuid4().hex[:8]}"
     landed = Chain(spark, sf_dir, cache_marts=False)
     landed.land_bronze(base)
     landed.materialize(base)
