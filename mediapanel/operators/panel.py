@@ -36,7 +36,7 @@ def onplatform_channel(platform, ad_type):
 
 
 def daily_channel_panel(fact_sales: DataFrame, fact_on: DataFrame, fact_off: DataFrame,
-                        calendar: DataFrame, compat: bool = False) -> DataFrame:
+                        calendar: DataFrame, compat: bool = False, traffic_split: bool = False) -> DataFrame:
     """A7-A10 -> U1 -> J5/J6 -> PF12.
 
     Platform totals are computed once and serve both as the per-row totals
@@ -89,6 +89,17 @@ def daily_channel_panel(fact_sales: DataFrame, fact_on: DataFrame, fact_off: Dat
         F.lit(None).cast("double").alias("broad_gmv_usd"),
     )
     u = onp.unionByName(offp).unionByName(org)
+    if traffic_split:
+        # X3 (off by default): live / video organic channels of the TikTok
+        # shop, GMV = platform GMV x the channel's share of order lines.
+        from .features import traffic_split_organic
+        ts = traffic_split_organic(fact_sales).select(
+            "date_local", "market", "channel", F.lit("tiktok_shop").alias("anchor_platform"),
+            F.lit(0.0).alias("spend_usd"), F.lit(None).cast("long").alias("impressions"),
+            F.lit(None).cast("long").alias("clicks"), F.lit(None).cast("long").alias("ads_attributed_orders"),
+            F.col("gmv_usd").alias("ads_attributed_gmv_usd"), F.lit(None).cast("double").alias("direct_gmv_usd"),
+            F.lit(None).cast("double").alias("broad_gmv_usd"))
+        u = u.unionByName(ts)
     # Totals per (date, market, platform) are bounded by days x markets x
     # platforms; AQE broadcasts them when small and keeps a shuffle join beyond.
     t = totals.withColumnRenamed("platform", "anchor_platform")

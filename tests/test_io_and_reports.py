@@ -83,3 +83,16 @@ def test_daily_refresh_reproduces_full_build(spark, tmp_path):
     p = out.panel
     got = [tuple(r) for r in p.select(sorted(p.columns)).collect()]
     assert sorted(got, key=str) == sorted(snap["panel"], key=str)
+
+
+def test_panel_traffic_split_channels(spark):
+    """Optional live / video organic rows from the traffic mix."""
+    from mediapanel.operators.panel import daily_channel_panel
+    c = Chain(spark, SMALL, cache_marts=False)
+    base = daily_channel_panel(c.fact_platform_sales, c.fact_onplatform_ads, c.fact_offplatform_ads, c.calendar)
+    split = daily_channel_panel(c.fact_platform_sales, c.fact_onplatform_ads, c.fact_offplatform_ads, c.calendar,
+                                traffic_split=True)
+    extra = split.where(F.col("channel").isin("tiktok_shop_live", "tiktok_shop_video"))
+    assert base.where(F.col("channel").isin("tiktok_shop_live", "tiktok_shop_video")).count() == 0
+    assert extra.count() > 0 and split.count() == base.count() + extra.count()
+    assert extra.where("spend_usd <> 0 OR platform <> 'tiktok_shop'").count() == 0
