@@ -46,13 +46,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use ``spark.checkpoint.dir`` when the cluster sets it; only when it is
-    unset (local tests) fall back to a fresh scratch folder."""
+    """Use ``spark.checkpoint.dir`` when it is set. Unset, a session that runs
+    in one local process (tests, the bench) gets a scratch folder; a cluster
+    has to name a folder that all its machines share."""
     current = checkpoint_dir(spark)
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"master {master}: set spark.checkpoint.dir to a folder that all machines share")
     path = tempfile.mkdtemp(prefix="mediapanel-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
