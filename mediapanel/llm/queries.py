@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mediapanel.llm import bpe, sharding
+from mediapanel.llm import bpe, langid, sharding
 from mediapanel.llm.common import table
 
 
@@ -15,6 +15,10 @@ def _vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"), _vocabulary(), with_outputs=False)
 
@@ -24,6 +28,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_langid": op1_langid,
     "op4_bpe": op4_bpe,
     "op8_sharding": op8_sharding,
 }
