@@ -161,7 +161,7 @@ def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray,
 
 def build_index(vectors: DataFrame, blocks: int) -> DataFrame:
     """(block, ids, dims, bits, low, slices): one row per block."""
-    def build(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def build(key, pdf):
         pdf = pdf.sort_values("vec_id", kind="stable")
         slices, low = slice_block(_matrix(pdf["v"]))
         return pd.DataFrame({"block": [key[0]], "ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()],
@@ -195,7 +195,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int =
     # One copy of an index block per query group: the pairs of blocks.
     index = index.withColumn("qgroup", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
 
-    def pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def pair(left, right):
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64),
                                  "score": np.zeros(0, np.int64)})
