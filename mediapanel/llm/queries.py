@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mediapanel.llm import bpe, html_extract, langid, sharding, topk
+from mediapanel.llm import bpe, html_extract, langid, sharding, substring_dedup, topk
 from mediapanel.llm.common import table
 
 
@@ -19,6 +19,11 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs, with_text=False)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"), _vocabulary(), with_outputs=False)
 
@@ -37,6 +42,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
+    "op2_substring_dedup": op2_substring_dedup,
     "op4_bpe": op4_bpe,
     "op5_topk": op5_topk,
     "op7_html": op7_html,
