@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mediapanel.llm import bpe, html_extract, langid, sharding, substring_dedup, topk
+from mediapanel.llm import bpe, html_extract, langid, near_dedup, sharding, substring_dedup, topk
 from mediapanel.llm.common import table
 
 
@@ -40,6 +40,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_substring_dedup": op2_substring_dedup,
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_topk": op5_topk,
     "op7_html": op7_html,
     "op8_sharding": op8_sharding,
+    "op9_near_dedup": op9_near_dedup,
 }
 
 ORACLE: dict[str, str] = {
