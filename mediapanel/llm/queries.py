@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mediapanel.llm import bpe, html_extract, langid, near_dedup, sharding, substring_dedup, topk
+from mediapanel.llm import bpe, html_extract, langid, near_dedup, sharding, substring_dedup, topk, toxicity
 from mediapanel.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(docs, with_text=False)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"), _vocabulary(), with_outputs=False)
 
@@ -47,6 +51,7 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_bpe": op4_bpe,
     "op5_topk": op5_topk,
     "op7_html": op7_html,
