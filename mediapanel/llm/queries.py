@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mediapanel.llm import bpe, html_extract, langid, near_dedup, sharding, substring_dedup, topk, toxicity
+from mediapanel.llm import bpe, html_extract, langid, near_dedup, pii, sharding, substring_dedup, topk, toxicity
 from mediapanel.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k_of_embeddings(table(spark, sf_dir, "embeddings"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_bpe": op4_bpe,
     "op5_topk": op5_topk,
+    "op6_pii": op6_pii,
     "op7_html": op7_html,
     "op8_sharding": op8_sharding,
     "op9_near_dedup": op9_near_dedup,
