@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mediapanel.llm import bpe, html_extract, langid, near_dedup, pii, sharding, substring_dedup, topk, toxicity
+from mediapanel.llm import bpe, decontaminate, html_extract, langid, near_dedup, pii, sharding, substring_dedup, topk, toxicity
 from mediapanel.llm.common import table
 
 
@@ -52,6 +52,10 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_substring_dedup": op2_substring_dedup,
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_html": op7_html,
     "op8_sharding": op8_sharding,
     "op9_near_dedup": op9_near_dedup,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE: dict[str, str] = {
