@@ -42,10 +42,10 @@ from mediapanel.llm.components import connected_components
 INDEX_K = 32
 NEED = 11
 WHOLE = 25          # sets up to this size share ceil(0.8 * size) sketch values at least
-UNION_K = 128
-UNION_NEED = 80     # of UNION_K; 128 draws at 0.8 stay above it but for a chance of 1e-6
-UNION_LEAST = 0.62  # estimate of a pair at 0.8, less five standard deviations
-BLOCK = 1024
+UNION_K = 256
+UNION_NEED = 173    # of UNION_K: what 256 draws at 0.8 come to, less five standard deviations
+UNION_LEAST = 0.675  # the same as a share
+BLOCK = 512
 BITMAP_BITS = 26
 HASH_TABLE = 500_000
 
@@ -209,11 +209,36 @@ def union_estimate(a: np.ndarray, b: np.ndarray, k: int = UNION_K) -> float:
     return float(np.isin(union, np.intersect1d(a, b, True)).sum()) / max(1, len(union))
 
 
-def block_pairs(side: np.ndarray, cid: np.ndarray, n: np.ndarray, shared: np.ndarray,
+def _forest(i: np.ndarray, j: np.ndarray, cid: np.ndarray, linked: np.ndarray, sure: np.ndarray) -> list[int]:
+    """Indices of the pairs to keep: all that are not sure, and of the sure
+    links those that join what the ones before them had not joined."""
+    parent: dict[int, int] = {c: -1 if on else c for c, on in zip(cid.tolist(), linked.tolist())}
+    parent[-1] = -1  # stands for the pivot
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    keep = []
+    for k, (a, b, known) in enumerate(zip(cid[i].tolist(), cid[j].tolist(), sure.tolist())):
+        if known:
+            a, b = root(a), root(b)
+            if a == b:
+                continue
+            parent[max(a, b)] = min(a, b)
+        keep.append(k)
+    return keep
+
+
+def block_pairs(side: np.ndarray, cid: np.ndarray, n: np.ndarray, shared: np.ndarray, linked: np.ndarray,
                 sketch: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (row of side 0, row of side 1) that may be similar enough. Side 0
     are members not linked to the pivot, side 1 all members; ``shared`` is the
-    overlap with the pivot. Pairs found from both ends count once."""
+    overlap with the pivot. Pairs found from both ends count once. Sets that
+    the sketch holds whole are compared exactly, and of their links a spanning
+    forest is enough."""
     x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     if not len(x) or not len(y):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -241,9 +266,11 @@ def block_pairs(side: np.ndarray, cid: np.ndarray, n: np.ndarray, shared: np.nda
     both_open = np.isin(cid[y], cid[x])[None, :]
     ok &= ~both_open | (cid[x][:, None] < cid[y][None, :])
     i, j = np.nonzero(ok)
-    pass_ = [max(n[x[p]], n[y[q]]) <= UNION_K or union_estimate(sketch[x[p]], sketch[y[q]]) >= UNION_LEAST
-             for p, q in zip(i, j)]
-    keep = np.array(pass_, bool) if len(pass_) else np.zeros(0, bool)
+    sure = large[i, j] <= UNION_K
+    est = np.array([known or union_estimate(sketch[x[p]], sketch[y[q]]) >= UNION_LEAST
+                    for p, q, known in zip(i, j, sure)], bool)
+    i, j, sure = i[est], j[est], sure[est]
+    keep = _forest(x[i], y[j], cid, linked, sure)
     return x[i[keep]], y[j[keep]]
 
 
@@ -261,13 +288,14 @@ def open_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     left = (rows.where(~F.col("linked")).withColumn("x", deal(xs, 1)).withColumn("y", every(ys))
             .withColumn("side", F.lit(0)))
     right = rows.withColumn("y", deal(ys, 2)).withColumn("x", every(xs)).withColumn("side", F.lit(1))
-    cols = ["pivot", "x", "y", "side", "cid", "n", "shared", "sketch"]
+    cols = ["pivot", "x", "y", "side", "cid", "n", "shared", "linked", "sketch"]
 
     def run(table: pa.Table) -> pa.Table:
         t = table.combine_chunks()
         cid = t.column("cid").to_numpy()
         sketch = [np.asarray(s.as_py(), np.int64).view(np.uint64) for s in t.column("sketch")]
-        i, j = block_pairs(t.column("side").to_numpy(), cid, t.column("n").to_numpy(), t.column("shared").to_numpy(), sketch)
+        i, j = block_pairs(t.column("side").to_numpy(), cid, t.column("n").to_numpy(), t.column("shared").to_numpy(),
+                           t.column("linked").to_numpy(), sketch)
         return pa.table({"a": pa.array(cid[i], pa.int64()), "b": pa.array(cid[j], pa.int64())})
 
     return (left.select(*cols).unionByName(right.select(*cols)).groupBy("pivot", "x", "y")
