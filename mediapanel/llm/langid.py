@@ -94,7 +94,7 @@ class ContextTrees:
     def __init__(self, grams: dict[str, dict[int, tuple[np.ndarray, np.ndarray]]]):
         self.langs = sorted(grams)
         n_langs = len(self.langs)
-        alphabet = sorted({int(b) for g in grams.values() for b in g[1][0]})
+        alphabet = sorted({32} | {int(b) for g in grams.values() for b in g[1][0]})
         self.letter = np.zeros(256, np.int64)
         self.letter[alphabet] = np.arange(1, len(alphabet) + 1)
         self.width = len(alphabet) + 1
@@ -102,8 +102,11 @@ class ContextTrees:
         self.cost: list[np.ndarray] = [np.full((1, n_langs), 8.0)]  # a byte never seen
         self.escape: list[np.ndarray] = []  # by node of the context, 0: unknown context
         codes = [np.zeros(1, np.int64)]  # of the nodes of each length, without node 0
+        nodes = {ORDER + 1: np.unique(np.concatenate([grams[x][ORDER + 1][0] for x in self.langs]))}
+        for m in range(ORDER, 0, -1):  # the spaces before a text are contexts, though no grams
+            nodes[m] = np.unique(np.concatenate([grams[x][m][0] for x in self.langs] + [nodes[m + 1] >> 8]))
         for m in range(1, ORDER + 2):
-            here = np.unique(np.concatenate([grams[x][m][0] for x in self.langs]))
+            here = nodes[m]
             parents = (np.searchsorted(codes[m - 1], here >> 8) + 1) if m > 1 else np.ones(len(here), np.int64)
             parent_rows = len(codes[m - 1]) + 1
             child = np.zeros(parent_rows * self.width, np.int32)
