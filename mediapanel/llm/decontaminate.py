@@ -307,6 +307,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         part = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
         items = [(r[0], words_of(r[1])) for r in part.orderBy("item_id", "text").collect()]
         items = [(i, w) for i, w in items if w]
+        if not items:
+            continue
         vocabulary = {w: k + 1 for k, w in enumerate(sorted({w for _, ws in items for w in ws}))}
         item_terms = [np.array([vocabulary[w] for w in ws], np.int64) for _, ws in items]
         terms = written(term_rows(docs, vocabulary), "terms")
@@ -322,4 +324,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         # Names of one block of items: of fixed size.
         found.append(search(terms, items, item_terms, weight, basis).join(F.broadcast(names), "item")
                      .groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*"))
+    if not found:
+        kinds = [f"{c} {d.schema[c].dataType.simpleString()}" for c, d in (("doc_id", docs), ("item_id", benchmark))]
+        return docs.sparkSession.createDataFrame(
+            [], ", ".join(kinds) + ", cosine double, lcs double, answer double, start long, stop long")
     return reduce(DataFrame.unionByName, found)

@@ -303,12 +303,10 @@ def open_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
-def near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) per row of ``docs`` (doc_id,
-    text): components of documents whose shingle sets have a Jaccard
-    similarity of 0.8 or more."""
-    text = text_or_empty(F.col("text"))
-    rows = docs.select("doc_id", F.xxhash64(F.col("doc_id").cast("string"), text).alias("row_key"), text.alias("text"))
+def _components(rows: DataFrame, words: int) -> DataFrame:
+    """(doc_id, row_key, n, group, name) per row of ``rows`` (doc_id, row_key,
+    text): the component's key and its smallest doc_id; both null for an
+    empty set."""
     base = written(sketches(rows, words), "sketches")
     classes = (base.where(F.col("cid").isNotNull()).groupBy("cid")
                .agg(F.min("doc_id").alias("first_doc"), F.min(F.struct("doc_id", "row_key")).alias("r"),
@@ -330,10 +328,35 @@ def near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
     roots = connected_components(links)
     named = roots.join(classes.select(F.col("cid").alias("u"), "first_doc"), "u")
     of_root = named.groupBy("root").agg(F.min("first_doc").alias("least"))
-    linked = named.join(of_root, "root").select(F.col("u").alias("cid"), "least")
+    linked = named.join(of_root, "root").select(F.col("u").alias("cid"), "root", "least")
     names = (classes.select("cid", "first_doc").join(linked, "cid", "left")
-             .select("cid", F.coalesce("least", "first_doc").alias("name")))
-    return (base.select("doc_id", "n", "cid").join(names, "cid", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.coalesce("name", "doc_id").alias("component_id"))
+             .select("cid", F.coalesce("root", "cid").alias("group"), F.coalesce("least", "first_doc").alias("name")))
+    return base.select("doc_id", "row_key", "n", "cid").join(names, "cid", "left").drop("cid")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    text = text_or_empty(F.col("text"))
+    return docs.select("doc_id", F.xxhash64(F.col("doc_id").cast("string"), text).alias("row_key"), text.alias("text"))
+
+
+def near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) per row of ``docs`` (doc_id,
+    text): components of documents whose shingle sets have a Jaccard
+    similarity of 0.8 or more."""
+    return (_components(_keyed(docs), words)
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("name", "doc_id").alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def deduplicated(docs: DataFrame, words: int = 5) -> DataFrame:
+    """``docs`` (all its columns) with one row left of each component, that of
+    the smallest doc_id; rows without shingles all stay."""
+    found = _components(_keyed(docs), words)
+    best = F.min_by("row_key", F.struct(F.col("doc_id").isNull(), "doc_id", "row_key"))
+    stay = (found.where(F.col("n") > 0).groupBy("group").agg(best.alias("__key")).select("__key", F.lit(True).alias("__one"))
+            .unionByName(found.where(F.col("n") == 0).select(F.col("row_key").alias("__key"), F.lit(False).alias("__one"))
+                         .distinct()))
+    keyed = docs.withColumn("__key", F.xxhash64(F.col("doc_id").cast("string"), text_or_empty(F.col("text"))))
+    left = keyed.join(stay, "__key")
+    one = left.where("__one").dropDuplicates(["__key"])
+    return one.unionByName(left.where("NOT __one")).select(*docs.columns)

@@ -10,7 +10,7 @@ from mediapanel.llm import bpe, decontaminate, html_extract, langid, near_dedup,
 from mediapanel.llm.common import table
 
 
-def _vocabulary() -> str:
+def vocabulary_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")
 
@@ -29,7 +29,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode_texts(table(spark, sf_dir, "documents"), _vocabulary(), with_outputs=False)
+    return bpe.encode_texts(table(spark, sf_dir, "documents"), vocabulary_path(), with_outputs=False)
 
 
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
