@@ -89,7 +89,7 @@ def stg_platform_sales(shopee_orders: DataFrame, tiktok_orders: DataFrame, dim_m
         u = u.where(F.col("create_time_utc") >= F.lit(since - dt.timedelta(days=1)).cast("timestamp"))
     order = [F.col(c).desc_nulls_last() for c in
              ("ingested_at", "item_id", "shop_id", "gmv_local", "quantity", "order_status",
-              "traffic_source", "create_time_utc")]
+              "traffic_source", "create_time_utc", "market", "currency", "pay_time_utc", "complete_time_utc")]
     d = latest_wins(u, ["platform", "order_id", "sku_id"], order)
     d = d.join(F.broadcast(dim_market.select("market", "timezone")), "market", "left")
     return d.select(
@@ -168,7 +168,8 @@ def stg_onplatform_ads(tiktok_ads: DataFrame, shopee_ads: DataFrame, fx: DataFra
         keys.append("ad_key")
     order = [F.col(c).desc_nulls_last() for c in
              ("ingested_at", "spend_local", "impressions", "clicks", "direct_gmv_local",
-              "broad_gmv_local", "direct_orders", "objective", "ad_key")]
+              "broad_gmv_local", "direct_orders", "objective", "ad_key", "broad_orders",
+              "video_views_2s_or_6s", "currency", "attribution_window")]
     d = _fx_join(latest_wins(u, keys, order), fx, "date_report")
     return d.select(
         "platform", "market", "ad_type", "objective", "campaign_id", "ad_group_id", "sku_id",
@@ -244,7 +245,8 @@ def stg_offplatform_ads(meta: DataFrame, google: DataFrame, fx: DataFrame,
         keys.append("ad_key")
     order = [F.col(c).desc_nulls_last() for c in
              ("ingested_at", "spend_local", "impressions", "clicks", "purchases_reported",
-              "purchase_value_reported_local", "campaign_type", "catalog_id", "ad_key")]
+              "purchase_value_reported_local", "campaign_type", "catalog_id", "ad_key", "add_to_cart",
+              "destination_platform", "currency", "attribution_window")]
     d = _fx_join(latest_wins(u, keys, order), fx, "date_report")
     return d.select(
         "platform", "market", "destination_platform", "campaign_id", "ad_set_or_ad_group_id",

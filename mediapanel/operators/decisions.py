@@ -133,9 +133,10 @@ def _month_days(p: Params) -> int:
     return 30 if p.compat else calendar.monthrange(p.as_of.year, p.as_of.month)[1]
 
 
-def pacing(scan: DataFrame, p: Params) -> DataFrame:
-    """R8 + R9: month-to-date actuals, linear forecast to month end, plan =
-    forecast x plan multiplier (until a budget table exists), dial status.
+def pacing(scan: DataFrame, p: Params, budgets: DataFrame | None = None) -> DataFrame:
+    """R8 + R9: month-to-date actuals, linear forecast to month end, plan from
+    ``budgets`` (metric, plan) when given (a metric without one has plan 0),
+    else forecast x plan multiplier; dial status.
 
     D16: the month length is the real one (``compat``: 30 days)."""
     dom = p.as_of.day
@@ -153,6 +154,9 @@ def pacing(scan: DataFrame, p: Params) -> DataFrame:
     u = parts[0]
     for x in parts[1:]:
         u = u.unionByName(x)
+    if budgets is not None:
+        u = u.drop("plan").join(F.broadcast(budgets.groupBy("metric").agg(F.sum("plan").alias("plan"))), "metric", "left") \
+             .withColumn("plan", F.coalesce("plan", F.lit(0.0)))  # four metrics
     ratio = F.when(F.col("plan") > 0, F.col("forecast") / F.col("plan")).otherwise(F.lit(0.0))
     return u.select("metric", "actual", "plan", "forecast", F.lit(dom).alias("day_of_month"),
                     F.lit(md - dom).alias("days_left"), ratio.alias("pace_ratio"), _status(ratio).alias("status"))

@@ -13,18 +13,17 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 
-SALES_GRAIN = ["date_local", "market", "platform", "shop_id", "sku_id"]
-ONPLATFORM_GRAIN = ["date_local", "market", "platform", "ad_type", "objective", "campaign_id",
-                    "ad_group_id", "sku_id"]
-OFFPLATFORM_GRAIN = ["date_local", "market", "platform", "destination_platform", "campaign_id",
-                     "ad_set_or_ad_group_id", "campaign_type", "catalog_id"]
-EVC_GRAIN = ["date_local", "market", "channel", "attribution_bucket"]
-
-# Upsert keys (null-safe, D7).
-SALES_KEY = SALES_GRAIN
+# Grain = upsert key (null-safe, D7) of each fact. Other attributes are those
+# of the key's latest row.
+SALES_KEY = ["date_local", "market", "platform", "shop_id", "sku_id"]
 ONPLATFORM_KEY = ["date_local", "market", "platform", "ad_type", "campaign_id", "ad_group_id", "sku_id"]
+ONPLATFORM_ATTRS = ["objective", "attribution_window", "currency"]
 OFFPLATFORM_KEY = ["date_local", "market", "platform", "campaign_id", "ad_set_or_ad_group_id"]
-EVC_KEY = EVC_GRAIN
+OFFPLATFORM_ATTRS = ["destination_platform", "campaign_type", "catalog_id", "attribution_window", "currency"]
+EVC_KEY = ["date_local", "market", "channel", "attribution_bucket"]
+KEYS = {"fact_platform_sales": SALES_KEY, "fact_onplatform_ads": ONPLATFORM_KEY,
+        "fact_offplatform_ads": OFFPLATFORM_KEY, "fact_evc": EVC_KEY,
+        "panel": ["date_local", "market", "channel"], "panel_evc": ["date_local", "market", "channel"]}
 
 
 def refresh_window(df: DataFrame, as_of: dt.date, days: int | None) -> Column:
@@ -54,13 +53,13 @@ def fact_platform_sales(stg: DataFrame, fx: DataFrame, as_of: dt.date,
     # Currency is constant per grain (it follows the market), so it is a
     # grouping key rather than a string aggregate: string buffers would force
     # a sort-based aggregate; grouping keeps both levels hash aggregates.
-    lvl1 = base.groupBy(*SALES_GRAIN, "currency", "traffic_source").agg(
+    lvl1 = base.groupBy(*SALES_KEY, "currency", "traffic_source").agg(
         F.count(F.lit(1)).alias("cnt"),
         F.count_if(F.col("is_cancelled")).alias("n_cancelled"),
         F.sum("gmv_local").alias("gross"),
         F.sum(F.when(F.col("is_cancelled"), F.lit(0)).otherwise(F.col("gmv_local"))).alias("net"),
     )
-    agg = lvl1.groupBy(*SALES_GRAIN, "currency").agg(
+    agg = lvl1.groupBy(*SALES_KEY, "currency").agg(
         F.sum("cnt").alias("orders_gross"),
         F.sum("n_cancelled").alias("orders_cancelled"),
         F.sum("gross").cast("decimal(28,4)").alias("gmv_gross_local"),
@@ -68,37 +67,40 @@ def fact_platform_sales(stg: DataFrame, fx: DataFrame, as_of: dt.date,
         F.sort_array(F.collect_list(F.struct("traffic_source", "cnt"))).alias("traffic_source_mix"),
     ).withColumn("orders_net", F.col("orders_gross") - F.col("orders_cancelled"))
     out = _fx(agg, fx).withColumn("gmv_net_usd", X.usd("gmv_net_local", "usd_rate"))
-    return out.select(*SALES_GRAIN, "orders_gross", "orders_cancelled", "orders_net",
+    return out.select(*SALES_KEY, "orders_gross", "orders_cancelled", "orders_net",
                       "gmv_gross_local", "gmv_net_local", "gmv_net_usd", "currency",
                       "traffic_source_mix")
 
 
-def distinct_orders(stg: DataFrame, as_of: dt.date, refresh_days: int | None = None) -> DataFrame:
-    """D5 extra: distinct orders per grain (order lines are the reference's
-    ``orders_gross``)."""
-    base = stg.where(refresh_window(stg, as_of, refresh_days))
-    return base.groupBy(*SALES_GRAIN).agg(F.countDistinct("order_id").alias("orders_distinct"))
+def _latest_attributes(base: DataFrame, key: list[str], attrs: list[str], sums: list[str]) -> DataFrame:
+    """Sums per key, with the attributes of the key's latest row (ties by the
+    attributes, descending, nulls last).
+
+    Two levels, as in the sales fact: rows are summed per key and attributes
+    (hash aggregate, combined before the shuffle), then the few attribute
+    combinations of a key are folded, the latest one winning."""
+    lvl1 = base.groupBy(*key, *attrs).agg(F.max("ingested_at").alias("_at"), *[F.sum(c).alias(c) for c in sums])
+    types = {f.name: f.dataType.simpleString() for f in lvl1.schema.fields}
+    latest = F.array_max(F.collect_list(F.struct("_at", *attrs)))
+    lvl2 = lvl1.groupBy(*key).agg(latest.alias("_latest"), *[F.sum(c).cast(types[c]).alias(c) for c in sums])
+    return lvl2.select(*key, *[F.col(f"_latest.{a}").alias(a) for a in attrs], *sums)
 
 
 def fact_onplatform_ads(stg: DataFrame, as_of: dt.date, refresh_days: int | None = None) -> DataFrame:
-    """A3: eleven sums per grain. Attribution window and currency are constant
-    per grain (per connector / market) and are grouped on, which keeps the
-    aggregate a hash aggregate (no string buffers)."""
+    """A3: eleven sums per key."""
     base = stg.where(refresh_window(stg, as_of, refresh_days))
     sums = ["spend_local", "spend_usd", "impressions", "clicks", "video_views_2s_or_6s",
             "direct_orders", "broad_orders", "direct_gmv_local", "broad_gmv_local",
             "direct_gmv_usd", "broad_gmv_usd"]
-    return base.groupBy(*ONPLATFORM_GRAIN, "attribution_window", "currency").agg(
-        *[F.sum(c).alias(c) for c in sums])
+    return _latest_attributes(base, ONPLATFORM_KEY, ONPLATFORM_ATTRS, sums)
 
 
 def fact_offplatform_ads(stg: DataFrame, as_of: dt.date, refresh_days: int | None = None) -> DataFrame:
-    """A4: eight sums per grain (window and currency grouped on, see A3)."""
+    """A4: eight sums per key."""
     base = stg.where(refresh_window(stg, as_of, refresh_days))
     sums = ["spend_local", "spend_usd", "impressions", "clicks", "add_to_cart", "purchases_reported",
             "purchase_value_reported_local", "purchase_value_reported_usd"]
-    return base.groupBy(*OFFPLATFORM_GRAIN, "attribution_window", "currency").agg(
-        *[F.sum(c).alias(c) for c in sums])
+    return _latest_attributes(base, OFFPLATFORM_KEY, OFFPLATFORM_ATTRS, sums)
 
 
 def fact_evc(stg: DataFrame, dim_market: DataFrame, fx: DataFrame, as_of: dt.date,
@@ -106,7 +108,7 @@ def fact_evc(stg: DataFrame, dim_market: DataFrame, fx: DataFrame, as_of: dt.dat
     """EVC in USD; currency from the market, rate from (date, currency)."""
     s = stg.join(F.broadcast(dim_market.select("market", "currency")), "market", "left")
     s = _fx(s.where(refresh_window(s, as_of, refresh_days)), fx)
-    return s.groupBy(*EVC_GRAIN, "currency").agg(
+    return s.groupBy(*EVC_KEY, "currency").agg(
         F.sum("conversions").alias("conversions"),
         F.sum("conversion_value_local").alias("conversion_value_local"),
         F.try_divide(F.sum("conversion_value_local").cast("double"),

@@ -22,8 +22,9 @@ def _daily_market_gmv(panel: DataFrame) -> DataFrame:
 
 def regression_frame(panel: DataFrame, weekly: bool = False) -> DataFrame:
     """One row per (market, day) (or Monday-based week): target
-    log(gmv + 1), log(1 + spend) per paid channel (wide, fixed channel list,
-    0 when absent) and the calendar covariates."""
+    log(gmv + 1), log(1 + spend) per paid channel (wide, the columns of the
+    known paid channels and ``x_other`` for the spend of all others; 0 when
+    absent) and the calendar covariates."""
     gmv = _daily_market_gmv(panel)
     p = panel
     if weekly:
@@ -31,14 +32,16 @@ def regression_frame(panel: DataFrame, weekly: bool = False) -> DataFrame:
             return df.withColumn("date_local", F.date_trunc("week", "date_local").cast("date"))
         gmv = to_week(gmv).groupBy("date_local", "market").agg(F.sum("gmv").alias("gmv"))
         p = to_week(panel)
-    spend = p.groupBy("date_local", "market").pivot("channel", PAID_CHANNELS).agg(F.sum("spend_usd"))
+    name = F.when(F.col("channel").isin(*PAID_CHANNELS), F.col("channel")).otherwise("other")
+    spend = p.withColumn("channel", name).groupBy("date_local", "market") \
+        .pivot("channel", PAID_CHANNELS + ["other"]).agg(F.sum("spend_usd"))
     cov = p.groupBy("date_local", "market").agg(
         F.max(F.col("is_weekend").cast("int")).alias("is_weekend"),
         F.max(F.col("is_payday").cast("int")).alias("is_payday"),
         F.max(F.col("is_mega_sale").cast("int")).alias("is_mega_sale"))
     f = gmv.join(spend, ["date_local", "market"], "left").join(cov, ["date_local", "market"], "left")
     return f.select("market", "date_local", F.log1p("gmv").alias("y"),
-                    *[F.log1p(F.coalesce(F.col(c), F.lit(0.0))).alias(f"x_{c}") for c in PAID_CHANNELS],
+                    *[F.log1p(F.coalesce(F.col(c), F.lit(0.0))).alias(f"x_{c}") for c in PAID_CHANNELS + ["other"]],
                     "is_weekend", "is_payday", "is_mega_sale")
 
 
@@ -75,7 +78,7 @@ def keyword_fact(stg_onplatform: DataFrame) -> DataFrame:
     """On-platform ads fact at keyword grain (Shopee keyword / TikTok ad
     kept as ``ad_key``)."""
     keys = ["date_local", "market", "platform", "ad_type", "campaign_id", "sku_id", "ad_key"]
-    return stg_onplatform.where(F.col("platform") == "shopee_ads").groupBy(*keys).agg(
+    return stg_onplatform.groupBy(*keys).agg(
         F.sum("spend_usd").alias("spend_usd"), F.sum("impressions").alias("impressions"),
         F.sum("clicks").alias("clicks"), F.sum("broad_orders").alias("broad_orders"),
         F.sum("broad_gmv_usd").alias("broad_gmv_usd"))

@@ -22,15 +22,21 @@ from ..sources.seeds import MARKET_CODES, PAID_CHANNELS
 
 
 # ------------------------------------------------------------------ scan
+def scan_reach(p: Params) -> int:
+    """Days before as_of that the scan has to hold."""
+    return max(p.scan_days, 2 * p.range_days)
+
+
 def scan_panel(panel: DataFrame, taxonomy: DataFrame, p: Params) -> DataFrame:
-    """IO10 + PF14 + PF15: [as_of - scan_days, as_of] slice of the panel (or
-    its EVC variant), NULL measures as 0, taxonomy labels joined on.
+    """IO10 + PF14 + PF15: the slice [as_of - scan_days, as_of] of the panel (or
+    its EVC variant), reaching back two filter windows where that is longer
+    (W7 compares them); NULL measures as 0, taxonomy labels joined on.
 
     Partition pruning on ``date_local`` applies when the panel is a table
     partitioned by it.
     """
     d = F.col("date_local")
-    rows = panel.where(d.between(F.date_sub(F.lit(p.as_of), p.scan_days), F.lit(p.as_of)))
+    rows = panel.where(d.between(F.date_sub(F.lit(p.as_of), scan_reach(p)), F.lit(p.as_of)))
     has_evc = "evc_gmv_usd" in panel.columns
     evc_gmv = F.coalesce(F.col("evc_gmv_usd"), F.lit(0.0)) if has_evc else F.lit(0.0)
     evc_conv = F.coalesce(F.col("evc_conversions"), F.lit(0.0)) if has_evc else F.lit(0.0)
@@ -282,26 +288,38 @@ def promo_days(rows: DataFrame) -> DataFrame:
     return g.withColumn("mega_label", F.when(F.col("is_mega_sale"), label))
 
 
-def _unpivot_spine(wide: DataFrame, ids: list[str], values: list[str], var: str, val: str) -> DataFrame:
-    return wide.unpivot(ids, values, var, val)
+def spine(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every row of ``left`` with every row of ``right``, both bounded by the
+    calendar, the markets or the channels: ``right`` is folded into one array
+    that is attached as a scalar and exploded, so no join is planned."""
+    folded = right.agg(F.sort_array(F.collect_list(F.struct(*right.columns))).alias("_spine"))
+    out = with_scalar(left, folded).withColumn("_x", F.explode("_spine"))
+    return out.select(*left.columns, *[F.col(f"_x.{c}").alias(c) for c in right.columns])
+
+
+def paid_channels(rows: DataFrame, taxonomy: DataFrame) -> DataFrame:
+    """(channel, priority): paid channels of the taxonomy, and channels of the
+    data that it does not know (such as ``*_other``), last."""
+    known = paid_taxonomy(taxonomy).select("channel", "priority")
+    new = (rows.select("channel").distinct().join(F.broadcast(taxonomy.select("channel")), "channel", "left_anti")
+           .where(F.col("channel").isNotNull()).select("channel", F.lit(99).alias("priority")))
+    return known.unionByName(new)
 
 
 def top_channel_stack(rows: DataFrame, taxonomy: DataFrame, p: Params) -> DataFrame:
     """The top paid channels by spend in the window (ties by priority),
     then their spend per date (0 when absent).
 
-    The (date x channel) spine comes from a pivot over the fixed paid-channel
-    list, so no cross join is needed.
+    Channels that the taxonomy lacks take part.
     """
     spend = rows.groupBy("channel").agg(F.sum("spend_usd").alias("total"))
-    t = paid_taxonomy(taxonomy).select("channel", "priority").join(spend, "channel", "left") \
+    t = paid_channels(rows, taxonomy).join(spend, "channel", "left") \
         .withColumn("total", F.coalesce("total", F.lit(0.0)))
-    top = t.withColumn("rank", F.row_number().over(Window.orderBy(F.col("total").desc(), "priority"))) \
-           .where(F.col("rank") <= p.top_n_stack)
-    wide = rows.groupBy("date_local").pivot("channel", PAID_CHANNELS).agg(F.sum("spend_usd"))
-    long = _unpivot_spine(wide, ["date_local"], PAID_CHANNELS, "channel", "spend")
-    long = long.withColumn("spend", F.coalesce("spend", F.lit(0.0)))
-    return long.join(F.broadcast(top.select("channel", "rank")), "channel")
+    order = Window.orderBy(F.col("total").desc(), "priority", "channel")
+    top = t.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= p.top_n_stack)
+    days = spine(rows.select("date_local").distinct(), top.select("channel", "rank"))
+    per_day = rows.groupBy("date_local", "channel").agg(F.sum("spend_usd").alias("spend"))
+    return days.join(per_day, ["date_local", "channel"], "left").withColumn("spend", F.coalesce("spend", F.lit(0.0)))
 
 
 def kpi_by_market(rows: DataFrame, dim_market: DataFrame) -> DataFrame:
@@ -312,14 +330,15 @@ def kpi_by_market(rows: DataFrame, dim_market: DataFrame) -> DataFrame:
                     *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("spend", "gmv", "orders", "ads_gmv", "roas")])
 
 
-def market_trend(rows: DataFrame, p: Params) -> DataFrame:
-    """A15 series: de-duplicated platform GMV per (market, date) over the
-    last ``trend_days`` distinct dates (D18: no division by channel count)."""
-    d = last_dates(rows, p.trend_days)
-    r = rows.join(F.broadcast(d.select("date_local")), "date_local")
-    wide = kpis(r, ["date_local", "market"]).groupBy("date_local").pivot("market", MARKET_CODES).agg(F.sum("gmv"))
-    long = _unpivot_spine(wide, ["date_local"], MARKET_CODES, "market", "gmv")
-    return long.withColumn("gmv", F.coalesce("gmv", F.lit(0.0)))
+def market_trend(rows: DataFrame, dim_market: DataFrame, p: Params) -> DataFrame:
+    """A15 series: de-duplicated platform GMV per (market of the dimension,
+    date) over the last ``trend_days`` distinct dates (D18: no division by
+    channel count)."""
+    d = last_dates(rows, p.trend_days).select("date_local")
+    r = rows.join(F.broadcast(d), "date_local")
+    k = kpis(r, ["date_local", "market"]).select("date_local", "market", "gmv")
+    return spine(d, dim_market.select("market")).join(k, ["date_local", "market"], "left") \
+        .withColumn("gmv", F.coalesce("gmv", F.lit(0.0)))
 
 
 # ------------------------------------------------------------------ channel brief
@@ -337,20 +356,18 @@ def channel_trend(rows: DataFrame, p: Params) -> DataFrame:
     return g.select("date_local", "spend", X.ratio0("_gmv", "spend").alias("roas"))
 
 
-def heatmap(rows: DataFrame, p: Params) -> DataFrame:
+def heatmap(rows: DataFrame, dim_market: DataFrame, p: Params) -> DataFrame:
     """Market x date spend of the focus channel over the last
     ``heatmap_days`` distinct dates, 0 when missing, plus the maximum."""
-    d = last_dates(rows, p.heatmap_days)
-    r = rows.join(F.broadcast(d.select("date_local")), "date_local")
-    is_c = F.col("channel") == p.focus_channel
-    wide = r.groupBy("date_local").pivot("market", MARKET_CODES).agg(
-        F.sum(F.when(is_c, F.col("spend_usd")).otherwise(0.0)))
-    long = _unpivot_spine(wide, ["date_local"], MARKET_CODES, "market", "value")
-    long = long.withColumn("value", F.coalesce("value", F.lit(0.0)))
+    d = last_dates(rows, p.heatmap_days).select("date_local")
+    r = rows.where(F.col("channel") == p.focus_channel).groupBy("date_local", "market") \
+            .agg(F.sum("spend_usd").alias("value"))
+    long = spine(d, dim_market.select("market")).join(r, ["date_local", "market"], "left") \
+        .withColumn("value", F.coalesce("value", F.lit(0.0)))
     return long.withColumn("max_value", F.greatest(F.max("value").over(Window.partitionBy(F.lit(1))), F.lit(0.0)))
 
 
-def channel_market_grid(rows: DataFrame, p: Params) -> DataFrame:
+def channel_market_grid(rows: DataFrame, taxonomy: DataFrame, dim_market: DataFrame, p: Params) -> DataFrame:
     """Paid channel x market spend over the last 14 distinct dates, the
     window total, the total of the window before and the relative delta.
 
@@ -360,19 +377,16 @@ def channel_market_grid(rows: DataFrame, p: Params) -> DataFrame:
     prev_n = 7 if p.compat else 14
     d = last_dates(rows, 14 + prev_n)
     d = d.withColumn("wk", F.when(F.col("date_rank") <= 14, "now").otherwise("prev"))
-    r = rows.join(F.broadcast(d.select("date_local", "wk")), "date_local")
-    keys = [f"{c}|{m}" for c in PAID_CHANNELS for m in MARKET_CODES]
-    r = r.withColumn("cell", F.concat_ws("|", "channel", "market"))
-    wide = r.groupBy("date_local", "wk").pivot("cell", keys).agg(F.sum("spend_usd"))
-    long = _unpivot_spine(wide, ["date_local", "wk"], keys, "cell", "spend")
-    long = long.withColumn("spend", F.coalesce("spend", F.lit(0.0)))
-    cell = Window.partitionBy("cell")
+    cells = spine(spine(d.select("date_local", "wk"), dim_market.select("market")),
+                  paid_channels(rows, taxonomy).select("channel"))
+    keys = ["date_local", "channel", "market"]
+    long = cells.join(rows.groupBy(*keys).agg(F.sum("spend_usd").alias("spend")), keys, "left") \
+        .withColumn("spend", F.coalesce("spend", F.lit(0.0)))
+    cell = Window.partitionBy("channel", "market")
     long = long.withColumn("now_total", F.sum(F.when(F.col("wk") == "now", F.col("spend")).otherwise(0.0)).over(cell)) \
                .withColumn("prev_total", F.sum(F.when(F.col("wk") == "prev", F.col("spend")).otherwise(0.0)).over(cell))
-    parts = F.split("cell", r"\|")
     out = long.where(F.col("wk") == "now").select(
-        parts.getItem(0).alias("channel"), parts.getItem(1).alias("market"), "date_local", "spend",
-        "now_total", "prev_total",
+        "channel", "market", "date_local", "spend", "now_total", "prev_total",
         F.when(F.col("prev_total") > 0, (F.col("now_total") - F.col("prev_total")) / F.col("prev_total"))
          .alias("delta"))
     return out
@@ -392,7 +406,7 @@ def period_compare(scan: DataFrame, p: Params) -> DataFrame:
         prev = (d >= F.date_sub(F.lit(p.as_of), 2 * n)) & (d < F.date_sub(F.lit(p.as_of), n))
     else:
         prev = (d >= F.date_sub(F.lit(p.as_of), 2 * n - 1)) & (d <= F.date_sub(F.lit(p.as_of), n))
-    r = market_filter(scan, p.market).where(F.col("channel").isin(*PAID_CHANNELS))
+    r = market_filter(scan, p.market).where(F.col("group") != "organic")
     r = r.withColumn("period", F.when(now, "now").when(prev, "prev")).where(F.col("period").isNotNull())
     g = r.groupBy("channel", "period").agg(
         F.sum("spend_usd").alias("spend"), F.sum("ads_gmv_usd").alias("ads_gmv"),

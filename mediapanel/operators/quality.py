@@ -1,44 +1,71 @@
-"""Data-quality suite (Q1-Q15): each check is a DataFrame of violating rows;
-the runner counts all of them in one job.
-
-Q13 runner: every check's violations are tagged with the check id and
-unioned, then counted with one grouped aggregation, right-joined to the check
-list so passing checks report 0. Only counts reach the driver (a capped
-sample on request), never the violating rows themselves.
+"""Data-quality suite (Q1-Q15): each check is a predicate on the rows of a table
+or a DataFrame of violating rows; the runner counts all of them in one job.
+
+Q13 runner: predicates on one table share one pass over it (``count_if`` per
+check); the violations of other checks are counted where they are. The counts
+are one union, so one job. If that job fails, every check is run on its own,
+and those that fail again are reported as ERROR. Only counts reach the
+driver, never the violating rows themselves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.seeds import DQ_EPS, DQ_GMV_BOUND, META_ALLOWED_WINDOWS
 
 
-def q01_evc_bounded(panel_evc: DataFrame) -> DataFrame:
-    return panel_evc.where(F.col("evc_conversions") > F.col("all_conversions") + DQ_EPS)
+@dataclass(frozen=True)
+class RowCheck:
+    """A predicate that no row of ``table()`` may meet; checks of one ``name``
+    share a pass."""
+    name: str
+    table: Callable[[], DataFrame]
+    violated: Column
 
+    def rows(self) -> DataFrame:
+        return self.table().where(self.violated)
+
+
+def evc_bounded() -> Column:
+    return F.col("evc_conversions") > F.col("all_conversions") + DQ_EPS
+
+
+def no_negative() -> Column:
+    cols = ("spend_usd", "impressions", "clicks", "ads_attributed_orders", "ads_attributed_gmv_usd")
+    return reduce(lambda a, b: a | b, [F.coalesce(F.col(c) < 0, F.lit(False)) for c in cols])
+
+
+def funnel_monotone() -> Column:
+    return (F.col("spend_usd") > 0) & (F.coalesce(F.col("impressions") < F.col("clicks"), F.lit(False))
+                                       | F.coalesce(F.col("clicks") < F.col("ads_attributed_orders"), F.lit(False)))
+
+
+def voucher_bounded() -> Column:
+    return F.col("Voucher_subsidy") > F.col("Spend") + DQ_EPS
 
-def q02_ads_gmv_bounded(panel: DataFrame) -> DataFrame:
-    g = panel.where(F.col("platform_total_gmv_usd").isNotNull()).groupBy("date_local", "market", "platform").agg(
-        F.sum("ads_attributed_gmv_usd").alias("ads_gmv"), F.max("platform_total_gmv_usd").alias("plat_gmv"))
-    return g.where(F.col("ads_gmv") > DQ_GMV_BOUND * F.col("plat_gmv"))
 
+def direct_leq_broad_orders() -> Column:
+    return F.col("Direct_orders") > F.col("Broad_orders")
 
-def q03_no_negative(panel: DataFrame) -> DataFrame:
-    return panel.where((F.col("spend_usd") < 0) | (F.col("impressions") < 0) | (F.col("clicks") < 0)
-                       | (F.col("ads_attributed_orders") < 0) | (F.col("ads_attributed_gmv_usd") < 0))
 
+def grain_null() -> Column:
+    return F.col("date_local").isNull() | F.col("market").isNull() | F.col("channel").isNull()
 
-def q04_funnel_monotone(panel: DataFrame) -> DataFrame:
-    return panel.where((F.col("spend_usd") > 0) & ((F.col("impressions") < F.col("clicks"))
-                                                    | (F.col("clicks") < F.col("ads_attributed_orders"))))
 
+def direct_leq_broad_gmv() -> Column:
+    return F.col("direct_gmv_usd") > F.col("broad_gmv_usd") + DQ_EPS
 
-def q05_voucher_bounded(shopee_ads_raw: DataFrame) -> DataFrame:
-    return shopee_ads_raw.where(F.col("Voucher_subsidy") > F.col("Spend") + DQ_EPS)
+
+def q02_ads_gmv_bounded(panel: DataFrame) -> DataFrame:
+    g = panel.where(F.col("platform_total_gmv_usd").isNotNull()).groupBy("date_local", "market", "platform").agg(
+        F.sum("ads_attributed_gmv_usd").alias("ads_gmv"), F.max("platform_total_gmv_usd").alias("plat_gmv"))
+    return g.where(F.col("ads_gmv") > DQ_GMV_BOUND * F.col("plat_gmv"))
 
 
 def q06_every_market(panel: DataFrame, dim_market: DataFrame) -> DataFrame:
@@ -47,20 +74,12 @@ def q06_every_market(panel: DataFrame, dim_market: DataFrame) -> DataFrame:
     return dim_market.select("market").join(present, "market", "left_anti")
 
 
-def q07_grain_non_null(panel: DataFrame) -> DataFrame:
-    return panel.where(F.col("date_local").isNull() | F.col("market").isNull() | F.col("channel").isNull())
-
-
 def q08_channel_in_taxonomy(panel: DataFrame, taxonomy: DataFrame) -> DataFrame:
     ch = panel.select("channel").distinct()
     return ch.join(F.broadcast(taxonomy.select("channel")), "channel", "left_anti") \
              .where(~F.col("channel").endswith("_other"))
 
 
-def q09_direct_leq_broad_orders(shopee_ads_raw: DataFrame) -> DataFrame:
-    return shopee_ads_raw.where(F.col("Direct_orders") > F.col("Broad_orders"))
-
-
 def q10_meta_windows(evc_meta_raw: DataFrame) -> DataFrame:
     return evc_meta_raw.select("attribution_window").distinct() \
                        .where(~F.col("attribution_window").isin(*META_ALLOWED_WINDOWS))
@@ -73,11 +92,6 @@ def q11_mega_sale_flag(panel: DataFrame, calendar: DataFrame) -> DataFrame:
     return j.where(~F.col("is_mega_sale").eqNullSafe(F.coalesce("in_seed", F.lit(False))))
 
 
-def q12_direct_leq_broad_gmv(panel: DataFrame) -> DataFrame:
-    return panel.where(F.col("direct_gmv_usd").isNotNull() & F.col("broad_gmv_usd").isNotNull()
-                       & (F.col("direct_gmv_usd") > F.col("broad_gmv_usd") + DQ_EPS))
-
-
 def q14_unique_grain(df: DataFrame, grain: list[str]) -> DataFrame:
     """Ours: duplicate grain keys (null-safe) in a fact or mart."""
     return df.groupBy(*grain).count().where(F.col("count") > 1)
@@ -89,54 +103,72 @@ def q15_fx_coverage(fact_sales: DataFrame, fx: DataFrame) -> DataFrame:
     return used.join(F.broadcast(fx.select("date", "currency")), ["date", "currency"], "left_anti")
 
 
-def checks(chain) -> dict[str, Callable[[], DataFrame]]:
-    """Check id -> violations builder, wired to a ``Chain``."""
+def checks(chain) -> dict[str, RowCheck | Callable[[], DataFrame]]:
+    """Check id -> predicate or violations builder, wired to a ``Chain`` whose
+    facts and marts are written tables."""
     c = chain
-    from .facts import ONPLATFORM_GRAIN, SALES_GRAIN
-    return {
-        "Q01_evc_bounded_by_all_conversions": lambda: q01_evc_bounded(c.panel_evc),
-        "Q02_ads_attributed_gmv_bounded_by_platform_total": lambda: q02_ads_gmv_bounded(c.panel),
-        "Q03_no_negative_spend_or_counts": lambda: q03_no_negative(c.panel),
-        "Q04_funnel_monotone_impressions_clicks_orders": lambda: q04_funnel_monotone(c.panel),
-        "Q05_voucher_subsidy_bounded_by_spend": lambda: q05_voucher_bounded(c.raw["shopee_ads_daily"]),
-        "Q06_every_market_present_in_panel": lambda: q06_every_market(c.panel, c.dim_market),
-        "Q07_mart_grain_columns_non_null": lambda: q07_grain_non_null(c.panel),
-        "Q08_channel_taxonomy_coverage": lambda: q08_channel_in_taxonomy(c.panel, c.taxonomy),
-        "Q09_shopee_ads_funnel_monotone": lambda: q09_direct_leq_broad_orders(c.raw["shopee_ads_daily"]),
-        "Q10_evc_meta_no_deprecated_windows": lambda: q10_meta_windows(c.raw["evc_meta"]),
-        "Q11_mega_sale_flag_matches_calendar_seed": lambda: q11_mega_sale_flag(c.panel, c.calendar),
-        "Q12_direct_leq_broad": lambda: q12_direct_leq_broad_gmv(c.panel),
-        "Q14a_unique_grain_fact_platform_sales": lambda: q14_unique_grain(c.fact_platform_sales, SALES_GRAIN),
-        "Q14b_unique_grain_fact_onplatform_ads": lambda: q14_unique_grain(c.fact_onplatform_ads, ONPLATFORM_GRAIN),
-        "Q14c_unique_grain_panel": lambda: q14_unique_grain(c.panel, ["date_local", "market", "channel"]),
+    from .facts import KEYS
+
+    def on(name, violated):
+        source = {"panel": lambda: c.panel, "panel_evc": lambda: c.panel_evc,
+                  "shopee_ads": lambda: c.raw["shopee_ads_daily"]}[name]
+        return RowCheck(name, source, violated)
+    out = {
+        "Q01_evc_within_all": on("panel_evc", evc_bounded()),
+        "Q02_ads_gmv_within_platform": lambda: q02_ads_gmv_bounded(c.panel),
+        "Q03_no_negatives": on("panel", no_negative()),
+        "Q04_funnel_order": on("panel", funnel_monotone()),
+        "Q05_voucher_within_spend": on("shopee_ads", voucher_bounded()),
+        "Q06_all_markets": lambda: q06_every_market(c.panel, c.dim_market),
+        "Q07_grain_not_null": on("panel", grain_null()),
+        "Q08_known_channels": lambda: q08_channel_in_taxonomy(c.panel, c.taxonomy),
+        "Q09_direct_orders_within_broad": on("shopee_ads", direct_leq_broad_orders()),
+        "Q10_meta_windows": lambda: q10_meta_windows(c.raw["evc_meta"]),
+        "Q11_mega_sale_flag": lambda: q11_mega_sale_flag(c.panel, c.calendar),
+        "Q12_direct_gmv_within_broad": on("panel", direct_leq_broad_gmv()),
         "Q15_fx_coverage": lambda: q15_fx_coverage(c.fact_platform_sales, c.fx),
     }
-
-
-def dq_suite(spark, builders: dict[str, Callable[[], DataFrame]]) -> DataFrame:
-    """Q13: one row per check: check, status (PASS / FAIL / ERROR), rows
-    (-1 on error). All counts are computed in one job over the union of
-    tagged violations; a check whose plan cannot even be built is ERROR."""
-    tagged, errors = [], []
-    for name, build in builders.items():
-        try:
-            tagged.append(build().select(F.lit(name).alias("check")))
-        except Exception:  # noqa: BLE001 - a broken check is reported, not raised
-            errors.append(name)
-    names = spark.createDataFrame([(n,) for n in builders], "check string")
-    if tagged:
-        u = tagged[0]
-        for t in tagged[1:]:
-            u = u.unionByName(t)
-        counts = u.groupBy("check").agg(F.count(F.lit(1)).alias("rows"))
-    else:
-        counts = spark.createDataFrame([], "check string, rows long")
-    err = spark.createDataFrame([(n,) for n in errors] or [("",)], "check string") \
-               .where(F.col("check") != "").withColumn("_err", F.lit(True))
-    r = names.join(F.broadcast(counts), "check", "left").join(F.broadcast(err), "check", "left")
-    rows = F.when(F.col("_err"), F.lit(-1)).otherwise(F.coalesce("rows", F.lit(0))).cast("long")
-    status = F.when(F.col("_err"), "ERROR").when(rows == 0, "PASS").otherwise("FAIL")
-    return r.select("check", status.alias("status"), rows.alias("rows"))
+    for name, key in KEYS.items():
+        out[f"Q14_unique_{name}"] = lambda n=name, k=key: q14_unique_grain(getattr(c, n), k)
+    return out
+
+
+def _counted(builders: dict[str, RowCheck | Callable[[], DataFrame]]) -> list[DataFrame]:
+    """(check, rows) of all checks: one frame per shared table and one per
+    other check."""
+    shared: dict[str, dict[str, RowCheck]] = {}
+    out = []
+    for name, check in builders.items():
+        if isinstance(check, RowCheck):
+            shared.setdefault(check.name, {})[name] = check
+        else:
+            out.append(check().agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("check"), "rows"))
+    for group in shared.values():
+        counts = next(iter(group.values())).table().agg(*[F.count_if(x.violated).alias(n) for n, x in group.items()])
+        out.append(counts.unpivot([], list(group), "check", "rows"))
+    return out
+
+
+def dq_suite(spark, builders: dict[str, RowCheck | Callable[[], DataFrame]]) -> DataFrame:
+    """Q13: one row per check: check, status (PASS / FAIL / ERROR), rows (-1 on
+    error). All counts come from one job; only if it fails, or a plan cannot
+    be built, are the checks run one by one to find those at fault."""
+    def run(part) -> dict[str, int]:
+        frames = _counted(part)
+        return {r["check"]: r["rows"] for r in reduce(DataFrame.unionByName, frames).collect()} if frames else {}
+
+    try:
+        counts = run(builders)
+    except Exception:  # noqa: BLE001 - the checks at fault are reported below
+        counts = {}
+        for name, check in builders.items():
+            try:
+                counts |= run({name: check})
+            except Exception:  # noqa: BLE001 - a broken check is reported, not raised
+                counts[name] = -1
+    status = lambda n: "ERROR" if n < 0 else "PASS" if n == 0 else "FAIL"
+    return spark.createDataFrame([(n, status(counts[n]), counts[n]) for n in builders],
+                                 "check string, status string, rows long")
 
 
 def suite_exit_status(report: DataFrame) -> int:

@@ -34,25 +34,27 @@ def _paid_series(panel: DataFrame) -> DataFrame:
                 .withColumn("spend", F.coalesce("spend", F.lit(0.0)))
 
 
-def adstock(panel: DataFrame, priors: DataFrame, max_halflife: float | None = None) -> DataFrame:
+def adstock(panel: DataFrame, priors: DataFrame) -> DataFrame:
     """Geometric adstock a[t] = s[t] + 0.5^(1/h) a[t-1] per (market,
-    channel); h <= 0 passes spend through.
+    channel); h <= 0, or no prior, passes spend through.
 
-    The recursion is evaluated over a bounded frame of L = ceil(40 h_max) days
-    (the weight of older days is below 0.5^40 ~ 1e-12), as a fold over the
-    ordered frame: ``aggregate(collect_list(spend), 0, (acc, x) -> acc * d + x)``.
+    A series is one ordered array (one entry per day, so bounded by the
+    calendar), folded once; the fold keeps every state, and the states are
+    exploded again. The recursion is exact for any half-life.
     """
-    if max_halflife is None:
-        max_halflife = max(r[1] for r in seeds.CHANNEL_PRIORS)
-    L = max(1, math.ceil(40 * max_halflife))
-    s = _paid_series(panel)
     pr = priors.select("channel", F.when(F.col("halflife") > 0, F.pow(F.lit(0.5), 1.0 / F.col("halflife")))
                        .otherwise(F.lit(0.0)).alias("decay"))
+    s = _paid_series(panel).groupBy("market", "channel").agg(
+        F.sort_array(F.collect_list(F.struct("date_local", "spend"))).alias("days"))
     s = s.join(F.broadcast(pr), "channel", "left").withColumn("decay", F.coalesce("decay", F.lit(0.0)))
-    w = Window.partitionBy("market", "channel").orderBy("date_local").rowsBetween(-L, 0)
-    hist = F.collect_list("spend").over(w)
-    folded = F.aggregate(hist, F.lit(0.0), lambda acc, x: acc * F.col("decay") + x)
-    return s.select("market", "channel", "date_local", "spend", "decay", folded.alias("adstock"))
+
+    def step(acc, x):
+        before = F.coalesce(F.get(acc, F.size(acc) - 1)["adstock"], F.lit(0.0))
+        return F.concat(acc, F.array(F.struct(x["date_local"].alias("date_local"), x["spend"].alias("spend"),
+                                              (before * F.col("decay") + x["spend"]).alias("adstock"))))
+    empty = F.array().cast("array<struct<date_local:date,spend:double,adstock:double>>")
+    return s.select("market", "channel", "decay", F.explode(F.aggregate("days", empty, step)).alias("x")) \
+            .select("market", "channel", "x.date_local", "x.spend", "decay", "x.adstock")
 
 
 def hill(x: Column, ec50: Column, shape: Column) -> Column:
@@ -79,26 +81,45 @@ DOW_ORDER = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]  # Spark dayofweek
 
 def seasonality_multiplier(days: DataFrame, events: DataFrame, dow=None, payday_days=None,
                            payday_uplift: float | None = None) -> DataFrame:
-    """M4 + J13: per (market, date): day-of-week x payday x product of the
-    uplifts of events active that day in that market (markets NULL = all).
+    """M4 + J13: day-of-week x payday x product of the uplifts of events active
+    that day in that market, per (market, date), and per (market, channel,
+    date) when ``days`` has a channel. NULL or empty ``markets`` or
+    ``channels`` of an event mean all of them (D20); an event bound to
+    channels leaves a frame without channels alone.
 
     The interval join is an equi-join: event windows are exploded to days
-    (bounded by the calendar) and joined on (date, market)."""
+    (bounded by the calendar) and joined on the date and whichever of market
+    and channel the event names."""
     dow = dict(seeds.DOW_MULTIPLIER if dow is None else dow)
     payday_days = seeds.PAYDAY_DAYS if payday_days is None else payday_days
     payday_uplift = seeds.PAYDAY_UPLIFT if payday_uplift is None else payday_uplift
-    all_m = F.array(*[F.lit(m) for m in seeds.MARKET_CODES])
-    ev = (events.withColumn("date_local", F.explode(F.sequence("start", "end")))
-                .withColumn("market", F.explode(F.coalesce("markets", all_m)))
-                .groupBy("date_local", "market").agg(F.product("uplift_mult").alias("event_mult")))
-    d = days.select("market", "date_local").distinct()
+    by_channel = "channel" in days.columns
+    keys = ["market", "channel", "date_local"] if by_channel else ["market", "date_local"]
+    ev = events if "channels" in events.columns else events.withColumn("channels", F.lit(None).cast("array<string>"))
+    ev = (ev.withColumn("date_local", F.explode(F.sequence("start", "end")))
+            .withColumn("markets", F.when(F.size("markets") > 0, F.col("markets")))
+            .withColumn("channels", F.when(F.size("channels") > 0, F.col("channels"))))
+    d = days.select(*keys).distinct()
+    mult = F.lit(1.0)
+    for on_market in (False, True):
+        for on_channel in (False, True) if by_channel else (False,):
+            e = ev.where(F.col("markets").isNotNull() if on_market else F.col("markets").isNull())
+            e = e.where(F.col("channels").isNotNull() if on_channel else F.col("channels").isNull())
+            on = ["date_local"]
+            if on_market:
+                e, on = e.withColumn("market", F.explode("markets")), on + ["market"]
+            if on_channel:
+                e, on = e.withColumn("channel", F.explode("channels")), on + ["channel"]
+            name = f"_m{int(on_market)}{int(on_channel)}"
+            e = e.groupBy(*on).agg(F.product("uplift_mult").alias(name))
+            # Bounded by calendar days x markets x channels.
+            d = d.join(F.broadcast(e), on, "left")
+            mult = mult * F.coalesce(F.col(name), F.lit(1.0))
     dow_arr = F.array(*[F.lit(float(dow.get(n, 1.0))) for n in DOW_ORDER])
-    d = d.join(F.broadcast(ev), ["date_local", "market"], "left")
     base = F.element_at(dow_arr, F.dayofweek("date_local")) * \
         F.when(F.dayofmonth("date_local").isin(*payday_days), F.lit(payday_uplift)).otherwise(F.lit(1.0))
-    return d.select("market", "date_local", F.element_at(dow_arr, F.dayofweek("date_local")).alias("dow_mult"),
-                    F.coalesce("event_mult", F.lit(1.0)).alias("event_mult"),
-                    (base * F.coalesce("event_mult", F.lit(1.0))).alias("multiplier"))
+    return d.select(*keys, F.element_at(dow_arr, F.dayofweek("date_local")).alias("dow_mult"),
+                    mult.alias("event_mult"), (base * mult).alias("multiplier"))
 
 
 def gmv_cap(panel: DataFrame, share: float = seeds.GMV_CAP_SHARE) -> DataFrame:
@@ -122,26 +143,28 @@ def gmv_cap(panel: DataFrame, share: float = seeds.GMV_CAP_SHARE) -> DataFrame:
 def allocate(df: DataFrame, weights: DataFrame, key: list[str], amounts: list[str], counts: list[str],
              slot: str, normalize: bool = True) -> DataFrame:
     """M6: split totals over weighted slots: amount x w / sum(w); counts are
-    rounded half to even (``bround``). ``weights`` = key columns + slot + w;
-    it is a small bounded table and is broadcast. ``normalize=False`` takes
-    ``w`` as final shares."""
+    rounded half to even (``bround``). ``weights`` = key columns + slot + w.
+    ``normalize=False`` takes ``w`` as final shares."""
     share = F.col("w") / F.sum("w").over(Window.partitionBy(*key)) if normalize else F.col("w")
     w = weights.withColumn("_share", share)
-    j = df.join(F.broadcast(w), key)
+    j = df.join(w, key)
     return j.select(*[c for c in df.columns if c not in amounts + counts], slot, "_share",
                     *[(F.col(a) * F.col("_share")).alias(a) for a in amounts],
                     *[F.bround(F.col(c) * F.col("_share"), 0).cast("long").alias(c) for c in counts])
 
 
-def google_campaign_shares() -> list[tuple[str, float]]:
-    tot = math.fsum(w for _, w in seeds.GOOGLE_CAMPAIGN_TYPE_WEIGHTS)
-    return [(t, w / tot) for t, w in seeds.GOOGLE_CAMPAIGN_TYPE_WEIGHTS]
+def allocation_shares() -> list[tuple[str, str, str, float]]:
+    """Shares of the three families (family, channel, slot, share): Google
+    campaign types, Shopee ad types, and the traffic sources of a platform."""
+    rows = [("campaign_type", "google_ads_shopee", t, w) for t, w in seeds.GOOGLE_CAMPAIGN_TYPE_WEIGHTS]
+    rows += [("ad_type", "shopee_ads", t, w) for t, w in seeds.SHOPEE_AD_TYPE_WEIGHTS]
+    rows += [("traffic_source", p, t, w) for p, t, w in seeds.TRAFFIC_SOURCE_WEIGHTS]
+    total = {k: math.fsum(w for f, c, _, w in rows if (f, c) == k) for k in {r[:2] for r in rows}}
+    return [(f, c, t, w / total[f, c]) for f, c, t, w in rows]
 
 
-def google_campaign_weights(spark) -> DataFrame:
-    """Campaign-type shares of Google spend (weights normalised once)."""
-    return spark.createDataFrame([("google_ads_shopee", t, w) for t, w in google_campaign_shares()],
-                                 "channel string, campaign_type string, w double")
+def allocation_weights(spark) -> DataFrame:
+    return spark.createDataFrame(allocation_shares(), "family string, channel string, slot string, w double")
 
 
 def voucher_share(panel: DataFrame, priors: DataFrame, mult: DataFrame) -> DataFrame:
@@ -205,37 +228,49 @@ def attribution_split(panel_evc: DataFrame) -> DataFrame:
     return u
 
 
-WHAT_IF_METRICS = ["spend_usd", "impressions", "clicks", "ads_orders", "ads_gmv_usd"]
+WHAT_IF_METRICS = ["spend_usd", "impressions", "clicks", "ads_orders", "ads_gmv_usd", "platform_total_gmv_usd"]
 
 
 def scenario_patches(spark, name: str) -> DataFrame:
     if name not in seeds.SCENARIOS:
         raise KeyError(f"unknown scenario: {name} (available: {sorted(seeds.SCENARIOS)})")
-    return spark.createDataFrame(seeds.SCENARIOS[name], "channel string, metric string, op string, value double")
+    return spark.createDataFrame([(i, *x) for i, x in enumerate(seeds.SCENARIOS[name])],
+                                 "seq long, channel string, metric string, op string, value double")
+
+
+WHAT_IF_OPS = ("set", "mul", "add")
 
 
 def what_if(rows: DataFrame, patches: DataFrame, metrics=None) -> DataFrame:
-    """M9: apply (channel, metric, op, value) patches (set / mul / add) to
-    panel rows; the patch table is broadcast. Unknown metrics or ops fail."""
+    """M9: apply (channel, metric, op, value) patches to panel rows, in their
+    order: by ``seq`` when the patch table has it, else as listed (several
+    patches on one metric build on each other). An unknown op, metric or
+    channel (one that no row has) fails the query.
+
+    Patches of a channel travel as one ordered array per row of that channel;
+    each metric folds those that name it. The join is a full outer one, so a
+    patch without rows is seen; unknown names raise in the plan."""
     metrics = list(metrics or WHAT_IF_METRICS)
-    # The patch table is a small config table; validating it on the driver
-    # touches a handful of rows, never panel data.
-    bad = [r[0] for r in patches.select("metric").distinct().collect() if r[0] not in metrics]
-    if bad:
-        raise ValueError(f"unknown metric(s): {bad}")
-    # ops as integer codes keep the pivot a hash aggregate
-    code = F.when(F.col("op") == "set", 1).when(F.col("op") == "mul", 2).when(F.col("op") == "add", 3)
-    pw = patches.withColumn("_op", code).groupBy("channel").pivot("metric", metrics).agg(
-        F.max("_op").alias("op"), F.max("value").alias("v"))
-    out = rows.join(F.broadcast(pw), "channel", "left")
-    cols = []
-    for m in metrics:
-        op, v = F.col(f"{m}_op"), F.col(f"{m}_v")
-        new = (F.when(op == 1, v).when(op == 2, F.col(m) * v).when(op == 3, F.col(m) + v)
-               .when(op.isNull(), F.col(m)))
-        cols.append(new.alias(m))
-    keep = [c for c in rows.columns if c not in metrics]
-    return out.select(*keep, *cols)
+    p = patches if "seq" in patches.columns else patches.withColumn("seq", F.monotonically_increasing_id())
+    # A missing value counts as an unknown op: nothing could be applied.
+    known = F.col("op").isin(*WHAT_IF_OPS) & F.col("metric").isin(*metrics) & F.col("value").isNotNull()
+    bad = F.raise_error(F.concat(F.lit("what-if: unknown op or metric: "), F.coalesce("op", F.lit("null")), F.lit(" "),
+                                 F.coalesce("metric", F.lit("null")), F.lit(" of "), F.coalesce("channel", F.lit("null"))))
+    p = p.withColumn("metric", F.when(F.coalesce(known, F.lit(False)), F.col("metric")).otherwise(bad))
+    by_channel = p.groupBy("channel").agg(
+        F.sort_array(F.collect_list(F.struct("seq", "metric", "op", F.col("value").cast("double").alias("value")))).alias("_p"))
+    src = rows.withColumn("_here", F.lit(True))
+    out = src.join(by_channel.withColumnRenamed("channel", "_ch"), F.col("channel") == F.col("_ch"), "full_outer")
+
+    def patched(m):
+        def step(acc, x):
+            return (F.when(x["op"] == "set", x["value"]).when(x["op"] == "mul", acc * x["value"])
+                    .otherwise(acc + x["value"]))
+        own = F.filter(F.coalesce("_p", F.array().cast(by_channel.schema["_p"].dataType)), lambda x: x["metric"] == m)
+        return F.when(F.col("_p").isNull(), F.col(m)).otherwise(F.aggregate(own, F.col(m).cast("double"), step)).alias(m)
+    lost = F.raise_error(F.concat(F.lit("what-if: no row of channel "), F.col("_ch")))
+    channel = F.when(F.col("_here"), F.col("channel")).otherwise(lost).alias("channel")
+    return out.select(*[channel if c == "channel" else patched(c) if c in metrics else F.col(c) for c in rows.columns])
 
 
 def roas_bands(panel: DataFrame, priors: DataFrame, tolerance: float = seeds.ROAS_BAND_TOLERANCE) -> DataFrame:

@@ -65,9 +65,10 @@ def write_partitions(df: DataFrame, path: str, partition_by: str = "date_local",
     inputs are coalesced into few files per day, and a hot day (a mega-sale day
     may hold a large share of all rows) is split across several tasks instead
     of landing in one (``optimizeSkewsInRebalancePartitions``). Files are
-    sorted on ``sort_by`` for min/max skipping. Write to a new version
-    directory and swap when the path being rewritten is also being read."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    sorted on ``sort_by`` for min/max skipping. ``df`` may read the path it
+    rewrites: new files are committed, and the old ones of those partitions
+    removed, only after every task has finished. The overwrite mode is an
+    option of this write; the session keeps its own."""
     out = df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *(sort_by or []))
-    out.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_by).parquet(path))

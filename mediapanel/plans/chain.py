@@ -32,6 +32,7 @@ class Chain:
         self.spark, self.sf_dir, self.p = spark, sf_dir, params
         self.cache_marts = cache_marts
         self.raw = bind.Bronze(spark, sf_dir)
+        self._kept: list[DataFrame] = []  # persisted frames
 
     # -- seeds ---------------------------------------------------------------
     @cached_property
@@ -63,11 +64,13 @@ class Chain:
         """A raw feed; with a refresh window and a landed (ingest-day
         partitioned) table, only partitions that can hold a version of a
         refreshed row are read: a row is never ingested before its event day,
-        so ingest_date >= as_of - (refresh_days + 1) loses nothing."""
+        so ingest_date >= as_of - (days + 1) loses nothing. Conversion feeds
+        have a window of their own."""
         df = self.raw[name]
-        if self.p.refresh_days is not None and "ingest_date" in df.columns:
+        days = self.p.evc_refresh_days if name.startswith("evc_") else self.p.refresh_days
+        if days is not None and "ingest_date" in df.columns:
             import datetime as dt
-            lo = self.p.as_of - dt.timedelta(days=self.p.refresh_days + 1)
+            lo = self.p.as_of - dt.timedelta(days=days + 1)
             df = df.where(F.col("ingest_date") >= F.lit(lo))
         return df
 
@@ -121,12 +124,11 @@ class Chain:
     def panel(self) -> DataFrame:
         df = panel.daily_channel_panel(self.fact_platform_sales, self.fact_onplatform_ads,
                                        self.fact_offplatform_ads, self.calendar, compat=self.p.compat)
-        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.cache_marts else df
+        return self._small(df)
 
     @cached_property
     def panel_evc(self) -> DataFrame:
-        df = panel.daily_channel_panel_evc(self.panel, self.fact_evc)
-        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.cache_marts else df
+        return self._small(panel.daily_channel_panel_evc(self.panel, self.fact_evc))
 
     # -- analytics -----------------------------------------------------------
     @cached_property
@@ -162,50 +164,95 @@ class Chain:
 
     @cached_property
     def event_uplifts(self) -> DataFrame:
-        rows = [(n, k, s, e, m, u) for (n, k, s, e, m, u) in bind.TEST_EVENTS]
         return self.spark.createDataFrame(
-            rows, "event_name string, event_kind string, start date, end date, markets array<string>, "
-                  "uplift_mult double")
+            [(*e, None) for e in bind.TEST_EVENTS] + bind.TEST_CHANNEL_EVENTS,
+            "event_name string, event_kind string, start date, end date, markets array<string>, "
+            "uplift_mult double, channels array<string>")
 
     @cached_property
     def seasonality(self) -> DataFrame:
+        from ..operators import response
+        return response.seasonality_multiplier(self.panel.drop("channel"), self.event_uplifts)
+
+    @cached_property
+    def channel_seasonality(self) -> DataFrame:
         from ..operators import response
         return response.seasonality_multiplier(self.panel, self.event_uplifts)
 
     def _small(self, df: DataFrame) -> DataFrame:
         """Persist a frame bounded by the calendar x markets x channels (scan,
         deltas): readers with several branches then share one computation."""
-        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.cache_marts else df
+        if not self.cache_marts:
+            return df
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        self._kept.append(df)
+        return df
+
+    def release(self) -> None:
+        """Unpersist what this chain holds and forget every derived frame."""
+        for df in self._kept:
+            df.unpersist()
+        self._kept.clear()
+        for k in [k for k in self.__dict__ if k in self.DERIVED or k.startswith("stg_")]:
+            self.__dict__.pop(k)
+
+    @cached_property
+    def stored(self) -> "Chain":
+        """This chain over written tables: feeds landed and facts and marts
+        materialised once, in a new folder of the shared checkpoint location."""
+        import uuid
+
+        from ..session import ensure_checkpoint_dir
+        base = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/mediapanel-{uuid.uuid4().hex[:12]}"
+        out = Chain(self.spark, self.sf_dir, self.p, self.cache_marts)
+        out.land_bronze(base)
+        out.paths = out.materialize(base)
+        return out
 
     # -- persistence ---------------------------------------------------------
+    MATERIALIZED = ("fact_platform_sales", "fact_onplatform_ads", "fact_offplatform_ads", "fact_evc",
+                    "panel", "panel_evc")
+    DERIVED = MATERIALIZED + ("scan", "filtered", "deltas", "levels", "mkt_deltas", "blended", "seasonality",
+                              "channel_seasonality", "stored")
+
     def land_bronze(self, base_path: str, parallelism: int = 4) -> dict[str, str]:
         """IO2: write the nine raw feeds as append-only bronze tables
         partitioned by ingest day and read them back, as the daily load does;
-        the transform chain then starts from tables."""
+        the transform chain then starts from tables. Feeds of a group come
+        from one base that is derived once and kept while they are written."""
         paths = {}
 
-        def land(name):
-            df = self.raw[name].withColumn("ingest_date", F.to_date("ingested_at"))
+        def land(name, base):
+            df = bind.RAW_BUILDERS[name](self.spark, self.sf_dir, base).withColumn("ingest_date", F.to_date("ingested_at"))
             path = f"{base_path.rstrip('/')}/bronze/{name}"
             # Cluster rows by ingest day (AQE rebalance: few files per day,
             # a hot day split across tasks).
-            (df.hint("rebalance", "ingest_date").write.mode("overwrite")
+            (df.hint("rebalance", "ingest_date").write.mode("overwrite").option("partitionOverwriteMode", "static")
              .partitionBy("ingest_date").parquet(path))
-            return name, path
-
-        # The feeds are independent jobs: submit them concurrently so small
-        # jobs share the executors instead of running one after another.
-        for name, path in _run_parallel(land, list(bind.RAW_BUILDERS), parallelism):
-            self.raw._cache[name] = self.spark.read.parquet(path)
             paths[name] = path
-        for k in list(self.__dict__):
-            if k.startswith(("stg_", "fact_", "panel", "scan", "filtered", "deltas", "levels", "mkt_",
-                             "blended", "seasonality")):
-                self.__dict__.pop(k)
+
+        def land_group(group):
+            derive, feeds = bind.FEED_GROUPS[group]
+            base = derive(self.spark, self.sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                land(feeds[0], base)  # fills the kept base; the others read it
+                _run_parallel(lambda n: land(n, base), feeds[1:], parallelism)
+            finally:
+                base.unpersist()
+
+        _run_parallel(land_group, list(bind.FEED_GROUPS), 2)
+        self.release()
+        for name, path in paths.items():
+            self.raw[name] = self.spark.read.parquet(path)
         return paths
 
-    MATERIALIZED = ("fact_platform_sales", "fact_onplatform_ads", "fact_offplatform_ads", "fact_evc",
-                    "panel", "panel_evc")
+    def _write(self, name: str, df: DataFrame, path: str) -> None:
+        from ..operators.upsert import write_partitions
+        write_partitions(df, path, "date_local", [c for c in ("market", "platform", "channel") if c in df.columns])
+
+    def _read(self, name: str, path: str, columns: list[str]) -> None:
+        df = self.spark.read.parquet(path).select(*columns)
+        self.__dict__[name] = self._small(df) if name.startswith("panel") else df
 
     def materialize(self, base_path: str, names=MATERIALIZED, parallelism: int = 4) -> dict[str, str]:
         """Write facts and marts as parquet partitioned by ``date_local`` under
@@ -213,18 +260,16 @@ class Chain:
         cluster) and read them back, so downstream stages start from the
         written tables instead of re-deriving them: this cuts the lineage,
         and a lost executor only recomputes from the last written table."""
-        from ..operators.upsert import write_partitions
         paths = {}
-        for k in self.MATERIALIZED + ("scan", "filtered", "deltas", "levels", "mkt_deltas", "blended",
-                                      "seasonality"):
-            if k in names or k not in self.MATERIALIZED:
-                self.__dict__.pop(k, None)
+        kept = {n: self.__dict__[n] for n in self.MATERIALIZED if n in self.__dict__ and n not in names}
+        self.release()
+        self.__dict__.update(kept)
+
         def write(n):
-            path = f"{base_path.rstrip('/')}/{n}"
+            paths[n] = f"{base_path.rstrip('/')}/{n}"
             df = getattr(self, n)
-            sort = [c for c in ("market", "platform", "channel") if c in df.columns]
-            write_partitions(df, path, "date_local", sort)
-            return n, path, df.columns
+            self._write(n, df, paths[n])
+            return n, df.columns
 
         # Facts are independent of each other; the marts read the written facts.
         for n in ("fx", "calendar", "dim_market", "traffic_map"):
@@ -232,43 +277,62 @@ class Chain:
         waves = [[n for n in names if n.startswith("fact_")], [n for n in names if n == "panel"],
                  [n for n in names if n not in self.MATERIALIZED[:5]]]
         for wave in waves:
-            for n, path, cols in _run_parallel(write, wave, parallelism):
-                df = self.spark.read.parquet(path).select(*cols)
-                if self.cache_marts and n.startswith("panel"):
-                    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-                self.__dict__[n] = df
-                paths[n] = path
-        # Derived analytics frames must be rebuilt on top of the written tables.
-        for k in ("scan", "filtered", "deltas", "levels", "mkt_deltas", "blended", "seasonality"):
-            self.__dict__.pop(k, None)
+            for n, columns in _run_parallel(write, wave, parallelism):
+                self.__dict__.pop(n, None)
+                self._read(n, paths[n], columns)
         return paths
 
-    def refresh(self, paths: dict[str, str], refresh_days: int = 21, parallelism: int = 4) -> "Chain":
-        """The daily job after the first load (P6, PF9, J11): rebuild the
-        facts of the trailing ``refresh_days`` from bronze (reading only ingest
-        partitions that can hold a version of those days), rewrite only those
-        ``date_local`` partitions of the written facts, then rebuild the marts.
-        Returns a chain reading the refreshed tables."""
+    def merged_facts(self, target: dict[str, DataFrame], refresh_days: int, evc_refresh_days: int,
+                     replace_from=None) -> dict[str, DataFrame]:
+        """J11 for every fact: this chain's rows of the trailing window upserted
+        into the target's rows of those days. Keys the target alone has stay
+        (D8), unless ``replace_from`` names a day from which they go."""
         from dataclasses import replace
 
-        from ..operators.upsert import write_partitions
+        from ..operators.facts import KEYS
+        from ..operators.upsert import upsert
         inc = Chain(self.spark, self.sf_dir, replace(self.p, refresh_days=refresh_days,
-                                                     evc_refresh_days=refresh_days), self.cache_marts)
+                                                     evc_refresh_days=evc_refresh_days), False)
         inc.raw = self.raw
+        out = {}
+        for n, df in target.items():
+            lo = F.date_sub(F.lit(self.p.as_of), evc_refresh_days if n == "fact_evc" else refresh_days)
+            out[n] = upsert(df.where(F.col("date_local") >= lo), getattr(inc, n).select(*df.columns), KEYS[n], replace_from)
+        return out
+
+    def refresh(self, paths: dict[str, str], refresh_days: int = 21, evc_refresh_days: int = 365,
+                parallelism: int = 4, replace_from=None) -> "Chain":
+        """The daily job after the first load (P6, PF9, J11): facts of the
+        trailing window are rebuilt from the ingest partitions that can hold a
+        version of those days and upserted into the written facts, one
+        window for sales and ads, one for conversions. Only days of the window
+        are rewritten, in the facts and in both marts, at their published
+        paths. Returns a chain that reads them."""
         facts_ = [n for n in self.MATERIALIZED if n.startswith("fact_")]
+        schemas = {n: self.spark.read.parquet(paths[n]).columns for n in self.MATERIALIZED}
 
-        def write(n):
-            df = getattr(inc, n)
-            sort = [c for c in ("market", "platform", "channel") if c in df.columns]
-            write_partitions(df, paths[n], "date_local", sort)   # dynamic: touched days only
-            return n
-        _run_parallel(write, facts_, parallelism)
+        def target(n):
+            return self.spark.read.parquet(paths[n]).select(*schemas[n])
+
+        merged = self.merged_facts({n: target(n) for n in facts_}, refresh_days, evc_refresh_days, replace_from)
+        for n in ("fx", "calendar", "dim_market", "traffic_map"):
+            getattr(self, n)
+        _run_parallel(lambda n: self._write(n, merged[n], paths[n]), facts_, parallelism)
+
+        # Marts are functions of their day: only days of the windows are rebuilt.
+        lo = F.date_sub(F.lit(self.p.as_of), refresh_days)
+        evc_lo = F.date_sub(F.lit(self.p.as_of), max(evc_refresh_days, refresh_days))
+        day = F.col("date_local")
+        part = panel.daily_channel_panel(*[target(n).where(day >= lo) for n in facts_[:3]], self.calendar,
+                                         compat=self.p.compat)
+        self._write("panel", part.select(*schemas["panel"]), paths["panel"])
+        part = panel.daily_channel_panel_evc(target("panel").where(day >= evc_lo), target("fact_evc").where(day >= evc_lo))
+        self._write("panel_evc", part.select(*schemas["panel_evc"]), paths["panel_evc"])
+        self.release()
         out = Chain(self.spark, self.sf_dir, self.p, self.cache_marts)
         out.raw = self.raw
-        for n in facts_:
-            out.__dict__[n] = self.spark.read.parquet(paths[n])
-        base = paths["panel"].rsplit("/", 1)[0] + "/refreshed"
-        out.materialize(base, names=("panel", "panel_evc"), parallelism=1)
+        for n in self.MATERIALIZED:
+            out._read(n, paths[n], schemas[n])
         return out
 
     def register_views(self, names=("stg_platform_sales", "stg_onplatform_ads", "stg_offplatform_ads", "stg_evc",

@@ -139,21 +139,24 @@ SELECT *,
        AS decimal(18,4)) AS gmv,
   'cmp-' || cast(user_id % 20 AS varchar) AS campaign
 FROM (
-  SELECT *, 1 AS mult, ts + INTERVAL 1 HOUR AS ingest_ts FROM event_base0
+  SELECT *, 1 AS ver, 1 AS mult, ts + INTERVAL 1 HOUR AS ingest_ts FROM event_base0
   UNION ALL
-  SELECT *, 2 AS mult, ts + INTERVAL 1 DAY AS ingest_ts FROM event_base0 WHERE event_id % 7 = 0
+  SELECT *, 2 AS ver, 2 AS mult, ts + INTERVAL 1 DAY AS ingest_ts FROM event_base0 WHERE event_id % 7 = 0
+  UNION ALL
+  SELECT *, 3 AS ver, 1 AS mult, ts + INTERVAL 1 HOUR AS ingest_ts FROM event_base0 WHERE event_id % 13 = 0
 ) v
 """)
 frag("raw_tiktok_ads", ["event_base"], """
 SELECT d AS "Date", 'adv-' || market AS Advertiser_id, campaign AS Campaign_id,
-  ['VIDEO_SHOPPING', 'LIVE_SHOPPING', 'PRODUCT_CATALOG_SALES', 'SEARCH_ADS', 'TRAFFIC'][user_id % 5 + 1]
+  ['VIDEO_SHOPPING', 'LIVE_SHOPPING', 'PRODUCT_CATALOG_SALES', 'SEARCH_ADS',
+   CASE WHEN event_id % 2 = 0 THEN 'TRAFFIC' ELSE 'REACH' END][user_id % 5 + 1]
     AS Objective_type,
   CASE WHEN user_id % 9 = 0 THEN NULL ELSE 'ag-' || cast(user_id % 40 AS varchar) END AS Ad_group_id,
   'ad-' || cast(event_id AS varchar) AS Ad_id, market AS Country_code, currency AS Currency,
   spend AS Spend, cast(impressions AS bigint) AS Impressions, cast(clicks AS bigint) AS Clicks,
   cast(CASE WHEN event_type = 'view' THEN 20 * mult ELSE 0 END AS bigint) AS Video_play_6s,
   cast(orders AS bigint) AS Complete_payment, gmv AS Complete_payment_value,
-  '7d_click' AS Conversion_attribution_window, market_field AS _market, ingest_ts AS ingested_at
+  CASE WHEN ver = 3 THEN '1d_click' ELSE '7d_click' END AS Conversion_attribution_window, market_field AS _market, ingest_ts AS ingested_at
 FROM event_base WHERE slot = 5
 """)
 frag("raw_shopee_ads", ["event_base"], """
@@ -166,7 +169,7 @@ SELECT d AS "Date", 'shop-' || market AS Shop_id, market AS Country, currency AS
   cast(impressions AS bigint) AS Impressions, cast(clicks AS bigint) AS Clicks,
   cast(CASE WHEN user_id % 5 < 3 THEN orders ELSE 0 END AS bigint) AS Direct_orders,
   cast(orders AS bigint) AS Broad_orders, cast(gmv * 0.6 AS decimal(18,4)) AS Direct_gmv,
-  gmv AS Broad_gmv, '7d' AS Attribution_window, market_field AS _market, ingest_ts AS ingested_at
+  gmv AS Broad_gmv, CASE WHEN ver = 3 THEN '1d' ELSE '7d' END AS Attribution_window, market_field AS _market, ingest_ts AS ingested_at
 FROM event_base WHERE slot < 5
 """)
 frag("raw_meta", ["event_base"], """
@@ -176,7 +179,7 @@ SELECT d AS "Date", 'act-' || market AS Account_id, campaign AS Campaign_id,
   'cat-' || market AS Catalog_id, market AS Country, currency AS Currency, spend AS Spend,
   cast(impressions AS bigint) AS Impressions, cast(clicks AS bigint) AS Link_clicks,
   cast(atc AS bigint) AS Add_to_cart, cast(orders AS bigint) AS Purchase, gmv AS Purchase_value,
-  '7d_click' AS Attribution_window, market_field AS _market, ingest_ts AS ingested_at
+  CASE WHEN ver = 3 THEN '1d_click' ELSE '7d_click' END AS Attribution_window, market_field AS _market, ingest_ts AS ingested_at
 FROM event_base WHERE slot = 6
 """)
 frag("raw_google", ["event_base"], """
@@ -190,7 +193,7 @@ SELECT d AS "Date", 'cus-' || market AS Customer_id, campaign AS Campaign_id,
   cast(impressions AS bigint) AS Impressions, cast(clicks AS bigint) AS Clicks,
   cast(mult * CASE event_type WHEN 'purchase' THEN 1.0 WHEN 'signup' THEN 0.5 ELSE 0.0 END AS double)
     AS Conversions,
-  gmv AS Conversion_value, 'DATA_DRIVEN' AS Attribution_model, market_field AS _market,
+  gmv AS Conversion_value, CASE WHEN ver = 3 THEN 'LAST_CLICK' ELSE 'DATA_DRIVEN' END AS Attribution_model, market_field AS _market,
   ingest_ts AS ingested_at
 FROM event_base WHERE slot = 7
 """)
@@ -201,7 +204,7 @@ SELECT d AS date, market AS _market,
   1.0::double AS conversions, gmv AS conversions_value,
   CASE WHEN event_id % 5 <> 0 AND user_id % 3 = 0 THEN 2.0 ELSE 1.0 END::double AS all_conversions,
   gmv AS all_conversions_value, 'custom_google_ads_api' AS _source_system
-FROM event_base WHERE slot = 7 AND mult = 1 AND event_type = 'purchase'
+FROM event_base WHERE slot = 7 AND ver = 1 AND event_type = 'purchase'
 """)
 frag("raw_evc_meta", ["event_base"], """
 SELECT d AS date, market AS _market,
@@ -209,14 +212,14 @@ SELECT d AS date, market AS _market,
     AS attribution_window,
   CASE WHEN event_type = 'purchase' THEN 'purchase' ELSE 'add_to_cart' END AS action_type,
   cast(1 AS bigint) AS action_count, gmv AS action_value, 'custom_meta_marketing_api' AS _source_system
-FROM event_base WHERE slot = 6 AND mult = 1 AND event_type IN ('purchase', 'signup')
+FROM event_base WHERE slot = 6 AND ver = 1 AND event_type IN ('purchase', 'signup')
 """)
 frag("raw_evc_tiktok", ["event_base"], """
 SELECT d AS date, market AS _market,
   CASE WHEN event_id % 5 = 0 THEN (CASE WHEN user_id % 2 = 0 THEN 'EVTA' ELSE 'VTA' END) ELSE 'CTA' END
     AS attribution_type,
   cast(1 AS bigint) AS conversions, gmv AS conversion_value, 'custom_tiktok_ads_api' AS _source_system
-FROM event_base WHERE slot = 5 AND mult = 1 AND event_type = 'purchase'
+FROM event_base WHERE slot = 5 AND ver = 1 AND event_type = 'purchase'
 """)
 
 # ---------------------------------------------------------------- silver
@@ -246,7 +249,8 @@ FROM (
   SELECT *, row_number() OVER (PARTITION BY platform, order_id, sku_id ORDER BY
     ingested_at DESC NULLS LAST, item_id DESC NULLS LAST, shop_id DESC NULLS LAST,
     gmv_local DESC NULLS LAST, quantity DESC NULLS LAST, order_status DESC NULLS LAST,
-    traffic_source DESC NULLS LAST, create_time_utc DESC NULLS LAST) AS rn
+    traffic_source DESC NULLS LAST, create_time_utc DESC NULLS LAST, market DESC NULLS LAST,
+    currency DESC NULLS LAST) AS rn
   FROM stg_sales_union
 ) d LEFT JOIN dim_market dm ON dm.market = d.market
 WHERE d.rn = 1
@@ -264,7 +268,8 @@ FROM (
       sku_id, ad_type, ad_key ORDER BY ingested_at DESC NULLS LAST, spend_local DESC NULLS LAST,
       impressions DESC NULLS LAST, clicks DESC NULLS LAST, direct_gmv_local DESC NULLS LAST,
       broad_gmv_local DESC NULLS LAST, direct_orders DESC NULLS LAST, objective DESC NULLS LAST,
-      ad_key DESC NULLS LAST) AS rn
+      ad_key DESC NULLS LAST, broad_orders DESC NULLS LAST, video_views_2s_or_6s DESC NULLS LAST,
+      currency DESC NULLS LAST, attribution_window DESC NULLS LAST) AS rn
   FROM (
     SELECT 'tiktok_ads' AS platform, coalesce(_market, Country_code) AS market,
       CASE WHEN lower(Objective_type) LIKE '%video%' THEN 'video'
@@ -301,7 +306,8 @@ FROM (
       ad_set_or_ad_group_id, ad_key ORDER BY ingested_at DESC NULLS LAST, spend_local DESC NULLS LAST,
       impressions DESC NULLS LAST, clicks DESC NULLS LAST, purchases_reported DESC NULLS LAST,
       purchase_value_reported_local DESC NULLS LAST, campaign_type DESC NULLS LAST,
-      catalog_id DESC NULLS LAST, ad_key DESC NULLS LAST) AS rn
+      catalog_id DESC NULLS LAST, ad_key DESC NULLS LAST, add_to_cart DESC NULLS LAST,
+      destination_platform DESC NULLS LAST, currency DESC NULLS LAST, attribution_window DESC NULLS LAST) AS rn
   FROM (
     SELECT 'meta_cpas' AS platform, coalesce(_market, Country) AS market, 'shopee' AS destination_platform,
       Campaign_id AS campaign_id, Adset_id AS ad_set_or_ad_group_id, 'catalog_sales' AS campaign_type,
@@ -364,29 +370,32 @@ FROM (
   FROM fact_sales_l1 GROUP BY ALL
 ) a LEFT JOIN fx ON fx.date = a.date_local AND fx.currency = a.currency
 """)
-frag("fact_onplatform_ads", ["stg_onplatform_ads"], """
-SELECT date_local, market, platform, ad_type, objective, campaign_id, ad_group_id, sku_id,
-  sum(spend_local) AS spend_local, sum(spend_usd) AS spend_usd, cast(sum(impressions) AS bigint) AS impressions,
-  cast(sum(clicks) AS bigint) AS clicks, cast(sum(video_views_2s_or_6s) AS bigint) AS video_views_2s_or_6s,
-  cast(sum(direct_orders) AS bigint) AS direct_orders, cast(sum(broad_orders) AS bigint) AS broad_orders,
-  sum(direct_gmv_local) AS direct_gmv_local, sum(broad_gmv_local) AS broad_gmv_local,
-  sum(direct_gmv_usd) AS direct_gmv_usd, sum(broad_gmv_usd) AS broad_gmv_usd,
-  min(attribution_window) AS attribution_window, min(currency) AS currency
-FROM stg_onplatform_ads WHERE date_local IS NOT NULL
-GROUP BY date_local, market, platform, ad_type, objective, campaign_id, ad_group_id, sku_id
-""")
-frag("fact_offplatform_ads", ["stg_offplatform_ads"], """
-SELECT date_local, market, platform, destination_platform, campaign_id, ad_set_or_ad_group_id,
-  campaign_type, catalog_id,
-  sum(spend_local) AS spend_local, sum(spend_usd) AS spend_usd, cast(sum(impressions) AS bigint) AS impressions,
-  cast(sum(clicks) AS bigint) AS clicks, cast(sum(add_to_cart) AS bigint) AS add_to_cart, cast(sum(purchases_reported) AS bigint) AS purchases_reported,
-  sum(purchase_value_reported_local) AS purchase_value_reported_local,
-  sum(purchase_value_reported_usd) AS purchase_value_reported_usd,
-  min(attribution_window) AS attribution_window, min(currency) AS currency
-FROM stg_offplatform_ads WHERE date_local IS NOT NULL
-GROUP BY date_local, market, platform, destination_platform, campaign_id, ad_set_or_ad_group_id,
-  campaign_type, catalog_id
-""")
+
+
+def _keyed_fact(stg: str, key: list[str], attrs: list[str], sums: list[str]) -> str:
+    """Sums per key, attributes of the key's latest staged row."""
+    last = ", ".join(["ingested_at DESC NULLS LAST"] + [f"{a} DESC NULLS LAST" for a in attrs])
+    return f"""
+SELECT {', '.join(key)},
+  {', '.join(f"max(CASE WHEN rn = 1 THEN {a} END) AS {a}" for a in attrs)},
+  {', '.join(f"sum({c}) AS {c}" if c.endswith(('_local', '_usd')) else f"cast(sum({c}) AS bigint) AS {c}" for c in sums)}
+FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(key)} ORDER BY {last}) AS rn
+      FROM {stg} WHERE date_local IS NOT NULL) x
+GROUP BY {', '.join(key)}
+"""
+
+
+frag("fact_onplatform_ads", ["stg_onplatform_ads"], _keyed_fact(
+    "stg_onplatform_ads",
+    ["date_local", "market", "platform", "ad_type", "campaign_id", "ad_group_id", "sku_id"],
+    ["objective", "attribution_window", "currency"],
+    ["spend_local", "spend_usd", "impressions", "clicks", "video_views_2s_or_6s", "direct_orders", "broad_orders",
+     "direct_gmv_local", "broad_gmv_local", "direct_gmv_usd", "broad_gmv_usd"]))
+frag("fact_offplatform_ads", ["stg_offplatform_ads"], _keyed_fact(
+    "stg_offplatform_ads", ["date_local", "market", "platform", "campaign_id", "ad_set_or_ad_group_id"],
+    ["destination_platform", "campaign_type", "catalog_id", "attribution_window", "currency"],
+    ["spend_local", "spend_usd", "impressions", "clicks", "add_to_cart", "purchases_reported",
+     "purchase_value_reported_local", "purchase_value_reported_usd"]))
 frag("fact_evc", ["stg_evc", "dim_market", "fx"], """
 SELECT s.date_local, s.market, s.channel, s.attribution_bucket, sum(s.conversions) AS conversions,
   sum(s.conversion_value_local) AS conversion_value_local,
@@ -469,6 +478,30 @@ FROM panel p LEFT JOIN evc_pivot e ON e.date_local = p.date_local AND e.market =
 """)
 
 
+def variant(suffix: str, overrides: dict[str, str], names: list[str]) -> None:
+    """Copies of ``names`` and of what they depend on, named ``<name>_<suffix>``,
+    that read the bodies in ``overrides`` in place of the fragments of those
+    names. Fragments that no override reaches are shared."""
+    import re
+    reached: dict[str, bool] = {}
+
+    def visit(n: str) -> bool:
+        if n not in reached:
+            deps, body = F[n]
+            hits = [d for d in deps if visit(d)]
+            reached[n] = n in overrides or bool(hits)
+            if n in overrides:
+                frag(f"{n}_{suffix}", deps + [n], overrides[n])
+            elif hits:
+                for d in hits:
+                    body = re.sub(rf"\b(FROM|JOIN) {d}\b", rf"\1 {d}_{suffix}", body)
+                frag(f"{n}_{suffix}", [f"{d}_{suffix}" if d in hits else d for d in deps], body)
+        return reached[n]
+
+    for n in names:
+        visit(n)
+
+
 def sql(final: str, *names: str) -> str:
     """Assemble ``WITH`` clauses for ``names`` (and their dependencies)."""
     order: list[str] = []

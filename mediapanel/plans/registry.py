@@ -200,3 +200,4 @@ from . import registry_analytics  # noqa: E402,F401
 from . import registry_decisions  # noqa: E402,F401
 from . import registry_response  # noqa: E402,F401
 from . import registry_misc  # noqa: E402,F401
+from . import registry_more  # noqa: E402,F401

@@ -17,12 +17,18 @@ from .chain import Chain
 from .registry import _r4, r4, register
 
 frag = O.frag
-SCAN_LO = P.as_of - dt.timedelta(days=P.scan_days)
+SCAN_LO = P.as_of - dt.timedelta(days=M.scan_reach(P))
 RANGE_LO = P.as_of - dt.timedelta(days=P.range_days - 1)
 PAID_SQL = ", ".join(f"'{c}'" for c in PAID_CHANNELS)
 MK_ORDER = "list_position(['" + "', '".join(MARKET_CODES) + "'], market)"
 
 
+def PAID_DIM(rows: str) -> str:
+    """Paid channels of the taxonomy, and channels of ``rows`` it lacks."""
+    return (f"SELECT channel, priority FROM taxonomy WHERE grp <> 'organic' UNION ALL SELECT DISTINCT channel, 99 "
+            f"FROM {rows} WHERE channel NOT IN (SELECT channel FROM taxonomy)")
+
+
 def _kpi_sql(src: str, by: list[str]) -> str:
     b = "".join(f"{x}, " for x in by)
     g = ", ".join(by)
@@ -149,7 +155,7 @@ CROSS JOIN dim_market m
 LEFT JOIN ({_kpi_sql('filtered', ['date_local', 'market'])}) k ON k.date_local = d.date_local
   AND k.market = m.market""", "filtered", "dim_market"))
 def q_market_trend(c: Chain) -> DataFrame:
-    return M.market_trend(c.filtered, c.p).select("date_local", "market", r4("gmv"))
+    return M.market_trend(c.filtered, c.dim_market, c.p).select("date_local", "market", r4("gmv"))
 
 
 @register("daily_series", O.sql(f"""
@@ -306,10 +312,10 @@ def q_promo_days(c: Chain) -> DataFrame:
 
 @register("top_channel_stack", O.sql(f"""
 SELECT ch.channel, d.date_local, {_r4('coalesce(s.spend, 0)', 'spend')}, ch.rank
-FROM (SELECT channel, cast(row_number() OVER (ORDER BY total DESC, priority) AS int) AS rank
-      FROM (SELECT t.channel, t.priority, coalesce(a.total, 0) AS total FROM taxonomy t
+FROM (SELECT channel, cast(row_number() OVER (ORDER BY total DESC, priority, channel) AS int) AS rank
+      FROM (SELECT t.channel, t.priority, coalesce(a.total, 0) AS total FROM ({PAID_DIM('filtered')}) t
             LEFT JOIN (SELECT channel, sum(spend_usd) AS total FROM filtered GROUP BY 1) a
-            ON a.channel = t.channel WHERE t.grp <> 'organic') x
+            ON a.channel = t.channel) x
       QUALIFY rank <= {P.top_n_stack}) ch
 CROSS JOIN (SELECT DISTINCT date_local FROM filtered) d
 LEFT JOIN (SELECT date_local, channel, sum(spend_usd) AS spend FROM filtered GROUP BY 1, 2) s
@@ -339,7 +345,7 @@ SELECT market, date_local, {_r4('value')}, {_r4('greatest(max(value) OVER (), 0)
              WHERE channel = '{P.focus_channel}' GROUP BY 1, 2) s
     ON s.date_local = d.date_local AND s.market = m.market) x""", "scan", "dim_market"))
 def q_heatmap(c: Chain) -> DataFrame:
-    return M.heatmap(c.scan, c.p).select("market", "date_local", r4("value"), r4("max_value"))
+    return M.heatmap(c.scan, c.dim_market, c.p).select("market", "date_local", r4("value"), r4("max_value"))
 
 
 @register("channel_market_grid", O.sql(f"""
@@ -352,13 +358,13 @@ FROM (
   FROM (SELECT date_local, CASE WHEN rn <= 14 THEN 'now' ELSE 'prev' END AS wk FROM (
           SELECT date_local, row_number() OVER (ORDER BY date_local DESC) AS rn
           FROM (SELECT DISTINCT date_local FROM scan) x) y WHERE rn <= 28) d
-  CROSS JOIN (SELECT channel FROM taxonomy WHERE grp <> 'organic') ch
+  CROSS JOIN (SELECT channel FROM ({PAID_DIM('scan')}) t) ch
   CROSS JOIN dim_market m
   LEFT JOIN (SELECT date_local, channel, market, sum(spend_usd) AS spend FROM scan GROUP BY 1, 2, 3) s
     ON s.date_local = d.date_local AND s.channel = ch.channel AND s.market = m.market
 ) z WHERE wk = 'now'""", "scan", "taxonomy", "dim_market"))
 def q_channel_market_grid(c: Chain) -> DataFrame:
-    d = M.channel_market_grid(c.scan, c.p)
+    d = M.channel_market_grid(c.scan, c.taxonomy, c.dim_market, c.p)
     return d.select("channel", "market", "date_local", r4("spend"), r4("now_total"), r4("prev_total"), r4("delta"))
 
 
@@ -376,7 +382,7 @@ FROM (
   SELECT channel, CASE WHEN date_local >= DATE '{RANGE_LO}' THEN 'now' ELSE 'prev' END AS period,
     sum(spend_usd) AS spend, sum(ads_gmv_usd) AS ads_gmv, sum(impressions) AS impressions,
     sum(clicks) AS clicks, sum(ads_orders) AS orders
-  FROM scan WHERE channel IN ({PAID_SQL})
+  FROM scan WHERE grp <> 'organic'
     AND (date_local >= DATE '{RANGE_LO}' OR date_local BETWEEN DATE '{PREV_LO}' AND DATE '{PREV_HI}')
   GROUP BY 1, 2
 ) x""", "scan"))

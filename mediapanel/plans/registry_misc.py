@@ -22,9 +22,9 @@ FINAL_LO = P.as_of - dt.timedelta(days=P.final_lag_days - 1)
 
 # ------------------------------------------------------------------ upsert
 frag("raw_tiktok_ads_first", ["raw_tiktok_ads"],
-     f"SELECT * FROM raw_tiktok_ads WHERE ingested_at < TIMESTAMP '{FIRST_LOAD_CUTOFF}'")
+     f"SELECT * FROM raw_tiktok_ads WHERE ingested_at < TIMESTAMP '{FIRST_LOAD_CUTOFF}' OR \"Date\" < DATE '{REFRESH_LO}'")
 frag("raw_shopee_ads_first", ["raw_shopee_ads"],
-     f"SELECT * FROM raw_shopee_ads WHERE ingested_at < TIMESTAMP '{FIRST_LOAD_CUTOFF}'")
+     f"SELECT * FROM raw_shopee_ads WHERE ingested_at < TIMESTAMP '{FIRST_LOAD_CUTOFF}' OR \"Date\" < DATE '{REFRESH_LO}'")
 frag("stg_on_first", ["raw_tiktok_ads_first", "raw_shopee_ads_first", "fx"],
      O.F["stg_onplatform_ads"][1].replace("FROM raw_tiktok_ads", "FROM raw_tiktok_ads_first")
      .replace("FROM raw_shopee_ads", "FROM raw_shopee_ads_first"))
@@ -46,9 +46,11 @@ merged AS (
 SELECT {', '.join(_r4(x) if x in ON_MONEY else x for x in ON_OUT)} FROM merged""",
                                 "fact_onplatform_ads", "fact_on_first"))
 def q_upsert_fact(c: Chain) -> DataFrame:
-    cut = F.lit(FIRST_LOAD_CUTOFF).cast("timestamp")
-    stg1 = conform.stg_onplatform_ads(c.raw["tiktok_ads_daily"].where(F.col("ingested_at") < cut),
-                                      c.raw["shopee_ads_daily"].where(F.col("ingested_at") < cut), c.fx)
+    # The first load held all days before the window, and the window's rows
+    # that had come by then: with the second load no row is in neither.
+    first = (F.col("ingested_at") < F.lit(FIRST_LOAD_CUTOFF).cast("timestamp")) | (F.col("Date") < F.lit(REFRESH_LO))
+    stg1 = conform.stg_onplatform_ads(c.raw["tiktok_ads_daily"].where(first),
+                                      c.raw["shopee_ads_daily"].where(first), c.fx)
     target = facts.fact_onplatform_ads(stg1, c.p.as_of)
     source = facts.fact_onplatform_ads(c.stg_onplatform_ads, c.p.as_of, refresh_days=REFRESH_DAYS)
     m = upsert.upsert(target, source, ON_KEY)
@@ -79,8 +81,7 @@ WHERE NOT EXISTS (SELECT 1 FROM fx WHERE fx.date = s.date AND fx.currency = s.cu
 def q_fx_spine(c: Chain) -> DataFrame:
     rates = F.array(*[F.struct(F.lit(cur).alias("currency"), F.lit(r).cast("decimal(12,6)").alias("usd_rate"))
                       for cur, r in seeds.FX_RATES])
-    days = c.stg_platform_sales.where(F.col("date_local").isNotNull()).select(
-        F.col("date_local").alias("date")).distinct()
+    days = c.stored.fact_platform_sales.select(F.col("date_local").alias("date")).distinct()
     src = days.select("date", F.inline(rates))
     m = upsert.insert_if_missing(c.fx, src, ["date", "currency"], flag_col="is_filled")
     return m.select("date", "currency", r4("usd_rate"), "is_filled")
@@ -91,90 +92,101 @@ SELECT c.date, c.market, c.event_name, c.event_kind FROM calendar c
 WHERE EXISTS (SELECT 1 FROM stg_platform_sales s WHERE s.date_local = c.date AND s.market = c.market)""",
                                    "calendar", "stg_platform_sales"))
 def q_calendar_spine(c: Chain) -> DataFrame:
-    days = c.stg_platform_sales.select(F.col("date_local").alias("date"), "market").distinct()
+    days = c.stored.fact_platform_sales.select(F.col("date_local").alias("date"), "market").distinct()
     return c.calendar.join(days, ["date", "market"], "left_semi").select("date", "market", "event_name",
                                                                          "event_kind")
 
 
 # ------------------------------------------------------------------ data quality
 DQ_SQL = {
-    "Q01_evc_bounded_by_all_conversions":
+    "Q01_evc_within_all":
         "SELECT count(*) FROM panel_evc WHERE evc_conversions > all_conversions + 1e-6",
-    "Q02_ads_attributed_gmv_bounded_by_platform_total":
+    "Q02_ads_gmv_within_platform":
         "SELECT count(*) FROM (SELECT sum(ads_attributed_gmv_usd) a, max(platform_total_gmv_usd) p FROM panel "
         "WHERE platform_total_gmv_usd IS NOT NULL GROUP BY date_local, market, platform) x WHERE a > 1.05 * p",
-    "Q03_no_negative_spend_or_counts":
+    "Q03_no_negatives":
         "SELECT count(*) FROM panel WHERE spend_usd < 0 OR impressions < 0 OR clicks < 0 "
         "OR ads_attributed_orders < 0 OR ads_attributed_gmv_usd < 0",
-    "Q04_funnel_monotone_impressions_clicks_orders":
+    "Q04_funnel_order":
         "SELECT count(*) FROM panel WHERE spend_usd > 0 AND (impressions < clicks OR clicks < ads_attributed_orders)",
-    "Q05_voucher_subsidy_bounded_by_spend":
+    "Q05_voucher_within_spend":
         "SELECT count(*) FROM raw_shopee_ads WHERE Voucher_subsidy > Spend + 1e-6",
-    "Q06_every_market_present_in_panel":
+    "Q06_all_markets":
         "SELECT count(*) FROM dim_market d WHERE NOT EXISTS (SELECT 1 FROM panel p WHERE p.market = d.market)",
-    "Q07_mart_grain_columns_non_null":
+    "Q07_grain_not_null":
         "SELECT count(*) FROM panel WHERE date_local IS NULL OR market IS NULL OR channel IS NULL",
-    "Q08_channel_taxonomy_coverage":
+    "Q08_known_channels":
         "SELECT count(*) FROM (SELECT DISTINCT channel FROM panel) p WHERE NOT EXISTS "
         "(SELECT 1 FROM taxonomy t WHERE t.channel = p.channel) AND NOT ends_with(p.channel, '_other')",
-    "Q09_shopee_ads_funnel_monotone":
+    "Q09_direct_orders_within_broad":
         "SELECT count(*) FROM raw_shopee_ads WHERE Direct_orders > Broad_orders",
-    "Q10_evc_meta_no_deprecated_windows":
+    "Q10_meta_windows":
         "SELECT count(*) FROM (SELECT DISTINCT attribution_window FROM raw_evc_meta) w WHERE attribution_window "
         "NOT IN ('" + "', '".join(seeds.META_ALLOWED_WINDOWS) + "')",
-    "Q11_mega_sale_flag_matches_calendar_seed":
+    "Q11_mega_sale_flag":
         "SELECT count(*) FROM (SELECT DISTINCT date_local AS date, market, is_mega_sale FROM panel) p "
         "LEFT JOIN (SELECT DISTINCT date, market, true AS in_seed FROM calendar) s ON s.date = p.date "
         "AND s.market = p.market WHERE p.is_mega_sale IS DISTINCT FROM coalesce(s.in_seed, false)",
-    "Q12_direct_leq_broad":
+    "Q12_direct_gmv_within_broad":
         "SELECT count(*) FROM panel WHERE direct_gmv_usd IS NOT NULL AND broad_gmv_usd IS NOT NULL "
         "AND direct_gmv_usd > broad_gmv_usd + 1e-6",
-    "Q14a_unique_grain_fact_platform_sales":
-        "SELECT count(*) FROM (SELECT count(*) n FROM fact_platform_sales GROUP BY date_local, market, platform, "
-        "shop_id, sku_id) x WHERE n > 1",
-    "Q14b_unique_grain_fact_onplatform_ads":
-        "SELECT count(*) FROM (SELECT count(*) n FROM fact_onplatform_ads GROUP BY date_local, market, platform, "
-        "ad_type, objective, campaign_id, ad_group_id, sku_id) x WHERE n > 1",
-    "Q14c_unique_grain_panel":
-        "SELECT count(*) FROM (SELECT count(*) n FROM panel GROUP BY date_local, market, channel) x WHERE n > 1",
     "Q15_fx_coverage":
         "SELECT count(*) FROM (SELECT DISTINCT date_local AS date, currency FROM fact_platform_sales) u "
         "WHERE NOT EXISTS (SELECT 1 FROM fx WHERE fx.date = u.date AND fx.currency = u.currency)",
 }
 
 
+DQ_SQL |= {f"Q14_unique_{name}": f"SELECT count(*) FROM (SELECT count(*) n FROM {name} GROUP BY {', '.join(key)}) x WHERE n > 1"
+           for name, key in facts.KEYS.items()}
+
+
 @register("dq_suite", O.sql(
     "SELECT chk AS \"check\", CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status, cast(n AS bigint) AS \"rows\" "
     "FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS chk, ({v}) AS n" for k, v in DQ_SQL.items()) + ") q",
     "panel", "panel_evc", "raw_shopee_ads", "raw_evc_meta", "dim_market", "taxonomy", "calendar",
-    "fact_platform_sales", "fact_onplatform_ads", "fx"))
+    "fact_platform_sales", "fact_onplatform_ads", "fact_offplatform_ads", "fact_evc", "fx"))
 def q_dq_suite(c: Chain) -> DataFrame:
-    return quality.dq_suite(c.spark, quality.checks(c))
+    return quality.dq_suite(c.spark, quality.checks(c.stored))
 
 
 # ------------------------------------------------------------------ features
-REG_COLS = [f"x_{ch}" for ch in seeds.PAID_CHANNELS]
+REG_COLS = [f"x_{ch}" for ch in seeds.PAID_CHANNELS + ["other"]]
 
 
-@register("regression_frame", O.sql(f"""
-WITH g AS (SELECT date_local, market, sum(gmv) AS gmv FROM (
+def _regression_sql(day: str) -> str:
+    paid = ", ".join(f"'{ch}'" for ch in seeds.PAID_CHANNELS)
+    sums = [f"sum(CASE WHEN channel = '{ch}' THEN spend_usd END) AS \"{ch}\"" for ch in seeds.PAID_CHANNELS]
+    sums.append(f"sum(CASE WHEN channel NOT IN ({paid}) THEN spend_usd END) AS \"other\"")
+    return f"""
+WITH g AS (SELECT {day} AS date_local, market, sum(gmv) AS gmv FROM (
              SELECT date_local, market, platform, max(coalesce(platform_total_gmv_usd, 0)) AS gmv FROM panel
              GROUP BY 1, 2, 3) x GROUP BY 1, 2),
-s AS (SELECT date_local, market, {', '.join(f"sum(CASE WHEN channel = '{ch}' THEN spend_usd END) AS \"{ch}\""
-                                             for ch in seeds.PAID_CHANNELS)},
+s AS (SELECT {day} AS date_local, market, {', '.join(sums)},
         max(cast(is_weekend AS int)) AS is_weekend, max(cast(is_payday AS int)) AS is_payday,
         max(cast(is_mega_sale AS int)) AS is_mega_sale
       FROM panel GROUP BY 1, 2)
 SELECT g.market, g.date_local, {_r4('ln(1 + g.gmv)', 'y')},
-  {', '.join(_r4(f'ln(1 + coalesce(s."{ch}", 0))', f'x_{ch}') for ch in seeds.PAID_CHANNELS)},
+  {', '.join(_r4(f'ln(1 + coalesce(s."{ch}", 0))', f'x_{ch}') for ch in seeds.PAID_CHANNELS + ["other"])},
   s.is_weekend, s.is_payday, s.is_mega_sale
-FROM g LEFT JOIN s ON s.date_local = g.date_local AND s.market = g.market""", "panel"))
-def q_regression_frame(c: Chain) -> DataFrame:
-    f = features.regression_frame(c.panel)
+FROM g LEFT JOIN s ON s.date_local = g.date_local AND s.market = g.market"""
+
+
+def _regression(c: Chain, weekly: bool) -> DataFrame:
+    f = features.regression_frame(c.panel, weekly)
     return f.select("market", "date_local", r4("y"), *[r4(x) for x in REG_COLS], "is_weekend", "is_payday",
                     "is_mega_sale")
 
 
+@register("regression_frame", O.sql(_regression_sql("date_local"), "panel"))
+def q_regression_frame(c: Chain) -> DataFrame:
+    return _regression(c, weekly=False)
+
+
+@register("regression_weekly", O.sql(_regression_sql("cast(date_trunc('week', date_local) AS date)"), "panel"))
+def q_regression_weekly(c: Chain) -> DataFrame:
+    return _regression(c, weekly=True)
+
+
 LIFT_TREATED = ["ID", "MY"]
 LIFT_PRE = (dt.date(2024, 1, 3), dt.date(2024, 1, 9))
 LIFT_POST = (dt.date(2024, 1, 10), dt.date(2024, 1, 14))
@@ -216,7 +228,7 @@ def q_traffic_organic(c: Chain) -> DataFrame:
 SELECT date_local, market, platform, ad_type, campaign_id, sku_id, ad_key, {_r4('sum(spend_usd)', 'spend_usd')},
   cast(sum(impressions) AS bigint) AS impressions, cast(sum(clicks) AS bigint) AS clicks,
   cast(sum(broad_orders) AS bigint) AS broad_orders, {_r4('sum(broad_gmv_usd)', 'broad_gmv_usd')}
-FROM stg_onplatform_ads WHERE platform = 'shopee_ads'
+FROM stg_onplatform_ads
 GROUP BY date_local, market, platform, ad_type, campaign_id, sku_id, ad_key""", "stg_onplatform_ads"))
 def q_keyword_fact(c: Chain) -> DataFrame:
     k = features.keyword_fact(c.stg_onplatform_ads)

@@ -85,6 +85,27 @@ def q_seasonality_mult(c: Chain) -> DataFrame:
     return c.seasonality.select("market", "date_local", r4("dow_mult"), r4("event_mult"), r4("multiplier"))
 
 
+def _channel_event_rows():
+    return [(e[2] + dt.timedelta(days=k), m, ch, e[5]) for e in bind.TEST_CHANNEL_EVENTS
+            for k in range((e[3] - e[2]).days + 1) for m in (e[4] or seeds.MARKET_CODES) for ch in e[6]]
+
+
+frag("channel_event_days", [], O._values(_channel_event_rows(), ["date_local", "market", "channel", "uplift_mult"]))
+
+
+@register("channel_seasonality", O.sql(f"""
+SELECT p.market, p.channel, p.date_local, {_r4('s.dow_mult', 'dow_mult')},
+  {_r4('s.event_mult * coalesce(e.mult, 1.0)', 'event_mult')}, {_r4('s.multiplier * coalesce(e.mult, 1.0)', 'multiplier')}
+FROM (SELECT DISTINCT market, channel, date_local FROM panel) p
+JOIN seasonality s ON s.market = p.market AND s.date_local = p.date_local
+LEFT JOIN (SELECT date_local, market, channel, product(uplift_mult) AS mult FROM channel_event_days GROUP BY 1, 2, 3) e
+  ON e.date_local = p.date_local AND e.market = p.market AND e.channel = p.channel""",
+                                       "panel", "seasonality", "channel_event_days"))
+def q_channel_seasonality(c: Chain) -> DataFrame:
+    return c.channel_seasonality.select("market", "channel", "date_local", r4("dow_mult"), r4("event_mult"),
+                                        r4("multiplier"))
+
+
 @register("gmv_cap", O.sql(f"""
 WITH a AS (SELECT *, sum(ads_attributed_gmv_usd) OVER (PARTITION BY date_local, market, platform) AS ads_total
            FROM panel WHERE ads_attributed_gmv_usd IS NOT NULL),
@@ -102,16 +123,33 @@ def q_gmv_cap(c: Chain) -> DataFrame:
 
 
 @register("allocate", O.sql(f"""
-SELECT p.date_local, p.market, w.campaign_type, {_r4('p.spend_usd * w.share', 'spend_usd')},
-  cast(round_even(p.clicks * w.share, 0) AS bigint) AS clicks
-FROM panel p JOIN ({O._values(R.google_campaign_shares(), ['campaign_type', 'share'])}) w ON TRUE
-WHERE p.channel = 'google_ads_shopee'""", "panel"))
+WITH w AS ({O._values(R.allocation_shares(), ['family', 'channel', 'slot', 'share'])}),
+t AS (SELECT date_local, market, 'google_ads_shopee' AS channel, sum(spend_usd) AS amount, sum(clicks) AS cnt
+      FROM panel WHERE channel = 'google_ads_shopee' GROUP BY 1, 2
+      UNION ALL
+      SELECT date_local, market, 'shopee_ads', sum(spend_usd), sum(clicks) FROM panel
+      WHERE starts_with(channel, 'shopee_ads_') GROUP BY 1, 2
+      UNION ALL
+      SELECT date_local, market, platform, sum(gmv_net_usd), sum(orders_gross) FROM fact_platform_sales GROUP BY 1, 2, 3)
+SELECT t.date_local, t.market, w.family, t.channel, w.slot, {_r4('t.amount * cast(w.share AS double)', 'amount')},
+  cast(round_even(cast(t.cnt AS double) * cast(w.share AS double), 0) AS bigint) AS cnt
+FROM t JOIN w ON w.channel = t.channel""", "panel", "fact_platform_sales"))
 def q_allocate(c: Chain) -> DataFrame:
-    rows = c.panel.where(F.col("channel") == "google_ads_shopee").select("date_local", "market", "channel",
-                                                                         "spend_usd", "clicks")
-    a = R.allocate(rows, R.google_campaign_weights(c.spark), ["channel"], ["spend_usd"], ["clicks"],
-                   "campaign_type", normalize=False)
-    return a.select("date_local", "market", "campaign_type", r4("spend_usd"), "clicks")
+    """Spend and clicks over campaign types and ad types, GMV and order lines
+    over traffic sources."""
+    def total(df, channel, amount, count):
+        return df.groupBy("date_local", "market", channel.alias("channel")).agg(
+            F.sum(amount).alias("amount"), F.sum(count).alias("cnt"))
+    google = c.panel.where(F.col("channel") == "google_ads_shopee")
+    shopee = c.panel.where(F.col("channel").startswith("shopee_ads_"))
+    rows = (total(google, F.col("channel"), "spend_usd", "clicks")
+            .unionByName(total(shopee, F.lit("shopee_ads"), "spend_usd", "clicks"))
+            .unionByName(total(c.fact_platform_sales, F.col("platform"), "gmv_net_usd", "orders_gross")))
+    w = R.allocation_weights(c.spark)
+    a = R.allocate(rows, w.drop("family"), ["channel"], ["amount"], ["cnt"], "slot", normalize=False)
+    # Fixed weight tables: a few rows.
+    return a.join(F.broadcast(w.select("family", "channel", "slot")), ["channel", "slot"]).select(
+        "date_local", "market", "family", "channel", "slot", r4("amount"), "cnt")
 
 
 @register("voucher_share", O.sql(f"""
@@ -160,25 +198,46 @@ def q_attribution_split(c: Chain) -> DataFrame:
     return a.select("date_local", "market", "channel", "campaign_type", "kind", r4("conversions"), r4("value_usd"))
 
 
-def _what_if_sql(name: str) -> str:
-    patches = seeds.SCENARIOS[name]
+def _what_if_sql(patches: list[tuple]) -> str:
+    """Patches applied one after the other, as the operator folds them."""
     cols = []
     for m in R.WHAT_IF_METRICS:
-        cases = " ".join(
-            f"WHEN channel = '{ch}' THEN " + {"set": f"{v}", "mul": f"{m} * {v}", "add": f"{m} + {v}"}[op]
-            for ch, mm, op, v in patches if mm == m)
-        expr = f"CASE {cases} ELSE {m} END" if cases else m
+        expr = f"cast({m} AS double)"
+        for ch, mm, op, v in patches:
+            if mm == m:
+                new = {"set": f"{v}", "mul": f"({expr}) * {v}", "add": f"({expr}) + {v}"}[op]
+                expr = f"CASE WHEN channel = '{ch}' THEN {new} ELSE {expr} END"
         cols.append(_r4(expr, m))
     return f"SELECT date_local, market, channel, {', '.join(cols)} FROM scan"
 
 
-@register("what_if", O.sql(_what_if_sql("competitor_launch"), "scan"))
-def q_what_if(c: Chain) -> DataFrame:
-    rows = c.scan.select("date_local", "market", "channel", *R.WHAT_IF_METRICS)
-    w = R.what_if(rows, R.scenario_patches(c.spark, "competitor_launch"))
+def _what_if(c: Chain, patches: DataFrame) -> DataFrame:
+    w = R.what_if(c.scan.select("date_local", "market", "channel", *R.WHAT_IF_METRICS), patches)
     return w.select("date_local", "market", "channel", *[r4(m) for m in R.WHAT_IF_METRICS])
 
 
+@register("what_if", O.sql(_what_if_sql(seeds.SCENARIOS["competitor_launch"]), "scan"))
+def q_what_if(c: Chain) -> DataFrame:
+    return _what_if(c, R.scenario_patches(c.spark, "competitor_launch"))
+
+
+@register("what_if_supply", O.sql(_what_if_sql(seeds.SCENARIOS["supply_shortage"]), "scan"))
+def q_what_if_supply(c: Chain) -> DataFrame:
+    return _what_if(c, R.scenario_patches(c.spark, "supply_shortage"))
+
+
+# All three operations; two patches of one metric build on each other.
+PATCHES = [("tiktok_ads", "spend_usd", "mul", 2.0), ("tiktok_ads", "spend_usd", "add", 5.0),
+           ("tiktok_ads", "clicks", "set", 7.0), ("meta_cpas", "clicks", "add", -1.0),
+           ("meta_cpas", "ads_gmv_usd", "add", 10.0), ("meta_cpas", "ads_gmv_usd", "mul", 0.5)]
+
+
+@register("what_if_patches", O.sql(_what_if_sql(PATCHES), "scan"))
+def q_what_if_patches(c: Chain) -> DataFrame:
+    return _what_if(c, c.spark.createDataFrame([(i, *x) for i, x in enumerate(PATCHES)],
+                                               "seq long, channel string, metric string, op string, value double"))
+
+
 @register("roas_bands", O.sql(f"""
 WITH a AS (SELECT channel, sum(spend_usd) AS spend, sum(coalesce(ads_attributed_gmv_usd, 0)) AS gmv FROM panel
            WHERE channel IN ({PAID_SQL}) GROUP BY channel),

@@ -33,5 +33,24 @@ def channel_brief(c: Chain, channel: str | None = None) -> dict[str, DataFrame]:
         "period_compare": M.period_compare(c.scan, p).where(F.col("channel") == ch),
         "by_market": M.kpi_by_market(rows, c.dim_market),
         "trend": M.channel_trend(c.scan, p),
-        "heatmap": M.heatmap(c.scan, p),
+        "heatmap": M.heatmap(c.scan, c.dim_market, p),
     }
+
+
+def long_form(parts: dict[str, DataFrame], keys: dict[str, str | None]) -> DataFrame:
+    """One frame of a report: (section, item, date_local, metric, value), each
+    numeric or boolean column of a section a metric. ``keys`` names the column
+    that tells a section's items apart."""
+    out = None
+    for section, df in parts.items():
+        key = keys[section]
+        dtypes = dict(df.dtypes)
+        metrics = [c for c, t in df.dtypes if t in ("double", "bigint", "int", "boolean") and c not in ("priority",)]
+        wide = df.select(F.lit(section).alias("section"),
+                         (F.col(key) if key else F.lit(None)).cast("string").alias("item"),
+                         (F.col("date_local") if "date_local" in dtypes else F.lit(None)).cast("date").alias("date_local"),
+                         *[F.col(m).cast("int").cast("double").alias(m) if dtypes[m] == "boolean"
+                           else F.col(m).cast("double").alias(m) for m in metrics])
+        part = wide.unpivot(["section", "item", "date_local"], metrics, "metric", "value")
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -22,7 +22,11 @@ Rules (deterministic, integer arithmetic where money is involved):
   click and order with GMV 3 x value, signup = add-to-cart; error rows are
   dropped; spend = value x 10 on view and click rows
 * every event with event_id % 7 = 0 is restated one day later with doubled
-  measures, so the latest-wins dedup has real work to do
+  measures, so the latest-wins dedup has real work to do; every event with
+  event_id % 13 = 0 comes twice at the same moment, the versions differing in
+  nothing but the attribution window, so ties have to be broken
+* event_id % 2 splits the last objective in two that share an ad type, so one
+  campaign key has rows of both
 * conversion-API rows: purchases of slots 5-7; event_id % 5 = 0 is a
   view / engaged-view conversion, the rest click-through
 """
@@ -46,6 +50,12 @@ TEST_EVENTS = [
     ("Test Festival", "festival", dt.date(2024, 1, 10), dt.date(2024, 1, 14), ["ID", "MY"], 1.3),
     ("Songkran test", "festival", dt.date(2024, 1, 20), dt.date(2024, 1, 22), ["TH"], 1.2),
 ]
+# Events bound to channels (D20): (name, kind, start, end, markets, uplift, channels)
+TEST_CHANNEL_EVENTS = [
+    ("Live week", "custom", dt.date(2024, 1, 15), dt.date(2024, 1, 18), None, 1.5, ["tiktok_ads"]),
+    ("Search push", "custom", dt.date(2024, 1, 20), dt.date(2024, 1, 21), ["TH", "SG"], 1.1,
+     ["shopee_ads_product_search", "shopee_ads_shop_search"]),
+]
 # FX spine of the test data, with one provider gap.
 FX_START, FX_END = dt.date(2023, 12, 1), dt.date(2024, 2, 29)
 FX_MISSING = [(dt.date(2024, 1, 17), "VND")]
@@ -55,24 +65,8 @@ _CUR = "array('IDR', 'THB', 'VND', 'MYR', 'SGD', 'PHP')"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. A table stored as fewer splits than the cluster has
-    cores (one file with one row group) would run the whole pre-shuffle
-    pipeline in one task; it is spread round-robin first. With many files
-    (the large-scale case) the scan already has enough splits and nothing is
-    added. The check reads file metadata only."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if name not in _LARGE_TABLES:
-        return df
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-    except Exception:  # noqa: BLE001 - sessions without RDD access keep the scan as is
-        pass
-    return df
-
-
-_LARGE_TABLES = {"lineitem", "orders", "events"}
+    """A driver table; ``spark.sql.files.maxPartitionBytes`` sets its splits."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _lineage(system: str, market_col: str = "market_field") -> list[str]:
@@ -191,9 +185,12 @@ def event_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # Original load, ingested one hour after the event; restatements of every
     # seventh event one day later with doubled measures.
-    v1 = base.selectExpr("*", "1 AS mult", "ts_utc + INTERVAL 1 HOURS AS ingest_ts")
-    v2 = base.where("event_id % 7 = 0").selectExpr("*", "2 AS mult", "ts_utc + INTERVAL 1 DAYS AS ingest_ts")
-    both = v1.unionByName(v2)
+    v1 = base.selectExpr("*", "1 AS ver", "1 AS mult", "ts_utc + INTERVAL 1 HOURS AS ingest_ts")
+    v2 = base.where("event_id % 7 = 0").selectExpr("*", "2 AS ver", "2 AS mult",
+                                                   "ts_utc + INTERVAL 1 DAYS AS ingest_ts")
+    v3 = base.where("event_id % 13 = 0").selectExpr("*", "3 AS ver", "1 AS mult",
+                                                    "ts_utc + INTERVAL 1 HOURS AS ingest_ts")
+    both = v1.unionByName(v2).unionByName(v3)
     return both.selectExpr(
         "*",
         "mult * CASE event_type WHEN 'view' THEN 100 WHEN 'click' THEN 10 ELSE 1 END AS impressions",
@@ -216,7 +213,8 @@ def tiktok_ads_daily(spark: SparkSession, sf_dir: str, base: DataFrame | None =
         "campaign AS Campaign_id",
         "concat('Campaign ', campaign) AS Campaign_name",
         "element_at(array('VIDEO_SHOPPING', 'LIVE_SHOPPING', 'PRODUCT_CATALOG_SALES', 'SEARCH_ADS',"
-        " 'TRAFFIC'), cast(user_id % 5 AS int) + 1) AS Objective_type",
+        " CASE WHEN event_id % 2 = 0 THEN 'TRAFFIC' ELSE 'REACH' END), cast(user_id % 5 AS int) + 1)"
+        " AS Objective_type",
         "CASE WHEN user_id % 9 = 0 THEN NULL ELSE concat('ag-', cast(user_id % 40 AS string)) END"
         " AS Ad_group_id",
         "CAST(NULL AS string) AS Ad_group_name",
@@ -233,7 +231,7 @@ def tiktok_ads_daily(spark: SparkSession, sf_dir: str, base: DataFrame | None =
         "cast(orders AS bigint) AS Complete_payment",
         "gmv AS Complete_payment_value",
         "CAST(NULL AS bigint) AS Skan_complete_payment",
-        "'7d_click' AS Conversion_attribution_window",
+        "CASE WHEN ver = 3 THEN '1d_click' ELSE '7d_click' END AS Conversion_attribution_window",
         *_lineage("tiktok_ads_api"),
         "ingest_ts AS ingested_at",
     ).select([f.name for f in RAW_SCHEMAS["tiktok_ads_daily"].fields])
@@ -262,7 +260,7 @@ def shopee_ads_daily(spark: SparkSession, sf_dir: str, base: DataFrame | None =
         "cast(orders AS bigint) AS Broad_orders",
         "cast(gmv * 0.6 AS decimal(18,4)) AS Direct_gmv",
         "gmv AS Broad_gmv",
-        "'7d' AS Attribution_window",
+        "CASE WHEN ver = 3 THEN '1d' ELSE '7d' END AS Attribution_window",
         *_lineage("shopee_ads_api"),
         "ingest_ts AS ingested_at",
     ).select([f.name for f in RAW_SCHEMAS["shopee_ads_daily"].fields])
@@ -291,7 +289,7 @@ def meta_cpas_daily(spark: SparkSession, sf_dir: str, base: DataFrame | None = N
         "cast(orders AS bigint) AS Purchase",
         "gmv AS Purchase_value",
         "CAST(NULL AS double) AS Roas",
-        "'7d_click' AS Attribution_window",
+        "CASE WHEN ver = 3 THEN '1d_click' ELSE '7d_click' END AS Attribution_window",
         *_lineage("meta_ads_api"),
         "ingest_ts AS ingested_at",
     ).select([f.name for f in RAW_SCHEMAS["meta_cpas_daily"].fields])
@@ -324,7 +322,7 @@ def google_ads_shopee_daily(spark: SparkSession, sf_dir: str, base: DataFrame |
         "gmv AS Conversion_value",
         "cast(mult * CASE event_type WHEN 'purchase' THEN 1.0 WHEN 'signup' THEN 0.5 ELSE 0.0 END"
         " AS double) AS All_conversions",
-        "'DATA_DRIVEN' AS Attribution_model",
+        "CASE WHEN ver = 3 THEN 'LAST_CLICK' ELSE 'DATA_DRIVEN' END AS Attribution_model",
         *_lineage("google_ads_api"),
         "ingest_ts AS ingested_at",
     ).select([f.name for f in RAW_SCHEMAS["google_ads_shopee_daily"].fields])
@@ -333,7 +331,7 @@ def google_ads_shopee_daily(spark: SparkSession, sf_dir: str, base: DataFrame |
 def _evc_base(spark, sf_dir, slot, base=None):
     # Conversion APIs report one version per row (no restatements).
     b = base if base is not None else event_base(spark, sf_dir)
-    return b.where(f"slot = {slot} AND mult = 1")
+    return b.where(f"slot = {slot} AND ver = 1")
 
 
 def evc_google(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
@@ -428,8 +426,17 @@ class Bronze:
             self._cache[name] = RAW_BUILDERS[name](self.spark, self.sf_dir)
         return self._cache[name]
 
+    def __setitem__(self, name: str, df: DataFrame) -> None:
+        self._cache[name] = df
+
+    def with_feeds(self, **feeds: DataFrame) -> "Bronze":
+        """A copy in which some feeds are replaced."""
+        out = Bronze(self.spark, self.sf_dir)
+        out._cache = {**self._cache, **feeds}
+        return out
+
 
-# Feeds that share one derived base (written together when landing).
+# Feeds that share one derived base; landing derives each base once.
 FEED_GROUPS = {
     "orders": (order_base, ["shopee_orders", "tiktok_shop_orders"]),
     "events": (event_base, ["tiktok_ads_daily", "shopee_ads_daily", "meta_cpas_daily",

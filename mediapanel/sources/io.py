@@ -8,9 +8,10 @@ functions; sinks write partitioned parquet, NDJSON or CSV.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,45 +23,92 @@ LINEAGE_COLS = [n for n, _ in LINEAGE]
 def load_ndjson(spark: SparkSession, path: str, schema: T.StructType, ingested_at: dt.datetime) -> DataFrame:
     """IO2: read NDJSON with the table schema; fields not in the schema are
     ignored; a missing ``ingested_at`` takes the load time; blank lines are
-    skipped by the reader."""
-    df = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+    skipped by the reader; a line that does not parse fails the load."""
+    df = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     return df.withColumn("ingested_at", F.coalesce(F.col("ingested_at"), F.lit(ingested_at).cast("timestamp")))
 
 
+def load_ndjson_with_rejects(spark: SparkSession, path: str, schema: T.StructType,
+                             ingested_at: dt.datetime) -> tuple[DataFrame, DataFrame]:
+    """IO2 with a quarantine: the rows that parse, and the lines that do not
+    (column ``line``), neither of them lost."""
+    corrupt = "_corrupt_record"
+    df = (spark.read.schema(T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())]))
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt).json(path))
+    good = df.where(F.col(corrupt).isNull()).drop(corrupt).withColumn(
+        "ingested_at", F.coalesce(F.col("ingested_at"), F.lit(ingested_at).cast("timestamp")))
+    # The reader wants a data column beside the corrupt one.
+    bad = df.where(F.col(corrupt).isNotNull()).select(schema.fields[0].name, F.col(corrupt).alias("line")).select("line")
+    return good, bad
+
+
 def append_bronze(df: DataFrame, path: str) -> int:
-    """IO2 sink: append to the bronze table partitioned by ingest day.
-    Empty input is a no-op returning 0 (checked with a one-row probe)."""
-    if df.limit(1).count() == 0:
-        return 0
-    out = df.withColumn("ingest_date", F.to_date("ingested_at"))
+    """IO2 sink: append to the bronze table partitioned by ingest day; the
+    number of rows, observed while they are written. Empty input adds none."""
+    seen = Observation()
+    out = df.withColumn("ingest_date", F.to_date("ingested_at")).observe(seen, F.count(F.lit(1)).alias("n"))
     out.write.mode("append").partitionBy("ingest_date").parquet(path)
-    return -1  # row count is not computed to avoid a second pass
+    return seen.get["n"]
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+UNKNOWN = "unknown"
 
 
 def replay_landing(spark: SparkSession, root: str, source: str, schema: T.StructType) -> DataFrame | None:
-    """IO3: replay ``<root>/<source>/<market>/<day>.ndjson``; the market and
-    day come from the file path; a missing source folder yields None."""
+    """IO3: replay ``<root>/<source>/<market>/<day>.ndjson``; a row without a
+    market takes it from the path; a missing source folder yields None."""
     base = f"{root.rstrip('/')}/{source}"
-    if not _exists(spark, base):
+    if not path_exists(spark, base):
         return None
-    df = (spark.read.schema(schema).option("recursiveFileLookup", "true")
+    df = (spark.read.schema(schema).option("recursiveFileLookup", "true").option("mode", "FAILFAST")
           .option("pathGlobFilter", "*.ndjson").json(base))
-    path = F.col("_metadata.file_path")
-    mk = F.regexp_extract(path, r"/([^/]+)/[^/]+\.ndjson$", 1)
-    return df.withColumn("_market", F.coalesce(F.col("_market"), F.when(mk != "", mk)))
-
-
-def write_ndjson_by_market_day(df: DataFrame, path: str, day_col: str = "Date") -> None:
-    """IO4: NDJSON sink split by (market, day); missing values -> 'unknown'."""
-    out = df.withColumn("_part_market", F.coalesce(F.col("_market"), F.lit("unknown"))) \
-            .withColumn("_part_day", F.coalesce(F.col(day_col).cast("string"), F.lit("unknown")))
-    out.write.mode("overwrite").partitionBy("_part_market", "_part_day").json(path)
+    mk = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+\.ndjson$", 1)
+    return df.withColumn("_market", F.coalesce(F.col("_market"), F.when(~mk.isin("", UNKNOWN), F.url_decode(mk))))
+
+
+def write_landing(df: DataFrame, root: str, source: str, day_col: str = "Date") -> int:
+    """IO4: NDJSON files ``<root>/<source>/<market>/<day>.ndjson`` (missing
+    values: ``unknown``) and the number of rows. A day that several tasks
+    wrote has files ``<day>.1.ndjson`` and so on beside the first.
+
+    Spark writes partition folders beside the target; their files are then
+    renamed, one rename per file of (market, day)."""
+    from urllib.parse import unquote
+    spark = df.sparkSession
+    seen = Observation()
+    out = (df.withColumn("_part_market", F.coalesce(F.col("_market"), F.lit(UNKNOWN)))
+           .withColumn("_part_day", F.coalesce(F.col(day_col).cast("string"), F.lit(UNKNOWN)))
+           .observe(seen, F.count(F.lit(1)).alias("n")))
+    base = f"{root.rstrip('/')}/{source}"
+    staged = f"{base}/_staged-{uuid.uuid4().hex}"
+    out.hint("rebalance", "_part_market", "_part_day").write.partitionBy("_part_market", "_part_day").json(staged)
+    fs, top = _fs(spark, staged)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for market in fs.listStatus(top):
+        if not market.isDirectory():
+            continue
+        name = unquote(market.getPath().getName().split("=", 1)[1])
+        fs.mkdirs(path(f"{base}/{name}"))
+        for day in fs.listStatus(market.getPath()):
+            label = unquote(day.getPath().getName().split("=", 1)[1])
+            parts = [f for f in fs.listStatus(day.getPath()) if f.getPath().getName().startswith("part-")]
+            for i, f in enumerate(parts):
+                target = path(f"{base}/{name}/{label}{f'.{i}' if i else ''}.ndjson")
+                if fs.exists(target):
+                    fs.delete(target, False)  # a day written again replaces itself
+                fs.rename(f.getPath(), target)
+    fs.delete(top, True)
+    return seen.get["n"]
 
 
 def csv_columns(df: DataFrame, declared: list[str]) -> list[str]:
@@ -130,11 +178,11 @@ def extract_window(df: DataFrame, date_col: str, as_of: dt.date, days: int = 14)
 
 def tag_lineage(df: DataFrame, source_system: str, accounts: DataFrame, as_of: dt.date, days: int = 14,
                 account_col: str = "account_id") -> DataFrame:
-    """IO7: lineage block per row; the market comes from a broadcast account
-    map (account_id, market)."""
+    """IO7: lineage block per row; the market comes from an account map
+    (account_id, market)."""
     lo = as_of - dt.timedelta(days=days - 1)
     a = accounts.select(F.col("account_id").alias("_acct"), F.col("market").alias("_acct_market"))
-    j = df.join(F.broadcast(a), F.col(account_col) == F.col("_acct"), "left")
+    j = df.join(a, F.col(account_col) == F.col("_acct"), "left")
     return j.select(*df.columns, F.lit(source_system).alias("_source_system"),
                     F.col("_acct_market").alias("_market"), F.col(account_col).alias("_accounts"),
                     F.lit(lo).alias("_window_start"), F.lit(as_of).alias("_window_end"))
@@ -173,6 +221,5 @@ def accounts_for(accounts: DataFrame, source: str, market: str | None = None) ->
 
 
 def restrict_to_accounts(df: DataFrame, accounts: DataFrame, account_col: str) -> DataFrame:
-    """IO9: keep rows of configured accounts (broadcast left-semi join)."""
-    return df.join(F.broadcast(accounts.select(F.col("account_id").alias(account_col)).distinct()),
-                   account_col, "left_semi")
+    """IO9: keep rows of configured accounts (left-semi join)."""
+    return df.join(accounts.select(F.col("account_id").alias(account_col)), account_col, "left_semi")

@@ -128,12 +128,16 @@ GOOGLE_CAMPAIGN_TYPE_WEIGHTS = [("SEARCH", 0.35), ("PMAX", 0.25), ("SHOPPING", 0
                                 ("DEMAND_GEN", 0.15), ("VIDEO", 0.10)]
 GOOGLE_EVC_SPLITS = [("SEARCH", 0.40, 0.02), ("PMAX", 0.30, 0.20),
                      ("DEMAND_GEN", 0.15, 0.45), ("VIDEO", 0.15, 0.33)]
-# Meta: share of click conversions per window, value share; engaged view.
-META_SPLITS = [("7d_click", "click", 0.8, 0.8), ("1d_click", "click", 0.2, 0.2),
-               ("1d_ev", "evc", 1.0, 0.25)]
-# TikTok: CTA keeps 95% of click conversions, VTA the rest, EVTA the EVC.
-TIKTOK_SPLITS = [("CTA", "click", 0.95, 0.80), ("VTA", "click_rest", None, 0.05),
-                 ("EVTA", "evc", 1.0, 0.15)]
+# Shopee ad-type weights.
+SHOPEE_AD_TYPE_WEIGHTS = [("product_search", 0.38), ("shop_search", 0.14), ("targeting", 0.20),
+                          ("gmv_max", 0.22), ("affiliate", 0.06)]
+# Traffic-source weights of the orders per platform.
+TRAFFIC_SOURCE_WEIGHTS = [
+    ("tiktok_shop", "LIVE", 0.35), ("tiktok_shop", "VIDEO", 0.30), ("tiktok_shop", "PRODUCT_CARD", 0.15),
+    ("tiktok_shop", "SEARCH", 0.10), ("tiktok_shop", "MALL", 0.08), ("tiktok_shop", "AFFILIATE", 0.02),
+    ("shopee", "organic", 0.45), ("shopee", "search", 0.20), ("shopee", "feed", 0.10),
+    ("shopee", "recommendation", 0.10), ("shopee", "ads", 0.13), ("shopee", "affiliate", 0.02),
+]
 # Meta attribution windows still allowed.
 META_ALLOWED_WINDOWS = ["1d_click", "7d_click", "1d_view", "1d_ev"]
 
@@ -190,7 +194,16 @@ SCENARIOS = {
         ("meta_cpas", "ads_gmv_usd", "mul", 0.85),
         ("google_ads_shopee", "ads_gmv_usd", "mul", 0.85),
     ],
+    "supply_shortage": [
+        ("shopee_organic", "platform_total_gmv_usd", "mul", 0.5),
+        ("tiktok_shop_organic", "platform_total_gmv_usd", "mul", 0.5),
+    ],
     "algo_change": [("tiktok_ads", "clicks", "mul", 0.7)],
+    "viral_moment": [("tiktok_shop_organic", "platform_total_gmv_usd", "mul", 3.0)],
+    "category_headwind": [
+        ("shopee_organic", "platform_total_gmv_usd", "mul", 0.82),
+        ("tiktok_shop_organic", "platform_total_gmv_usd", "mul", 0.82),
+    ],
     "price_war": [
         ("shopee_ads_product_search", "ads_orders", "mul", 1.15),
         ("shopee_ads_gmv_max", "ads_orders", "mul", 1.15),
