@@ -37,9 +37,10 @@ def load_ndjson_with_rejects(spark: SparkSession, path: str, schema: T.StructTyp
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt).json(path))
     good = df.where(F.col(corrupt).isNull()).drop(corrupt).withColumn(
         "ingested_at", F.coalesce(F.col("ingested_at"), F.lit(ingested_at).cast("timestamp")))
-    # The reader wants a data column beside the corrupt one.
-    bad = df.where(F.col(corrupt).isNotNull()).select(schema.fields[0].name, F.col(corrupt).alias("line")).select("line")
-    return good, bad
+    # The reader refuses to look at the corrupt column alone: the lines are
+    # asked for together with the data columns.
+    line = F.when(F.size(F.array(*[F.col(f.name).isNull() for f in schema.fields])) > 0, F.col(corrupt))
+    return good, df.select(line.alias("line")).where(F.col("line").isNotNull())
 
 
 def append_bronze(df: DataFrame, path: str) -> int:

@@ -28,8 +28,8 @@ def test_compat_switches(spark):
     assert {r["days_left"] for r in rows(decisions.pacing(new.scan, new.p))} == {1}
     assert {r["days_left"] for r in rows(decisions.pacing(old.scan, old.p))} == {0}
     # Grid prior window 14 vs 7 dates.
-    g_new = rows(metrics.channel_market_grid(new.scan, new.p).where("channel = 'meta_cpas' AND market = 'ID'"))
-    g_old = rows(metrics.channel_market_grid(old.scan, old.p).where("channel = 'meta_cpas' AND market = 'ID'"))
+    g_new = rows(metrics.channel_market_grid(new.scan, new.taxonomy, new.dim_market, new.p).where("channel = 'meta_cpas' AND market = 'ID'"))
+    g_old = rows(metrics.channel_market_grid(old.scan, old.taxonomy, old.dim_market, old.p).where("channel = 'meta_cpas' AND market = 'ID'"))
     assert g_new[0]["prev_total"] >= g_old[0]["prev_total"]
     # The reference sums all_conversions (which already include
     # view-assisted ones) for click-through rows.

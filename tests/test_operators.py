@@ -5,12 +5,13 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import math
 
 import pytest
 from pyspark.sql import functions as F
 
 from mediapanel.config import Params
-from mediapanel.operators import decisions, metrics, quality, response, upsert
+from mediapanel.operators import decisions, features, metrics, quality, response, upsert
 from mediapanel.sources import io, schemas, seeds
 
 from .conftest import rows
@@ -139,35 +140,55 @@ def _priors(spark, halflife):
     return spark.createDataFrame([tuple(rec)], seeds.channel_priors(spark).schema)
 
 
-def test_adstock_impulse_half_life(spark):
-    a = [r["adstock"] for r in rows(response.adstock(_panel(spark, [100.0] + [0.0] * 19), _priors(spark, 5.0)),
-                                    ["date_local"])]
-    assert a[0] == pytest.approx(100.0) and a[5] == pytest.approx(50.0)
-    assert all(x >= y for x, y in zip(a, a[1:]))
-
-
-def test_adstock_zero_half_life_passthrough(spark):
-    a = [r["adstock"] for r in rows(response.adstock(_panel(spark, [1.0, 2.0, 3.0, 4.0]), _priors(spark, 0.0)),
-                                    ["date_local"])]
-    assert a == [1.0, 2.0, 3.0, 4.0]
-
-
-def test_hill_half_at_ec50_and_monotone(spark):
-    df = spark.createDataFrame([(float(x),) for x in range(0, 5001, 500)], "x double")
-    for shape in (1.0, 1.5, 2.0, 2.5):
-        assert spark.range(1).select(response.hill(F.lit(300.0), F.lit(300.0), F.lit(shape))).first()[0] == \
-            pytest.approx(0.5)
-        ys = [r[0] for r in df.orderBy("x").select(response.hill(F.col("x"), F.lit(300.0), F.lit(shape))).collect()]
-        assert ys[0] == 0.0 and all(a < b for a, b in zip(ys, ys[1:])) and ys[-1] < 1.0
-
-
-def test_calibrated_response_zero_and_steady_state(spark):
+@pytest.mark.parametrize("halflife", [0.0, 0.5, 7.0, 45.0, 400.0])
+def test_adstock_is_the_closed_form_over_long_series(spark, halflife):
+    """Seeded spend over 900 days with gaps, far beyond any default half-life."""
+    import random
+    rng = random.Random(17)
+    spend = [round(rng.uniform(0, 500), 2) if rng.random() < 0.7 else None for _ in range(900)]
+    spend[0], spend[-1] = 250.0, 80.0
+    start = D(2021, 3, 1)
+    panel = spark.createDataFrame([(start + dt.timedelta(days=i), "TH", "meta_cpas", s) for i, s in enumerate(spend) if s is not None],
+                                  "date_local date, market string, channel string, spend_usd double")
+    got = rows(response.adstock(panel, _priors(spark, halflife)), ["date_local"])
+    decay = 0.5 ** (1 / halflife) if halflife > 0 else 0.0
+    assert len(got) == 900 and got[0]["date_local"] == start
+    for day in (0, 1, 13, 280, 281, 500, 899):
+        want = sum((spend[i] or 0.0) * decay ** (day - i) for i in range(day + 1))
+        assert got[day]["adstock"] == pytest.approx(want, rel=1e-9)
+
+
+def test_adstock_keeps_series_apart_and_passes_unknown_channels(spark):
+    panel = spark.createDataFrame([(D(2024, 5, d), m, c, float(10 * d)) for d in (1, 2) for m in ("TH", "PH")
+                                   for c in ("meta_cpas", "tiktok_ads")],
+                                  "date_local date, market string, channel string, spend_usd double")
+    got = {(r["market"], r["channel"], r["date_local"].day): r["adstock"]
+           for r in rows(response.adstock(panel, _priors(spark, 1.0)))}
+    assert got["TH", "meta_cpas", 2] == got["PH", "meta_cpas", 2] == pytest.approx(25.0)
+    assert got["TH", "tiktok_ads", 2] == pytest.approx(20.0)                  # no prior: passed through
+
+
+def test_hill_matches_its_formula(spark):
+    grid = [(x, e, s) for x in (-3.0, 0.0, 12.5, 640.0) for e in (40.0, 640.0) for s in (0.7, 1.9)]
+    df = spark.createDataFrame(grid, "x double, e double, s double")
+    for r in df.withColumn("y", response.hill(F.col("x"), F.col("e"), F.col("s"))).collect():
+        x = max(r["x"], 0.0)
+        assert r["y"] == pytest.approx(x ** r["s"] / (x ** r["s"] + r["e"] ** r["s"]))
+
+
+def test_response_follows_adstock_and_saturation(spark):
     pr = seeds.channel_priors(spark).where("channel = 'meta_cpas'")
-    base, roas = 500.0, 6.0
-    z = rows(response.hill_response(_panel(spark, [0.0] * 5), pr))
-    assert all(r["response"] == 0.0 for r in z)
-    steady = rows(response.hill_response(_panel(spark, [base] * 400), pr), ["date_local"])[-1]
-    assert steady["response"] == pytest.approx(roas * base, rel=1e-3)
+    prior = pr.first()
+    decay = 0.5 ** (1 / prior["halflife"])
+    spend = [300.0, 0.0, 900.0, 120.0]
+    state, want = 0.0, []
+    for s in spend:
+        state = state * decay + s
+        ec50 = prior["daily_spend"] / (1 - decay)
+        sat = state ** prior["hill_shape"] / (state ** prior["hill_shape"] + ec50 ** prior["hill_shape"])
+        want.append(sat * 2 * prior["baseline_roas"] * prior["daily_spend"])
+    got = [r["response"] for r in rows(response.hill_response(_panel(spark, spend), pr), ["date_local"])]
+    assert got == pytest.approx(want)
 
 
 def test_seasonality_markets_and_payday(spark):
@@ -181,6 +202,25 @@ def test_seasonality_markets_and_payday(spark):
     assert m[("ID", 3)]["event_mult"] == 1.5 and m[("TH", 3)]["event_mult"] == 1.0
     assert m[("ID", 2)]["event_mult"] == 2.0 and m[("TH", 2)]["event_mult"] == 2.0
     assert m[("TH", 15)]["multiplier"] == pytest.approx(0.95 * 1.25)        # Monday x payday
+    # A seventh market takes part in events of all markets.
+    seventh = spark.createDataFrame([("XX", D(2024, 1, 2)), ("XX", D(2024, 1, 3))], "market string, date_local date")
+    x = {r["date_local"].day: r["event_mult"] for r in rows(response.seasonality_multiplier(seventh, ev))}
+    assert x == {2: 2.0, 3: 1.0}
+
+
+def test_seasonality_of_channels(spark):
+    days = spark.createDataFrame([(m, c, D(2024, 1, 3)) for m in ("ID", "TH") for c in ("a", "b")],
+                                 "market string, channel string, date_local date")
+    ev = spark.createDataFrame([("x", "custom", D(2024, 1, 3), D(2024, 1, 3), None, 2.0, ["a"]),
+                                ("y", "custom", D(2024, 1, 3), D(2024, 1, 3), ["ID"], 3.0, ["a"]),
+                                ("z", "custom", D(2024, 1, 3), D(2024, 1, 3), ["ID"], 5.0, []),
+                                ("w", "custom", D(2024, 1, 3), D(2024, 1, 3), [], 7.0, None)],
+                               "event_name string, event_kind string, start date, end date, markets array<string>, "
+                               "uplift_mult double, channels array<string>")
+    m = {(r["market"], r["channel"]): r["event_mult"] for r in rows(response.seasonality_multiplier(days, ev))}
+    assert m == {("ID", "a"): 210.0, ("ID", "b"): 35.0, ("TH", "a"): 14.0, ("TH", "b"): 7.0}
+    by_market = rows(response.seasonality_multiplier(days.drop("channel"), ev))
+    assert {r["market"]: r["event_mult"] for r in by_market} == {"ID": 35.0, "TH": 7.0}
 
 
 def test_gmv_cap_bounds_ads(spark):
@@ -201,10 +241,17 @@ def test_what_if_patches(spark):
     assert rows(r)[0]["clicks"] == 100
     with pytest.raises(KeyError):
         response.scenario_patches(spark, "nope")
-    bad = spark.createDataFrame([("tiktok_ads", "ctr", "mul", 0.7)], "channel string, metric string, op string, "
-                                                                    "value double")
-    with pytest.raises(ValueError):
-        response.what_if(r, bad)
+    kinds = "seq long, channel string, metric string, op string, value double"
+
+    def apply(*patches):
+        return rows(response.what_if(r, spark.createDataFrame([(i, *p) for i, p in enumerate(patches)], kinds)))[0]
+    assert apply(("tiktok_ads", "clicks", "mul", 2.0), ("tiktok_ads", "clicks", "add", 5.0))["clicks"] == 205.0
+    assert apply(("tiktok_ads", "clicks", "add", 5.0), ("tiktok_ads", "clicks", "mul", 2.0))["clicks"] == 210.0
+    assert apply(("tiktok_ads", "clicks", "mul", 2.0), ("tiktok_ads", "clicks", "set", 1.0))["clicks"] == 1.0
+    for bad in (("tiktok_ads", "ctr", "mul", 0.7), ("tiktok_ads", "clicks", "divide", 2.0), ("nowhere", "clicks", "mul", 2.0),
+                ("tiktok_ads", "clicks", "mul", None)):
+        with pytest.raises(Exception, match="what-if"):
+            apply(bad)
 
 
 def test_modelled_evc_bounded(spark):
@@ -240,6 +287,18 @@ def test_ndjson_load_ignores_unknown_and_blank(spark, tmp_path):
     assert all(r["ingested_at"] == dt.datetime(2024, 1, 5) for r in out)
     empty = spark.createDataFrame([], schemas.TIKTOK_ADS_DAILY)
     assert io.append_bronze(empty, str(tmp_path / "b")) == 0
+    assert io.append_bronze(df, str(tmp_path / "b")) == 2
+    assert spark.read.parquet(str(tmp_path / "b")).count() == 2
+
+
+def test_broken_lines_fail_or_go_to_quarantine(spark, tmp_path):
+    p = tmp_path / "x.ndjson"
+    p.write_text('{"Date": "2024-01-01", "Spend": 3.5}\n{"Date": "2024-01-\n{"Spend": "many"}\n')
+    with pytest.raises(Exception):
+        io.load_ndjson(spark, str(p), schemas.TIKTOK_ADS_DAILY, dt.datetime(2024, 1, 5)).collect()
+    good, bad = io.load_ndjson_with_rejects(spark, str(p), schemas.TIKTOK_ADS_DAILY, dt.datetime(2024, 1, 5))
+    assert [float(r["Spend"]) for r in rows(good)] == [3.5]
+    assert sorted(r["line"] for r in rows(bad)) == ['{"Date": "2024-01-', '{"Spend": "many"}']
 
 
 def test_filters_and_csv_order(spark):
@@ -265,21 +324,80 @@ def test_dq_checks_catch_seeded_violations(spark):
         "broad_gmv_usd double, platform_total_gmv_usd double, is_mega_sale boolean")
     tax = seeds.channel_taxonomy(spark)
     assert quality.q02_ads_gmv_bounded(panel).count() == 1
-    assert quality.q03_no_negative(panel).count() == 1
-    assert quality.q04_funnel_monotone(panel).count() == 1
+    assert panel.where(quality.no_negative()).count() == 1
+    assert panel.where(quality.funnel_monotone()).count() == 1
     assert quality.q06_every_market(panel, seeds.dim_market(spark)).count() == 5
-    assert quality.q07_grain_non_null(panel).count() == 1
+    assert panel.where(quality.grain_null()).count() == 1
     assert [r[0] for r in quality.q08_channel_in_taxonomy(panel, tax).collect()] == ["mystery"]
     cal = spark.createDataFrame([(d, "ID", "e", "mega_sale")], "date date, market string, event_name string, "
                                                                 "event_kind string")
     assert quality.q11_mega_sale_flag(panel, cal).count() == 1
-    assert quality.q12_direct_leq_broad_gmv(panel).count() == 1
-    suite = {r["check"]: (r["status"], r["rows"]) for r in rows(quality.dq_suite(spark, {
-        "neg": lambda: quality.q03_no_negative(panel), "ok": lambda: panel.where("false"),
-        "broken": lambda: panel.select("no_such_column")}))}
-    assert suite == {"neg": ("FAIL", 1), "ok": ("PASS", 0), "broken": ("ERROR", -1)}
+    assert panel.where(quality.direct_leq_broad_gmv()).count() == 1
+    negative = quality.RowCheck("panel", lambda: panel, quality.no_negative())
+    nulls = quality.RowCheck("panel", lambda: panel, quality.grain_null())
+    good = {"neg": negative, "null": nulls, "ok": lambda: panel.where("false")}
+    suite = {r["check"]: (r["status"], r["rows"]) for r in rows(quality.dq_suite(spark, good))}
+    assert suite == {"neg": ("FAIL", 1), "null": ("FAIL", 1), "ok": ("PASS", 0)}
+    # One check that cannot be planned, one that fails while it runs.
+    run_time = quality.RowCheck("panel", lambda: panel, F.col("channel").cast("int") > 0)
+    broken = good | {"broken": lambda: panel.select("no_such_column"), "run_time": run_time}
+    suite = {r["check"]: (r["status"], r["rows"]) for r in rows(quality.dq_suite(spark, broken))}
+    assert suite == {"neg": ("FAIL", 1), "null": ("FAIL", 1), "ok": ("PASS", 0), "broken": ("ERROR", -1), "run_time": ("ERROR", -1)}
     assert quality.suite_exit_status(quality.dq_suite(spark, {"ok": lambda: panel.where("false")})) == 0
-    assert quality.suite_exit_status(quality.dq_suite(spark, {"neg": lambda: quality.q03_no_negative(panel)})) == 1
+    assert quality.suite_exit_status(quality.dq_suite(spark, {"neg": negative})) == 1
+
+
+def test_spines_follow_the_dimensions(spark):
+    """A seventh market and a channel outside the taxonomy keep their rows."""
+    tax = seeds.channel_taxonomy(spark)
+    dim = seeds.dim_market(spark).unionByName(spark.createDataFrame(
+        [("XX", "New", "UTC", "USD")], "market string, country_name string, timezone string, currency string"))
+    d = D(2024, 1, 20)
+    s = _scan(spark, [(d, "XX", "shopee_ads_other", "shopee", 900.0, 1, 1, 1.0, 50.0, None, None, 70.0, 3, 0),
+                      (d, "ID", "meta_cpas", "shopee", 5.0, 1, 1, 1.0, 50.0, None, None, 70.0, 3, 1)])
+    p = Params(as_of=d, focus_channel="shopee_ads_other")
+    top = rows(metrics.top_channel_stack(s, tax, p))
+    assert [(r["channel"], r["spend"]) for r in top if r["rank"] == 1] == [("shopee_ads_other", 900.0)]
+    assert {r["market"]: r["gmv"] for r in rows(metrics.market_trend(s, dim, p))}["XX"] == 70.0
+    assert {r["market"]: r["value"] for r in rows(metrics.heatmap(s, dim, p))}["XX"] == 900.0
+    grid = {(r["channel"], r["market"]): r["spend"] for r in rows(metrics.channel_market_grid(s, tax, dim, p))}
+    assert grid["shopee_ads_other", "XX"] == 900.0 and len(grid) == 7 * (len(seeds.PAID_CHANNELS) + 1)
+    panel = spark.createDataFrame([(d, "XX", "shopee_ads_other", "shopee", 900.0, 70.0, False, False, False)],
+                                  "date_local date, market string, channel string, platform string, spend_usd double, "
+                                  "platform_total_gmv_usd double, is_weekend boolean, is_payday boolean, is_mega_sale boolean")
+    frame = rows(features.regression_frame(panel))[0]
+    assert frame["market"] == "XX" and frame["x_other"] == pytest.approx(math.log1p(900.0))
+
+
+def test_period_compare_reaches_back_two_windows(spark):
+    tax, as_of = seeds.channel_taxonomy(spark), D(2024, 3, 31)
+    panel = spark.createDataFrame([(as_of - dt.timedelta(days=i), "ID", "meta_cpas", "shopee", 1.0, 0, 0, 0, 0.0, 0.0, 0.0, 1, 1.0, False, False, False)
+                                   for i in range(80)],
+                                  "date_local date, market string, channel string, platform string, spend_usd double, impressions long, "
+                                  "clicks long, ads_attributed_orders long, ads_attributed_gmv_usd double, direct_gmv_usd double, "
+                                  "broad_gmv_usd double, platform_total_orders long, platform_total_gmv_usd double, is_weekend boolean, "
+                                  "is_payday boolean, is_mega_sale boolean")
+    for n in (14, 20, 30):
+        p = Params(as_of=as_of, range_days=n)
+        got = {r["period"]: r["spend"] for r in rows(metrics.period_compare(metrics.scan_panel(panel, tax, p), p))}
+        assert got == {"now": float(n), "prev": float(n)}
+
+
+def test_fact_keys_take_the_latest_attributes(spark):
+    """Two objectives on one key give one row, with the attributes of the
+    latest one; equal moments are broken by the attributes themselves."""
+    from mediapanel.operators import facts
+    d, t = D(2024, 1, 5), dt.datetime(2024, 1, 6)
+    base = dict(zip(facts.ONPLATFORM_KEY, (d, "ID", "tiktok_ads", "other", "c", None, None)))
+    sums = ["spend_local", "spend_usd", "impressions", "clicks", "video_views_2s_or_6s", "direct_orders", "broad_orders",
+            "direct_gmv_local", "broad_gmv_local", "direct_gmv_usd", "broad_gmv_usd"]
+    data = [{**base, **{c: 1.0 for c in sums}, "objective": o, "attribution_window": w, "currency": "IDR", "ingested_at": at}
+            for o, w, at in (("TRAFFIC", "7d", t), ("REACH", "1d", t + dt.timedelta(hours=1)), ("REACH", "9d", t + dt.timedelta(hours=1)))]
+    stg = spark.createDataFrame(data, "date_local date, market string, platform string, ad_type string, campaign_id string, "
+                                "ad_group_id string, sku_id string, objective string, attribution_window string, currency string, "
+                                "ingested_at timestamp, " + ", ".join(f"{c} double" for c in sums))
+    got = rows(facts.fact_onplatform_ads(stg, D(2024, 1, 30)))
+    assert len(got) == 1 and (got[0]["objective"], got[0]["attribution_window"], got[0]["clicks"]) == ("REACH", "9d", 3.0)
 
 
 def test_partition_count_invariance(spark):
