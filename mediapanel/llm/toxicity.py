@@ -7,12 +7,17 @@ dictionary knows. How many windows of a document pass each of a row of
 thresholds, in number and as a share, is calibrated to a probability by
 logistic regression on labelled documents that trained neither dictionary.
 
+A window is compressed behind ``BALLAST``, a string both dictionaries end
+with: one match whose cost is the same, without which zstandard stores windows
+of a single match as they are and their lengths tell nothing.
+
 The ordinary dictionary comes from zstandard's own trainer over windows of
 ordinary documents. That trainer prefers what is frequent, and nearly all text
 of a toxic document is ordinary; so the toxic dictionary is the ordinary
 content followed by the words whose share of toxic documents exceeds their
 share of ordinary ones beyond chance (likelihood ratio), strongest last, where
-offsets are shortest. Text is reduced to lower-case words of ``MIN_WORD``
+offsets are shortest; of a few sizes the one that calibrates best is kept.
+Text is reduced to lower-case words of ``MIN_WORD``
 letters or more, so punctuation and casing carry no weight.
 
 Learning uses at most about ``MAX_DOCS`` labelled documents per class, whole,
@@ -39,12 +44,13 @@ from mediapanel.llm.common import fold, text_or_empty
 
 WINDOW = 5
 MIN_WORD = 4
-LEVEL = 3
+LEVEL = 7
+BALLAST = bytes(range(33, 97))  # no lower-case letter among them
 MAX_DOCS = 12_000
 ORDINARY_BYTES = 2048
-TOXIC_BYTES = 700  # more words only lengthen the offsets of the strong ones
+TOXIC_BYTES = (200, 400, 800, 1600)  # sizes tried; more words lengthen the offsets of the strong ones
 ORDINARY_WINDOWS = 20_000
-LEAST_DOCS, LEAST_RATIO, LEAST_G2 = 3, 4.0, 20.0
+LEAST_DOCS, LEAST_RATIO, LEAST_G2 = 3, 4.0, 12.0
 THRESHOLDS = (1, 2, 3, 4, 5, 6, 8)
 
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -76,7 +82,7 @@ class Distance:
     @staticmethod
     def _compressor(content: bytes):
         import zstandard
-        d = zstandard.ZstdCompressionDict(content or b" ", dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        d = zstandard.ZstdCompressionDict(content + BALLAST, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         d.precompute_compress(level=LEVEL)
         return zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=False,
                                         write_content_size=False, write_dict_id=False).compress
@@ -86,6 +92,7 @@ class Distance:
         if not windows:
             return [0.0] * (3 + 2 * len(THRESHOLDS))
         a, b = self.compress
+        windows = [BALLAST + w for w in windows]
         d = np.array([len(a(w)) - len(b(w)) for w in windows])
         counts = [int((d >= k).sum()) for k in THRESHOLDS]
         return [float(d.mean()), float(np.log(len(d))), float(d.max()),
@@ -128,7 +135,7 @@ def word_counts(sample: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
 
 
-def toxic_words(counts: DataFrame, n_toxic: int, n_ordinary: int, room: int = TOXIC_BYTES) -> list[str]:
+def toxic_words(counts: DataFrame, n_toxic: int, n_ordinary: int, room: int = max(TOXIC_BYTES)) -> list[str]:
     """Words typical of toxic documents, weakest first, as many as fit."""
     def part(k, n, p):
         p = F.least(F.greatest(p, F.lit(1e-12)), F.lit(1 - 1e-12))
@@ -198,23 +205,33 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, max_docs: int = MA
     teach, check = sample.where("part = 0"), sample.where("part = 1")
     ordinary = ordinary_dictionary(teach)
     words = toxic_words(word_counts(teach), seen[0, 1], seen[0, 0])
-    toxic = ordinary + (" " + " ".join(words) + " ").encode("utf-8", "replace")
+    content = (" " + " ".join(words) + " ").encode("utf-8", "replace")
+    tried = [ordinary + content[-size:] for size in TOXIC_BYTES]
     n_features = 3 + 2 * len(THRESHOLDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        distance = Distance(ordinary, toxic)
+        distances = [Distance(ordinary, toxic) for toxic in tried]
         for batch in batches:
-            f = [distance.features(t.as_py()) for t in batch.column("text")]
+            f = [[x for d in distances for x in d.features(t.as_py())] for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(f, pa.list_(pa.float64()))],
                                              names=["toxic", "f"])
 
     rows = check.select("text", "toxic").mapInArrow(run, "toxic int, f array<double>").toArrow()
     y = rows.column("toxic").to_numpy().astype(float)
-    x = np.array(rows.column("f").to_pylist(), float).reshape(-1, n_features)
-    order = np.lexsort(np.c_[x, y].T)  # the same sums whatever order the rows came in
-    x, y = x[order], y[order]
+    every = np.array(rows.column("f").to_pylist(), float).reshape(len(y), len(tried), n_features)
+    order = np.lexsort(np.c_[every.reshape(len(y), -1), y].T)  # the same sums whatever order the rows came in
+    every, y = every[order], y[order]
     weight = np.where(y == 1, totals[1] / max(1, y.sum()), totals[0] / max(1, (1 - y).sum()))
-    return Model(ordinary, toxic, *_fit(x, y, weight / weight.mean()))
+    weight /= weight.mean()
+    best: tuple[float, Model] | None = None
+    for i, toxic in enumerate(tried):
+        x = every[:, i]
+        mean, scale, w = _fit(x, y, weight)
+        z = np.clip((x - mean) / scale @ w[:-1] + w[-1], -30, 30)
+        loss = float((weight * np.logaddexp(0, np.where(y == 1, -z, z))).sum())
+        if best is None or loss < best[0]:
+            best = loss, Model(ordinary, toxic, mean, scale, w)
+    return best[1]
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
