@@ -3,7 +3,8 @@
 1. Documents become sequences of benchmark term numbers (0: no benchmark
    term), written once as a compact table; words are lower-cased and cut at
    ASCII characters that are not letters. Passages are ``PASSAGE`` words.
-2. TF-IDF of all passages, with document frequencies over all passages. A
+2. TF-IDF of all passages, with document frequencies over all passages and
+   idf squared, which is idf once for the passage and once for the query. A
    randomised SVD is spread over the tasks: each multiplies its part of
    ``A' A`` with a random matrix, the parts are summed, the driver
    orthonormalises a matrix of benchmark terms by ``RANK + OVERSAMPLE``, and a
@@ -38,9 +39,9 @@ from pyspark.sql import functions as F
 from mediapanel.llm.common import text_or_empty, written
 
 PASSAGE = 32
-MAX_DF = 0.1          # terms in more than this share of the passages weigh nothing
-RANK, OVERSAMPLE = 96, 16
-LEAST_COSINE, LEAST_PART = 0.2, 0.5
+MAX_DF, LEAST_DF = 0.01, 100  # terms in more passages than this share, and this number, weigh nothing
+RANK, OVERSAMPLE = 96, 8
+LEAST_COSINE, LEAST_PART = 0.25, 0.5
 COPY, PARAPHRASE, LEAST_ANSWER = 0.8, 0.6, 0.75
 LEAST_COMPACT = 0.5
 ANSWER_WORDS = 8
@@ -175,8 +176,9 @@ def latent_basis(terms: DataFrame, weight: np.ndarray, rank: int = RANK, oversam
         total = np.zeros((width2, width2))
         for batch in batches:
             for ids, where, _, first in _passages(batch):
-                p, _ = _project(ids, where, int(first[-1]), weight, weighted)
-                total += p.astype(np.float64).T @ p
+                on = weight[ids] > 0
+                p, _ = _project(ids[on], where[on], int(first[-1]), weight, weighted)
+                total += p.T @ p
         return total
 
     g = np.zeros((width2, width2))
@@ -313,8 +315,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         item_terms = [np.array([vocabulary[w] for w in ws], np.int64) for _, ws in items]
         terms = written(term_rows(docs, vocabulary), "terms")
         df, n = passage_frequencies(terms, len(vocabulary))
-        weight = np.log((n + 1) / (df + 1))
-        weight[(df > MAX_DF * n) & (n >= 1 / MAX_DF)] = 0
+        weight = np.log((n + 1) / (df + 1)) ** 2
+        weight[df > max(MAX_DF * n, LEAST_DF)] = 0
         weight[0] = 0
         basis = latent_basis(terms, weight)
         names = docs.sparkSession.createDataFrame(
