@@ -41,7 +41,7 @@ from mediapanel.llm.common import text_or_empty, written
 PASSAGE = 32
 MAX_DF, LEAST_DF = 0.01, 100  # terms in more passages than this share, and this number, weigh nothing
 RANK, OVERSAMPLE = 96, 8
-LEAST_COSINE, LEAST_PART = 0.25, 0.5
+LEAST_COSINE, LEAST_PART = 0.1, 0.5
 COPY, PARAPHRASE, LEAST_ANSWER = 0.8, 0.6, 0.75
 LEAST_COMPACT = 0.5
 ANSWER_WORDS = 8
@@ -247,6 +247,7 @@ def search(terms: DataFrame, items: list[tuple], item_terms: list[np.ndarray], w
         weighted, vectors, size, item_terms, flat = shared.value
         weigh = np.abs(weighted).sum(axis=1)
         here = np.zeros(len(weighted), bool)
+        longest = max(map(len, item_terms))
         matchers: dict[int, tuple[Matcher, Matcher]] = {}
         for batch in batches:
             found: list[tuple] = []
@@ -268,17 +269,19 @@ def search(terms: DataFrame, items: list[tuple], item_terms: list[np.ndarray], w
                     if flat.any():
                         hit |= flat[None, :]
                     rows, cols = np.nonzero(hit)
+                    last, around = -1, held[0][:0]
                     for r, c in zip(rows.tolist(), cols.tolist()):
-                        d = int(owner[lo + r])
+                        if r != last:  # marks the words around the passage, for all its items
+                            here[around] = False
+                            d, last = int(owner[lo + r]), r
+                            begin = (lo + r - int(first[d])) * PASSAGE
+                            around = held[d][max(0, begin - longest):begin + 2 * PASSAGE + longest]
+                            here[around] = True
                         item = item_terms[c]
-                        begin = (lo + r - int(first[d])) * PASSAGE
+                        if np.count_nonzero(here[item]) < PARAPHRASE * len(item):
+                            continue
                         at = max(0, begin - len(item))
                         words = held[d][at:begin + 2 * PASSAGE + len(item)]
-                        here[words] = True
-                        shared_words = np.count_nonzero(here[item])
-                        here[words] = False
-                        if shared_words < PARAPHRASE * len(item):
-                            continue
                         if c not in matchers:
                             matchers[c] = Matcher(item), Matcher(item[-ANSWER_WORDS:])
                         whole, answer = matchers[c]
@@ -287,6 +290,7 @@ def search(terms: DataFrame, items: list[tuple], item_terms: list[np.ndarray], w
                         share = answer.match(seq[start:stop])[0] / answer.n
                         if is_leak(len(item), common, stop - start, share):
                             found.append((base + d, c, float(cos[r, c]), common / len(item), share, at + start, at + stop))
+                    here[around] = False
                 base += len(held)
             cols_ = list(zip(*found)) if found else [[] for _ in range(7)]
             kinds = [pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
