@@ -147,8 +147,8 @@ WITH s0 AS (
 sp AS (SELECT market, channel, cast(unnest(generate_series(min(date_local), max(date_local), INTERVAL 1 DAY)) AS date) AS date_local
        FROM s0 GROUP BY market, channel),
 s AS (SELECT sp.*, coalesce(s0.spend, 0) AS spend FROM sp LEFT JOIN s0 USING (market, channel, date_local))
-SELECT a.market, a.channel, a.date_local, round(a.spend, 2) AS spend,
-  round(sum(b.spend * pow(0.5, datediff('day', b.date_local, a.date_local) / {LONG_HALFLIFE})), 2) AS adstock
+SELECT a.market, a.channel, a.date_local, {_r4('a.spend', 'spend')},
+  {_r4(f"sum(b.spend * pow(0.5, datediff('day', b.date_local, a.date_local) / {LONG_HALFLIFE}))", 'adstock')}
 FROM s a JOIN s b ON a.market = b.market AND a.channel = b.channel AND b.date_local <= a.date_local
 GROUP BY a.market, a.channel, a.date_local, a.spend"""))
 def q_adstock_long(c: Chain) -> DataFrame:
@@ -162,8 +162,7 @@ def q_adstock_long(c: Chain) -> DataFrame:
         (F.sum(F.round(F.col("o_totalprice") * 100).cast("long")) / F.lit(100000.0)).alias("spend_usd"))
     pr = c.spark.createDataFrame([("meta_cpas", LONG_HALFLIFE), ("tiktok_ads", LONG_HALFLIFE)], "channel string, halflife double")
     a = R.adstock(day, pr)
-    return a.select("market", "channel", "date_local", F.round("spend", 2).alias("spend"),
-                    F.round("adstock", 2).alias("adstock"))
+    return a.select("market", "channel", "date_local", r4("spend"), r4("adstock"))
 
 
 # ------------------------------------------------------------------ reports
