@@ -152,9 +152,9 @@ class Encoder:
 
 
 def encode_texts(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
-                 with_outputs: bool = True) -> DataFrame:
+                 outputs: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
     """``keep`` columns plus n_tokens, SHA-256 of ids and of the decoded text,
-    and (``with_outputs``) the ids and the decoded text themselves.
+    and those of ``outputs``: the ids and the decoded text themselves.
     ``vocabulary`` is the path of a tokenizers file, read by the driver; its
     content (a few MB, whatever the input) goes to the tasks by broadcast."""
     spark = docs.sparkSession
@@ -163,27 +163,28 @@ def encode_texts(docs: DataFrame, vocabulary: str, text: str = "text", keep: tup
     fields = [(f.name, f) for f in src.schema.fields[:-1]]
     schema = ", ".join([f"`{n}` {f.dataType.simpleString()}" for n, f in fields]
                        + ["n_tokens long", "ids_sha256 string", "decoded_sha256 string"]
-                       + (["ids binary", "decoded string"] if with_outputs else []))
+                       + [f"{o} {'binary' if o == 'ids' else 'string'}" for o in outputs])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder(spec.value)
         for batch in batches:
-            for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+            for part in (batch.slice(i, 128) for i in range(0, batch.num_rows, 128)):
                 n, ids_hash, text_hash, ids, texts = [], [], [], [], []
                 for t in part.column("__text"):
                     b, k, d = enc.encode(t.as_py())
                     n.append(k)
                     ids_hash.append(hashlib.sha256(b).hexdigest())
                     text_hash.append(hashlib.sha256(d.encode("utf-8")).hexdigest())
-                    if with_outputs:
+                    if "ids" in outputs:
                         ids.append(b)
+                    if "decoded" in outputs:
                         texts.append(d)
                 cols = [part.column(i) for i in range(part.num_columns - 1)]
                 cols += [pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())]
                 names = [x for x, _ in fields] + ["n_tokens", "ids_sha256", "decoded_sha256"]
-                if with_outputs:
-                    cols += [pa.array(ids, pa.binary()), pa.array(texts, pa.string())]
-                    names += ["ids", "decoded"]
+                for o in outputs:
+                    cols.append(pa.array(ids, pa.binary()) if o == "ids" else pa.array(texts, pa.string()))
+                    names.append(o)
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return src.mapInArrow(run, schema)

@@ -29,7 +29,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode_texts(table(spark, sf_dir, "documents"), vocabulary_path(), with_outputs=False)
+    return bpe.encode_texts(table(spark, sf_dir, "documents"), vocabulary_path(), outputs=())
 
 
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
