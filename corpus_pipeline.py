@@ -53,9 +53,9 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (32-bit little-endian), their number and hash, and the hash of
     the decoded text take the place of the text."""
-    made = {"text", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"}
+    made = {"text", "n_tokens", "ids_sha256", "decoded_sha256", "ids"}
     keep = tuple(c for c in docs.columns if c not in made)
-    return bpe.encode_texts(docs, vocabulary_path(), keep=keep).drop("decoded")
+    return bpe.encode_texts(docs, vocabulary_path(), keep=keep, outputs=("ids",))
 
 
 STAGES = [
