@@ -6,9 +6,9 @@
 2. TF-IDF of all passages, with document frequencies over all passages and
    idf squared, which is idf once for the passage and once for the query. A
    randomised SVD is spread over the tasks: each multiplies its part of
-   ``A' A`` with a random matrix, the parts are summed, the driver
-   orthonormalises a matrix of benchmark terms by ``RANK + OVERSAMPLE``, and a
-   second sum gives the small matrix whose eigenvectors are the latent basis.
+   ``A' A`` with a random matrix, the parts are summed, and the driver gets the
+   latent basis from that sum, a matrix of benchmark terms by
+   ``RANK + OVERSAMPLE``.
 3. Candidates are pairs of a benchmark item and two neighbouring passages
    whose cosine in the latent space is ``LEAST_COSINE`` or more and whose
    projection on the item is ``LEAST_PART`` of the item or more (a passage that
@@ -68,7 +68,8 @@ def term_rows(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
             for batch in (whole.slice(i, 1024) for i in range(0, whole.num_rows, 1024)):
                 keep, terms = [], []
                 for i, t in enumerate(batch.column("text")):
-                    ids = np.array(list(map(find, words_of(t.as_py()), repeat(0))), "<u4")
+                    words = words_of(t.as_py())
+                    ids = np.fromiter(map(find, words, repeat(0)), "<u4", len(words))
                     if ids.any():
                         keep.append(i)
                         terms.append(ids.tobytes())
@@ -144,8 +145,10 @@ def _summed(terms: DataFrame, part, width: int) -> dict[int, np.ndarray]:
 
 
 def latent_basis(terms: DataFrame, weight: np.ndarray, rank: int = RANK, oversample: int = OVERSAMPLE) -> np.ndarray:
-    """Right singular vectors (terms x rank) of the passages' TF-IDF matrix by
-    a randomised range finder on ``A' A``."""
+    """Right singular vectors (terms x rank) of the passages' TF-IDF matrix A
+    by a randomised method of one pass: tasks add up ``Z = A' A R`` for a random
+    matrix R, and ``A' A`` is taken as ``Z (R' Z)^-1 Z'`` (Nystroem), whose
+    eigenvectors the driver gets from matrices of the size of Z."""
     n_terms, width = len(weight), rank + oversample
     random = np.random.default_rng(20).standard_normal((n_terms, width)).astype(np.float32)
     start = (random * weight[:, None]).astype(np.float32)
@@ -168,25 +171,13 @@ def latent_basis(terms: DataFrame, weight: np.ndarray, rank: int = RANK, oversam
     z = np.zeros((n_terms, width))
     for i, row in _summed(terms, gram, width).items():
         z[i] = row
-    q, _ = np.linalg.qr(z)
-    width2 = q.shape[1]
-    weighted = (q * weight[:, None]).astype(np.float32)
-
-    def small(batches):
-        total = np.zeros((width2, width2))
-        for batch in batches:
-            for ids, where, _, first in _passages(batch):
-                on = weight[ids] > 0
-                p, _ = _project(ids[on], where[on], int(first[-1]), weight, weighted)
-                total += p.T @ p
-        return total
-
-    g = np.zeros((width2, width2))
-    for i, row in _summed(terms, small, width2).items():
-        g[i] = row
-    values, vectors = np.linalg.eigh(g)
-    best = np.argsort(values)[::-1][:rank]
-    return q @ vectors[:, best]
+    core = random.astype(np.float64).T @ z
+    values, vectors = np.linalg.eigh((core + core.T) / 2)
+    ok = values > max(1e-9 * values[-1], 1e-300)
+    if not ok.any():
+        return np.zeros((n_terms, rank))
+    left, size, _ = np.linalg.svd(z @ (vectors[:, ok] / np.sqrt(values[ok])), full_matrices=False)
+    return left[:, np.argsort(size)[::-1][:rank]]
 
 
 class Matcher:
