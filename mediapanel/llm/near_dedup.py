@@ -47,7 +47,7 @@ UNION_NEED = 173    # of UNION_K: what 256 draws at 0.8 come to, less five stand
 UNION_LEAST = 0.675  # the same as a share
 BLOCK = 512
 BITMAP_BITS = 26
-HASH_TABLE = 500_000
+HASH_TABLE = 150_000
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,

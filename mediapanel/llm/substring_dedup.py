@@ -42,7 +42,7 @@ WIDTH_BITS = 27
 SEGMENT_BITS = 17
 BLOCK_WORDS = 1_000_000       # words hashed at once
 PIECE_WORDS = 4_000_000       # a longer document is cut into overlapping pieces
-HASH_TABLE = 500_000          # words whose hash a task keeps
+HASH_TABLE = 150_000          # words whose hash a task keeps
 BATCH_ANCHORS = 4_000_000     # anchors per partial sketch
 BATCH_WINDOWS = 2_000_000     # windows grouped before they are sent
 
