@@ -13,12 +13,13 @@
    whose cosine in the latent space is ``LEAST_COSINE`` or more and whose
    projection on the item is ``LEAST_PART`` of the item or more (a passage that
    holds an item has all of it, whatever else it holds); none is capped.
-4. Every candidate is judged on words: the longest common subsequence of the
-   item and the passages, widened by the item's length on both sides, must be
-   ``LEAST_COMPACT`` of the words it spans, and be ``COPY`` of the item; a
-   paraphrase needs ``PARAPHRASE`` of it and ``LEAST_ANSWER`` of the item's
-   last ``ANSWER_WORDS`` words, its answer. Items of fewer than ``SHORT`` words
-   must be there whole.
+4. Every candidate is judged on words: of the passages, widened by the item's
+   length on both sides, some stretch must have a longest common subsequence
+   with the item that is ``LEAST_COMPACT`` of the stretch and ``COPY`` of the
+   item; a paraphrase needs ``PARAPHRASE`` of it and ``LEAST_ANSWER`` of the
+   item's last ``ANSWER_WORDS`` words, its answer. Items of fewer than
+   ``SHORT`` words must be there whole. All stretches are judged, not the one
+   of the longest subsequence alone.
 
 Items are taken in blocks of ``ITEM_BLOCK``, so what is sent to tasks (terms
 and vectors of one block) has a fixed bound. Null or empty texts and items
@@ -27,6 +28,7 @@ match nothing. Repeated items each report; equal pairs are reported once.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 from itertools import repeat
@@ -213,6 +215,41 @@ class Matcher:
         _, back = self._run(words[:end][::-1], self.back)
         return best, end - back, end
 
+    def best(self, words: list[int], answer: Matcher) -> tuple[int, float, int, int] | None:
+        """Common words, share of the answer, start and stop of the stretch of
+        ``words`` that is a leak and has the most of the item (then of the
+        answer, then the shortest, then the first); every stretch is judged."""
+        masks, full, least = self.masks, (1 << self.n) - 1, least_common(self.n)
+        answer_masks, answer_full = answer.masks, (1 << answer.n) - 1
+        if self._run(words, masks)[0] < least:
+            return None
+        hits = [i for i, w in enumerate(words) if w in masks]
+        reach = int(self.n / LEAST_COMPACT)  # no leak is longer
+        found, end = None, 0
+        for h, start in enumerate(hits):
+            while end < len(hits) and hits[end] < start + reach:
+                end += 1
+            if end - h < least:
+                continue
+            v, va = full, answer_full
+            for i in hits[h:end]:
+                w = words[i]
+                u = v & masks[w]
+                v = ((v + u) | (v - u)) & full
+                if m := answer_masks.get(w):
+                    u = va & m
+                    va = ((va + u) | (va - u)) & answer_full
+                if (k := self.n - v.bit_count()) >= least:
+                    share = (answer.n - va.bit_count()) / answer.n
+                    if is_leak(self.n, k, i + 1 - start, share):
+                        found = max(found or (0,), (k, share, start - i - 1, -start))
+        return found and (found[0], found[1], -found[3], -found[3] - found[2])
+
+
+def least_common(n: int) -> int:
+    """Words of an item of ``n`` that every leak has."""
+    return n if n < SHORT else math.ceil(min(COPY, PARAPHRASE) * n - 1e-9)
+
 
 def is_leak(n: int, common: int, span: int, answer: float) -> bool:
     if n < SHORT:
@@ -277,9 +314,8 @@ def search(terms: DataFrame, items: list[tuple], item_terms: list[np.ndarray], w
                             matchers[c] = Matcher(item), Matcher(item[-ANSWER_WORDS:])
                         whole, answer = matchers[c]
                         seq = words.tolist()
-                        common, start, stop = whole.match(seq)
-                        share = answer.match(seq[start:stop])[0] / answer.n
-                        if is_leak(len(item), common, stop - start, share):
+                        if leak := whole.best(seq, answer):
+                            common, share, start, stop = leak
                             found.append((base + d, c, float(cos[r, c]), common / len(item), share, at + start, at + stop))
                     here[around] = False
                 base += len(held)
@@ -317,7 +353,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         names = docs.sparkSession.createDataFrame(
             [(k, i) for k, (i, _) in enumerate(items)], f"item long, item_id {benchmark.schema['item_id'].dataType.simpleString()}")
         best = F.max_by(F.struct("cosine", "lcs", "answer", "start", "stop"),
-                        F.struct("lcs", "answer", -F.col("start"))).alias("best")
+                        F.struct("lcs", "answer", F.col("start") - F.col("stop"), -F.col("start"))).alias("best")
         # Names of one block of items: of fixed size.
         found.append(search(terms, items, item_terms, weight, basis).join(F.broadcast(names), "item")
                      .groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*"))

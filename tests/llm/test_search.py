@@ -84,6 +84,38 @@ def test_matcher_is_the_longest_common_subsequence():
         assert n == lcs(item.tolist(), words) == lcs(item.tolist(), words[start:stop])
 
 
+def judged(item, words):
+    """The most common words of any stretch that is a leak, by trying all."""
+    return max((k for a in range(len(words)) for b in range(a + 1, min(len(words), a + 2 * len(item)) + 1)
+                if dec.is_leak(len(item), k := lcs(item, words[a:b]), b - a,
+                               lcs(item[-dec.ANSWER_WORDS:], words[a:b]) / len(item[-dec.ANSWER_WORDS:]))), default=0)
+
+
+def test_any_stretch_may_be_the_leak():
+    rng = random.Random(8)
+    seen = set()
+    for _ in range(60):
+        item = [rng.randint(1, 12) for _ in range(rng.randint(1, 14))]
+        copy = [w if rng.random() < 0.8 else 0 for w in item]
+        words = [rng.randint(0, 12) for _ in range(8)] + copy + [rng.randint(0, 12) for _ in range(8)]
+        whole, answer = dec.Matcher(np.array(item)), dec.Matcher(np.array(item[-dec.ANSWER_WORDS:]))
+        got, want = whole.best(words, answer), judged(item, words)
+        assert (got[0] if got else 0) == want
+        if got:
+            assert lcs(item, words[got[2]:got[3]]) == got[0]
+        seen.add(want > 0)
+    assert seen == {True, False}
+
+
+def test_words_far_away_do_not_hide_a_leak():
+    item = list(range(1, 41))
+    whole, answer = dec.Matcher(np.array(item)), dec.Matcher(np.array(item[-dec.ANSWER_WORDS:]))
+    words = [1, 2, 3] + [0] * 50 + item[6:] + [0] * 50
+    common, start, stop = whole.match(words)
+    assert not dec.is_leak(40, common, stop - start, 1.0)
+    assert whole.best(words, answer) == (34, 1.0, 53, 87)
+
+
 def leak_rows(n=250):
     """Documents, some with an item whole, reworded, cut in half or shuffled."""
     rng = random.Random(11)
