@@ -1,4 +1,4 @@
-"""Benchmark decontamination by latent semantic retrieval.
+"""Benchmark decontamination on words, with cosines of a latent semantic space.
 
 1. Documents become sequences of benchmark term numbers (0: no benchmark
    term), written once as a compact table; words are lower-cased and cut at
@@ -9,20 +9,20 @@
    ``A' A`` with a random matrix, the parts are summed, and the driver gets the
    latent basis from that sum, a matrix of benchmark terms by
    ``RANK + OVERSAMPLE``.
-3. Candidates are pairs of a benchmark item and two neighbouring passages
-   whose cosine in the latent space is ``LEAST_COSINE`` or more and whose
-   projection on the item is ``LEAST_PART`` of the item or more (a passage that
-   holds an item has all of it, whatever else it holds); none is capped.
-4. Every candidate is judged on words: of the passages, widened by the item's
-   length on both sides, some stretch must have a longest common subsequence
-   with the item that is ``LEAST_COMPACT`` of the stretch and ``COPY`` of the
-   item; a paraphrase needs ``PARAPHRASE`` of it and ``LEAST_ANSWER`` of the
-   item's last ``ANSWER_WORDS`` words, its answer. Items of fewer than
-   ``SHORT`` words must be there whole. All stretches are judged, not the one
-   of the longest subsequence alone.
+3. Candidates are the regions of documents that can hold a leak at all: a leak
+   has a least number of its item's words within a stretch of bounded length,
+   so some of the item's rarest words are there (``Lists``). No leak is lost,
+   and none is capped. The latent space gives the cosine of the item and the
+   passages that its stretch lies in; nothing is dropped by it.
+4. Every candidate is judged on words: some stretch of it must have a longest
+   common subsequence with the item that is ``LEAST_COMPACT`` of the stretch
+   and ``COPY`` of the item; a paraphrase needs ``PARAPHRASE`` of it and
+   ``LEAST_ANSWER`` of the item's last ``ANSWER_WORDS`` words, its answer.
+   Items of fewer than ``SHORT`` words must be there whole. All stretches are
+   judged, not the one of the longest subsequence alone.
 
 Items are taken in blocks of ``ITEM_BLOCK``, so what is sent to tasks (terms
-and vectors of one block) has a fixed bound. Null or empty texts and items
+and lists of one block) has a fixed bound. Null or empty texts and items
 match nothing. Repeated items each report; equal pairs are reported once.
 """
 
@@ -43,12 +43,12 @@ from mediapanel.llm.common import text_or_empty, written
 PASSAGE = 32
 MAX_DF, LEAST_DF = 0.01, 100  # terms in more passages than this share, and this number, weigh nothing
 RANK, OVERSAMPLE = 96, 8
-LEAST_COSINE, LEAST_PART = 0.1, 0.5
 COPY, PARAPHRASE, LEAST_ANSWER = 0.8, 0.6, 0.75
 LEAST_COMPACT = 0.5
 ANSWER_WORDS = 8
 SHORT = 8
 ITEM_BLOCK = 10_000
+LIST_ITEMS = 256      # items looked up at once
 CHUNK = 100_000       # tokens projected at once
 
 CUT = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -258,66 +258,102 @@ def is_leak(n: int, common: int, span: int, answer: float) -> bool:
         common >= COPY * n or (common >= PARAPHRASE * n and answer >= LEAST_ANSWER))
 
 
-def search(terms: DataFrame, items: list[tuple], item_terms: list[np.ndarray], weight: np.ndarray,
+class Lists:
+    """Inverted lists of some items: per term the items that have it among
+    their rarest positions, and in how many of them.
+
+    A leak holds ``least_common`` of its item's positions, so it misses at most
+    the others, and of any that many positions and ``few`` more it holds
+    ``few``. The lists have these positions, the rarest of the item."""
+
+    def __init__(self, item_terms: list[np.ndarray], df: np.ndarray):
+        self.reach = np.array([int(len(t) / LEAST_COMPACT) for t in item_terms], np.int64)
+        least = np.array([least_common(len(t)) for t in item_terms], np.int64)
+        self.few = -(-least // 4)
+        term, item = [], []
+        for i, t in enumerate(item_terms):
+            rare = t[np.lexsort((t, df[t]))][:len(t) - least[i] + self.few[i]]
+            term.append(rare)
+            item.append(np.full(len(rare), i))
+        pairs, self.n = np.unique(np.concatenate(term) * len(item_terms) + np.concatenate(item), return_counts=True)
+        self.item = pairs % len(item_terms)
+        self.first = np.searchsorted(pairs // len(item_terms), np.arange(len(df) + 1))
+
+    def regions(self, held: list[np.ndarray]) -> Iterator[tuple[int, int, int, int]]:
+        """(document, item, start, stop) that together hold every stretch that
+        may be a leak. A document is cut into cells of the longest stretch that
+        an item allows, so a stretch lies in two neighbouring cells; those that
+        hold ``few`` listed positions of the item count, and runs of them join."""
+        sizes = np.array([len(x) for x in held])
+        ids = np.concatenate(held).astype(np.int64)
+        count = self.first[ids + 1] - self.first[ids]
+        at = np.flatnonzero(count)
+        if not len(at):
+            return
+        count = count[at]
+        entry = np.repeat(self.first[ids[at]] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        at = np.repeat(at, count)
+        item, doc = self.item[entry], np.repeat(np.arange(len(held)), sizes)[at]
+        cell = (at - (np.cumsum(sizes) - sizes)[doc]) // self.reach[item]
+        # Window w holds the cells w - 1 and w; numbers of two items or documents are never neighbours.
+        room = int(cell.max()) + 3
+        key = (doc * len(self.reach) + item) * room + cell
+        key, entry = np.concatenate([key, key + 1]), np.concatenate([entry, entry])
+        windows, where = np.unique(key, return_inverse=True)
+        few = self.few[windows // room % len(self.reach)]
+        often = np.bincount(where, weights=self.n[entry]) >= few
+        on = often[where]
+        once = np.unique(where[on] * len(self.n) + entry[on])
+        there = np.bincount(once // len(self.n), weights=self.n[once % len(self.n)], minlength=len(windows))
+        windows = windows[there >= few]
+        if not len(windows):
+            return
+        ends = np.flatnonzero(np.diff(windows) != 1)
+        for lo, hi in zip(windows[np.concatenate([[0], ends + 1])].tolist(),
+                          windows[np.concatenate([ends, [len(windows) - 1]])].tolist()):
+            d, i = divmod(lo // room, len(self.reach))
+            reach = int(self.reach[i])
+            yield d, i, max(0, (lo % room - 1) * reach), (hi % room + 1) * reach
+
+
+def search(terms: DataFrame, items: list[tuple], item_terms: list[np.ndarray], df: np.ndarray, weight: np.ndarray,
            basis: np.ndarray) -> DataFrame:
-    """(doc_id, item, cosine, lcs, answer, start, stop) of confirmed leaks; item
+    """(doc_id, item, cosine, lcs, answer, start, stop) of all leaks; item
     is the position in ``items``, start and stop are words of the document."""
     weighted = (basis * weight[:, None]).astype(np.float32)
-    vectors = np.array([weighted[t].sum(axis=0) for t in item_terms], np.float32).reshape(len(item_terms), -1)
-    size = np.linalg.norm(vectors, axis=1, keepdims=True)
-    flat = (size[:, 0] <= 1e-9)  # no term that weighs: nothing to retrieve by, so every passage is judged
-    vectors = vectors / np.maximum(size, 1e-9)
-    shared = terms.sparkSession.sparkContext.broadcast((weighted, vectors, size[:, 0], item_terms, flat))
+    lists = [(lo, Lists(item_terms[lo:lo + LIST_ITEMS], df)) for lo in range(0, len(item_terms), LIST_ITEMS)]
+    shared = terms.sparkSession.sparkContext.broadcast((weighted, item_terms, lists))
     kind = terms.schema["doc_id"].dataType.simpleString()
     out_names = ["doc_id", "item", "cosine", "lcs", "answer", "start", "stop"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weighted, vectors, size, item_terms, flat = shared.value
-        weigh = np.abs(weighted).sum(axis=1)
+        weighted, item_terms, lists = shared.value
         here = np.zeros(len(weighted), bool)
-        longest = max(map(len, item_terms))
         matchers: dict[int, tuple[Matcher, Matcher]] = {}
+
+        def cosine(a: np.ndarray, b: np.ndarray) -> float:
+            a, b = weighted[a].sum(axis=0), weighted[b].sum(axis=0)
+            return float(a @ b / max(float(np.linalg.norm(a) * np.linalg.norm(b)), 1e-12))
+
         for batch in batches:
             found: list[tuple] = []
             base = 0
-            for ids, where, held, first in _passages(batch):
-                n = int(first[-1])
-                on = weigh[ids] > 0
-                p, norm = _project(ids[on], where[on], n, weigh, weighted)
-                p *= norm[:, None].astype(np.float32)
-                owner = np.repeat(np.arange(len(held)), np.diff(first))
-                pair = p.copy()
-                follows = np.flatnonzero(owner[:-1] == owner[1:])
-                pair[follows] += p[follows + 1]
-                length = np.linalg.norm(pair, axis=1)
-                for lo in range(0, n, 20_000):
-                    dot = pair[lo:lo + 20_000] @ vectors.T
-                    cos = dot / np.maximum(length[lo:lo + 20_000, None], 1e-9)
-                    hit = (cos >= LEAST_COSINE) & (dot >= LEAST_PART * size[None, :])
-                    if flat.any():
-                        hit |= flat[None, :]
-                    rows, cols = np.nonzero(hit)
-                    last, around = -1, held[0][:0]
-                    for r, c in zip(rows.tolist(), cols.tolist()):
-                        if r != last:  # marks the words around the passage, for all its items
-                            here[around] = False
-                            d, last = int(owner[lo + r]), r
-                            begin = (lo + r - int(first[d])) * PASSAGE
-                            around = held[d][max(0, begin - longest):begin + 2 * PASSAGE + longest]
-                            here[around] = True
-                        item = item_terms[c]
-                        if np.count_nonzero(here[item]) < PARAPHRASE * len(item):
+            for _, _, held, _ in _passages(batch):
+                for low, part in lists:
+                    for d, c, at, end in part.regions(held):
+                        words, item = held[d][at:end], item_terms[low + c]
+                        here[words] = True
+                        common = np.count_nonzero(here[item])
+                        here[words] = False
+                        if common < least_common(len(item)):
                             continue
-                        at = max(0, begin - len(item))
-                        words = held[d][at:begin + 2 * PASSAGE + len(item)]
-                        if c not in matchers:
-                            matchers[c] = Matcher(item), Matcher(item[-ANSWER_WORDS:])
-                        whole, answer = matchers[c]
-                        seq = words.tolist()
-                        if leak := whole.best(seq, answer):
-                            common, share, start, stop = leak
-                            found.append((base + d, c, float(cos[r, c]), common / len(item), share, at + start, at + stop))
-                    here[around] = False
+                        if low + c not in matchers:
+                            matchers[low + c] = Matcher(item), Matcher(item[-ANSWER_WORDS:])
+                        whole, answer = matchers[low + c]
+                        if leak := whole.best(words.tolist(), answer):
+                            common, share, start, stop = leak[0], leak[1], at + leak[2], at + leak[3]
+                            near = held[d][start // PASSAGE * PASSAGE:-(-stop // PASSAGE) * PASSAGE]
+                            found.append((base + d, low + c, cosine(near, item), common / len(item), share, start, stop))
                 base += len(held)
             cols_ = list(zip(*found)) if found else [[] for _ in range(7)]
             kinds = [pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
@@ -355,7 +391,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         best = F.max_by(F.struct("cosine", "lcs", "answer", "start", "stop"),
                         F.struct("lcs", "answer", F.col("start") - F.col("stop"), -F.col("start"))).alias("best")
         # Names of one block of items: of fixed size.
-        found.append(search(terms, items, item_terms, weight, basis).join(F.broadcast(names), "item")
+        found.append(search(terms, items, item_terms, df, weight, basis).join(F.broadcast(names), "item")
                      .groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*"))
     if not found:
         kinds = [f"{c} {d.schema[c].dataType.simpleString()}" for c, d in (("doc_id", docs), ("item_id", benchmark))]
