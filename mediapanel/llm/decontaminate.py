@@ -4,7 +4,8 @@
    term), written once as a compact table; words are lower-cased and cut at
    ASCII characters that are not letters. Passages are ``PASSAGE`` words.
 2. TF-IDF of all passages, with document frequencies over all passages and
-   idf squared, which is idf once for the passage and once for the query. A
+   idf squared, which is idf once for the passage and once for the query; no
+   term is dropped, whatever the number of passages. A
    randomised SVD is spread over the tasks: each multiplies its part of
    ``A' A`` with a random matrix, the parts are summed, and the driver gets the
    latent basis from that sum, a matrix of benchmark terms by
@@ -41,7 +42,6 @@ from pyspark.sql import functions as F
 from mediapanel.llm.common import text_or_empty, written
 
 PASSAGE = 32
-MAX_DF, LEAST_DF = 0.01, 100  # terms in more passages than this share, and this number, weigh nothing
 RANK, OVERSAMPLE = 96, 8
 COPY, PARAPHRASE, LEAST_ANSWER = 0.8, 0.6, 0.75
 LEAST_COMPACT = 0.5
@@ -383,7 +383,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         terms = written(term_rows(docs, vocabulary), "terms")
         df, n = passage_frequencies(terms, len(vocabulary))
         weight = np.log((n + 1) / (df + 1)) ** 2
-        weight[df > max(MAX_DF * n, LEAST_DF)] = 0
         weight[0] = 0
         basis = latent_basis(terms, weight)
         names = docs.sparkSession.createDataFrame(

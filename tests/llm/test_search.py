@@ -182,9 +182,13 @@ def large(spark, tmp_path_factory):
     df = Counter(w for t in texts for i in range(0, 416, 32) for w in set(t[i:i + 32]))
     assert sum(n > 0.01 * 130_000 for n in df.values()) > 50
     items = [some(rng.randint(20, 59)) for _ in range(120)] + [some(rng.randint(120, 300)) for _ in range(30)]
-    planted = {}
+    items.append([words[i] for i in draw.permutation(40)])  # all of them in over 1 % of the passages
+    assert min(df[w] for w in items[150]) > 0.01 * 130_000
+    planted = {"common": {(d, 150) for d in range(1200, 1300)}}
+    for d in range(1200, 1300):
+        texts[d][96:96] = items[150]
     for d in range(1200):
-        i = rng.randrange(len(items))
+        i = rng.randrange(150)
         how = rng.choice(EDITS) if i < 120 else "long"
         at = rng.randint(0, 416)
         texts[d][at:at] = edited(rng, items[i], how, df)
@@ -202,6 +206,11 @@ def test_every_paraphrase_in_a_large_table_is_found(large, how):
     assert len(planted[how]) > 300 and planted[how] <= set(got)
 
 
+def test_terms_of_many_passages_weigh_in_a_large_table(large):
+    planted, got = large
+    assert planted["common"] <= set(got) and all(got[p].cosine > 0.3 for p in planted["common"])
+
+
 def test_leaks_across_blocks_of_items(spark, monkeypatch):
     docs, items, leaks = leak_rows(60)
     monkeypatch.setattr(dec, "ITEM_BLOCK", 15)
