@@ -211,6 +211,12 @@ def test_terms_of_many_passages_weigh_in_a_large_table(large):
     assert planted["common"] <= set(got) and all(got[p].cosine > 0.3 for p in planted["common"])
 
 
+def test_long_items_are_found(large):
+    planted, got = large
+    assert len(planted["long"]) > 150 and planted["long"] <= set(got)
+    assert all(got[p].lcs == 1.0 for p in planted["long"])
+
+
 def test_leaks_across_blocks_of_items(spark, monkeypatch):
     docs, items, leaks = leak_rows(60)
     monkeypatch.setattr(dec, "ITEM_BLOCK", 15)
