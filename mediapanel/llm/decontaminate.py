@@ -2,7 +2,7 @@
 
 1. Documents become sequences of benchmark term numbers (0: no benchmark
    term), written once as a compact table; words are lower-cased and cut at
-   ASCII characters that are not letters. Passages are ``PASSAGE`` words.
+   ASCII characters that are not letters or digits. Passages are ``PASSAGE`` words.
 2. TF-IDF of all passages, with document frequencies over all passages and
    idf squared, which is idf once for the passage and once for the query; no
    term is dropped, whatever the number of passages. A
@@ -24,7 +24,7 @@
 
 Items are taken in blocks of ``ITEM_BLOCK``, so what is sent to tasks (terms
 and lists of one block) has a fixed bound. Null or empty texts and items
-match nothing. Repeated items each report; equal pairs are reported once.
+match nothing, and neither does an item that is one number. Repeated items each report; equal pairs are reported once.
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ ITEM_BLOCK = 10_000
 LIST_ITEMS = 256      # items looked up at once
 CHUNK = 100_000       # tokens projected at once
 
-CUT = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
+CUT = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
 def words_of(text: str) -> list[bytes]:
@@ -375,7 +375,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for b in range(blocks):
         part = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
         items = [(r[0], words_of(r[1])) for r in part.orderBy("item_id", "text").collect()]
-        items = [(i, w) for i, w in items if w]
+        items = [(i, w) for i, w in items if len(w) > 1 or w and not w[0].isdigit()]
         if not items:
             continue
         vocabulary = {w: k + 1 for k, w in enumerate(sorted({w for _, ws in items for w in ws}))}

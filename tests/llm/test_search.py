@@ -217,6 +217,14 @@ def test_long_items_are_found(large):
     assert all(got[p].lcs == 1.0 for p in planted["long"])
 
 
+def test_numbers_are_words(spark):
+    docs = cases.frame(spark, [(1, "they asked: 12 + 7 = 19, and so on"), (2, "12 + 8 = 20"),
+                               (3, "a train leaves at 9 for 40 miles"), (4, "a train leaves at 7 for 30 miles")])
+    bench = spark.createDataFrame([(1, "12 + 7 = 19"), (2, "Train leaves at 9 for 40 miles."), (3, "2019")],
+                                  "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in dec.contaminated(docs, bench).collect()} == {(1, 1), (3, 2)}
+
+
 def test_leaks_across_blocks_of_items(spark, monkeypatch):
     docs, items, leaks = leak_rows(60)
     monkeypatch.setattr(dec, "ITEM_BLOCK", 15)
