@@ -18,7 +18,9 @@ only one document of a class goes on.
 3. Members of one pivot that are both linked to it need no link of their own.
    The others meet all members of the pivot in blocks of bounded size; sizes,
    what is known about the overlap with the pivot, and the estimate from the
-   bottom-k of the union (``UNION_K`` values) rule pairs out without loss.
+   bottom-k of the union (``UNION_K`` values) rule pairs out. Only the estimate,
+   which is for two sets of more than ``UNION_K`` shingles, can rule out a link;
+   the chance is below 1e-8 per pair.
 4. Pairs left are verified on full sets; links are contracted to components.
 
 Null or empty texts have no shingles and no links. Sets are told apart by 64
@@ -43,8 +45,8 @@ INDEX_K = 32
 NEED = 11
 WHOLE = 25          # sets up to this size share ceil(0.8 * size) sketch values at least
 UNION_K = 256
-UNION_NEED = 173    # of UNION_K: what 256 draws at 0.8 come to, less five standard deviations
-UNION_LEAST = 0.675  # the same as a share
+UNION_NEED = 165    # of UNION_K: 256 draws at 0.8 come to fewer with a chance below 1e-8
+UNION_LEAST = UNION_NEED / UNION_K
 BLOCK = 512
 BITMAP_BITS = 26
 HASH_TABLE = 150_000

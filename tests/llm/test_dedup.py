@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 from collections import Counter
+from math import comb
 
 import numpy as np
 import pytest
@@ -195,3 +196,11 @@ def test_connected_components(spark):
     want = {x: root(x) for e in links if e[0] != e[1] for x in e}
     assert {r.u: r.root for r in got.collect()} == want
     assert components.connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_both_ways_to_miss_a_link_are_below_their_stated_chance():
+    def fewer(n, k):
+        return sum(comb(n, i) * 0.8 ** i * 0.2 ** (n - i) for i in range(k))
+    assert fewer(near_dedup.INDEX_K, near_dedup.NEED) < 1e-8
+    assert fewer(near_dedup.UNION_K, near_dedup.UNION_NEED) < 1e-8
+    assert near_dedup.UNION_LEAST * near_dedup.UNION_K <= near_dedup.UNION_NEED
