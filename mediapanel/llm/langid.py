@@ -163,17 +163,22 @@ class ContextTrees:
 
 def train_trees(docs: DataFrame, text: str, lang: str, key: str, train_chars: int = TRAIN_CHARS) -> ContextTrees | None:
     """Trees of the languages of ``docs`` (rows with a null are left out), from
-    a sample of whole documents of about ``train_chars`` per language. What
-    comes to the driver is one total per language and the grams of that sample."""
+    a sample of whole documents of about ``train_chars`` per language, one with
+    a letter at least. What comes to the driver is two numbers per language and the grams of that sample."""
     rows = docs.select(F.col(text), F.col(lang).cast("string").alias(lang), F.col(key)).where(
         F.col(text).isNotNull() & F.col(lang).isNotNull())
-    totals = {r[0]: r[1] for r in rows.groupBy(lang).agg(F.sum(F.length(text))).collect() if r[1]}
+    draw = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), 11) / float(2 ** 53)
+    found = [r for r in rows.groupBy(lang).agg(
+        F.sum(F.length(text)), F.min(F.when(F.regexp_like(text, F.lit(r"\p{L}")), draw))).collect() if r[1]]
+    totals = {r[0]: r[1] for r in found}
     if not totals:
         return None
     share = F.create_map(*[x for name, n in totals.items()
                            for x in (F.lit(name), F.lit(min(1.0, train_chars / n)))])
-    draw = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), 11) / float(2 ** 53)
-    sample = rows.where(F.coalesce(share[F.col(lang)], F.lit(0.0)) > draw)
+    # The smallest draw is in whatever its length, so that no language is without a document.
+    first = F.create_map(*[x for r in found for x in (F.lit(r[0]), F.lit(r[2]).cast("double"))])
+    sample = rows.where((F.coalesce(share[F.col(lang)], F.lit(0.0)) > draw)
+                        | F.coalesce(first[F.col(lang)] == draw, F.lit(False)))
     counts = gram_counts(sample, text, lang).toArrow().to_pandas()
     grams: dict[str, dict[int, tuple[np.ndarray, np.ndarray]]] = {}
     for (name, m), part in counts.sort_values("code").groupby(["lang", "length"]):

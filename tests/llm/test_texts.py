@@ -75,6 +75,12 @@ def test_langid_pieces_add_up(spark, monkeypatch):
     assert langid.identify(long, trees).first() == whole
 
 
+def test_langid_knows_languages_of_few_long_documents(spark):
+    df = spark.createDataFrame(lang_rows(6), "doc_id long, text string, lang string")
+    trees = langid.train_trees(df, "text", "lang", "doc_id", train_chars=1)
+    assert trees is not None and sorted(trees.langs) == ["de", "en"]
+
+
 def test_langid_awkward_rows(spark):
     rows = [(i, t, "en" if (i or 0) % 2 else None) for i, t in cases.texts()] + [(100 + i, t, x) for i, t, x in lang_rows()]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit(1))
