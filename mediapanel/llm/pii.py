@@ -134,19 +134,18 @@ def bootstrap(inst: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     edges = written(inst.where(F.col("word") != "").groupBy("word", "value").agg(F.max("kind").alias("kind")), "edges")
     seeds = edges.where(F.col("kind").isNotNull()).select("value", "kind").distinct().withColumn("score", F.lit(1.0))
     open_ = edges.where(F.col("kind").isNull()).select("word", "value").join(seeds.select("value"), "value", "left_anti")
-    sizes = edges.groupBy("word").agg(F.countDistinct("value").alias("n"))
-    support = (edges.where(F.col("kind").isNotNull()).groupBy("word", "kind")
-               .agg(F.countDistinct("value").alias("support")).where(F.col("support") >= LEAST_SUPPORT))
-    # Only words with enough seeds can ever be trusted; their edges alone are scored.
-    open_ = written(open_.join(support.select("word").distinct(), "word", "left_semi"), "open-edges")
-    frame = written(support.join(sizes, "word"), "patterns")
+    open_ = written(open_, "open-edges")
+    sizes = written(edges.groupBy("word").agg(F.countDistinct("value").alias("n")), "sizes")
+    seeded = written(edges.where(F.col("kind").isNotNull()).groupBy("word", "kind")
+                     .agg(F.countDistinct("value").cast("double").alias("support")), "patterns")
     reached = None
     for _ in range(rounds):
-        gained = frame.withColumn("sum", F.col("support").cast("double")) if reached is None else (
-            frame.join(open_.join(reached, "value").groupBy("word", "kind").agg(F.sum("score").alias("more")),
-                       ["word", "kind"], "left")
-            .withColumn("sum", F.col("support") + F.coalesce("more", F.lit(0.0))))
-        trusted = (gained.withColumn("confidence", F.least(F.lit(1.0), F.col("sum") / F.col("n")))
+        # What was reached counts by score for every word it stands behind, also for words without a seed.
+        support = seeded if reached is None else seeded.unionByName(
+            open_.join(reached, "value").groupBy("word", "kind").agg(F.sum("score").alias("support")))
+        trusted = (support.groupBy("word", "kind").agg(F.sum("support").alias("sum"))
+                   .where(F.col("sum") >= LEAST_SUPPORT).join(sizes, "word")
+                   .withColumn("confidence", F.least(F.lit(1.0), F.col("sum") / F.col("n")))
                    .where(F.col("confidence") >= LEAST_CONFIDENCE).select("word", "kind", "confidence"))
         scored = (open_.join(trusted, "word").groupBy("value", "kind")
                   .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))).alias("score")))

@@ -235,6 +235,17 @@ def test_pii_trusted_contexts_find_more(spark):
     assert {r.doc_id: r.spans for r in pii.find(few).collect()}[50] == ""
 
 
+def test_pii_patterns_grow_from_found_instances(spark):
+    seeds = [d for d in (f"40128888{i:08d}" for i in range(1000)) if luhn(d)][:40]
+    shared = [f"ref-{i:06d}" for i in range(8)]
+    texts = [f"visa {x} end" for x in seeds + shared] + [f"account {x} end" for x in shared + ["new-123456"]]
+    texts += ["other new-654321 end"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {texts[r.doc_id]: r.spans for r in pii.find(df).collect()}
+    assert all(got[f"visa {x} end"] == "card:5:15" and got[f"account {x} end"] == "card:8:18" for x in shared)
+    assert got["account new-123456 end"] == "card:8:18" and got["other new-654321 end"] == ""
+
+
 def test_pii_is_native(spark):
     plan = pii.find(cases.frame(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
