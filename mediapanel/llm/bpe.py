@@ -7,9 +7,17 @@ of merge ranks over a doubly linked symbol list; queue entries whose pair is
 no longer there are skipped. Decoding concatenates vocabulary strings, joined
 as the file's (absent) decoder joins them: by one space.
 
-No rule looks across white space, so words between white space are encoded
-once per task and kept in a table of bounded size. Null text counts as empty
-and gives no tokens.
+A text is normalised and split whole; no rule looks across white space. Each
+word of the pattern is merged once and kept in a table of two generations of
+bounded size: a full one becomes the old one, from which words in use return.
+Texts with control characters that Python counts as white space and the file
+does not are cut at spaces first.
+
+Null text counts as empty and gives no tokens. Very long texts need memory in
+proportion to their own length; rows go out in slices of ``SLICE``. Rows are
+independent, so ties and repeated rows change nothing; an empty table gives no
+rows. Kept columns that have the name of an output are replaced by it; other
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,8 +34,9 @@ from pyspark.sql import functions as F
 
 from mediapanel.llm.common import text_or_empty
 
-# Most words a task keeps the encoding of; beyond it the table starts anew.
-WORD_TABLE = 400_000
+WORD_TABLE = 100_000  # words of a generation that a task keeps the encoding of
+SLICE = 128
+PLACE = 1 << 32       # queue entries are rank * PLACE + position, which sort as the pair does
 
 
 def load_vocabulary(path: str) -> dict:
@@ -61,17 +70,20 @@ class Encoder:
         import regex
         self.vocab, self.suffix, self.special = spec["vocab"], spec["suffix"], spec["special"]
         self.names = {i: s for s, i in self.vocab.items()} | {i: s for s, i in self.special.items()}
-        self.ranks = {}
-        for rank, (a, b) in enumerate(spec["merges"]):
-            ia, ib, merged = self.vocab[a], self.vocab[b], self.vocab[a + b]
-            self.ranks[ia, ib] = (rank, merged)
+        self.set_merges([(self.vocab[a], self.vocab[b], self.vocab[a + b]) for a, b in spec["merges"]])
         self.pattern = regex.compile(spec["pattern"])
         marks = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
         self.symbols = byte_symbols()
         self.odd_space = regex.compile("[\x1c-\x1f]")
-        self.table: dict[str, tuple[bytes, int, str]] = {}
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, tuple[bytes, str]] = {}
+        self.old: dict[str, tuple[bytes, str]] = {}
+
+    def set_merges(self, merges: list[tuple[int, int, int]]) -> None:
+        """By rank: the pair's symbols and what it becomes. By pair: its queue
+        entry at position 0."""
+        self.parts = merges
+        self.ranks = {(a, b): rank * PLACE for rank, (a, b, _) in enumerate(merges)}
 
     def merge(self, word: str) -> list[int]:
         """Ids of one pre-token: the cheapest pair is merged until none is left."""
@@ -81,74 +93,62 @@ class Encoder:
         n = len(ids)
         if n < 2:
             return ids
-        ranks = self.ranks
-        left, right, alive = list(range(-1, n - 1)), list(range(1, n + 1)), [True] * n
-        queue = []
-        for i in range(n - 1):
-            if (m := ranks.get((ids[i], ids[i + 1]))) is not None:
-                queue.append((m[0], i, m[1], ids[i], ids[i + 1]))
+        find, parts = self.ranks.get, self.parts
+        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
+        queue = [r + i for i, pair in enumerate(zip(ids, ids[1:])) if (r := find(pair)) is not None]
         heapq.heapify(queue)
         while queue:
-            _, i, merged, a, b = heapq.heappop(queue)
-            j = right[i]
-            if not alive[i] or ids[i] != a or j >= n or ids[j] != b:
+            rank, i = divmod(heapq.heappop(queue), PLACE)
+            a, b, merged = parts[rank]
+            if ids[i] != a or (j := right[i]) >= n or ids[j] != b:
                 continue  # stale: one side has been merged meanwhile
-            ids[i], alive[j], right[i] = merged, False, right[j]
-            if right[i] < n:
-                left[right[i]] = i
-                if (m := ranks.get((merged, ids[right[i]]))) is not None:
-                    heapq.heappush(queue, (m[0], i, m[1], merged, ids[right[i]]))
-            if left[i] >= 0:
-                h = left[i]
-                if (m := ranks.get((ids[h], merged))) is not None:
-                    heapq.heappush(queue, (m[0], h, m[1], ids[h], merged))
-        return [x for x, on in zip(ids, alive) if on]
-
-    def chunk_ids(self, chunk: str) -> list[int]:
-        """Ids of a text without special tokens."""
+            ids[i], ids[j] = merged, -1
+            right[i] = k = right[j]
+            if k < n:
+                left[k] = i
+                if (r := find((merged, ids[k]))) is not None:
+                    heapq.heappush(queue, r + i)
+            if (h := left[i]) >= 0 and (r := find((ids[h], merged))) is not None:
+                heapq.heappush(queue, r + h)
+        return [x for x in ids if x >= 0]
+
+    def _word(self, word: str) -> tuple[bytes, str]:
+        """Ids and decoded text of a word that is not in the new generation."""
+        if (hit := self.old.get(word)) is None:
+            ids = self.merge(word)
+            hit = struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
+        if len(word) <= 64:
+            if len(self.words) >= WORD_TABLE:
+                self.old, self.words = self.words, {}
+            self.words[word] = hit
+        return hit
+
+    def _plain(self, text: str) -> list[tuple[bytes, str]]:
+        """Words of a text without special tokens."""
         import unicodedata
         # Lower case letter by letter: no final-sigma rule.
-        low = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        words, ids = self.words, []
-        for w in self.pattern.findall(low):
-            if (hit := words.get(w)) is None:
-                hit = self.merge(w)
-                if len(w) <= 64:
-                    if len(words) >= WORD_TABLE:
-                        words.clear()
-                    words[w] = hit
-            ids += hit
-        return ids
+        low = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        known = self.words.get
+        return [known(w) or self._word(w) for w in self.pattern.findall(low)]
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(self.names[i] for i in ids if i in self.names)
 
-    def _entry(self, chunk: str) -> tuple[bytes, int, str]:
-        if (hit := self.table.get(chunk)) is None:
-            ids = self.chunk_ids(chunk)
-            hit = (struct.pack(f"<{len(ids)}I", *ids), len(ids), self.decode(ids))
-            if len(chunk) <= 64:
-                if len(self.table) >= WORD_TABLE:
-                    self.table.clear()
-                self.table[chunk] = hit
-        return hit
-
     def encode(self, text: str) -> tuple[bytes, int, str]:
         """Ids as little-endian 32-bit integers, their number, decoded text."""
         parts = self.cut.split(text) if self.cut is not None and "<|" in text else [text]
-        found = []
+        found: list[tuple[bytes, str]] = []
         for part in parts:
             if part in self.special:
                 i = self.special[part]
-                found.append((struct.pack("<I", i), 1, self.names[i]))
-            elif self.odd_space.search(part):  # Python's split() knows more white space than the pattern
-                found += [self._entry(c) for c in part.replace("\x85", " ").split(" ")]
+                found.append((struct.pack("<I", i), self.names[i]))
+            elif self.odd_space.search(part):
+                for chunk in part.replace("\x85", " ").split(" "):
+                    found += self._plain(chunk)
             else:
-                table = self.table
-                for c in part.split():
-                    found.append(table.get(c) or self._entry(c))
-        return (b"".join([x[0] for x in found]), sum([x[1] for x in found]),
-                " ".join([x[2] for x in found if x[1]]))
+                found += self._plain(part)
+        ids = b"".join([x[0] for x in found])
+        return ids, len(ids) // 4, " ".join([x[1] for x in found if x[0]])
 
 
 def encode_texts(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
@@ -159,7 +159,8 @@ def encode_texts(docs: DataFrame, vocabulary: str, text: str = "text", keep: tup
     content (a few MB, whatever the input) goes to the tasks by broadcast."""
     spark = docs.sparkSession
     spec = spark.sparkContext.broadcast(load_vocabulary(vocabulary))
-    src = docs.select(*[F.col(c) for c in keep], text_or_empty(F.col(text)).alias("__text"))
+    made = ("n_tokens", "ids_sha256", "decoded_sha256", *outputs)
+    src = docs.select(*[F.col(c) for c in keep if c not in made], text_or_empty(F.col(text)).alias("__text"))
     fields = [(f.name, f) for f in src.schema.fields[:-1]]
     schema = ", ".join([f"`{n}` {f.dataType.simpleString()}" for n, f in fields]
                        + ["n_tokens long", "ids_sha256 string", "decoded_sha256 string"]
@@ -168,7 +169,7 @@ def encode_texts(docs: DataFrame, vocabulary: str, text: str = "text", keep: tup
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder(spec.value)
         for batch in batches:
-            for part in (batch.slice(i, 128) for i in range(0, batch.num_rows, 128)):
+            for part in (batch.slice(i, SLICE) for i in range(0, batch.num_rows, SLICE)):
                 n, ids_hash, text_hash, ids, texts = [], [], [], [], []
                 for t in part.column("__text"):
                     b, k, d = enc.encode(t.as_py())

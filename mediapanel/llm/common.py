@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
+from collections.abc import Callable
+from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +27,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shared(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """``value`` sent to the tasks by broadcast, pickled by value like task code:
+    it may hold objects of this subpackage where executors have no copy of it."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds`` (a null id counts as '')."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediapanel.llm.common import text_or_empty, written
+from mediapanel.llm.common import shared, text_or_empty, written
 
 PASSAGE = 32
 RANK, OVERSAMPLE = 96, 8
@@ -61,11 +61,11 @@ def words_of(text: str) -> list[bytes]:
 def term_rows(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
     """(doc_id, terms): 32-bit term numbers of each document, 0 for words that
     no benchmark item has. Documents without any such term are left out."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    known = docs.sparkSession.sparkContext.broadcast(vocabulary)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = shared.value.get
+        find = known.value.get
         for whole in batches:
             for batch in (whole.slice(i, 1024) for i in range(0, whole.num_rows, 1024)):
                 keep, terms = [], []
@@ -322,12 +322,12 @@ def search(terms: DataFrame, items: list[tuple], item_terms: list[np.ndarray], d
     is the position in ``items``, start and stop are words of the document."""
     weighted = (basis * weight[:, None]).astype(np.float32)
     lists = [(lo, Lists(item_terms[lo:lo + LIST_ITEMS], df)) for lo in range(0, len(item_terms), LIST_ITEMS)]
-    shared = terms.sparkSession.sparkContext.broadcast((weighted, item_terms, lists))
+    model = shared(terms.sparkSession, (weighted, item_terms, lists))
     kind = terms.schema["doc_id"].dataType.simpleString()
     out_names = ["doc_id", "item", "cosine", "lcs", "answer", "start", "stop"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weighted, item_terms, lists = shared.value
+        weighted, item_terms, lists = model()
         here = np.zeros(len(weighted), bool)
         matchers: dict[int, tuple[Matcher, Matcher]] = {}
 

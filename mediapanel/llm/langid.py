@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediapanel.llm.common import fold
+from mediapanel.llm.common import fold, shared
 
 ORDER = 3
 TRAIN_CHARS = 1_500_000
@@ -196,14 +196,14 @@ def identify(docs: DataFrame, trees: ContextTrees | None, text: str = "text") ->
     """``docs`` plus ``lang_pred`` and ``score``; only ``text`` is looked at."""
     if trees is None:
         return docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
-    model = docs.sparkSession.sparkContext.broadcast(trees)
+    model = shared(docs.sparkSession, trees)
     kept = [c for c in docs.columns if c not in (text, "lang_pred", "score")]
     src = docs.select(*kept, F.col(text).cast("string").alias("__text"))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]]
                        + ["lang_pred string", "score double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = model.value
+        trees = model()
         n_langs = len(trees.langs)
         room = max(20_000, CELLS // n_langs)
         for batch in batches:

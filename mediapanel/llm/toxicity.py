@@ -53,6 +53,8 @@ ORDINARY_WINDOWS = 20_000
 LEAST_DOCS, LEAST_RATIO, LEAST_G2 = 3, 4.0, 12.0
 THRESHOLDS = (1, 2, 3, 4, 5, 6, 8)
 
+SLICE = 256  # rows scored at once
+
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -246,7 +248,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distance = Distance(model.ordinary, model.toxic)
-        for batch in batches:
+        for batch in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
             x = np.array([distance.features(t.as_py()) for t in batch.column(batch.num_columns - 1)])
             z = (x.reshape(batch.num_rows, -1) - model.mean) / model.scale @ model.weights[:-1] + model.weights[-1]
             p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))

@@ -168,10 +168,10 @@ def test_bpe_merges_by_rank_not_by_place():
     enc = bpe.Encoder.__new__(bpe.Encoder)
     enc.symbols, enc.suffix = bpe.byte_symbols(), ""
     enc.vocab = {"a": 0, "b": 1, "c": 2, "ab": 3, "bc": 4, "abc": 5}
-    enc.ranks = {(1, 2): (0, 4), (0, 1): (1, 3), (0, 4): (2, 5)}
+    enc.set_merges([(1, 2, 4), (0, 1, 3), (0, 4, 5)])
     assert enc.merge("abc") == [5]
     assert enc.merge("abab") == [3, 3]
-    enc.ranks = {(0, 0): (0, 3)}
+    enc.set_merges([(0, 0, 3)])
     assert enc.merge("aaa") == [3, 0]  # equal ranks: leftmost first
 
 
