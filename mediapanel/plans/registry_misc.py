@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT as P
-from ..operators import conform, facts, features, quality, upsert
+from ..operators import conform, facts, features, lift, quality, upsert
 from ..sources import io, schemas, seeds
 from . import oracle as O
 from .chain import Chain
@@ -150,31 +150,36 @@ def q_dq_suite(c: Chain) -> DataFrame:
 
 
 # ------------------------------------------------------------------ features
-REG_COLS = [f"x_{ch}" for ch in seeds.PAID_CHANNELS + ["other"]]
+MEDIA = seeds.PAID_CHANNELS + ["other"]
+REG_COLS = [f"{k}_{ch}" for k in ("x", "i") for ch in MEDIA]
+REG_CALENDAR = ["is_weekend", "is_payday", "is_mega_sale", "week_of_year"]
 
 
-def _regression_sql(day: str) -> str:
+def _frame_sql(day: str) -> str:
+    """The regression frame, unrounded."""
     paid = ", ".join(f"'{ch}'" for ch in seeds.PAID_CHANNELS)
-    sums = [f"sum(CASE WHEN channel = '{ch}' THEN spend_usd END) AS \"{ch}\"" for ch in seeds.PAID_CHANNELS]
-    sums.append(f"sum(CASE WHEN channel NOT IN ({paid}) THEN spend_usd END) AS \"other\"")
+    name = f"CASE WHEN channel IN ({paid}) THEN channel ELSE 'other' END"
+    sums = [f"ln(1 + coalesce(sum(CASE WHEN {name} = '{ch}' THEN {col} END), 0)) AS {k}_{ch}"
+            for k, col in (("x", "spend_usd"), ("i", "impressions")) for ch in MEDIA]
     return f"""
-WITH g AS (SELECT {day} AS date_local, market, sum(gmv) AS gmv FROM (
-             SELECT date_local, market, platform, max(coalesce(platform_total_gmv_usd, 0)) AS gmv FROM panel
-             GROUP BY 1, 2, 3) x GROUP BY 1, 2),
-s AS (SELECT {day} AS date_local, market, {', '.join(sums)},
+SELECT g.market, g.date_local, ln(1 + g.gmv) AS y, {', '.join('s.' + x for x in REG_COLS + REG_CALENDAR)}
+FROM (SELECT {day} AS date_local, market, sum(gmv) AS gmv FROM (
+        SELECT date_local, market, platform, max(coalesce(platform_total_gmv_usd, 0)) AS gmv FROM panel
+        GROUP BY 1, 2, 3) x GROUP BY 1, 2) g
+LEFT JOIN (SELECT {day} AS date_local, market, {', '.join(sums)},
         max(cast(is_weekend AS int)) AS is_weekend, max(cast(is_payday AS int)) AS is_payday,
-        max(cast(is_mega_sale AS int)) AS is_mega_sale
-      FROM panel GROUP BY 1, 2)
-SELECT g.market, g.date_local, {_r4('ln(1 + g.gmv)', 'y')},
-  {', '.join(_r4(f'ln(1 + coalesce(s."{ch}", 0))', f'x_{ch}') for ch in seeds.PAID_CHANNELS + ["other"])},
-  s.is_weekend, s.is_payday, s.is_mega_sale
-FROM g LEFT JOIN s ON s.date_local = g.date_local AND s.market = g.market"""
+        max(cast(is_mega_sale AS int)) AS is_mega_sale, max(week_of_year) AS week_of_year
+      FROM panel GROUP BY 1, 2) s ON s.date_local = g.date_local AND s.market = g.market"""
+
+
+def _regression_sql(day: str) -> str:
+    return (f"SELECT market, date_local, {_r4('y')}, {', '.join(_r4(x) for x in REG_COLS)}, {', '.join(REG_CALENDAR)} "
+            f"FROM ({_frame_sql(day)}) f")
 
 
 def _regression(c: Chain, weekly: bool) -> DataFrame:
     f = features.regression_frame(c.panel, weekly)
-    return f.select("market", "date_local", r4("y"), *[r4(x) for x in REG_COLS], "is_weekend", "is_payday",
-                    "is_mega_sale")
+    return f.select("market", "date_local", r4("y"), *[r4(x) for x in REG_COLS], *REG_CALENDAR)
 
 
 @register("regression_frame", O.sql(_regression_sql("date_local"), "panel"))
@@ -187,6 +192,125 @@ def q_regression_weekly(c: Chain) -> DataFrame:
     return _regression(c, weekly=True)
 
 
+REG_TERMS = REG_COLS + REG_CALENDAR
+
+
+def _fit_sql(terms: list[str], ridge: float) -> str:
+    """Cross products by plain sums, elimination one pivot per recursion."""
+    p = len(terms)
+    z = ", ".join(f"coalesce({t}, 0)::DOUBLE" for t in [*terms, "y"])
+    return f"""
+SELECT * FROM (WITH RECURSIVE z AS (SELECT market, [1::DOUBLE, {z}] AS z FROM ({_frame_sql('date_local')}) f),
+g AS (SELECT market, i, j, sum(z[i] * z[j]) AS s FROM z, range(1, {p + 3}) a(i), range(1, {p + 3}) b(j) GROUP BY ALL),
+n AS (SELECT market, s AS n FROM g WHERE i = 1 AND j = 1),
+m AS (SELECT g.market, j - 1 AS i, s / n AS mean FROM g JOIN n USING (market) WHERE g.i = 1 AND j > 1),
+c AS (SELECT g.market, g.i - 1 AS i, g.j - 1 AS j, s / n - a.mean * b.mean AS c, a.mean AS mi
+      FROM g JOIN n USING (market) JOIN m a ON a.market = g.market AND a.i = g.i - 1
+      JOIN m b ON b.market = g.market AND b.i = g.j - 1),
+d AS (SELECT market, i, mi, CASE WHEN c > {features.CONSTANT} * (1 + mi * mi) THEN sqrt(c) ELSE 0 END AS d FROM c WHERE i = j),
+r AS (SELECT c.market, c.i, c.j, CASE WHEN a.d > 0 AND b.d > 0 THEN c / (a.d * b.d) ELSE 0 END AS r
+      FROM c JOIN d a ON a.market = c.market AND a.i = c.i JOIN d b ON b.market = c.market AND b.i = c.j),
+e(market, k, a) AS (
+  SELECT market, 1, list(row ORDER BY i) FROM (
+    SELECT market, i, list(r + CASE WHEN i = j THEN {ridge} ELSE 0 END ORDER BY j) AS row FROM r WHERE i <= {p} GROUP BY market, i) x
+  GROUP BY market
+  UNION ALL
+  SELECT market, k + 1, list_transform(a, lambda row, i: CASE WHEN i = k
+      THEN list_transform(row, lambda v: v / a[k][k])
+      ELSE list_transform(row, lambda v, j: v - row[k] * a[k][j] / a[k][k]) END)
+  FROM e WHERE k <= {p}),
+b AS (SELECT market, i, a[i][{p + 1}] AS beta FROM e, range(1, {p + 1}) x(i) WHERE k = {p + 1}),
+q AS (SELECT b.market, sum(2 * b.beta * y.r) - any_value(qq.q) AS r2 FROM b
+      JOIN r y ON y.market = b.market AND y.i = b.i AND y.j = {p + 1}
+      JOIN (SELECT r.market, sum(u.beta * v.beta * r.r) AS q FROM r JOIN b u ON u.market = r.market AND u.i = r.i
+            JOIN b v ON v.market = r.market AND v.i = r.j GROUP BY 1) qq ON qq.market = b.market GROUP BY 1),
+t AS (SELECT b.market, b.i, b.beta, x.mi, y.mi AS my, y.d AS dy, CASE WHEN x.d > 0 THEN b.beta * y.d / x.d ELSE 0 END AS coef
+      FROM b JOIN d x ON x.market = b.market AND x.i = b.i JOIN d y ON y.market = b.market AND y.i = {p + 1}),
+o AS (SELECT market, ['{"', '".join(terms)}'][i] AS term, coef AS coefficient, beta FROM t
+      UNION ALL SELECT market, '(intercept)', any_value(my) - sum(coef * mi), 0 FROM t GROUP BY market)
+SELECT o.market, term, {_r4('coefficient')}, {_r4('beta')}, cast(n AS bigint) AS n,
+  {_r4('CASE WHEN y.d > 0 THEN r2 END', 'r2')}
+FROM o JOIN n USING (market) JOIN q USING (market) JOIN d y ON y.market = o.market AND y.i = {p + 1}) fit"""
+
+
+@register("regression_fit", O.sql(_fit_sql(REG_TERMS, features.RIDGE), "panel"))
+def q_regression_fit(c: Chain) -> DataFrame:
+    fit = features.regression_fit(features.regression_frame(c.panel), REG_TERMS)
+    return fit.select("market", "term", r4("coefficient"), r4("beta"), "n", r4("r2"))
+
+
+# ------------------------------------------------------------------ lift at campaign grain
+CAMPAIGN_DAILY_SQL = """
+SELECT market, platform, campaign_id, date_local, sum(spend) AS spend, sum(gmv) AS gmv FROM (
+  SELECT market, platform, campaign_id, date_local, coalesce(cast(spend_usd AS double), 0) AS spend,
+    coalesce(cast(coalesce(broad_gmv_usd, direct_gmv_usd) AS double), 0) AS gmv FROM fact_onplatform_ads
+  UNION ALL
+  SELECT market, platform, campaign_id, date_local, coalesce(cast(spend_usd AS double), 0),
+    coalesce(cast(purchase_value_reported_usd AS double), 0) FROM fact_offplatform_ads) x
+GROUP BY 1, 2, 3, 4"""
+frag("campaign_daily", ["fact_onplatform_ads", "fact_offplatform_ads"], CAMPAIGN_DAILY_SQL)
+
+
+def _campaigns(c: Chain) -> DataFrame:
+    return lift.campaign_daily(c.fact_onplatform_ads, c.fact_offplatform_ads)
+
+
+@register("lift_matched_weeks", O.sql(f"""
+WITH w AS (SELECT market, platform, campaign_id, cast(date_trunc('week', date_local) AS date) AS week,
+             sum(spend) AS spend, sum(gmv) AS gmv FROM campaign_daily GROUP BY 1, 2, 3, 4),
+u AS (SELECT w.*, p.spend AS pre_spend, p.gmv AS pre_gmv,
+        cast(round(ln(1 + p.spend) / {lift.GRID}) AS int) AS c1, cast(round(ln(1 + p.gmv) / {lift.GRID}) AS int) AS c2,
+        EXISTS (SELECT 1 FROM calendar k WHERE k.market = w.market
+                AND cast(date_trunc('week', k.date) AS date) = w.week) AS sale
+      FROM w JOIN w p ON p.market = w.market AND p.platform = w.platform
+        AND p.campaign_id IS NOT DISTINCT FROM w.campaign_id AND p.week = w.week - 7),
+cand AS (SELECT market, platform, c1, c2, count(*) AS n, avg(gmv) AS baseline FROM u WHERE NOT sale GROUP BY 1, 2, 3, 4),
+best AS (SELECT t.market, t.platform, t.c1, t.c2, c.n, c.baseline,
+           (t.c1 - c.c1) * (t.c1 - c.c1) + (t.c2 - c.c2) * (t.c2 - c.c2) AS distance
+         FROM (SELECT DISTINCT market, platform, c1, c2 FROM u WHERE sale) t
+         JOIN cand c ON c.market = t.market AND c.platform = t.platform
+           AND abs(t.c1 - c.c1) <= {lift.CALIPER} AND abs(t.c2 - c.c2) <= {lift.CALIPER}
+         QUALIFY row_number() OVER (PARTITION BY t.market, t.platform, t.c1, t.c2 ORDER BY distance, c.c1, c.c2) = 1)
+SELECT u.market, u.platform, u.campaign_id, u.week, {_r4('u.spend', 'spend')}, {_r4('u.gmv', 'gmv')},
+  {_r4('pre_spend')}, {_r4('pre_gmv')}, b.n AS matched_weeks, b.distance, {_r4('b.baseline', 'baseline_gmv')},
+  {_r4('u.gmv - b.baseline', 'lift')},
+  {_r4('CASE WHEN b.baseline <> 0 THEN (u.gmv - b.baseline) / b.baseline END', 'lift_share')}
+FROM u LEFT JOIN best b USING (market, platform, c1, c2) WHERE sale""", "campaign_daily", "calendar"))
+def q_lift_matched_weeks(c: Chain) -> DataFrame:
+    f = lift.matched_weeks(_campaigns(c), c.calendar)
+    return f.select(*lift.CAMPAIGN, "week", *[r4(x) for x in ("spend", "gmv", "pre_spend", "pre_gmv")], "matched_weeks",
+                    "distance", *[r4(x) for x in ("baseline_gmv", "lift", "lift_share")])
+
+
+@register("lift_on_off", O.sql(f"""
+WITH g AS (SELECT date_local, market, sum(gmv) AS gmv FROM (
+             SELECT date_local, market, platform, max(coalesce(platform_total_gmv_usd, 0)) AS gmv FROM panel
+             GROUP BY 1, 2, 3) x GROUP BY 1, 2),
+adj AS (SELECT market, date_local, gmv / (avg(gmv) OVER (PARTITION BY market, dayofweek(date_local))
+          / avg(gmv) OVER (PARTITION BY market)) AS adjusted FROM g),
+s AS (SELECT market, platform, campaign_id, lag(date_local) OVER (PARTITION BY market, platform, campaign_id ORDER BY date_local) AS last,
+        date_local FROM campaign_daily WHERE spend > 0),
+sw AS (SELECT market, platform, campaign_id, last + 1 AS off_from, date_local - 1 AS off_to FROM s
+       WHERE date_local - last > {lift.LEAST_OFF}),
+d AS (SELECT sw.*, cast(unnest(generate_series(off_from - {lift.PRE_DAYS}, off_to, INTERVAL 1 DAY)) AS date) AS day FROM sw),
+j AS (SELECT d.*, day >= off_from AS off, adjusted, spend FROM d
+      LEFT JOIN adj a ON a.market = d.market AND a.date_local = d.day
+      LEFT JOIN campaign_daily c ON c.market = d.market AND c.platform = d.platform AND c.campaign_id = d.campaign_id
+        AND c.date_local = d.day),
+o AS (SELECT market, platform, campaign_id, off_from, off_to, count(adjusted) FILTER (NOT off) AS pre_days,
+        count(adjusted) FILTER (off) AS off_days, avg(adjusted) FILTER (NOT off) AS pre_gmv,
+        avg(adjusted) FILTER (off) AS off_gmv, coalesce(sum(spend) FILTER (NOT off), 0) / {lift.PRE_DAYS} AS pre_spend
+      FROM j GROUP BY 1, 2, 3, 4, 5)
+SELECT market, platform, campaign_id, off_from, off_to, pre_days, off_days, {_r4('pre_gmv')}, {_r4('off_gmv')},
+  {_r4('pre_spend')}, {_r4('pre_gmv - off_gmv', 'lift')},
+  {_r4('CASE WHEN pre_spend <> 0 THEN (pre_gmv - off_gmv) / pre_spend END', 'return_on_spend')} FROM o""",
+                                "campaign_daily", "panel"))
+def q_lift_on_off(c: Chain) -> DataFrame:
+    f = lift.on_off(_campaigns(c), features.daily_market_gmv(c.panel))
+    return f.select(*lift.CAMPAIGN, "off_from", "off_to", "pre_days", "off_days",
+                    *[r4(x) for x in ("pre_gmv", "off_gmv", "pre_spend", "lift", "return_on_spend")])
+
+
 LIFT_TREATED = ["ID", "MY"]
 LIFT_PRE = (dt.date(2024, 1, 3), dt.date(2024, 1, 9))
 LIFT_POST = (dt.date(2024, 1, 10), dt.date(2024, 1, 14))
