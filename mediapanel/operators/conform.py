@@ -7,6 +7,7 @@ PF1-PF8, PF16, J1-J3, U1, W1-W3.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,18 +16,21 @@ from ..functions import exprs as X
 from ..sources import seeds
 
 
-def latest_wins(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+def latest_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Keep the latest version per key.
 
-    ``order`` is a total order (ingested_at desc, then tie-breakers, D2) so the
-    survivor is deterministic. Spark plans this as a partial
+    ``order`` names a total order (ingested_at, then tie-breakers, D2; the
+    largest wins, nulls last) so the survivor is deterministic. Spark plans this as a partial
     ``WindowGroupLimit`` before the shuffle and a final one after it, so a hot
     key sends at most one row per map partition across the network.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+Dedup = Callable[[DataFrame, list[str], list[str]], DataFrame]
+
+
 def _traffic_join(df: DataFrame, ts_map: DataFrame, platform: str, raw: Column) -> DataFrame:
     """Left join on (constant platform, key) against the broadcast map."""
     m = ts_map.where(F.col("platform") == platform).select(
@@ -40,7 +44,7 @@ def exclude_simulated(df: DataFrame) -> DataFrame:
 
 
 def stg_platform_sales(shopee_orders: DataFrame, tiktok_orders: DataFrame, dim_market: DataFrame,
-                       traffic_map: DataFrame, since: dt.date | None = None) -> DataFrame:
+                       traffic_map: DataFrame, since: dt.date | None = None, dedup: Dedup = latest_wins) -> DataFrame:
     """PF1-PF3 + J1 + U1 + W1 + J2: one de-duplicated order-line stream.
 
     ``since``: when only a trailing window is refreshed, order lines created
@@ -87,10 +91,9 @@ def stg_platform_sales(shopee_orders: DataFrame, tiktok_orders: DataFrame, dim_m
     u = shopee.unionByName(tiktok)
     if since is not None:
         u = u.where(F.col("create_time_utc") >= F.lit(since - dt.timedelta(days=1)).cast("timestamp"))
-    order = [F.col(c).desc_nulls_last() for c in
-             ("ingested_at", "item_id", "shop_id", "gmv_local", "quantity", "order_status",
-              "traffic_source", "create_time_utc", "market", "currency", "pay_time_utc", "complete_time_utc")]
-    d = latest_wins(u, ["platform", "order_id", "sku_id"], order)
+    order = ["ingested_at", "item_id", "shop_id", "gmv_local", "quantity", "order_status",
+             "traffic_source", "create_time_utc", "market", "currency", "pay_time_utc", "complete_time_utc"]
+    d = dedup(u, ["platform", "order_id", "sku_id"], order)
     d = d.join(F.broadcast(dim_market.select("market", "timezone")), "market", "left")
     return d.select(
         "platform", "market", "shop_id", "sku_id", "item_id", "order_id", "order_status",
@@ -112,7 +115,7 @@ def _fx_join(df: DataFrame, fx: DataFrame, date_col: str, cur_col: str = "curren
 
 
 def stg_onplatform_ads(tiktok_ads: DataFrame, shopee_ads: DataFrame, fx: DataFrame,
-                       compat: bool = False) -> DataFrame:
+                       compat: bool = False, dedup: Dedup = latest_wins) -> DataFrame:
     """PF4-PF6, PF8, W2: TikTok Ads + Shopee Ads daily rows in one stream.
 
     Dedup keys are the feeds' natural keys (D1): the ad (TikTok) or keyword
@@ -166,11 +169,10 @@ def stg_onplatform_ads(tiktok_ads: DataFrame, shopee_ads: DataFrame, fx: DataFra
     keys = ["platform", "date_report", "market", "campaign_id", "ad_group_id", "sku_id", "ad_type"]
     if not compat:
         keys.append("ad_key")
-    order = [F.col(c).desc_nulls_last() for c in
-             ("ingested_at", "spend_local", "impressions", "clicks", "direct_gmv_local",
-              "broad_gmv_local", "direct_orders", "objective", "ad_key", "broad_orders",
-              "video_views_2s_or_6s", "currency", "attribution_window")]
-    d = _fx_join(latest_wins(u, keys, order), fx, "date_report")
+    order = ["ingested_at", "spend_local", "impressions", "clicks", "direct_gmv_local",
+             "broad_gmv_local", "direct_orders", "objective", "ad_key", "broad_orders",
+             "video_views_2s_or_6s", "currency", "attribution_window"]
+    d = _fx_join(dedup(u, keys, order), fx, "date_report")
     return d.select(
         "platform", "market", "ad_type", "objective", "campaign_id", "ad_group_id", "sku_id",
         "ad_key", "currency", "spend_local",
@@ -190,7 +192,7 @@ SHOPEE_CAMPAIGN = seeds.SHOPEE_CAMPAIGN_PATTERN
 
 
 def stg_offplatform_ads(meta: DataFrame, google: DataFrame, fx: DataFrame,
-                        compat: bool = False) -> DataFrame:
+                        compat: bool = False, dedup: Dedup = latest_wins) -> DataFrame:
     """PF7, PF8, W3: Meta CPAS + Google Ads rows that land on the shop.
 
     Meta keeps catalog objectives; Google keeps shop-landing URLs or campaigns
@@ -243,11 +245,10 @@ def stg_offplatform_ads(meta: DataFrame, google: DataFrame, fx: DataFrame,
     keys = ["platform", "date_report", "market", "campaign_id", "ad_set_or_ad_group_id"]
     if not compat:
         keys.append("ad_key")
-    order = [F.col(c).desc_nulls_last() for c in
-             ("ingested_at", "spend_local", "impressions", "clicks", "purchases_reported",
-              "purchase_value_reported_local", "campaign_type", "catalog_id", "ad_key", "add_to_cart",
-              "destination_platform", "currency", "attribution_window")]
-    d = _fx_join(latest_wins(u, keys, order), fx, "date_report")
+    order = ["ingested_at", "spend_local", "impressions", "clicks", "purchases_reported",
+             "purchase_value_reported_local", "campaign_type", "catalog_id", "ad_key", "add_to_cart",
+             "destination_platform", "currency", "attribution_window"]
+    d = _fx_join(dedup(u, keys, order), fx, "date_report")
     return d.select(
         "platform", "market", "destination_platform", "campaign_id", "ad_set_or_ad_group_id",
         "campaign_type", "catalog_id", "ad_key", "currency", "spend_local",
@@ -273,33 +274,43 @@ def _bucket(kind: Column, mapping: dict) -> Column:
 
 def stg_evc(evc_google: DataFrame, evc_meta: DataFrame, evc_tiktok: DataFrame,
             compat: bool = False) -> DataFrame:
-    """A5 + PF10: conversion-API rows summed per (date, market, channel, bucket).
+    """A5 + PF10: conversion-API rows summed per (date, market, channel, bucket)."""
+    return evc_totals(evc_rows(evc_google, evc_meta, evc_tiktok, compat))
+
+
+def evc_rows(evc_google: DataFrame, evc_meta: DataFrame, evc_tiktok: DataFrame, compat: bool = False,
+             keep: tuple[str, ...] = ()) -> DataFrame:
+    """PF10: the three conversion feeds in one shape, with the columns ``keep``.
 
     D12: click-through rows are summed on ``conversions`` (``all_conversions``
     already includes view-assisted ones); ``compat`` sums ``all_conversions``.
     """
     bm = EVC_BUCKETS_COMPAT if compat else EVC_BUCKETS
     conv, val = ("all_conversions", "all_conversions_value") if compat else ("conversions", "conversions_value")
-    keys = ["date_local", "market", "channel", "attribution_bucket"]
     g = (evc_google.select(
             F.col("date").alias("date_local"), F.col("_market").alias("market"),
             F.lit("google_ads_shopee").alias("channel"),
             _bucket(F.col("ad_event_type"), bm["google_ads_shopee"]).alias("attribution_bucket"),
-            F.col(conv).cast("double").alias("c"), F.col(val).alias("v"), "_source_system"))
+            F.col(conv).cast("double").alias("c"), F.col(val).alias("v"), "_source_system", *keep))
     m = (evc_meta.where(F.col("action_type") == "purchase").select(
             F.col("date").alias("date_local"), F.col("_market").alias("market"),
             F.lit("meta_cpas").alias("channel"),
             _bucket(F.col("attribution_window"), bm["meta_cpas"]).alias("attribution_bucket"),
             F.col("action_count").cast("double").alias("c"), F.col("action_value").alias("v"),
-            "_source_system"))
+            "_source_system", *keep))
     t = (evc_tiktok.select(
             F.col("date").alias("date_local"), F.col("_market").alias("market"),
             F.lit("tiktok_ads").alias("channel"),
             _bucket(F.col("attribution_type"), bm["tiktok_ads"]).alias("attribution_bucket"),
             F.col("conversions").cast("double").alias("c"), F.col("conversion_value").alias("v"),
-            "_source_system"))
-    # One aggregation over the union: three sources share the output grain.
-    # The source system is constant per channel: grouped on (hash aggregate).
-    return (g.unionByName(m).unionByName(t).groupBy(*keys, "_source_system").agg(
+            "_source_system", *keep))
+    return g.unionByName(m).unionByName(t)
+
+
+def evc_totals(rows: DataFrame) -> DataFrame:
+    """A5: one aggregation over the union, as the three sources share the
+    output grain. The source system is constant per channel: grouped on (hash
+    aggregate)."""
+    return rows.groupBy("date_local", "market", "channel", "attribution_bucket", "_source_system").agg(
         F.sum("c").alias("conversions"),
-        F.sum("v").alias("conversion_value_local")))
+        F.sum("v").alias("conversion_value_local"))
