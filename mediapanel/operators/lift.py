@@ -70,14 +70,14 @@ def matched_weeks(daily: DataFrame, sale_days: DataFrame, grid: float = GRID, ca
     d1, d2 = F.col("c1") - F.col("m.c1"), F.col("c2") - F.col("m.c2")
     nearest = (asked.join(candidates, ["market", "platform", "b1", "b2"])
                .where((F.abs(d1) <= caliper) & (F.abs(d2) <= caliper))
-               .groupBy(*cell).agg(F.min_by(F.struct("m", (d1 * d1 + d2 * d2).alias("distance")),
-                                            F.struct(d1 * d1 + d2 * d2, "m.c1", "m.c2")).alias("best")))
+               .groupBy(*cell).agg(F.array_min(F.collect_list(F.struct(
+                   (d1 * d1 + d2 * d2).alias("distance"), "m.c1", "m.c2", "m.matched_weeks", "m.baseline_gmv"))).alias("best")))
     out = treated.join(nearest, cell, "left")
-    lift = F.col("gmv") - F.col("best.m.baseline_gmv")
+    lift = F.col("gmv") - F.col("best.baseline_gmv")
     return out.select(*CAMPAIGN, "week", "spend", "gmv", "pre_spend", "pre_gmv",
-                      F.col("best.m.matched_weeks").alias("matched_weeks"), F.col("best.distance").alias("distance"),
-                      F.col("best.m.baseline_gmv").alias("baseline_gmv"), lift.alias("lift"),
-                      F.try_divide(lift, F.col("best.m.baseline_gmv")).alias("lift_share"))
+                      F.col("best.matched_weeks").alias("matched_weeks"), F.col("best.distance").alias("distance"),
+                      F.col("best.baseline_gmv").alias("baseline_gmv"), lift.alias("lift"),
+                      F.try_divide(lift, F.col("best.baseline_gmv")).alias("lift_share"))
 
 
 def seasonally_adjusted(market_daily: DataFrame) -> DataFrame:

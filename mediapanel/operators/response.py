@@ -38,23 +38,51 @@ def adstock(panel: DataFrame, priors: DataFrame) -> DataFrame:
     """Geometric adstock a[t] = s[t] + 0.5^(1/h) a[t-1] per (market,
     channel); h <= 0, or no prior, passes spend through.
 
-    A series is one ordered array (one entry per day, so bounded by the
-    calendar), folded once; the fold keeps every state, and the states are
-    exploded again. The recursion is exact for any half-life.
+    The recursion is a prefix scan over blocks of ``BLOCK_DAYS`` days
+    (``decayed_sums``): linear in the days, with no array per series, and exact
+    for any half-life.
     """
     pr = priors.select("channel", F.when(F.col("halflife") > 0, F.pow(F.lit(0.5), 1.0 / F.col("halflife")))
                        .otherwise(F.lit(0.0)).alias("decay"))
-    s = _paid_series(panel).groupBy("market", "channel").agg(
-        F.sort_array(F.collect_list(F.struct("date_local", "spend"))).alias("days"))
-    s = s.join(F.broadcast(pr), "channel", "left").withColumn("decay", F.coalesce("decay", F.lit(0.0)))
-
-    def step(acc, x):
-        before = F.coalesce(F.get(acc, F.size(acc) - 1)["adstock"], F.lit(0.0))
-        return F.concat(acc, F.array(F.struct(x["date_local"].alias("date_local"), x["spend"].alias("spend"),
-                                              (before * F.col("decay") + x["spend"]).alias("adstock"))))
-    empty = F.array().cast("array<struct<date_local:date,spend:double,adstock:double>>")
-    return s.select("market", "channel", "decay", F.explode(F.aggregate("days", empty, step)).alias("x")) \
-            .select("market", "channel", "x.date_local", "x.spend", "decay", "x.adstock")
+    s = _paid_series(panel).join(F.broadcast(pr), "channel", "left").withColumn("decay", F.coalesce("decay", F.lit(0.0)))
+    s = s.withColumn("_at", F.datediff("date_local", F.lit(SCAN_ORIGIN).cast("date")).cast("long"))
+    out = decayed_sums(s, ["market", "channel"], "_at", "decay", "spend", "adstock")
+    return out.select("market", "channel", "date_local", "spend", "decay", "adstock")
+
+
+BLOCK_DAYS = 64
+SCAN_LEVELS = 2            # of blocks of blocks: 64 ** 3 days, 717 years
+SCAN_ORIGIN = "1900-01-01"  # days before it are not carried on
+
+
+def decayed_sums(df: DataFrame, keys: list[str], at: str, decay: str, value: str, name: str,
+                 levels: int = SCAN_LEVELS) -> DataFrame:
+    """``df`` plus ``name`` = value + decay x the ``name`` of the step before, per
+    key over consecutive integers ``at`` from 0 to ``BLOCK_DAYS ** (levels + 1)``,
+    as an associative prefix scan.
+
+    Inside a block each value is carried on by windows of the block alone:
+    ``log2(BLOCK_DAYS)`` doubling steps, the k-th adding the sums that end 2^k
+    steps earlier, decayed over that many steps. What a block hands on is its
+    last sum; these are scanned the same way with the decay of a whole block, one
+    row per block, and added to the rows behind it."""
+    block = [*keys, "_block"]
+    x = df.withColumn("_block", F.floor(F.col(at) / BLOCK_DAYS)).withColumn(name, F.col(value))
+    order = Window.partitionBy(*block).orderBy(at)
+    step = 1
+    while step < BLOCK_DAYS:
+        before = F.coalesce(F.lag(name, step).over(order), F.lit(0.0))
+        x = x.withColumn(name, F.col(name) + F.pow(decay, F.lit(float(step))) * before)
+        step *= 2
+    if levels == 0:
+        return x.drop("_block")
+    end, far, total = f"_end{levels}", f"_far{levels}", f"_sum{levels}"
+    ends = x.groupBy(*block).agg(F.max_by(name, at).alias(end), F.max(F.pow(decay, F.lit(float(BLOCK_DAYS)))).alias(far))
+    carried = decayed_sums(ends.withColumnRenamed("_block", f"_step{levels}"), keys, f"_step{levels}", far, end, total, levels - 1)
+    x = x.join(carried.select(*keys, (F.col(f"_step{levels}") + 1).alias("_block"), total), block, "left")
+    into = F.col(at) - F.col("_block") * BLOCK_DAYS + 1
+    return x.withColumn(name, F.col(name) + F.coalesce(F.col(total), F.lit(0.0)) * F.pow(decay, into.cast("double"))) \
+            .drop("_block", total)
 
 
 def hill(x: Column, ec50: Column, shape: Column) -> Column:

@@ -7,7 +7,7 @@ the facts shares one logical plan instead of re-deriving it.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -213,7 +213,7 @@ class Chain:
     MATERIALIZED = ("fact_platform_sales", "fact_onplatform_ads", "fact_offplatform_ads", "fact_evc",
                     "panel", "panel_evc")
     DERIVED = MATERIALIZED + ("scan", "filtered", "deltas", "levels", "mkt_deltas", "blended", "seasonality",
-                              "channel_seasonality", "stored")
+                              "channel_seasonality", "stored", "published")
 
     def land_bronze(self, base_path: str, parallelism: int = 4) -> dict[str, str]:
         """IO2: write the nine raw feeds as append-only bronze tables
@@ -335,6 +335,103 @@ class Chain:
             out._read(n, paths[n], schemas[n])
         return out
 
+    # -- published versions --------------------------------------------------
+    def ingested_until(self):
+        """Latest ingest time of any feed."""
+        latest = [self.raw[n].agg(F.max("ingested_at").alias("at")) for n in bind.RAW_BUILDERS]
+        return reduce(DataFrame.unionByName, latest).agg(F.max("at")).first()[0]
+
+    def touched_days(self, since) -> dict[str, list]:
+        """Per fact the days that rows ingested after ``since`` belong to:
+        bounded by the calendar. Read from the ingest partitions of that time,
+        conformed but not de-duplicated."""
+        new = Chain(self.spark, self.sf_dir, self.p, False)
+
+        def recent(df):
+            df = df.where(F.col("ingested_at") > F.lit(since))
+            if "ingest_date" in df.columns:
+                df = df.where(F.col("ingest_date") >= F.lit(since.date()))
+            return df
+        r = {n: recent(self.raw[n]) for n in bind.RAW_BUILDERS}
+        every = lambda df, keys, order: df
+        rows = {
+            "fact_platform_sales": conform.stg_platform_sales(r["shopee_orders"], r["tiktok_shop_orders"], new.dim_market,
+                                                              new.traffic_map, dedup=every),
+            "fact_onplatform_ads": conform.stg_onplatform_ads(r["tiktok_ads_daily"], r["shopee_ads_daily"], new.fx,
+                                                              compat=self.p.compat, dedup=every),
+            "fact_offplatform_ads": conform.stg_offplatform_ads(r["meta_cpas_daily"], r["google_ads_shopee_daily"], new.fx,
+                                                                compat=self.p.compat, dedup=every),
+            "fact_evc": conform.evc_rows(r["evc_google"], r["evc_meta"], r["evc_tiktok"], self.p.compat)}
+        days = reduce(DataFrame.unionByName, [df.where(F.col("date_local").isNotNull()).select(
+            F.lit(n).alias("fact"), "date_local").distinct() for n, df in rows.items()]).collect()
+        return {n: sorted(d["date_local"] for d in days if d["fact"] == n) for n in rows}
+
+    def publish(self, base_path: str):
+        """The first load as published snapshots: facts and marts in one version."""
+        from ..operators.publish import Snapshots
+        store = Snapshots(self.spark, base_path)
+        draft = store.draft()
+        for n in self.MATERIALIZED:
+            if n.startswith("fact_"):
+                draft.write(n, getattr(self, n), sort_by=self._sort(getattr(self, n)))
+        self._publish_marts(draft, None, None)
+        draft.publish(self.ingested_until())
+        return store
+
+    def refresh_published(self, store, replace_days: bool = False) -> int | None:
+        """The daily job on published snapshots (P6, PF9, J11): only days that
+        rows ingested since the last version belong to are rebuilt, from the
+        ingest partitions that can hold their versions, and upserted; then the
+        marts of those days; then all of it is published at once. Keys of those
+        days that the target alone has stay (D8), unless ``replace_days``.
+        Returns the new version, or None if nothing has come."""
+        import datetime as dt
+        from dataclasses import replace
+
+        from ..operators.facts import KEYS
+        from ..operators.upsert import upsert
+        draft = store.draft()
+        mark = self.ingested_until()
+        touched = self.touched_days(dt.datetime.fromisoformat(draft.manifest["mark"]))
+        if not any(touched.values()):
+            return None
+        age = lambda days: (self.p.as_of - days[0]).days if days else 0
+        inc = Chain(self.spark, self.sf_dir, replace(
+            self.p, refresh_days=max(age(d) for n, d in touched.items() if n != "fact_evc"),
+            evc_refresh_days=age(touched["fact_evc"])), False)
+        inc.raw = self.raw
+        for n, days in touched.items():
+            if days:
+                old = draft.read(n, days)
+                new = getattr(inc, n).where(F.col("date_local").isin(days)).select(*old.columns)
+                draft.write(n, new if replace_days else upsert(old, new, KEYS[n]), days, self._sort(old))
+        facts_ = sorted({d for n, days in touched.items() if n != "fact_evc" for d in days})
+        self._publish_marts(draft, facts_, sorted({*facts_, *touched["fact_evc"]}))
+        return draft.publish(mark)
+
+    @staticmethod
+    def _sort(df: DataFrame) -> list[str]:
+        return [c for c in ("market", "platform", "channel") if c in df.columns]
+
+    def _publish_marts(self, draft, days, evc_days) -> None:
+        """Both marts are functions of their day: days of the draft's facts."""
+        if days is None or days:
+            part = panel.daily_channel_panel(*[draft.read(n, days) for n in self.MATERIALIZED[:3]], self.calendar,
+                                             compat=self.p.compat)
+            draft.write("panel", part, days, self._sort(part))
+        if evc_days is None or evc_days:
+            part = panel.daily_channel_panel_evc(draft.read("panel", evc_days), draft.read("fact_evc", evc_days))
+            draft.write("panel_evc", part, evc_days, self._sort(part))
+
+    @cached_property
+    def published(self):
+        """This chain's facts and marts as published snapshots, once, in a new
+        folder of the shared checkpoint location."""
+        import uuid
+
+        from ..session import ensure_checkpoint_dir
+        return self.stored.publish(f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/mediapanel-{uuid.uuid4().hex[:12]}")
+
     def register_views(self, names=("stg_platform_sales", "stg_onplatform_ads", "stg_offplatform_ads", "stg_evc",
                                     "fact_platform_sales", "fact_onplatform_ads", "fact_offplatform_ads",
                                     "fact_evc", "panel", "panel_evc")) -> list[str]:

@@ -88,7 +88,7 @@ frag("order_base", ["order_base0"], """
 SELECT *,
   CASE WHEN o_orderkey % 101 = 0 THEN 'ZZ' ELSE market END AS country,
   CASE WHEN o_orderkey % 101 = 0 OR o_orderkey % 10 = 7 THEN NULL ELSE market END AS market_field,
-  CASE WHEN o_orderkey % 101 = 0 THEN 'USD' ELSE mk_currency END AS currency,
+  CASE WHEN o_orderkey % 101 = 0 THEN 'USD' WHEN o_orderkey % 7 = 3 THEN 'SGD' ELSE mk_currency END AS currency,
   TIMESTAMP '1970-01-01 00:00:00' + to_seconds(create_secs) AS create_ts,
   TIMESTAMP '1970-01-01 00:00:00' + to_seconds(create_secs + ingest_lag) AS ingest_ts,
   cast(cast(cents * (100 - dpct) AS decimal(38,0)) / 10000 AS decimal(18,4)) AS subtotal
@@ -352,23 +352,45 @@ GROUP BY date_local, market, channel, attribution_bucket
 
 # ---------------------------------------------------------------- gold
 frag("fact_sales_l1", ["stg_platform_sales"], """
-SELECT date_local, market, platform, shop_id, sku_id, traffic_source, min(currency) AS currency,
-  cast(count(*) AS bigint) AS cnt, cast(count_if(is_cancelled) AS bigint) AS n_cancelled, sum(gmv_local) AS gross,
-  sum(CASE WHEN is_cancelled THEN 0 ELSE gmv_local END) AS net
+SELECT date_local, market, platform, shop_id, sku_id, traffic_source, cast(count(*) AS bigint) AS cnt
 FROM stg_platform_sales WHERE date_local IS NOT NULL
 GROUP BY ALL
 """)
-frag("fact_platform_sales", ["fact_sales_l1", "fx"], """
-SELECT a.*, a.orders_gross - a.orders_cancelled AS orders_net,
-  cast(a.gmv_net_local AS double) / cast(fx.usd_rate AS double) AS gmv_net_usd
+frag("fact_sales_rows", ["stg_platform_sales", "fx"], """
+SELECT s.*, fx.usd_rate, first_value(s.currency) OVER w AS key_currency, first_value(fx.usd_rate) OVER w AS key_rate
+FROM stg_platform_sales s LEFT JOIN fx ON fx.date = s.date_local AND fx.currency = s.currency
+WHERE s.date_local IS NOT NULL
+WINDOW w AS (PARTITION BY s.date_local, s.market, s.platform, s.shop_id, s.sku_id
+             ORDER BY s.ingested_at DESC, s.currency DESC)
+""")
+frag("fact_sales_money", ["fact_sales_rows"], """
+SELECT date_local, market, platform, shop_id, sku_id, key_currency AS currency,
+  CASE WHEN count(*) = count(gross) THEN sum(gross) END AS gmv_gross_local,
+  CASE WHEN count(*) = count(net) THEN sum(net) END AS gmv_net_local,
+  CASE WHEN count(*) = count(usd) THEN sum(usd) END AS gmv_net_usd,
+  cast(sum(n) AS bigint) AS orders_gross, cast(sum(n_cancelled) AS bigint) AS orders_cancelled
 FROM (
-  SELECT date_local, market, platform, shop_id, sku_id, min(currency) AS currency,
-    cast(sum(cnt) AS bigint) AS orders_gross, cast(sum(n_cancelled) AS bigint) AS orders_cancelled,
-    sum(gross) AS gmv_gross_local, sum(net) AS gmv_net_local,
+  SELECT date_local, market, platform, shop_id, sku_id, key_currency, count(*) AS n, count_if(is_cancelled) AS n_cancelled,
+    cast(CASE WHEN currency = key_currency THEN sum(gmv_local)
+         ELSE round(cast(cast(sum(gmv_local) AS double) / cast(any_value(usd_rate) AS double)
+                         * cast(any_value(key_rate) AS double) AS decimal(38,10)), 4) END AS decimal(28,4)) AS gross,
+    cast(CASE WHEN currency = key_currency THEN sum(CASE WHEN is_cancelled THEN 0 ELSE gmv_local END)
+         ELSE round(cast(cast(sum(CASE WHEN is_cancelled THEN 0 ELSE gmv_local END) AS double)
+                         / cast(any_value(usd_rate) AS double) * cast(any_value(key_rate) AS double) AS decimal(38,10)), 4) END
+      AS decimal(28,4)) AS net,
+    cast(sum(CASE WHEN is_cancelled THEN 0 ELSE gmv_local END) AS double) / cast(any_value(usd_rate) AS double) AS usd
+  FROM fact_sales_rows GROUP BY date_local, market, platform, shop_id, sku_id, key_currency, currency) x
+GROUP BY date_local, market, platform, shop_id, sku_id, key_currency
+""")
+frag("fact_platform_sales", ["fact_sales_money", "fact_sales_l1"], """
+SELECT m.*, m.orders_gross - m.orders_cancelled AS orders_net, t.traffic_source_mix
+FROM fact_sales_money m JOIN (
+  SELECT date_local, market, platform, shop_id, sku_id,
     to_json(list(struct_pack(traffic_source := traffic_source, cnt := cnt)
                  ORDER BY traffic_source NULLS FIRST)) AS traffic_source_mix
   FROM fact_sales_l1 GROUP BY ALL
-) a LEFT JOIN fx ON fx.date = a.date_local AND fx.currency = a.currency
+) t ON t.date_local = m.date_local AND t.market IS NOT DISTINCT FROM m.market AND t.platform = m.platform
+  AND t.shop_id IS NOT DISTINCT FROM m.shop_id AND t.sku_id IS NOT DISTINCT FROM m.sku_id
 """)
 
 

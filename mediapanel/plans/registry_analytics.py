@@ -124,7 +124,7 @@ SELECT min(date_local) AS min_date, max(date_local) AS max_date, count(*) AS row
   array_to_string(list_sort(list_distinct(list(channel))), ',') AS channels
 FROM panel""", "panel"))
 def q_panel_meta(c: Chain) -> DataFrame:
-    return M.panel_meta(c.panel)
+    return c.published.meta("panel")
 
 
 @register("kpi_blended", O.sql(f"""

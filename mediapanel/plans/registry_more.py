@@ -20,7 +20,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources import bind, io, schemas, seeds
 from . import oracle as O
 from .chain import Chain
-from .registry import ORACLE, PANEL_MONEY, PANEL_OUT, _r4, r4, register
+from .registry import EVC_MONEY, EVC_OUT, ORACLE, PANEL_MONEY, PANEL_OUT, _r4, r4, register
 from .registry_analytics import RANGE_LO, SCAN_LO, _kpi_sql
 from .registry_decisions import DOM, MD
 from .registry_misc import FIRST_LOAD_CUTOFF, REFRESH_DAYS, REFRESH_LO
@@ -80,6 +80,19 @@ def q_daily_refresh(c: Chain) -> DataFrame:
     return p.select(*[r4(x) if x in PANEL_MONEY else x for x in PANEL_OUT])
 
 
+@register("published_refresh", O.sql("SELECT " + ", ".join(_r4(c) if c in EVC_MONEY else c for c in EVC_OUT)
+                                     + " FROM panel_evc", "panel_evc"))
+def q_published_refresh(c: Chain) -> DataFrame:
+    """The published conversion panel after a first load of what had been
+    ingested by the cutoff and a refresh of the days touched since."""
+    old = Chain(c.spark, c.sf_dir, c.p, False)
+    old.raw = c.stored.raw.with_feeds(**{n: c.stored.raw[n].where(F.col("ingested_at") < F.lit(FIRST_LOAD_CUTOFF))
+                                         for n in bind.RAW_BUILDERS})
+    store = old.publish(f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/mediapanel-{uuid.uuid4().hex[:12]}")
+    c.stored.refresh_published(store, replace_days=True)
+    return store.read("panel_evc").select(*[r4(x) if x in EVC_MONEY else x for x in EVC_OUT])
+
+
 # ------------------------------------------------------------------ conversion toggle (PF14)
 frag("scan_evc", ["panel_evc", "taxonomy"], f"""
 SELECT p.date_local, p.market, p.channel, coalesce(p.platform, t.platform, 'shopee') AS platform, p.spend_usd,

@@ -106,7 +106,7 @@ def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         "*",
         "CASE WHEN o_orderkey % 101 = 0 THEN 'ZZ' ELSE market END AS country",
         "CASE WHEN o_orderkey % 101 = 0 OR o_orderkey % 10 = 7 THEN NULL ELSE market END AS market_field",
-        "CASE WHEN o_orderkey % 101 = 0 THEN 'USD' ELSE mk_currency END AS currency",
+        "CASE WHEN o_orderkey % 101 = 0 THEN 'USD' WHEN o_orderkey % 7 = 3 THEN 'SGD' ELSE mk_currency END AS currency",
         "timestamp_seconds(create_secs) AS create_ts",
         "timestamp_seconds(create_secs + ingest_lag) AS ingest_ts",
         "cast(cents * (100 - dpct) / 10000.0 AS decimal(18,4)) AS subtotal",

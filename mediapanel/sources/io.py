@@ -8,6 +8,7 @@ functions; sinks write partitioned parquet, NDJSON or CSV.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from functools import reduce
 
@@ -80,7 +81,8 @@ def replay_landing(spark: SparkSession, root: str, source: str, schema: T.Struct
 def write_landing(df: DataFrame, root: str, source: str, day_col: str = "Date") -> int:
     """IO4: NDJSON files ``<root>/<source>/<market>/<day>.ndjson`` (missing
     values: ``unknown``) and the number of rows. A day that several tasks
-    wrote has files ``<day>.1.ndjson`` and so on beside the first.
+    wrote has files ``<day>.1.ndjson`` and so on beside the first. A day written
+    again replaces all of its files.
 
     Spark writes partition folders beside the target; their files are then
     renamed, one rename per file of (market, day)."""
@@ -100,14 +102,17 @@ def write_landing(df: DataFrame, root: str, source: str, day_col: str = "Date")
             continue
         name = unquote(market.getPath().getName().split("=", 1)[1])
         fs.mkdirs(path(f"{base}/{name}"))
+        before: dict[str, list] = {}
+        for f in fs.listStatus(path(f"{base}/{name}")):
+            if m := re.fullmatch(r"(.+?)(\.\d+)?\.ndjson", f.getPath().getName()):
+                before.setdefault(m.group(1), []).append(f.getPath())
         for day in fs.listStatus(market.getPath()):
             label = unquote(day.getPath().getName().split("=", 1)[1])
             parts = [f for f in fs.listStatus(day.getPath()) if f.getPath().getName().startswith("part-")]
+            for old in before.get(label, ()):
+                fs.delete(old, False)
             for i, f in enumerate(parts):
-                target = path(f"{base}/{name}/{label}{f'.{i}' if i else ''}.ndjson")
-                if fs.exists(target):
-                    fs.delete(target, False)  # a day written again replaces itself
-                fs.rename(f.getPath(), target)
+                fs.rename(f.getPath(), path(f"{base}/{name}/{label}{f'.{i}' if i else ''}.ndjson"))
     fs.delete(top, True)
     return seen.get["n"]
 

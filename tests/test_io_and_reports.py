@@ -182,3 +182,22 @@ def test_panel_traffic_split_channels(spark):
     assert base.where(F.col("channel").isin("tiktok_shop_live", "tiktok_shop_video")).count() == 0
     assert extra.count() > 0 and split.count() == base.count() + extra.count()
     assert extra.where("spend_usd <> 0 OR platform <> 'tiktok_shop'").count() == 0
+
+
+def test_a_day_landed_again_replaces_all_of_its_files(spark, tmp_path):
+    schema = schemas.SHOPEE_ADS_DAILY
+    cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in ("Date", "_market", "Campaign_id")]
+    def rows(n, day):
+        return spark.range(n).repartition(3).select(
+            F.lit(day).cast("date").alias("Date"), F.lit("ID").alias("_market"), F.col("id").cast("string").alias("Campaign_id"),
+            *cols).select(*schema.names)
+    root = str(tmp_path)
+    io.write_landing(rows(30, "2024-01-01").union(rows(5, "2024-01-02")), root, "shopee_ads")
+    # Files of a day that several tasks wrote.
+    first = next((tmp_path / "shopee_ads" / "ID").glob("2024-01-01.ndjson"))
+    for i in (1, 2):
+        first.with_name(f"2024-01-01.{i}.ndjson").write_text(first.read_text())
+    assert io.replay_landing(spark, root, "shopee_ads", schema).count() == 95
+    assert io.write_landing(rows(1, "2024-01-01"), root, "shopee_ads") == 1
+    got = io.replay_landing(spark, root, "shopee_ads", schema).groupBy("Date").count().collect()
+    assert {(str(r["Date"]), r["count"]) for r in got} == {("2024-01-01", 1), ("2024-01-02", 5)}

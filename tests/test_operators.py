@@ -362,10 +362,12 @@ def test_spines_follow_the_dimensions(spark):
     assert {r["market"]: r["value"] for r in rows(metrics.heatmap(s, dim, p))}["XX"] == 900.0
     grid = {(r["channel"], r["market"]): r["spend"] for r in rows(metrics.channel_market_grid(s, tax, dim, p))}
     assert grid["shopee_ads_other", "XX"] == 900.0 and len(grid) == 7 * (len(seeds.PAID_CHANNELS) + 1)
-    panel = spark.createDataFrame([(d, "XX", "shopee_ads_other", "shopee", 900.0, 70.0, False, False, False)],
+    panel = spark.createDataFrame([(d, "XX", "shopee_ads_other", "shopee", 900.0, 30, 70.0, False, False, False, 13)],
                                   "date_local date, market string, channel string, platform string, spend_usd double, "
-                                  "platform_total_gmv_usd double, is_weekend boolean, is_payday boolean, is_mega_sale boolean")
+                                  "impressions long, platform_total_gmv_usd double, is_weekend boolean, is_payday boolean, "
+                                  "is_mega_sale boolean, week_of_year int")
     frame = rows(features.regression_frame(panel))[0]
+    assert frame["week_of_year"] == 13 and frame["i_other"] == pytest.approx(math.log1p(30)) and frame["i_meta_cpas"] == 0
     assert frame["market"] == "XX" and frame["x_other"] == pytest.approx(math.log1p(900.0))
 
 
@@ -429,3 +431,55 @@ def test_partition_count_invariance(spark):
                 assert math.isclose(x, y, rel_tol=1e-12, abs_tol=1e-12), (k, x, y)
             else:
                 assert x == y, (k, x, y)
+
+
+def test_adstock_over_ten_thousand_days(spark):
+    """The scan over blocks equals the recursion step by step, in one series of
+    27 years with gaps and in one that begins and ends inside a block."""
+    import random
+    from mediapanel.operators import response
+    rng = random.Random(5)
+    first = dt.date(1990, 3, 5)
+    spend = {("ID", "meta_cpas"): {d: rng.random() * 100 for d in range(10_000) if rng.random() < 0.7},
+             ("SG", "tiktok_ads"): {d: float(d) for d in range(100, 230)}}
+    spend["ID", "meta_cpas"][0] = spend["ID", "meta_cpas"][9_999] = 1.0
+    rows = [(m, c, first + dt.timedelta(d), v) for (m, c), days in spend.items() for d, v in days.items()]
+    panel = spark.createDataFrame(rows, "market string, channel string, date_local date, spend_usd double")
+    for halflife in (0.0, 0.5, 7.0, 400.0):
+        priors = spark.createDataFrame([(c, halflife) for c in ("meta_cpas", "tiktok_ads")], "channel string, halflife double")
+        out = response.adstock(panel, priors)
+        got = {(r.market, (r.date_local - first).days): r.adstock for r in out.collect()}
+        decay = 0.5 ** (1 / halflife) if halflife else 0.0
+        for (market, _), days in spend.items():
+            held = 0.0
+            for d in range(min(days), max(days) + 1):
+                held = days.get(d, 0.0) + decay * held
+                assert got[market, d] == pytest.approx(held, rel=1e-9)
+        assert len(got) == 10_000 + 130
+    plan = out._jdf.queryExecution().toString()
+    assert "aggregate(" not in plan and "collect_list" not in plan
+
+
+def test_sales_fact_has_one_row_per_key_with_several_currencies(spark):
+    from mediapanel.operators import facts
+    from mediapanel.sources import bind
+    day, at = dt.date(2024, 1, 5), dt.datetime(2024, 1, 6)
+    rows = [(day, "ID", "shopee", "s", "k", cur, src, gmv, off, at + dt.timedelta(hours=h))
+            for cur, src, gmv, off, h in (("IDR", "ads", 1000.0, False, 1), ("SGD", "ads", 2.0, False, 3), ("IDR", None, 500.0, True, 2),
+                                          ("SGD", "live", 3.0, False, 0))]
+    rows += [(day, "ID", "shopee", "s", "other", "IDR", "ads", 7.0, False, at), (day, "ID", "shopee", "s", "norate", "XXX", "ads", 7.0, False, at)]
+    stg = spark.createDataFrame(rows, "date_local date, market string, platform string, shop_id string, sku_id string, currency string, "
+                                "traffic_source string, gmv double, is_cancelled boolean, ingested_at timestamp")
+    stg = stg.withColumn("gmv_local", F.col("gmv").cast("decimal(18,4)"))
+    fx = bind.test_fx(spark)
+    rate = {r.currency: float(r.usd_rate) for r in fx.where(F.col("date") == F.lit(day)).collect()}
+    got = {r.sku_id: r for r in facts.fact_platform_sales(stg, fx, dt.date(2024, 1, 30)).collect()}
+    assert len(got) == 3
+    r = got["k"]
+    assert (r.currency, r.orders_gross, r.orders_cancelled, r.orders_net) == ("SGD", 4, 1, 3)
+    assert r.gmv_net_usd == pytest.approx(5 / rate["SGD"] + 1000 / rate["IDR"])
+    assert float(r.gmv_net_local) == pytest.approx(5 + 1000 / rate["IDR"] * rate["SGD"], abs=1e-4)
+    assert float(r.gmv_gross_local) == pytest.approx(5 + 1500 / rate["IDR"] * rate["SGD"], abs=1e-4)
+    assert [(m.traffic_source, m.cnt) for m in r.traffic_source_mix] == [(None, 1), ("ads", 2), ("live", 1)]
+    assert got["other"].currency == "IDR" and float(got["other"].gmv_net_local) == 7.0
+    assert got["norate"].gmv_net_usd is None and float(got["norate"].gmv_net_local) == 7.0
