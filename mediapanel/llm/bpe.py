@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from mediapanel.llm.common import text_or_empty
 
-WORD_TABLE = 100_000  # words of a generation that a task keeps the encoding of
+WORD_TABLE = 200_000  # words of a generation that a task keeps the encoding of
 SLICE = 128
 PLACE = 1 << 32       # queue entries are rank * PLACE + position, which sort as the pair does
 
