@@ -1,20 +1,25 @@
-"""Benchmark decontamination on words, with cosines of a latent semantic space.
+"""Benchmark decontamination by latent semantic retrieval.
 
 1. Documents become sequences of benchmark term numbers (0: no benchmark
    term), written once as a compact table; words are lower-cased and cut at
    ASCII characters that are not letters or digits. Passages are ``PASSAGE`` words.
-2. TF-IDF of all passages, with document frequencies over all passages and
-   idf squared, which is idf once for the passage and once for the query; no
-   term is dropped, whatever the number of passages. A
+2. TF-IDF of all passages that hold a benchmark term, with idf squared, which
+   is idf once for the passage and once for the query; terms in more than
+   ``MOST_SHARE`` of the passages weigh nothing, at any size. A
    randomised SVD is spread over the tasks: each multiplies its part of
    ``A' A`` with a random matrix, the parts are summed, and the driver gets the
    latent basis from that sum, a matrix of benchmark terms by
-   ``RANK + OVERSAMPLE``.
-3. Candidates are the regions of documents that can hold a leak at all: a leak
-   has a least number of its item's words within a stretch of bounded length,
-   so some of the item's rarest words are there (``Lists``). No leak is lost,
-   and none is capped. The latent space gives the cosine of the item and the
-   passages that its stretch lies in; nothing is dropped by it.
+   ``RANK + OVERSAMPLE``. Its directions are scaled to equal spread (as queries
+   are folded in), so that no topic of the corpus hides an item.
+3. Candidates come from the cosine, in that space, of two neighbouring passages
+   and a piece of an item (at most ``PASSAGE`` words). The least cosine is set
+   per item (``floors``): the lowest that ``EDITS`` edited copies of it reach in
+   text drawn from the document frequencies, less ``MARGIN``; a copy is found if
+   one of its pieces is. Items whose least cosine more than ``MOST_NOISE`` of
+   such texts reach without a copy cannot be told by a cosine (a few common words). They
+   alone are looked up by an exact bound: a leak has a least number of its item's words
+   within a stretch of bounded length, so some of the rarest are there
+   (``Lists``). Nothing is capped.
 4. Every candidate is judged on words: some stretch of it must have a longest
    common subsequence with the item that is ``LEAST_COMPACT`` of the stretch
    and ``COPY`` of the item; a paraphrase needs ``PARAPHRASE`` of it and
@@ -22,9 +27,10 @@
    Items of fewer than ``SHORT`` words must be there whole. All stretches are
    judged, not the one of the longest subsequence alone.
 
-Items are taken in blocks of ``ITEM_BLOCK``, so what is sent to tasks (terms
-and lists of one block) has a fixed bound. Null or empty texts and items
-match nothing, and neither does an item that is one number. Repeated items each report; equal pairs are reported once.
+Items are taken in blocks of ``ITEM_BLOCK``, so what is sent to tasks (terms,
+vectors and lists of one block) has a fixed bound. Null or empty texts and items
+match nothing, and neither does an item that is one number. Repeated items each
+report; equal pairs are reported once.
 """
 
 from __future__ import annotations
@@ -32,7 +38,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import reduce
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,14 +48,19 @@ from pyspark.sql import functions as F
 from mediapanel.llm.common import shared, text_or_empty, written
 
 PASSAGE = 32
-RANK, OVERSAMPLE = 96, 8
+RANK, OVERSAMPLE = 128, 8
+MOST_SHARE = 0.2
+EDITS, REPLACED, MARGIN = 48, 0.35, 0.12
+MOST_NOISE = 0.01
+POOL = 2048           # texts drawn from the document frequencies
 COPY, PARAPHRASE, LEAST_ANSWER = 0.8, 0.6, 0.75
 LEAST_COMPACT = 0.5
 ANSWER_WORDS = 8
 SHORT = 8
 ITEM_BLOCK = 10_000
 LIST_ITEMS = 256      # items looked up at once
-CHUNK = 100_000       # tokens projected at once
+CHUNK = 100_000       # tokens of documents taken at once
+CACHED = 4096         # tokens projected at once
 
 CUT = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -118,16 +129,17 @@ def passage_frequencies(terms: DataFrame, n_terms: int) -> tuple[np.ndarray, int
     return df, int(df[0])
 
 
-def _project(ids: np.ndarray, where: np.ndarray, n: int, weight: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of the L1-normalised TF-IDF matrix times ``basis`` (whose rows are
-    weighted already), and the norm of each row."""
+def _project(ids: np.ndarray, where: np.ndarray, n: int, weight: np.ndarray, basis: np.ndarray,
+             unit: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the L1-normalised (``unit``) TF-IDF matrix times ``basis`` (whose
+    rows are weighted already), and the norm of each row."""
     out = np.zeros((n, basis.shape[1]), np.float32)
     norm = np.bincount(where, weights=weight[ids], minlength=n)
-    for i in range(0, len(ids), CHUNK):
-        w = where[i:i + CHUNK]
+    for i in range(0, len(ids), CACHED):
+        w = where[i:i + CACHED]
         at = np.flatnonzero(np.diff(w, prepend=-1))
-        out[w[at]] += np.add.reduceat(basis[ids[i:i + CHUNK]], at, axis=0)
-    return out / np.maximum(norm, 1e-12)[:, None].astype(np.float32), norm
+        out[w[at]] += np.add.reduceat(basis[ids[i:i + CACHED]], at, axis=0)
+    return (out / np.maximum(norm, 1e-12)[:, None].astype(np.float32) if unit else out), norm
 
 
 def _summed(terms: DataFrame, part, width: int) -> dict[int, np.ndarray]:
@@ -146,8 +158,8 @@ def _summed(terms: DataFrame, part, width: int) -> dict[int, np.ndarray]:
     return dict(zip(rows.column(0).to_pylist(), out))
 
 
-def latent_basis(terms: DataFrame, weight: np.ndarray, rank: int = RANK, oversample: int = OVERSAMPLE) -> np.ndarray:
-    """Right singular vectors (terms x rank) of the passages' TF-IDF matrix A
+def latent_space(terms: DataFrame, weight: np.ndarray, rank: int = RANK, oversample: int = OVERSAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """Right singular vectors (terms x rank) and values of the passages' TF-IDF matrix A
     by a randomised method of one pass: tasks add up ``Z = A' A R`` for a random
     matrix R, and ``A' A`` is taken as ``Z (R' Z)^-1 Z'`` (Nystroem), whose
     eigenvectors the driver gets from matrices of the size of Z."""
@@ -164,8 +176,8 @@ def latent_basis(terms: DataFrame, weight: np.ndarray, rank: int = RANK, oversam
                 p, norm = _project(ids, where, int(first[-1]), weight, start)
                 p /= np.maximum(norm, 1e-12)[:, None].astype(np.float32)
                 order = np.argsort(ids, kind="stable")
-                for i in range(0, len(order), CHUNK):
-                    o = order[i:i + CHUNK]
+                for i in range(0, len(order), CACHED):
+                    o = order[i:i + CACHED]
                     at = np.flatnonzero(np.diff(ids[o], prepend=-1))
                     total[ids[o[at]]] += np.add.reduceat(p[where[o]] * weight[ids[o]][:, None].astype(np.float32), at, axis=0)
         return total
@@ -177,9 +189,59 @@ def latent_basis(terms: DataFrame, weight: np.ndarray, rank: int = RANK, oversam
     values, vectors = np.linalg.eigh((core + core.T) / 2)
     ok = values > max(1e-9 * values[-1], 1e-300)
     if not ok.any():
-        return np.zeros((n_terms, rank))
+        return np.zeros((n_terms, rank)), np.zeros(rank)
     left, size, _ = np.linalg.svd(z @ (vectors[:, ok] / np.sqrt(values[ok])), full_matrices=False)
-    return left[:, np.argsort(size)[::-1][:rank]]
+    return left[:, :rank], size[:rank]
+
+
+def latent_basis(terms: DataFrame, weight: np.ndarray, rank: int = RANK, oversample: int = OVERSAMPLE) -> np.ndarray:
+    return latent_space(terms, weight, rank, oversample)[0]
+
+
+def pieces_of(item: np.ndarray) -> list[np.ndarray]:
+    """The item cut evenly into pieces of at most ``PASSAGE`` words."""
+    return np.array_split(item, -(-len(item) // PASSAGE))
+
+
+def floors(item_terms: list[np.ndarray], df: np.ndarray, n: int, weight: np.ndarray, weighted: np.ndarray) -> np.ndarray:
+    """The least cosine of each item's copies with it, or infinity where text
+    without a copy reaches it too often.
+
+    Half of the edited copies have ``REPLACED`` of their words replaced at
+    random, half the words that weigh most; the answer stays (items of fewer
+    than ``SHORT`` words stay whole). The text around and the new words are
+    drawn from the document frequencies of all passages."""
+    rng = np.random.default_rng(10)
+    share = np.minimum(1.0, df / max(1, n))
+    share[0] = 0
+    drawn = np.array([((rng.random(len(df)) < share).astype(np.float32) + (rng.random(len(df)) < share)) @ weighted
+                      for _ in range(POOL)], np.float32)
+    sizes = np.maximum(np.linalg.norm(drawn, axis=1, keepdims=True), 1e-9)
+    out = np.full(len(item_terms), np.inf)
+    for i, item in enumerate(item_terms):
+        parts = np.array_split(np.arange(len(item)), -(-len(item) // PASSAGE))
+        vectors = np.array([weighted[item[p]].sum(axis=0) for p in parts])
+        length = np.linalg.norm(vectors, axis=1)
+        if length.max() <= 1e-6:
+            continue
+        vectors /= np.maximum(length, 1e-6)[:, None]
+        kept = np.ones((EDITS, len(item)), np.float32)
+        body = len(item) - ANSWER_WORDS
+        gone = min(body, int(REPLACED * len(item)))
+        if len(item) >= SHORT and gone > 0:
+            order = rng.random((EDITS, body))
+            order[::2] = -weight[item[:body]] + 1e-9 * order[::2]
+            np.put_along_axis(kept, np.argsort(order, axis=1)[:, :gone], 0, axis=1)
+        best = np.full(EDITS, -1.0)
+        for p, v in zip(parts, vectors):
+            left = kept[:, p]
+            around = drawn[rng.integers(0, POOL, EDITS)] * (1 - left.sum(axis=1, keepdims=True) / (2 * PASSAGE))
+            text = left @ weighted[item[p]] + around
+            best = np.maximum(best, text @ v / np.maximum(np.linalg.norm(text, axis=1), 1e-9))
+        least = best.min() - MARGIN
+        if ((drawn @ vectors.T / sizes).max(axis=1) >= least).mean() <= MOST_NOISE:
+            out[i] = least
+    return out
 
 
 class Matcher:
@@ -316,44 +378,96 @@ class Lists:
             yield d, i, max(0, (lo % room - 1) * reach), (hi % room + 1) * reach
 
 
-def search(terms: DataFrame, items: list[tuple], item_terms: list[np.ndarray], df: np.ndarray, weight: np.ndarray,
-           basis: np.ndarray) -> DataFrame:
+class Space:
+    """Candidates by the cosine of two neighbouring passages and item pieces."""
+
+    def __init__(self, item_terms: list[np.ndarray], least: np.ndarray, weighted: np.ndarray):
+        self.weighted, self.heavy = weighted, np.abs(weighted).sum(axis=1) > 0
+        self.reach = np.array([int(len(t) / LEAST_COMPACT) for t in item_terms], np.int64)
+        parts = [(i, p) for i, t in enumerate(item_terms) if np.isfinite(least[i]) for p in pieces_of(t)]
+        self.item = np.array([i for i, _ in parts], np.int64)
+        vectors = np.array([weighted[p].sum(axis=0) for _, p in parts], np.float32).reshape(len(parts), weighted.shape[1])
+        self.vectors = (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-6)).T.copy()
+        self.least = least[self.item].astype(np.float32)
+
+    def regions(self, ids: np.ndarray, where: np.ndarray, held: list[np.ndarray], first: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(document, item, start, stop) around the passages that are near."""
+        on = self.heavy[ids]
+        if not len(self.item) or not on.any():
+            return
+        n = int(first[-1])
+        p, _ = _project(ids[on], where[on], n, np.zeros(len(self.heavy)), self.weighted, unit=False)
+        owner = np.repeat(np.arange(len(held)), np.diff(first))
+        follows = np.flatnonzero(owner[:-1] == owner[1:])
+        pair = p.copy()
+        pair[follows] += p[follows + 1]
+        length = np.linalg.norm(pair, axis=1)
+        some = np.flatnonzero(length > 1e-6)
+        rows, cols = [], []
+        for i in range(0, len(some), CACHED):
+            r, c = np.nonzero(pair[some[i:i + CACHED]] @ self.vectors >= self.least * length[some[i:i + CACHED], None])
+            rows.append(some[i + r])
+            cols.append(self.item[c])
+        row, item = np.concatenate(rows), np.concatenate(cols)
+        # Neighbouring hits of one item in one document join.
+        order = np.lexsort((row, item, owner[row]))
+        open_: tuple[int, int, int, int] | None = None
+        for d, i, r in zip(owner[row[order]].tolist(), item[order].tolist(), row[order].tolist()):
+            at, reach = (r - int(first[d])) * PASSAGE, int(self.reach[i])
+            lo, hi = max(0, at - reach), at + 2 * PASSAGE + reach
+            if open_ and open_[:2] == (d, i) and lo <= open_[3]:
+                open_ = d, i, open_[2], max(hi, open_[3])
+                continue
+            if open_:
+                yield open_
+            open_ = d, i, lo, hi
+        if open_:
+            yield open_
+
+
+def search(terms: DataFrame, items: list[tuple], item_terms: list[np.ndarray], df: np.ndarray, least: np.ndarray,
+           weighted: np.ndarray, spread: np.ndarray) -> DataFrame:
     """(doc_id, item, cosine, lcs, answer, start, stop) of all leaks; item
-    is the position in ``items``, start and stop are words of the document."""
-    weighted = (basis * weight[:, None]).astype(np.float32)
-    lists = [(lo, Lists(item_terms[lo:lo + LIST_ITEMS], df)) for lo in range(0, len(item_terms), LIST_ITEMS)]
-    model = shared(terms.sparkSession, (weighted, item_terms, lists))
+    is the position in ``items``, start and stop are words of the document, and
+    cosine is that of the item and the passages of the stretch, before scaling.
+    Items with a finite ``least`` cosine are retrieved by it, the others by lists."""
+    exact = np.flatnonzero(~np.isfinite(least))
+    lists = [(part, Lists([item_terms[i] for i in part], df))
+             for part in (exact[lo:lo + LIST_ITEMS].tolist() for lo in range(0, len(exact), LIST_ITEMS))]
+    model = shared(terms.sparkSession, (Space(item_terms, least, weighted), item_terms, lists, spread))
     kind = terms.schema["doc_id"].dataType.simpleString()
     out_names = ["doc_id", "item", "cosine", "lcs", "answer", "start", "stop"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weighted, item_terms, lists = model()
+        space, item_terms, lists, spread = model()
+        weighted = space.weighted
         here = np.zeros(len(weighted), bool)
         matchers: dict[int, tuple[Matcher, Matcher]] = {}
 
         def cosine(a: np.ndarray, b: np.ndarray) -> float:
-            a, b = weighted[a].sum(axis=0), weighted[b].sum(axis=0)
+            a, b = weighted[a].sum(axis=0) * spread, weighted[b].sum(axis=0) * spread
             return float(a @ b / max(float(np.linalg.norm(a) * np.linalg.norm(b)), 1e-12))
 
         for batch in batches:
             found: list[tuple] = []
             base = 0
-            for _, _, held, _ in _passages(batch):
-                for low, part in lists:
-                    for d, c, at, end in part.regions(held):
-                        words, item = held[d][at:end], item_terms[low + c]
-                        here[words] = True
-                        common = np.count_nonzero(here[item])
-                        here[words] = False
-                        if common < least_common(len(item)):
-                            continue
-                        if low + c not in matchers:
-                            matchers[low + c] = Matcher(item), Matcher(item[-ANSWER_WORDS:])
-                        whole, answer = matchers[low + c]
-                        if leak := whole.best(words.tolist(), answer):
-                            common, share, start, stop = leak[0], leak[1], at + leak[2], at + leak[3]
-                            near = held[d][start // PASSAGE * PASSAGE:-(-stop // PASSAGE) * PASSAGE]
-                            found.append((base + d, low + c, cosine(near, item), common / len(item), share, start, stop))
+            for ids, where, held, first in _passages(batch):
+                near = space.regions(ids, where, held, first)
+                listed = ((d, part[c], at, end) for part, of in lists for d, c, at, end in of.regions(held))
+                for d, i, at, end in chain(near, listed):
+                    words, item = held[d][at:end], item_terms[i]
+                    here[words] = True
+                    common = np.count_nonzero(here[item])
+                    here[words] = False
+                    if common < least_common(len(item)):
+                        continue
+                    if i not in matchers:
+                        matchers[i] = Matcher(item), Matcher(item[-ANSWER_WORDS:])
+                    whole, answer = matchers[i]
+                    if leak := whole.best(words.tolist(), answer):
+                        common, share, start, stop = leak[0], leak[1], at + leak[2], at + leak[3]
+                        around = held[d][start // PASSAGE * PASSAGE:-(-stop // PASSAGE) * PASSAGE]
+                        found.append((base + d, i, cosine(around, item), common / len(item), share, start, stop))
                 base += len(held)
             cols_ = list(zip(*found)) if found else [[] for _ in range(7)]
             kinds = [pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
@@ -383,14 +497,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         terms = written(term_rows(docs, vocabulary), "terms")
         df, n = passage_frequencies(terms, len(vocabulary))
         weight = np.log((n + 1) / (df + 1)) ** 2
+        weight[df > MOST_SHARE * n] = 0
         weight[0] = 0
-        basis = latent_basis(terms, weight)
+        basis, spread = latent_space(terms, weight)
+        spread = np.maximum(spread / max(spread.max(initial=0.0), 1e-30), 1e-6)
+        weighted = (basis / spread * weight[:, None]).astype(np.float32)
+        weighted /= max(float(np.abs(weighted).max(initial=0.0)), 1e-30)
+        least = floors(item_terms, df, n, weight, weighted)
         names = docs.sparkSession.createDataFrame(
             [(k, i) for k, (i, _) in enumerate(items)], f"item long, item_id {benchmark.schema['item_id'].dataType.simpleString()}")
         best = F.max_by(F.struct("cosine", "lcs", "answer", "start", "stop"),
                         F.struct("lcs", "answer", F.col("start") - F.col("stop"), -F.col("start"))).alias("best")
         # Names of one block of items: of fixed size.
-        found.append(search(terms, items, item_terms, df, weight, basis).join(F.broadcast(names), "item")
+        found.append(search(terms, items, item_terms, df, least, weighted, spread).join(F.broadcast(names), "item")
                      .groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*"))
     if not found:
         kinds = [f"{c} {d.schema[c].dataType.simpleString()}" for c, d in (("doc_id", docs), ("item_id", benchmark))]
