@@ -4,7 +4,12 @@ A page is cut into blocks at block-level tags. Blocks inside navigation,
 headers, footers, sidebars, forms, adverts, notices and reader comments (by
 tag, role, or a word of class or id) are decided: not content. The first pass
 classifies the others by link density, length and stop-word density as
-content, boilerplate, or ambiguous (short, or in between). In the second pass
+content, boilerplate, or ambiguous (short, or in between). Forms and containers
+known by a hint that wrappers of whole pages carry too (``WRAPPER_HINTS``, as in
+``main-menu-open``) are only presumed out: if no block outside of them is content, or
+if the one ``article`` or ``main`` with content is in them, the outermost that has most
+content is opened, until content is found; what is out inside it for a reason of its
+own stays out. Links reach over the blocks inside them. In the second pass
 an ambiguous block inherits the label of its nearest decided neighbour; with
 one on each side, equally far and of different labels, the stop-word density
 decides. An ``article`` or ``main`` element is a region: neighbours outside it
@@ -14,7 +19,8 @@ are not.
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are joined by two line feeds. Nothing is cut off or capped. Null
-or empty html gives the empty text.
+or empty html gives the empty text. Every row is judged alone: repeated rows give
+repeated results, other columns than ``keep`` are left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -50,6 +56,8 @@ OUT_HINTS = frozenset("""ad ads advert advertisement advertising adsense sponsor
 cookies consent gdpr notice notification alert banner popup modal newsletter subscribe subscription signup login
 sidebar widget related recommended share sharing social breadcrumb breadcrumbs menu nav navbar navigation footer
 comment comments disqus replies pagination masthead toolbar""".split())
+WRAPPER_HINTS = frozenset("""menu nav navbar navigation sidebar banner popup modal widget share sharing social
+toolbar masthead login signup search notification alert""".split())
 
 SHORT, LONG, DENSITY_LOW, DENSITY_HIGH, LINKS = 70, 200, 0.12, 0.25, 0.4
 
@@ -67,36 +75,43 @@ class Block:
     linked: int  # characters inside links
     out: bool
     region: int  # 0: outside article and main
+    inside: tuple[int, ...] = ()  # the containers presumed out, outermost first, if nothing else puts it out
     label: bool | None = None  # content, boilerplate, or not decided
 
 
-def _is_out(name: str, attrs: str, in_region: bool) -> bool:
-    if name in OUT_TAGS or (name == "header" and not in_region):
-        return True
+def _is_out(name: str, attrs: str, in_region: bool) -> tuple[bool, bool]:
+    """Whether the element is out, and whether that is only presumed."""
+    presumed = name == "form"
+    if not presumed and name in OUT_TAGS or (name == "header" and not in_region):
+        return True, False
     for m in ATTR.finditer(attrs) if attrs else ():
         value = (m[2] or m[3] or m[4] or "").lower()
         if m[1].lower() == "role":
             if value.strip() in OUT_ROLES:
-                return True
-        elif name not in ("body", "html", "main") and not OUT_HINTS.isdisjoint(HINT_WORDS.findall(value)):
-            return True
-    return False
+                return True, False
+        elif name not in ("body", "html", "main"):
+            hints = OUT_HINTS.intersection(HINT_WORDS.findall(value))
+            if not hints <= WRAPPER_HINTS:
+                return True, False
+            presumed = presumed or bool(hints)
+    return presumed, presumed
 
 
 def blocks_of(page: str) -> list[Block]:
     """Blocks in page order; scripts, styles, comments and the head are gone."""
     blocks: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # open block elements: tag, out, region
+    stack: list[tuple[str, bool, int, tuple[int, ...]]] = []  # open block elements: tag, out, region, presumed out
     parts: list[str] = []
-    regions, linked, in_link, pos, n = 0, 0, 0, 0, len(page)
+    regions, containers, linked, pos, n = 0, 0, 0, 0, len(page)
+    in_link = -1  # how many elements were open where the link began
 
     def close() -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out, region = stack[-1][1:] if stack else (False, 0)
-                blocks.append(Block(text, min(linked, len(text)), out, region))
+                out, region, inside = stack[-1][1:] if stack else (False, 0, ())
+                blocks.append(Block(text, min(linked, len(text)), out or bool(inside), region, () if out else inside))
             parts.clear()
         linked = 0
 
@@ -106,7 +121,7 @@ def blocks_of(page: str) -> list[Block]:
         if raw:
             raw = html.unescape(raw)
             parts.append(raw)
-            if in_link:
+            if in_link >= 0:
                 linked += len(raw.strip())
         if m is None:
             break
@@ -124,14 +139,13 @@ def blocks_of(page: str) -> list[Block]:
                 pos = found.end() if found else n
             parts.append(" ")
         elif name == "a":
-            in_link = 0 if ends else 1
+            in_link = -1 if ends else len(stack)
         elif name == "br":
             parts.append(" ")
         elif name in BLOCK_TAGS:
             close()
-            in_link = 0
             if ends:
-                if any(t == name for t, _, _ in stack):
+                if any(t[0] == name for t in stack):
                     while stack.pop()[0] != name:
                         pass
             else:
@@ -139,17 +153,44 @@ def blocks_of(page: str) -> list[Block]:
                     stack.pop()
                 if name in ("li", "dt", "dd", "tr", "td", "th") and stack and stack[-1][0] == name:
                     stack.pop()
-                out, region = stack[-1][1:] if stack else (False, 0)
-                out = out or _is_out(name, attrs, region > 0)
+                out, region, inside = stack[-1][1:] if stack else (False, 0, ())
+                here, presumed = _is_out(name, attrs, region > 0)
+                if presumed:
+                    containers += 1
+                    inside += (containers,)
+                out = out or here and not presumed
                 if name in ("article", "main") and not out and not region:
                     regions += 1
                     region = regions
                 if name not in VOID_TAGS:
-                    stack.append((name, out, region))
+                    stack.append((name, out, region, inside))
+            if len(stack) < in_link:  # the element around the link has ended
+                in_link = -1
     close()
+    open_wrappers(blocks)
     return blocks
 
 
+def open_wrappers(blocks: list[Block]) -> None:
+    """Take containers presumed out for what they hold where that is the content."""
+    if not any(b.inside for b in blocks):
+        return
+    good = [b for b in blocks if len(b.text) >= SHORT and b.linked <= LINKS * len(b.text)
+            and (b.inside or not b.out) and _density(b.text) >= (DENSITY_LOW if len(b.text) > LONG else DENSITY_HIGH)]
+    while not any(not b.out and (b.region or not any(g.region for g in good)) for b in good):
+        held: dict[int, int] = {}
+        for b in good:
+            if b.inside and (b.region or not any(g.region for g in good)):
+                held[b.inside[0]] = held.get(b.inside[0], 0) + len(b.text)
+        if not held:
+            return
+        most = max(held, key=lambda c: (held[c], -c))
+        for b in blocks:
+            if b.inside and b.inside[0] == most:
+                b.inside = b.inside[1:]
+                b.out = bool(b.inside)
+
+
 def _density(text: str) -> float:
     words = WORDS.findall(text.lower())
     return sum([w in STOP_WORDS for w in words]) / len(words) if words else 0.0

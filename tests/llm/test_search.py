@@ -217,6 +217,21 @@ def test_long_items_are_found(large):
     assert all(got[p].lcs == 1.0 for p in planted["long"])
 
 
+def test_copies_are_retrieved_by_the_cosine(spark, monkeypatch):
+    """Without the space only the items that no least cosine serves are found."""
+    docs, items, leaks = leak_rows()
+    df, bench = cases.frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")
+    found = lambda: {(r.doc_id, r.item_id) for r in dec.contaminated(df, bench).collect()}
+    served, floors = [], dec.floors
+    monkeypatch.setattr(dec, "floors", lambda *a: served.append(floors(*a)) or served[-1])
+    assert found() == leaks
+    monkeypatch.setattr(dec, "latent_space", lambda t, w: (np.zeros((len(w), dec.RANK)), np.zeros(dec.RANK)))
+    monkeypatch.setattr(dec, "floors", lambda *a: served[0])
+    by_lists = found()
+    assert np.isfinite(served[0]).sum() >= 10
+    assert by_lists == {(d, i) for d, i in leaks if not np.isfinite(served[0][i])} != leaks
+
+
 def test_numbers_are_words(spark):
     docs = cases.frame(spark, [(1, "they asked: 12 + 7 = 19, and so on"), (2, "12 + 8 = 20"),
                                (3, "a train leaves at 9 for 40 miles"), (4, "a train leaves at 7 for 30 miles")])

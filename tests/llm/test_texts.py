@@ -286,6 +286,28 @@ def test_page_without_regions_uses_neighbours():
     assert html_extract.main_text(page) == f"{long}\n\nThen.\n\n{long}"
 
 
+PROSE = "This is the text of the page and it has the words that a text in this language would have in all of its parts."
+REMARK = "I think that the text is not good and that you should not have it on the site, and it is what we all know."
+
+
+def test_page_wrappers_are_opened_for_the_article():
+    rest = f"<input><footer>{PROSE}</footer>"
+    form = f"<form id='aspnetForm'><div class='nav'><a href=x>Home</a></div><article><h1>T</h1><p>{PROSE}</article>"
+    assert html_extract.main_text(f"{form}<div class='comments'><p>{REMARK}</div></form>{rest}") == f"T\n\n{PROSE}"
+    menu = f"<div class='main-menu-open page'><nav><a href=x>x</a></nav><p>{PROSE}<p>{PROSE}<div class='sidebar'><p>{REMARK}</div></div>"
+    assert html_extract.main_text(menu + rest) == f"{PROSE}\n\n{PROSE}"
+    wide = f"<div class='has-sidebar'><main><p>{PROSE}</main><div class='widget'><article><p>{REMARK}</article></div></div>"
+    assert html_extract.main_text(wide + rest) == PROSE
+    # What is out for its own sake, and forms beside an article, stay out.
+    assert html_extract.main_text(f"<div class='cookie-notice'><p>{PROSE}</div><form><p>Name<input></form>") == ""
+    assert html_extract.main_text(f"<p>{PROSE}<form><p>{REMARK}</form>") == PROSE
+
+
+def test_page_links_reach_over_blocks():
+    page = f"<article><p>{PROSE}</p><a href=q><div>{REMARK}</div><p>{REMARK}</p></a><p>{PROSE}<p><a href=z>{REMARK}</p><p>{PROSE}</article>"
+    assert html_extract.main_text(page) == "\n\n".join([PROSE] * 3)
+
+
 def test_page_awkward_rows(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "u", "plain words"), (3, "u", "<p"), (4, "u", "<!-- open <p>x"), (5, "u", PAGE),
             (5, "u", PAGE), (6, "u", "<script>x"), (7, "u", "<article>" + "<p>a the of " * 20_000), (8, "u", "</p></div></article>"),
