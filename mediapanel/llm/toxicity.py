@@ -11,19 +11,24 @@ A window is compressed behind ``BALLAST``, a string both dictionaries end
 with: one match whose cost is the same, without which zstandard stores windows
 of a single match as they are and their lengths tell nothing.
 
-The ordinary dictionary comes from zstandard's own trainer over windows of
-ordinary documents. That trainer prefers what is frequent, and nearly all text
-of a toxic document is ordinary; so the toxic dictionary is the ordinary
-content followed by the words whose share of toxic documents exceeds their
-share of ordinary ones beyond chance (likelihood ratio), strongest last, where
-offsets are shortest; of a few sizes the one that calibrates best is kept.
-Text is reduced to lower-case words of ``MIN_WORD``
-letters or more, so punctuation and casing carry no weight.
+Both dictionaries come from zstandard's trainer. The ordinary one is trained on
+windows of ordinary documents. Nearly all text of a toxic document is ordinary
+too, and the trainer prefers what is frequent; so the toxic one is trained on
+the words of toxic documents whose share of toxic documents exceeds their share
+of ordinary ones beyond chance (likelihood ratio), each equally often, strongest
+first, since the trainer puts early segments last, where offsets are shortest.
+It follows the ordinary content, so that the two lengths differ by
+toxic segments alone; of a few sizes the one that calibrates best is kept.
+Text is reduced to lower-case words, so punctuation and casing carry no weight.
 
 Learning uses at most about ``MAX_DOCS`` labelled documents per class, whole,
-chosen by a hash of their id; classes are weighted back to their full counts.
-Dictionaries and weights are of fixed size, whatever the input. Null and empty
-texts have no windows and get the score of a document without any finding.
+chosen by a hash of their id; classes are weighted back to their full counts. A
+text trains the dictionaries or calibrates, by its own hash, so the order of rows
+and ties do not matter; a repeated text counts once per label. Dictionaries and
+weights are of fixed size, whatever the input. Null and empty
+texts have no windows and get the score of a document without any finding; a
+very long text has as many windows as it needs. ``score`` keeps repeated rows and
+other columns, and replaces columns named ``score`` or ``predicted``.
 Without labels of both classes every score is the share of label 1 (0 without
 labels).
 """
@@ -43,13 +48,16 @@ from pyspark.sql import functions as F
 from mediapanel.llm.common import fold, text_or_empty
 
 WINDOW = 5
-MIN_WORD = 4
 LEVEL = 7
 BALLAST = bytes(range(33, 97))  # no lower-case letter among them
 MAX_DOCS = 12_000
 ORDINARY_BYTES = 2048
-TOXIC_BYTES = (200, 400, 800, 1600)  # sizes tried; more words lengthen the offsets of the strong ones
+TOXIC_BYTES = (100, 200, 400, 800)  # words trained on; more of them lengthen the offsets of the strong ones
+TOXIC_ROOM = 1024         # for the trainer's tables and segments that overlap
+SEGMENT, MATCHED = 16, 6  # bytes that the trainer takes at once, and compares
+REPEATS = 20              # of each word
 ORDINARY_WINDOWS = 20_000
+TABLES_END = bytes([1, 0, 0, 0, 4, 0, 0, 0, 8, 0, 0, 0])  # of a dictionary; its content follows
 LEAST_DOCS, LEAST_RATIO, LEAST_G2 = 3, 4.0, 12.0
 THRESHOLDS = (1, 2, 3, 4, 5, 6, 8)
 
@@ -59,7 +67,7 @@ NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
-    return [w for w in NOT_LETTERS.sub(" ", text.lower()).split() if len(w) >= MIN_WORD]
+    return NOT_LETTERS.sub(" ", text.lower()).split()
 
 
 def windows_of(words: list[str]) -> list[bytes]:
@@ -112,7 +120,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, folds: int, max_docs: in
     share = F.when(F.col("toxic") == 1, F.lit(min(1.0, max_docs / totals.get(1, 1)))).otherwise(
         F.lit(min(1.0, max_docs / totals.get(0, 1))))
     chosen = known.where(draw < share)
-    part = (F.floor(F.crc32(F.col("doc_id").cast("string").cast("binary")) / folds) % 2).cast("int")
+    part = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(2)).cast("int")
     sample = (docs.select("doc_id", text_or_empty(F.col("text")).alias("text"))
               .join(F.broadcast(chosen), "doc_id").withColumn("h", F.xxhash64("text"))
               .dropDuplicates(["h", "toxic"]).select("text", "toxic", part.alias("part")))
@@ -138,7 +146,7 @@ def word_counts(sample: DataFrame) -> DataFrame:
 
 
 def toxic_words(counts: DataFrame, n_toxic: int, n_ordinary: int, room: int = max(TOXIC_BYTES)) -> list[str]:
-    """Words typical of toxic documents, weakest first, as many as fit."""
+    """Words typical of toxic documents, strongest first, as many as fit."""
     def part(k, n, p):
         p = F.least(F.greatest(p, F.lit(1e-12)), F.lit(1 - 1e-12))
         return k * F.log(p) + (n - k) * F.log(1 - p)
@@ -148,34 +156,48 @@ def toxic_words(counts: DataFrame, n_toxic: int, n_ordinary: int, room: int = ma
     g2 = 2 * (part(a, na, a / na) + part(b, nb, b / nb) - part(a, na, both) - part(b, nb, both))
     best = (counts.where((a >= LEAST_DOCS) & (a / na > LEAST_RATIO * b / nb))
             .withColumn("g2", g2).where(F.col("g2") > LEAST_G2)
-            .orderBy(F.desc("g2"), "word").limit(room // MIN_WORD).collect())
+            .orderBy(F.desc("g2"), "word").limit(room // 2).collect())
     words, size = [], 1
     for r in best:
-        size += len(r["word"].encode("utf-8")) + 1
+        size += len(r["word"].encode("utf-8", "replace")) + 1
         if size > room:
             break
         words.append(r["word"])
-    return words[::-1]
+    return words
 
 
-def ordinary_dictionary(sample: DataFrame) -> bytes:
-    """zstandard's trainer over a bounded number of windows of ordinary text."""
+def trained(size: int, samples: list[bytes], **how: int) -> bytes:
+    """zstandard's dictionary of at most ``size`` bytes. The trainer refuses a
+    few samples; the last of them are then the dictionary."""
     import zstandard
+    try:
+        return zstandard.train_dictionary(size, samples, **how).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(samples)[-size:]
+
+
+def toxic_dictionary(words: list[str], size: int) -> bytes:
+    """The segments trained on those of ``words`` that fit into ``size`` bytes."""
+    fit, used = [], 1
+    for w in words:
+        used += len(w.encode("utf-8", "replace")) + 1
+        if used > size:
+            break
+        fit.append(f" {w} ".encode("utf-8", "replace"))
+    content = trained(TOXIC_ROOM + size, [w for w in fit for _ in range(REPEATS)], k=SEGMENT, d=MATCHED)
+    return content.partition(TABLES_END)[2] or b"".join(reversed(fit))
 
+
+def ordinary_dictionary(sample: DataFrame) -> bytes:
+    """Trained on at most ``ORDINARY_WINDOWS`` windows of ordinary text, drawn by hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t in batch.column("text"):
-                for i, w in enumerate(windows_of(words_of(t.as_py()))):
-                    if i % 8 == 0:
-                        yield pa.RecordBatch.from_arrays([pa.array([w], pa.binary())], names=["w"])
+        for batch in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
+            windows = [w for t in batch.column("text") for w in windows_of(words_of(t.as_py()))]
+            yield pa.RecordBatch.from_arrays([pa.array(windows, pa.binary())], names=["w"])
 
     rows = (sample.where("toxic = 0").select("text").mapInArrow(run, "w binary")
-            .withColumn("h", F.xxhash64("w")).orderBy("h").limit(ORDINARY_WINDOWS).select("w").toArrow())
-    windows = [w.as_py() for w in rows.column(0)]
-    try:
-        return zstandard.train_dictionary(ORDINARY_BYTES, windows).as_bytes()
-    except zstandard.ZstdError:  # the trainer refuses a few windows; they are then the dictionary
-        return b"".join(windows)[-ORDINARY_BYTES:]
+            .withColumn("h", F.xxhash64("w")).orderBy("h", "w").limit(ORDINARY_WINDOWS).select("w").toArrow())
+    return trained(ORDINARY_BYTES, [w.as_py() for w in rows.column(0)])
 
 
 def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -207,8 +229,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, max_docs: int = MA
     teach, check = sample.where("part = 0"), sample.where("part = 1")
     ordinary = ordinary_dictionary(teach)
     words = toxic_words(word_counts(teach), seen[0, 1], seen[0, 0])
-    content = (" " + " ".join(words) + " ").encode("utf-8", "replace")
-    tried = [ordinary + content[-size:] for size in TOXIC_BYTES]
+    tried = [ordinary + toxic_dictionary(words, size) for size in TOXIC_BYTES]
     n_features = 3 + 2 * len(THRESHOLDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
