@@ -6,11 +6,12 @@ import re
 
 from pyspark.sql import functions as F
 
-from mediapanel.operators import facts
+from mediapanel.operators import conform, facts
 from mediapanel.plans.chain import Chain
 from mediapanel.plans.registry import QUERIES
-from mediapanel.session import INITIAL_PARTITIONS, size_shuffles
+from mediapanel.session import INITIAL_PARTITIONS, SHUFFLE_CLEANUP, size_shuffles
 from mediapanel.sources import bind
+from mediapanel.sources.schemas import RAW_SCHEMAS
 
 from .conftest import SMALL
 
@@ -108,3 +109,63 @@ def test_daily_refresh_reads_the_first_load_once(spark):
     # Sales totals stand twice in a panel plan (J5, organic rows), the second load
     # twice in an upsert; each reads two order feeds. The first load: once.
     assert len(re.findall(r"Relation \[l_orderkey", plan)) == 2 * 2 * (1 + 2)
+
+
+def test_landing_shuffles_the_narrow_rows(spark):
+    """Wide fields of a feed are derived after its rows were clustered by day,
+    and the writer finds them sorted."""
+    for name in bind.RAW_BUILDERS:
+        df = bind.landing_feed(spark, SMALL, name)
+        assert df.columns == [f.name for f in RAW_SCHEMAS[name].fields] + ["ingest_date"]
+        above, below = df._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions")
+        assert "concat(" in above and "Sort [ingest_date" in above
+        assert "concat(" not in below and "_source_system" not in below
+        fresh = bind.RAW_BUILDERS[name](spark, SMALL)
+        assert df.drop("ingest_date").exceptAll(fresh).isEmpty() and fresh.exceptAll(df.drop("ingest_date")).isEmpty()
+    assert df.where("ingest_date <> to_date(ingested_at)").isEmpty()
+
+
+def test_facts_are_written_from_the_ranges_they_are_built_in(spark, tmp_path, monkeypatch):
+    """No shuffle by day between a fact and its folders; no row is changed."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    c = Chain(spark, SMALL, cache_marts=False)
+    written, hint = [], DataFrame.hint
+    monkeypatch.setattr(DataFrame, "hint", lambda self, name, *a: (written.append(self.columns) if name == "rebalance" else None)
+                        or hint(self, name, *a))
+    facts_ = ("fact_platform_sales", "fact_onplatform_ads", "fact_offplatform_ads")
+    c.materialize(str(tmp_path), names=facts_)
+    assert not written
+    lazy = Chain(spark, SMALL, cache_marts=False)
+    for n in facts_:
+        a, b = ([r.asDict(recursive=True) for r in x.select(*sorted(x.columns)).collect()] for x in (getattr(c, n), getattr(lazy, n)))
+        same = lambda rows: sorted(str({k: round(v, 6) if isinstance(v, float) else v for k, v in r.items()}) for r in rows)
+        assert same(a) == same(b), n
+        ranges = plan_of(lazy.in_day_ranges(n))
+        assert "rangepartitioning(date_local" in ranges
+    # One range of days a task: as few files as tasks and days.
+    assert len(list((tmp_path / "fact_platform_sales").rglob("*.parquet"))) < 2 * 31
+
+
+def test_sales_fact_moves_no_tie_breaker_that_cannot_change_it(spark):
+    plan = Chain(spark, SMALL, cache_marts=False).fact_platform_sales._jdf.queryExecution().optimizedPlan().toString()
+    assert "INTERVAL '03 " not in plan and "complete_time_utc" not in plan and "pay_time_utc" not in plan
+    order = ["at", "item", "shop", "gmv", "paid", "done"]
+    assert conform.deciding(order, ["k"], ["k", "at", "shop"]) == ["at", "item", "shop"]
+    assert conform.deciding(order, ["k"], ["k"]) == ["at"] and conform.deciding(order, ["k"], order) == order
+    rows = [("a", 1, 5, 7, i % 2, i) for i in range(4)] + [("b", 2, i, 8 - i, 1, 1) for i in range(3)]
+    df = spark.createDataFrame(rows, "k string, at long, item long, shop long, paid long, done long")
+    full = conform.latest_wins(df, ["k"], ["at", "item", "shop", "paid", "done"]).select("k", "at", "shop")
+    few = conform.latest_wins(df, ["k"], conform.deciding(["at", "item", "shop", "paid", "done"], ["k"], ["at", "shop"]))
+    assert sorted(full.collect()) == sorted(few.select("k", "at", "shop").collect())
+
+
+def test_a_load_leaves_no_shuffle_files(spark, tmp_path):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    spark.conf.unset(SHUFFLE_CLEANUP)
+    held = lambda: {b for b in blocks.getAllBlocks().mkString(",").split(",") if b.startswith("shuffle_")}
+    c = Chain(spark, SMALL, cache_marts=False)
+    before = held()
+    c.land_bronze(str(tmp_path / "b"))
+    c.materialize(str(tmp_path / "t"), names=("fact_platform_sales", "fact_onplatform_ads"))
+    assert not held() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
